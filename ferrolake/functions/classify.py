@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .geo import _name, _q, any_of
 from .timeparse import strip
 
 # ---------------------------------------------------------------------------
@@ -70,8 +71,15 @@ TRANSPORT_TYPES = [
 # ---------------------------------------------------------------------------
 
 
-def _any_contains(texts: list[Column], words: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [t.contains(w) for w in words for t in texts])
+def _both(title: str, agency: str) -> str:
+    # One upper-cased text per row; the separator cannot occur in a keyword, so
+    # a match lies wholly in the title or wholly in the agency name.
+    return (f"concat_ws('\\u0001', upper(coalesce({_name(title)}, '')), "
+            f"upper(coalesce({_name(agency)}, '')))")
+
+
+def _rlike(text: str, words: list[str]) -> str:
+    return f"{text} RLIKE {_q(any_of(words))}"
 
 
 def route_title(short: Column, long: Column, origin_name: Column, dest_name: Column) -> Column:
@@ -89,51 +97,46 @@ def route_title(short: Column, long: Column, origin_name: Column, dest_name: Col
             .otherwise(F.when(lg != "", lg).otherwise(s)))
 
 
-def train_class(route_type: Column, title: Column, agency: Column,
-                distance_km: Column, duration_h: Column) -> Column:
-    """Train class: route_type code, then keywords, then distance/duration."""
-    rt = F.coalesce(route_type, F.lit(""))
-    texts = [F.upper(title), F.upper(agency)]
-    expr = None
-    for code, label in ROUTE_TYPE_CLASS:
-        cond = rt == code
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    for label, words in CLASS_KEYWORDS:
-        expr = expr.when(_any_contains(texts, words), F.lit(label))
-    for label, km, hours in CLASS_THRESHOLDS:
-        expr = expr.when((distance_km > km) | (duration_h > hours), F.lit(label))
-    return expr.when(distance_km > 0, F.lit("Régional")).otherwise(F.lit("Inconnu"))
-
-
-def traction(title: Column, agency: Column, klass: Column) -> Column:
-    """électrique / diesel / mixte from keywords and the train class."""
-    texts = [F.upper(title), F.upper(agency)]
-    return (F.when(_any_contains(texts, ELECTRIC_KEYWORDS), F.lit("électrique"))
-            .when(klass.isin("Grande vitesse", "Intercité"), F.lit("électrique"))
-            .when(_any_contains(texts, DIESEL_KEYWORDS), F.lit("diesel"))
-            .when(klass == "Régional", F.lit("électrique"))
-            .otherwise(F.lit("mixte")))
-
-
-def _factor(klass: Column, kind: str, default: float) -> Column:
-    expr = None
-    for k, t, f in EMISSION_FACTORS:
-        if t != kind:
-            continue
-        cond = klass == k
-        expr = F.when(cond, F.lit(f)) if expr is None else expr.when(cond, F.lit(f))
-    return expr.otherwise(F.lit(default))
-
-
-def emission_factor(klass: Column, trac: Column) -> Column:
-    """gCO2e per passenger-km; ``mixte`` is the mean of the electric and diesel
-    factors of the class (20 and 40 when the class has none)."""
-    mixed = (_factor(klass, "électrique", MIXED_DEFAULT_ELECTRIC)
-             + _factor(klass, "diesel", MIXED_DEFAULT_DIESEL)) / 2
-    return (F.when(trac == "mixte", mixed)
-            .when(trac == "électrique", _factor(klass, "électrique", DEFAULT_FACTOR))
-            .when(trac == "diesel", _factor(klass, "diesel", DEFAULT_FACTOR))
-            .otherwise(F.lit(DEFAULT_FACTOR)))
+def train_class(route_type: str, title: str, agency: str, distance_km: str,
+                duration_h: str) -> Column:
+    """Train class (column names in): route_type code, then keywords in the
+    title or agency name, then distance/duration thresholds."""
+    text = _both(title, agency)
+    rt = f"coalesce({_name(route_type)}, '')"
+    km, h = _name(distance_km), _name(duration_h)
+    parts = [f"WHEN {rt} = {_q(code)} THEN {_q(label)}" for code, label in ROUTE_TYPE_CLASS]
+    parts += [f"WHEN {_rlike(text, words)} THEN {_q(label)}" for label, words in CLASS_KEYWORDS]
+    parts += [f"WHEN {km} > {k} OR {h} > {hh} THEN {_q(label)}"
+              for label, k, hh in CLASS_THRESHOLDS]
+    parts.append(f"WHEN {km} > 0 THEN 'Régional'")
+    return F.expr("CASE " + " ".join(parts) + " ELSE 'Inconnu' END")
+
+
+def traction(title: str, agency: str, klass: str) -> Column:
+    """électrique / diesel / mixte from keywords and the train class (column names in)."""
+    text, k = _both(title, agency), _name(klass)
+    return F.expr(f"CASE WHEN {_rlike(text, ELECTRIC_KEYWORDS)} THEN 'électrique' "
+                  f"WHEN {k} IN ('Grande vitesse', 'Intercité') THEN 'électrique' "
+                  f"WHEN {_rlike(text, DIESEL_KEYWORDS)} THEN 'diesel' "
+                  f"WHEN {k} = 'Régional' THEN 'électrique' ELSE 'mixte' END")
+
+
+def _factor(klass: str, kind: str, default: float) -> str:
+    whens = " ".join(f"WHEN {klass} = {_q(k)} THEN {f!r}D" for k, t, f in EMISSION_FACTORS
+                     if t == kind)
+    return f"(CASE {whens} ELSE {default!r}D END)"
+
+
+def emission_factor(klass: str, trac: str) -> Column:
+    """gCO2e per passenger-km (column names in); ``mixte`` is the mean of the
+    electric and diesel factors of the class (20 and 40 when it has none)."""
+    k, t = _name(klass), _name(trac)
+    mixed = (f"({_factor(k, 'électrique', MIXED_DEFAULT_ELECTRIC)} + "
+             f"{_factor(k, 'diesel', MIXED_DEFAULT_DIESEL)}) / 2")
+    return F.expr(f"CASE WHEN {t} = 'mixte' THEN {mixed} "
+                  f"WHEN {t} = 'électrique' THEN {_factor(k, 'électrique', DEFAULT_FACTOR)} "
+                  f"WHEN {t} = 'diesel' THEN {_factor(k, 'diesel', DEFAULT_FACTOR)} "
+                  f"ELSE {DEFAULT_FACTOR!r}D END")
 
 
 def service_days(cal: dict[str, Column]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -79,24 +79,34 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(a))
 
 
-def country_of_point(lat: Column, lon: Column) -> Column:
-    """First bounding box containing (lat, lon), else null.
+def _name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
-    A ``when`` chain inside whole-stage codegen: a point-in-box lookup against
-    25 constant boxes needs no join (a non-equi join would plan as a nested loop).
-    """
-    expr = None
-    for code, la0, la1, lo0, lo1 in COUNTRY_BOXES:
-        cond = lat.between(la0, la1) & lon.between(lo0, lo1)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr
 
+def _q(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def country_of_name(name: Column) -> Column:
+
+def country_of_point(lat: str, lon: str) -> Column:
+    """First bounding box containing (lat, lon) (double columns), else null.
+
+    One CASE expression inside whole-stage codegen: a point-in-box lookup
+    against 25 constant boxes needs no join (a non-equi join would plan as a
+    nested loop). Built as SQL text: one expression, one parse."""
+    la, lo = _name(lat), _name(lon)
+    whens = " ".join(f"WHEN {la} BETWEEN {a} AND {b} AND {lo} BETWEEN {c} AND {d} THEN '{code}'"
+                     for code, a, b, c, d in COUNTRY_BOXES)
+    return F.expr(f"CASE {whens} END")
+
+
+def any_of(words: list[str]) -> str:
+    """Regex matching any of ``words`` as a literal substring (RLIKE = find)."""
+    return "|".join(re.escape(w) for w in words)
+
+
+def country_of_name(name: str) -> Column:
     """Country whose city list has a member contained in upper(name), else null."""
-    up = F.upper(name)
-    expr = None
-    for code, cities in CITY_NAMES:
-        cond = reduce(lambda a, b: a | b, [up.contains(c) for c in cities])
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr
+    up = f"upper({_name(name)})"
+    whens = " ".join(f"WHEN {up} RLIKE {_q(any_of(cities))} THEN '{code}'"
+                     for code, cities in CITY_NAMES)
+    return F.expr(f"CASE {whens} END")

@@ -268,7 +268,7 @@ def stops_per_country(stops: DataFrame, top: int = 10) -> DataFrame:
                       F.col("stop_lon").try_cast("double").alias("lon"))
          .where(F.col("lat").isNotNull() & F.col("lon").isNotNull()
                 & F.col("stop_id").isNotNull())
-         .withColumn("country", country_of_point(F.col("lat"), F.col("lon"))))
+         .withColumn("country", country_of_point("lat", "lon")))
     # <= 26 rows after the aggregate (25 boxes + unmapped): the share needs a
     # grand total, taken with a window over that tiny result.
     per = s.groupBy("country").agg(F.count(F.lit(1)).alias("stop_count")) \

@@ -4,7 +4,7 @@ Plan shape (one exchange for all of it): stop_times is joined to stop
 coordinates (broadcast when the stops table is small, else a shuffle on
 ``stop_id`` *before* the trip exchange), then hash-partitioned once on
 ``(dataset_id, trip_id)``. The shape-regression filter (W1), the previous-stop
-coordinates (W2) and the per-trip aggregate (A1–A4) all reuse that
+coordinates (W2) and the per-trip facts (A1–A4, window functions) all reuse that
 partitioning and sort order, so Spark adds neither a second exchange nor a
 second sort. A trip's rows are bounded by its stop count, so the window never
 sees an unbounded group.
@@ -64,44 +64,48 @@ def drop_shape_regressions(st: DataFrame) -> DataFrame:
             .drop("_prev_shape"))
 
 
-def _first(value: Column, order: Column) -> Column:
-    """First non-null ``value`` in ``order`` (each column skips its own nulls)."""
-    return F.min_by(value, F.when(value.isNotNull(), order))
-
-
-def _last(value: Column, order: Column) -> Column:
-    return F.max_by(value, F.when(value.isNotNull(), order))
-
-
 def trip_facts(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     """One row per (dataset_id, trip_id): endpoints, raw times, distance, duration.
 
     Columns: origin_stop_id, destination_stop_id, departure_time, arrival_time,
-    distance_km (rounded 3), duration_min (rounded 2), has_shape.
+    duration_min (rounded 2), shape_km, geo_km (rounded 3), has_shape.
+
+    First/last values are window functions over the trip's rows in (sequence,
+    file row) order, each skipping its own nulls; whole-trip totals use the
+    same window with an unbounded frame, and one row per trip is kept. All of
+    it reuses the trip partitioning and sort of the regression filter, so
+    there is no aggregate with struct buffers and no further shuffle.
     """
     st = prepare_stop_times(stop_times)
     st = st.join(stop_coordinates(stops), join_keys(st, stops, "stop_id"), "left")
     st = drop_shape_regressions(st)
     w = trip_order()
-    st = (st.withColumn("seg_km", haversine_km(F.lag("lat").over(w), F.lag("lon").over(w),
-                                               F.col("lat"), F.col("lon")))
-          .withColumn("dep_s", time_to_seconds(F.col("departure_time")))
-          .withColumn("arr_s", time_to_seconds(F.col("arrival_time"))))
-    order = F.struct("seq", "file_row")
-    per_trip = st.groupBy(*TRIP_KEY).agg(
-        _first(F.col("stop_id"), order).alias("origin_stop_id"),
-        _last(F.col("stop_id"), order).alias("destination_stop_id"),
-        _first(F.col("departure_time"), order).alias("departure_time"),
-        _last(F.col("arrival_time"), order).alias("arrival_time"),
-        _first(F.col("dep_s"), order).alias("first_dep_s"),
-        _last(F.col("arr_s"), order).alias("last_arr_s"),
-        F.greatest(F.max("arr_s"), F.max("dep_s")).alias("max_s"),
-        F.least(F.min("arr_s"), F.min("dep_s")).alias("min_s"),
-        (F.count("arr_s") + F.count("dep_s")).alias("n_times"),
-        (F.max("shape") - F.min("shape")).alias("shape_span"),
-        (F.count("shape") > 0).alias("has_shape"),
-        F.sum("seg_km").alias("geo_km"),
-    )
+    st = st.select(
+        *TRIP_KEY, "seq", "file_row", "stop_id", "departure_time", "arrival_time", "shape",
+        haversine_km(F.lag("lat").over(w), F.lag("lon").over(w), F.col("lat"), F.col("lon"))
+        .alias("seg_km"),
+        time_to_seconds(F.col("departure_time")).alias("dep_s"),
+        time_to_seconds(F.col("arrival_time")).alias("arr_s"))
+    trip = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def first(c: str) -> Column:
+        return F.first(c, ignorenulls=True).over(trip)
+
+    def last(c: str) -> Column:
+        return F.last(c, ignorenulls=True).over(trip)
+
+    per_trip = st.select(
+        *TRIP_KEY, F.row_number().over(w).alias("_rn"),
+        first("stop_id").alias("origin_stop_id"), last("stop_id").alias("destination_stop_id"),
+        first("departure_time").alias("departure_time"), last("arrival_time").alias("arrival_time"),
+        first("dep_s").alias("first_dep_s"), last("arr_s").alias("last_arr_s"),
+        F.greatest(F.max("arr_s").over(trip), F.max("dep_s").over(trip)).alias("max_s"),
+        F.least(F.min("arr_s").over(trip), F.min("dep_s").over(trip)).alias("min_s"),
+        (F.count("arr_s").over(trip) + F.count("dep_s").over(trip)).alias("n_times"),
+        (F.max("shape").over(trip) - F.min("shape").over(trip)).alias("shape_span"),
+        (F.count("shape").over(trip) > 0).alias("has_shape"),
+        F.sum("seg_km").over(trip).alias("geo_km"),
+    ).where("_rn = 1")
     # A4: last arrival − first departure; when negative or unknown, the span of
     # all times of the trip (0 with fewer than two), in minutes.
     direct = F.col("last_arr_s") - F.col("first_dep_s")
@@ -119,14 +123,21 @@ def trip_facts(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     )
 
 
-def trip_distances(facts: DataFrame) -> DataFrame:
-    """Pick the distance source per feed: shape distances for *every* trip of a
-    feed in which any stop_time has one, stop coordinates otherwise.
+def feed_shape_flags(stop_times: DataFrame) -> DataFrame:
+    """Per feed: does any stop_time carry a shape distance?
 
-    The feed-level flag is an aggregate over the per-trip rows (one row per
-    feed, pre-aggregated map-side) joined back; AQE broadcasts it at runtime.
-    """
-    flag = facts.groupBy("dataset_id").agg(F.max("has_shape").alias("feed_has_shape"))
+    Read straight from the scan (the regression filter never removes the first
+    value of a trip, so it cannot change the answer): a column-pruned scan with
+    map-side partial aggregation, one tiny row per feed to shuffle."""
+    st = prepare_stop_times(stop_times)
+    return st.groupBy("dataset_id").agg(F.max(F.col("shape").isNotNull()).alias("feed_has_shape"))
+
+
+def trip_distances(facts: DataFrame, flags: DataFrame) -> DataFrame:
+    """Pick the distance source per feed: shape distances for *every* trip of a
+    feed in which any stop_time has one, stop coordinates otherwise. ``flags``
+    has one row per feed; AQE broadcasts it from its measured size."""
+    flag = flags
     return (facts.join(flag, "dataset_id")
             .withColumn("distance_km", F.when(F.col("feed_has_shape"), F.col("shape_km"))
                         .otherwise(F.col("geo_km")))

@@ -12,6 +12,7 @@ on the pattern key (AQE splits a skewed side if the count table is large).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from ..functions import (active_days, country_of_name, country_of_point, day_nig
                          traction, train_class, weekly_frequency)
 from ..functions.classify import DAYS
 from ..sources.driver_views import Feed
-from .stop_times import TRIP_KEY, join_keys, trip_distances, trip_facts
+from .stop_times import TRIP_KEY, feed_shape_flags, join_keys, trip_distances, trip_facts
 
 SUMMARY_COLUMNS = [
     "trip_id", "agency_name", "route_name", "train_type", "service_type",
@@ -60,34 +61,39 @@ def enrich_trips(feed: Feed) -> DataFrame:
 
 
 def stop_labels(stops: DataFrame) -> DataFrame:
-    """stop_id → display name ('' when null) and bounding-box country."""
+    """stop_id → display name ('' when null) and country: the first bounding box
+    holding the stop, else a city found in its name (J10 + N4).
+
+    Computed on the stops table (small next to trips), once per stop rather
+    than twice per trip."""
     cols = [c for c in ["dataset_id"] if c in stops.columns]
-    return stops.select(
-        *cols, "stop_id",
-        F.coalesce(F.col("stop_name"), F.lit("")).alias("name"),
-        country_of_point(F.col("stop_lat").try_cast("double"),
-                         F.col("stop_lon").try_cast("double")).alias("box_country"))
+    s = stops.select(*cols, "stop_id", F.coalesce(F.col("stop_name"), F.lit("")).alias("name"),
+                     F.col("stop_lat").try_cast("double").alias("lat"),
+                     F.col("stop_lon").try_cast("double").alias("lon"))
+    return s.select(*cols, "stop_id", "name",
+                    F.coalesce(country_of_point("lat", "lon"), country_of_name("name"))
+                    .alias("country"))
 
 
 def _endpoint(df: DataFrame, labels: DataFrame, side: str) -> DataFrame:
-    """Name (default 'ERROR') and country (box, else from the name)."""
+    """Name (default 'ERROR') and country of one end of the trip.
+
+    An unknown stop is named 'ERROR' and has no country (no city occurs in
+    that word)."""
     lab = labels.select(
         *[c for c in ["dataset_id"] if c in labels.columns],
         F.col("stop_id").alias(f"{side}_stop_id"),
-        F.lit(True).alias(f"_{side}_found"),
-        F.col("name").alias(f"_{side}_name"), F.col("box_country").alias(f"_{side}_box"))
+        F.col("name").alias(f"_{side}_name"), F.col("country").alias(f"{side}_country"))
     out = df.join(lab, join_keys(df, lab, f"{side}_stop_id"), "left")
-    name = F.when(F.col(f"_{side}_found"), F.col(f"_{side}_name")).otherwise(F.lit("ERROR"))
-    return (out.withColumn(f"{side}_stop_name", name)
-            .withColumn(f"{side}_country",
-                        F.coalesce(F.col(f"_{side}_box"), country_of_name(name)))
-            .drop(f"_{side}_found", f"_{side}_name", f"_{side}_box"))
+    return out.withColumn(f"{side}_stop_name",
+                          F.coalesce(F.col(f"_{side}_name"), F.lit("ERROR"))).drop(f"_{side}_name")
 
 
 def trip_rows(feed: Feed) -> DataFrame:
     """Enriched trips ⋈ per-trip facts (trips without stop_times vanish),
     before frequency and de-duplication; one row per trip × calendar match."""
-    facts = trip_distances(trip_facts(feed.stop_times, feed.stops))
+    facts = trip_distances(trip_facts(feed.stop_times, feed.stops),
+                           feed_shape_flags(feed.stop_times))
     return enrich_trips(feed).join(facts, TRIP_KEY, "inner")
 
 
@@ -116,14 +122,11 @@ def classify(rows: DataFrame, stops: DataFrame) -> DataFrame:
     dur_h = F.col("duration_min") / 60.0
     title = route_title(F.col("route_short_name"), F.col("route_long_name"),
                         F.col("origin_stop_name"), F.col("destination_stop_name"))
-    r = (r.withColumn("duration_hours", dur_h)
-         .withColumn("route_name", title)
-         .withColumn("train_type", train_class(F.col("route_type"), F.col("route_name"),
-                                               F.col("agency_name"), F.col("distance_km"),
-                                               F.col("duration_hours")))
-         .withColumn("traction", traction(F.col("route_name"), F.col("agency_name"),
-                                          F.col("train_type")))
-         .withColumn("_factor", emission_factor(F.col("train_type"), F.col("traction"))))
+    r = r.withColumns({"duration_hours": dur_h, "route_name": title})
+    r = r.withColumn("train_type", train_class("route_type", "route_name", "agency_name",
+                                               "distance_km", "duration_hours"))
+    r = r.withColumn("traction", traction("route_name", "agency_name", "train_type"))
+    r = r.withColumn("_factor", emission_factor("train_type", "traction"))
     cal = {d: F.col(d) for d in DAY_COLUMNS}
     return r.select(
         "dataset_id", "trip_id", "agency_name", "route_name", "train_type",
@@ -145,11 +148,19 @@ def classify(rows: DataFrame, stops: DataFrame) -> DataFrame:
     )
 
 
-def trips_summary(feed: Feed, with_extra: bool = False) -> DataFrame:
-    """The trips summary table (18 columns + ``dataset_id``), cleaned."""
+def trips_summary(feed: Feed, with_extra: bool = False,
+                  rows: DataFrame | None = None) -> DataFrame:
+    """The trips summary table (18 columns + ``dataset_id``), cleaned.
+
+    ``rows`` (from ``trip_rows``) feed two consumers, the pattern counts and the
+    first row per trip, so they are persisted and the stop_times stage runs
+    once; MEMORY_AND_DISK spills instead of failing when they are large, and a
+    lost executor's blocks are recomputed from lineage."""
     from .quality import sanitize  # local import: quality builds on this module
 
-    rows = trip_rows(feed)
+    if rows is None:
+        rows = trip_rows(feed)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     counts = pattern_departures(rows)
     firsts = first_per_trip(rows)
     joined = (firsts.join(counts, [firsts[k].eqNullSafe(counts[k]) for k in PATTERN_KEY], "left")

@@ -12,8 +12,10 @@ dimension (which is as large as the fact).
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -75,7 +77,27 @@ def _union_distinct(staging: DataFrame, pairs: list[list[str]], names: list[str]
     return u.groupBy(*names).agg(F.max("load_id").alias("load_id"))
 
 
-def build_dimensions(staging: DataFrame, spark: SparkSession) -> dict[str, DataFrame]:
+class LazyTables(Mapping):
+    """Name → DataFrame, each built on first use (a report touching two
+    dimensions does not plan the other eight)."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._built:
+            self._built[key] = self._builders[key]()
+        return self._built[key]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def build_dimensions(staging: DataFrame, spark: SparkSession) -> LazyTables:
     """The ten dimensions of one load (natural key, attributes, ``load_id``)."""
     s = staging
 
@@ -89,33 +111,38 @@ def build_dimensions(staging: DataFrame, spark: SparkSession) -> dict[str, DataF
             F.max_by(F.col(name), F.struct("load_id", name)).alias(name),
             F.max("load_id").alias("load_id"))
 
-    countries = _union_distinct(s, [["origin_country"], ["destination_country"]],
+    def country() -> DataFrame:
+        codes = _union_distinct(s, [["origin_country"], ["destination_country"]],
                                 ["country_code"], non_null="country_code")
-    seed = country_seed(spark)
-    country = (seed.join(countries, "country_code", "full")
-               .select("country_code", "country_name",
-                       F.coalesce("load_id", F.lit(0).cast("bigint")).alias("load_id")))
-    times = _union_distinct(s, [["departure_time"], ["arrival_time"]], ["time_value"],
+        return (country_seed(spark).join(codes, "country_code", "full")
+                .select("country_code", "country_name",
+                        F.coalesce("load_id", F.lit(0).cast("bigint")).alias("load_id")))
+
+    def times() -> DataFrame:
+        t = _union_distinct(s, [["departure_time"], ["arrival_time"]], ["time_value"],
                             non_null="time_value")
-    times = times.select("time_value", time_parts(F.col("time_value")).alias("p"), "load_id") \
-        .select("time_value", "p.hour", "p.minute", "p.second", "load_id")
-    location = _union_distinct(
-        s, [["origin_stop_name", "origin_country"],
-            ["destination_stop_name", "destination_country"]],
-        ["stop_name", "country_code"])
-    dims = {
-        "dim_dataset": simple("dataset_id"),
-        "dim_trip": simple("trip_id"),
-        "dim_route": named("route_id", "route_name"),
-        "dim_agency": named("agency_id", "agency_name"),
-        "dim_service_type": simple("service_type"),
-        "dim_train_type": simple("train_type"),
-        "dim_traction": simple("traction"),
+        return (t.select("time_value", time_parts(F.col("time_value")).alias("p"), "load_id")
+                .select("time_value", "p.hour", "p.minute", "p.second", "load_id"))
+
+    def location() -> DataFrame:
+        return _union_distinct(
+            s, [["origin_stop_name", "origin_country"],
+                ["destination_stop_name", "destination_country"]],
+            ["stop_name", "country_code"])
+
+    builders = {
+        "dim_dataset": lambda: simple("dataset_id"),
+        "dim_trip": lambda: simple("trip_id"),
+        "dim_route": lambda: named("route_id", "route_name"),
+        "dim_agency": lambda: named("agency_id", "agency_name"),
+        "dim_service_type": lambda: simple("service_type"),
+        "dim_train_type": lambda: simple("train_type"),
+        "dim_traction": lambda: simple("traction"),
         "dim_country": country,
         "dim_location": location,
         "dim_time": times,
     }
-    return {k: with_key(k, v) for k, v in dims.items()}
+    return LazyTables({k: (lambda k=k, b=b: with_key(k, b())) for k, b in builders.items()})
 
 
 DIM_KEYS = {
@@ -215,7 +242,7 @@ def insert_ignore(existing: DataFrame | None, incoming: DataFrame, keys: list[st
 
 @dataclass(frozen=True)
 class Warehouse:
-    dims: dict[str, DataFrame]
+    dims: Mapping[str, DataFrame]
     fact: DataFrame
     staging: DataFrame
 
@@ -226,12 +253,16 @@ def load_warehouse(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
     """Entry 2 of the pipeline: summary → staging → dimensions → fact, upserted
     into ``existing`` (dimensions on their natural key, facts on (trip, dataset))."""
     spark = summary.sparkSession
-    staging = stage_rows(summary, load_id, str(loaded_at))
+    # Staging is the one input of all ten dimensions and of the fact: persisted
+    # (the role of the staging table in the source database), so each of them
+    # is a cheap aggregate over it instead of a re-run of the transform.
+    staging = stage_rows(summary, load_id, str(loaded_at)).persist(StorageLevel.MEMORY_AND_DISK)
     dims = build_dimensions(staging, spark)
     fact = build_fact(staging)
     if existing is not None:
-        dims = {k: upsert(existing.dims[k], v, [DIM_KEYS[k][0]], ["load_id"])
-                for k, v in dims.items()}
+        new = dims
+        dims = LazyTables({k: (lambda k=k: upsert(existing.dims[k], new[k], [DIM_KEYS[k][0]],
+                                                  ["load_id"])) for k in DIM_KEYS})
         fact = upsert(existing.fact, fact, ["trip_sk", "dataset_sk"],
                       ["last_load_id", "last_loaded_at"])
     return Warehouse(dims, fact, staging)
@@ -242,5 +273,5 @@ def materialize(wh: Warehouse, eager: bool = True) -> Warehouse:
     ``spark.checkpoint.dir``), so later reports re-read stored tables instead of
     recomputing the whole pipeline, and lost executors cost no recomputation."""
     return replace(wh, fact=wh.fact.checkpoint(eager),
-                   dims={k: v.checkpoint(eager) for k, v in wh.dims.items()},
+                   dims={k: wh.dims[k].checkpoint(eager) for k in wh.dims},
                    staging=wh.staging.checkpoint(eager))

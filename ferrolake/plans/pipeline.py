@@ -11,9 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.trips import trips_summary
+from ..operators.trips import trip_rows, trips_summary
 from ..operators.warehouse import (DEFAULT_LOAD_ID, DEFAULT_LOADED_AT, Warehouse,
                                    load_warehouse)
 from ..sources.driver_views import Feed, feed_from_driver
@@ -21,7 +22,12 @@ from ..sources.driver_views import Feed, feed_from_driver
 
 @dataclass
 class Pipeline:
-    """Lazy handles on every stage for one input folder."""
+    """Lazy handles on every stage for one input folder.
+
+    Only *plans* are kept here; data is read from the parquet tables when a
+    query runs. The two fan-out points (joined trip rows, staging) are
+    persisted, and re-registered on every access so that a cleared cache is
+    rebuilt instead of silently bypassed."""
 
     spark: SparkSession
     sf_dir: str
@@ -33,13 +39,41 @@ class Pipeline:
         return feed_from_driver(self.spark, self.sf_dir)
 
     @cached_property
-    def summary(self) -> DataFrame:
-        return trips_summary(self.feed)
+    def _rows(self) -> DataFrame:
+        return trip_rows(self.feed)
 
     @cached_property
-    def warehouse(self) -> Warehouse:
+    def _summary(self) -> DataFrame:
+        return trips_summary(self.feed, rows=self._rows)
+
+    @cached_property
+    def _warehouse(self) -> Warehouse:
         return load_warehouse(self.summary, self.load_id, self.loaded_at)
 
+    @property
+    def summary(self) -> DataFrame:
+        self._rows.persist(StorageLevel.MEMORY_AND_DISK)
+        return self._summary
+
+    @property
+    def warehouse(self) -> Warehouse:
+        _ = self.summary
+        wh = self._warehouse
+        wh.staging.persist(StorageLevel.MEMORY_AND_DISK)
+        return wh
+
+
+_PIPELINES: dict[tuple[int, str], Pipeline] = {}
+
+
+def pipeline_for(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """The (memoized) lazy pipeline of one session and input folder: building
+    the ~60-operator plan costs seconds of analysis, so queries share it."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _PIPELINES:
+        _PIPELINES[key] = Pipeline(spark, sf_dir)
+    return _PIPELINES[key]
+
 
 def write_summary(summary: DataFrame, path: str) -> None:
     """The summary table, one partition folder per feed; re-running a feed
@@ -51,8 +85,8 @@ def write_summary(summary: DataFrame, path: str) -> None:
 
 def write_warehouse(wh: Warehouse, root: str) -> None:
     """Store the star schema as Parquet (fact partitioned by load)."""
-    for name, df in wh.dims.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    for name in wh.dims:
+        wh.dims[name].write.mode("overwrite").parquet(f"{root}/{name}")
     wh.fact.write.mode("overwrite").partitionBy("last_load_id").parquet(f"{root}/fact_trip_summary")
 
 

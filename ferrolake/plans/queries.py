@@ -18,14 +18,14 @@ from ..functions import (clean_country, country_of_name, country_of_point, day_n
 from ..operators import reports as R
 from ..operators import warehouse as W
 from ..operators.quality import sanitize_report, validate_rows
-from ..operators.stop_times import (TRIP_KEY, drop_shape_regressions, prepare_stop_times,
-                                    stop_coordinates, trip_facts, join_keys)
+from ..operators.stop_times import (TRIP_KEY, drop_shape_regressions, feed_shape_flags,
+                                    prepare_stop_times, stop_coordinates, trip_facts)
 from ..operators.trips import (SUMMARY_COLUMNS, classify, enrich_trips, first_per_trip,
                                trip_rows)
 from ..sources.countries import country_seed
 from ..sources.driver_views import read_table
 from . import oracle as O
-from .pipeline import Pipeline
+from .pipeline import Pipeline, pipeline_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,7 +46,7 @@ def register(name: str, sql: str | None):
 
 
 def _p(spark: SparkSession, sf_dir: str) -> Pipeline:
-    return Pipeline(spark, sf_dir)
+    return pipeline_for(spark, sf_dir)
 
 
 # --- scalar functions over whole tables ---------------------------------------
@@ -85,16 +85,16 @@ def q_haversine(spark, sf_dir):
     (SELECT DISTINCT stop_name FROM v_stops) t"""))
 def q_country_by_name(spark, sf_dir):
     s = _p(spark, sf_dir).feed.stops.select("stop_name").distinct()
-    return s.select("stop_name", country_of_name(F.col("stop_name")).alias("country"))
+    return s.select("stop_name", country_of_name("stop_name").alias("country"))
 
 
 @register("stop_country", O.with_pipeline(
     "SELECT stop_id, box_country AS country FROM labels"))
 def q_stop_country(spark, sf_dir):
-    s = _p(spark, sf_dir).feed.stops
-    return s.select("stop_id", country_of_point(F.col("stop_lat").try_cast("double"),
-                                                F.col("stop_lon").try_cast("double"))
-                    .alias("country"))
+    s = _p(spark, sf_dir).feed.stops.select(
+        "stop_id", F.col("stop_lat").try_cast("double").alias("lat"),
+        F.col("stop_lon").try_cast("double").alias("lon"))
+    return s.select("stop_id", country_of_point("lat", "lon").alias("country"))
 
 
 @register("route_title", O.with_pipeline(
@@ -197,7 +197,7 @@ def q_trip_duration(spark, sf_dir):
     WHERE f"""))
 def q_trip_distance_shape(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    flag = f.groupBy("dataset_id").agg(F.max("has_shape").alias("f"))
+    flag = feed_shape_flags(_p(spark, sf_dir).feed.stop_times).withColumnRenamed("feed_has_shape", "f")
     return f.join(flag, "dataset_id").where("f").select(*TRIP_KEY, "shape_km")
 
 
@@ -206,7 +206,7 @@ def q_trip_distance_shape(spark, sf_dir):
     WHERE NOT f"""))
 def q_trip_distance_geo(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    flag = f.groupBy("dataset_id").agg(F.max("has_shape").alias("f"))
+    flag = feed_shape_flags(_p(spark, sf_dir).feed.stop_times).withColumnRenamed("feed_has_shape", "f")
     return f.join(flag, "dataset_id").where("NOT f").select(*TRIP_KEY, "geo_km")
 
 
@@ -383,8 +383,9 @@ DIM_KEY_SQL = " UNION ALL ".join(
 @register("dim_keys", O.with_warehouse(DIM_KEY_SQL))
 def q_dim_keys(spark, sf_dir):
     dims = _p(spark, sf_dir).warehouse.dims
-    parts = [d.agg(F.count(F.lit(1)).alias("keys")).select(F.lit(n).alias("dimension"), "keys")
-             for n, d in dims.items()]
+    parts = [dims[n].agg(F.count(F.lit(1)).alias("keys")).select(F.lit(n).alias("dimension"),
+                                                                  "keys")
+             for n in dims]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
