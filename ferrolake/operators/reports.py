@@ -59,15 +59,9 @@ def by_country(wh: Warehouse, limit: int = 20) -> DataFrame:
     return out.orderBy(F.desc("trip_count"), "country", "country_name").limit(limit)
 
 
-def _by_dim(wh: Warehouse, dim: str, key: str, name: str) -> DataFrame:
-    d = wh.dims[dim].select(key, name)
-    return wh.fact.join(d, key, "left")
-
-
 def by_train_type(wh: Warehouse) -> DataFrame:
-    """A8 + T5."""
-    j = _by_dim(wh, "dim_train_type", "train_type_sk", "train_type")
-    g = j.groupBy("train_type").agg(
+    """A8 + T5 (the class is a natural value of the fact: no join needed)."""
+    g = wh.fact.groupBy("train_type").agg(
         _trips(), _r2(F.sum("distance_km")).alias("total_distance"),
         _r2(F.avg("distance_km")).alias("avg_distance"),
         _r2(F.avg("duration_h")).alias("avg_duration"),
@@ -79,8 +73,7 @@ def by_train_type(wh: Warehouse) -> DataFrame:
 
 def by_traction(wh: Warehouse) -> DataFrame:
     """A9 + T5."""
-    j = _by_dim(wh, "dim_traction", "traction_sk", "traction")
-    g = j.groupBy("traction").agg(
+    g = wh.fact.groupBy("traction").agg(
         _trips(), _r2(F.avg("emission_gco2e_pkm")).alias("avg_emission_per_km"),
         _r2(F.sum("total_emission_kgco2e")).alias("total_emissions"))
     return (g.select(F.coalesce("traction", F.lit("Unknown")).alias("traction"), *g.columns[1:])
@@ -116,8 +109,7 @@ def service_label(service_type: Column) -> Column:
 
 def by_service_type(wh: Warehouse) -> DataFrame:
     """A12 + T5: trips per day/night label."""
-    j = _by_dim(wh, "dim_service_type", "service_sk", "service_type")
-    return (j.groupBy(service_label(F.col("service_type")).alias("service_type"))
+    return (wh.fact.groupBy(service_label(F.col("service_type")).alias("service_type"))
             .agg(_trips()).orderBy(F.desc("trip_count"), "service_type"))
 
 
@@ -137,32 +129,19 @@ def load_counts(wh: Warehouse) -> DataFrame:
 
 
 def fact_details(wh: Warehouse, inner_locations: bool = False) -> DataFrame:
-    """The fact with its dimension attributes (J12 joins): trip, route, agency
-    inner; locations, countries, times, class, traction, service left."""
+    """The fact with its dimension attributes (J12): route and agency names
+    from their dimensions (inner joins, last-wins names); every other shown
+    value is the natural key the fact carries. ``inner_locations`` keeps only
+    facts whose locations and clock times exist (the inner joins of J16)."""
     d, f = wh.dims, wh.fact
-    how = "inner" if inner_locations else "left"
-
-    def dim(name: str, key: str, cols: dict[str, str], fk: str) -> DataFrame:
-        return d[name].select(F.col(key).alias(fk), *[F.col(c).alias(a) for c, a in cols.items()])
-
-    j = (f.join(dim("dim_route", "route_sk", {"route_name": "route_name"}, "route_sk"), "route_sk")
-         .join(dim("dim_agency", "agency_sk", {"agency_name": "agency_name"}, "agency_sk"),
-               "agency_sk"))
-    for name, key, cols, fk, h in [
-        ("dim_location", "location_sk", {"stop_name": "origin"}, "origin_location_sk", how),
-        ("dim_location", "location_sk", {"stop_name": "destination"},
-         "destination_location_sk", how),
-        ("dim_country", "country_sk", {"country_code": "origin_country"},
-         "origin_country_sk", "left"),
-        ("dim_country", "country_sk", {"country_code": "destination_country"},
-         "destination_country_sk", "left"),
-        ("dim_time", "time_sk", {"time_value": "departure_time"}, "departure_time_sk", how),
-        ("dim_time", "time_sk", {"time_value": "arrival_time"}, "arrival_time_sk", how),
-        ("dim_train_type", "train_type_sk", {"train_type": "train_type"}, "train_type_sk", "left"),
-        ("dim_traction", "traction_sk", {"traction": "traction"}, "traction_sk", "left"),
-        ("dim_service_type", "service_sk", {"service_type": "service_type"}, "service_sk", how),
-    ]:
-        j = j.join(dim(name, key, cols, fk), fk, h)
+    j = (f.join(d["dim_route"].select("route_sk", "route_name"), "route_sk")
+         .join(d["dim_agency"].select("agency_sk", "agency_name"), "agency_sk"))
+    j = j.select("*", F.col("origin_stop_name").alias("origin"),
+                 F.col("destination_stop_name").alias("destination"))
+    if inner_locations:
+        j = j.where(F.col("origin").isNotNull() & F.col("destination").isNotNull()
+                    & F.col("departure_time").isNotNull() & F.col("arrival_time").isNotNull()
+                    & F.col("service_type").isNotNull())
     return j
 
 
