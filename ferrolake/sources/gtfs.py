@@ -113,9 +113,9 @@ def read_feeds(spark: SparkSession, root: str) -> Feed:
     ``dataset_id`` becomes the id from the feed's metadata when present."""
     latest = latest_versions(spark, root)
     meta = read_metadata(spark, root)
-    ids = (latest.join(meta.withColumnRenamed("dataset_folder", "dataset_id")
-                       .withColumnRenamed("dataset_id", "meta_id"),
-                       ["dataset_id", "version"], "left")
+    meta = meta.select(F.col("dataset_folder").alias("dataset_id"), "version",
+                       F.col("dataset_id").alias("meta_id"))
+    ids = (latest.join(meta, ["dataset_id", "version"], "left")
            .select("dataset_id", "version",
                    F.coalesce("meta_id", "dataset_id").alias("feed_id")))
 
