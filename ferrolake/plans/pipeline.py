@@ -8,6 +8,7 @@ runs the whole chain as one plan (or as stored tables, see ``write_*``).
 
 from __future__ import annotations
 
+import weakref
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -52,27 +53,38 @@ class Pipeline:
 
     @property
     def summary(self) -> DataFrame:
-        self._rows.persist(StorageLevel.MEMORY_AND_DISK)
+        _keep_cached(self._rows)
         return self._summary
 
     @property
     def warehouse(self) -> Warehouse:
         _ = self.summary
         wh = self._warehouse
-        wh.staging.persist(StorageLevel.MEMORY_AND_DISK)
+        _keep_cached(wh.staging)
         return wh
 
 
-_PIPELINES: dict[tuple[int, str], Pipeline] = {}
+def _keep_cached(df: DataFrame) -> None:
+    if df.storageLevel == StorageLevel(False, False, False, False, 1):  # not cached any more
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+_PIPELINES: "weakref.WeakKeyDictionary[SparkSession, dict[str, Pipeline]]" = \
+    weakref.WeakKeyDictionary()
 
 
 def pipeline_for(spark: SparkSession, sf_dir: str) -> Pipeline:
     """The (memoized) lazy pipeline of one session and input folder: building
-    the ~60-operator plan costs seconds of analysis, so queries share it."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _PIPELINES:
-        _PIPELINES[key] = Pipeline(spark, sf_dir)
-    return _PIPELINES[key]
+    the ~60-operator plan costs seconds of analysis, so queries share it.
+    Plans only — data is re-read whenever a query runs. A stopped session's
+    plans are never reused (the entry dies with the session object, and the
+    SparkContext is checked)."""
+    per = _PIPELINES.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    p = per.get(key)
+    if p is None or p.spark.sparkContext is not spark.sparkContext:
+        p = per[key] = Pipeline(spark, sf_dir)
+    return p
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
