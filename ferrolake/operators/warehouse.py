@@ -40,7 +40,7 @@ def stage_rows(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
     valid, _ = validate_rows(summary)
     return valid.select(
         F.lit(load_id).cast("bigint").alias("load_id"),
-        F.lit(loaded_at).cast("timestamp").alias("loaded_at"),
+        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),  # DATETIME: no time zone
         F.col("source_dataset").cast("string").alias("dataset_id"),
         F.col("trip_id").cast("string").alias("trip_id"),
         route_id_of(F.col("route_name")).alias("route_id"),

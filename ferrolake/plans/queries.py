@@ -332,8 +332,9 @@ def q_stage_rows(spark, sf_dir):
 
 
 @register("country_offenders", O.with_pipeline(
-    """SELECT dataset_id, trip_id, origin_country, length(origin_country) AS origin_len,
-    destination_country, length(destination_country) AS dest_len FROM summary
+    """SELECT dataset_id, trip_id, origin_country, CAST(length(origin_country) AS INTEGER)
+    AS origin_len, destination_country, CAST(length(destination_country) AS INTEGER) AS dest_len
+    FROM summary
     WHERE length(origin_country) > 30 OR length(destination_country) > 30"""))
 def q_country_offenders(spark, sf_dir):
     from ..operators.quality import country_offenders
