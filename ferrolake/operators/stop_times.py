@@ -133,6 +133,14 @@ def feed_shape_flags(stop_times: DataFrame) -> DataFrame:
     return st.groupBy("dataset_id").agg(F.max(F.col("shape").isNotNull()).alias("feed_has_shape"))
 
 
+def shape_flags(facts: DataFrame) -> DataFrame:
+    """Per feed: does any trip carry a shape distance? From the per-trip facts
+    (every trip of a feed is there, and the regression filter never removes
+    a trip's first shape value), so no second scan of stop_times; a partial
+    aggregate to one row per feed."""
+    return facts.groupBy("dataset_id").agg(F.max("has_shape").alias("feed_has_shape"))
+
+
 def trip_distances(facts: DataFrame, flags: DataFrame) -> DataFrame:
     """Pick the distance source per feed: shape distances for *every* trip of a
     feed in which any stop_time has one, stop coordinates otherwise. ``flags``

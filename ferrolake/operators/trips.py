@@ -21,7 +21,7 @@ from ..functions import (active_days, country_of_name, country_of_point, day_nig
                          traction, train_class, weekly_frequency)
 from ..functions.classify import DAYS
 from ..sources.driver_views import Feed
-from .stop_times import TRIP_KEY, feed_shape_flags, join_keys, trip_distances, trip_facts
+from .stop_times import TRIP_KEY, join_keys, shape_flags, trip_distances, trip_facts
 
 SUMMARY_COLUMNS = [
     "trip_id", "agency_name", "route_name", "train_type", "service_type",
@@ -89,12 +89,17 @@ def _endpoint(df: DataFrame, labels: DataFrame, side: str) -> DataFrame:
                           F.coalesce(F.col(f"_{side}_name"), F.lit("ERROR"))).drop(f"_{side}_name")
 
 
-def trip_rows(feed: Feed) -> DataFrame:
+def trip_rows(feed: Feed, facts: DataFrame | None = None) -> DataFrame:
     """Enriched trips ⋈ per-trip facts (trips without stop_times vanish),
-    before frequency and de-duplication; one row per trip × calendar match."""
-    facts = trip_distances(trip_facts(feed.stop_times, feed.stops),
-                           feed_shape_flags(feed.stop_times))
-    return enrich_trips(feed).join(facts, TRIP_KEY, "inner")
+    before frequency and de-duplication; one row per trip × calendar match.
+
+    The per-trip facts feed both the join and the feed-level shape flag, so
+    they are persisted (MEMORY_AND_DISK): stop_times is scanned and shuffled
+    once."""
+    if facts is None:
+        facts = trip_facts(feed.stop_times, feed.stops)
+    facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
+    return enrich_trips(feed).join(trip_distances(facts, shape_flags(facts)), TRIP_KEY, "inner")
 
 
 def pattern_departures(rows: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.stop_times import trip_facts
 from ..operators.trips import trip_rows, trips_summary
 from ..operators.warehouse import (DEFAULT_LOAD_ID, DEFAULT_LOADED_AT, Warehouse,
                                    load_warehouse)
@@ -26,7 +27,7 @@ class Pipeline:
     """Lazy handles on every stage for one input folder.
 
     Only *plans* are kept here; data is read from the parquet tables when a
-    query runs. The two fan-out points (joined trip rows, staging) are
+    query runs. The fan-out points (per-trip facts, joined trip rows, staging) are
     persisted, and re-registered on every access so that a cleared cache is
     rebuilt instead of silently bypassed."""
 
@@ -39,9 +40,13 @@ class Pipeline:
     def feed(self) -> Feed:
         return feed_from_driver(self.spark, self.sf_dir)
 
+    @cached_property
+    def _facts(self) -> DataFrame:
+        return trip_facts(self.feed.stop_times, self.feed.stops)
+
     @cached_property
     def _rows(self) -> DataFrame:
-        return trip_rows(self.feed)
+        return trip_rows(self.feed, self._facts)
 
     @cached_property
     def _summary(self) -> DataFrame:
@@ -53,6 +58,7 @@ class Pipeline:
 
     @property
     def summary(self) -> DataFrame:
+        _keep_cached(self._facts)
         _keep_cached(self._rows)
         return self._summary
 

@@ -18,8 +18,8 @@ from ..functions import (clean_country, country_of_name, country_of_point, day_n
 from ..operators import reports as R
 from ..operators import warehouse as W
 from ..operators.quality import sanitize_report, validate_rows
-from ..operators.stop_times import (TRIP_KEY, drop_shape_regressions, feed_shape_flags,
-                                    prepare_stop_times, stop_coordinates, trip_facts)
+from ..operators.stop_times import (TRIP_KEY, drop_shape_regressions, prepare_stop_times,
+                                    shape_flags, stop_coordinates, trip_facts)
 from ..operators.trips import (SUMMARY_COLUMNS, classify, enrich_trips, first_per_trip,
                                trip_rows)
 from ..sources.countries import country_seed
@@ -128,12 +128,12 @@ def q_clean_country(spark, sf_dir):
     (SELECT stop_sequence AS raw_text FROM v_stop_times UNION
      SELECT departure_time FROM v_stop_times UNION
      SELECT CAST(shape_dist_traveled AS VARCHAR) FROM v_stop_times
-       WHERE shape_dist_traveled IS NOT NULL AND shape_dist_traveled < 100) t"""))
+       WHERE shape_dist_traveled IS NOT NULL) t"""))
 def q_valid_numeric(spark, sf_dir):
     st = _p(spark, sf_dir).feed.stop_times
     t = (st.select(F.col("stop_sequence").alias("raw_text"))
          .union(st.select("departure_time"))
-         .union(st.where("shape_dist_traveled IS NOT NULL AND shape_dist_traveled < 100")
+         .union(st.where("shape_dist_traveled IS NOT NULL")
                 .select(F.col("shape_dist_traveled").cast("string")))
          .distinct())
     return t.select("raw_text", is_valid_numeric(F.col("raw_text")).alias("is_numeric"))
@@ -174,8 +174,7 @@ def q_shape_monotonic(spark, sf_dir):
 
 
 def _facts(spark, sf_dir):
-    feed = _p(spark, sf_dir).feed
-    return trip_facts(feed.stop_times, feed.stops)
+    return _p(spark, sf_dir)._facts
 
 
 @register("trip_endpoints", O.with_pipeline(
@@ -197,7 +196,7 @@ def q_trip_duration(spark, sf_dir):
     WHERE f"""))
 def q_trip_distance_shape(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    flag = feed_shape_flags(_p(spark, sf_dir).feed.stop_times).withColumnRenamed("feed_has_shape", "f")
+    flag = shape_flags(f).withColumnRenamed("feed_has_shape", "f")
     return f.join(flag, "dataset_id").where("f").select(*TRIP_KEY, "shape_km")
 
 
@@ -206,7 +205,7 @@ def q_trip_distance_shape(spark, sf_dir):
     WHERE NOT f"""))
 def q_trip_distance_geo(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    flag = feed_shape_flags(_p(spark, sf_dir).feed.stop_times).withColumnRenamed("feed_has_shape", "f")
+    flag = shape_flags(f).withColumnRenamed("feed_has_shape", "f")
     return f.join(flag, "dataset_id").where("NOT f").select(*TRIP_KEY, "geo_km")
 
 

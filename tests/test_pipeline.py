@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ferrolake.operators.stop_times import trip_distances, trip_facts, feed_shape_flags
+from ferrolake.operators.stop_times import shape_flags, trip_distances, trip_facts
 from ferrolake.operators.trips import trips_summary
 from ferrolake.operators.warehouse import load_warehouse
 from ferrolake.plans.pipeline import Pipeline
@@ -17,8 +17,8 @@ STOPS = "stop_id string, stop_name string, stop_lat string, stop_lon string"
 def facts(spark, rows, stops=()):
     st = spark.createDataFrame(rows, ST)
     s = spark.createDataFrame(list(stops), STOPS)
-    return {r["trip_id"]: r.asDict()
-            for r in trip_distances(trip_facts(st, s), feed_shape_flags(st)).collect()}
+    f = trip_facts(st, s)
+    return {r["trip_id"]: r.asDict() for r in trip_distances(f, shape_flags(f)).collect()}
 
 
 def test_duration_direct(spark):
