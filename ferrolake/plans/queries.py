@@ -639,3 +639,23 @@ def q_top_countries(spark, sf_dir):
     WHERE country IS NOT NULL ORDER BY stop_count DESC, country LIMIT 10"""))
 def q_stops_per_country(spark, sf_dir):
     return R.stops_per_country(_p(spark, sf_dir).feed.stops)
+
+
+# --- ingestion helpers over a given table --------------------------------------
+
+URL_PATH_SQL = "regexp_replace(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ''), '/+$', '')"
+URL_LAST_SQL = f"CASE WHEN regexp_extract({URL_PATH_SQL}, '([^/]*)$', 1) = '' THEN 'dataset.zip' ELSE regexp_extract({URL_PATH_SQL}, '([^/]*)$', 1) END"
+URL_FILE_SQL = f"CASE WHEN ends_with(lower({URL_LAST_SQL}), '.zip') THEN {URL_LAST_SQL} ELSE {URL_LAST_SQL} || '.zip' END"
+
+
+@register("url_dataset_name", f"""SELECT url, filename,
+    CASE WHEN regexp_matches(filename, '^.+[.][^.]*$') AND NOT regexp_matches(filename, '^[.][^.]*$')
+         THEN regexp_replace(filename, '[.][^.]*$', '') ELSE filename END AS dataset_name
+    FROM (SELECT url, {URL_FILE_SQL} AS filename FROM pages) t""")
+def q_url_dataset_name(spark, sf_dir):
+    """S14 over every page URL of the driver data: the archive file name and
+    dataset name a direct download of that URL would get."""
+    from ..sources.catalog import url_dataset_name
+    pages = read_table(spark, sf_dir, "pages").select("url")
+    filename, stem = url_dataset_name(F.col("url"))
+    return pages.select("url", filename.alias("filename"), stem.alias("dataset_name"))

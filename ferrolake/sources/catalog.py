@@ -57,10 +57,11 @@ def catalog_dedup(resolved: DataFrame) -> DataFrame:
 
 def url_dataset_name(url) -> tuple:
     """(file name, dataset name) of a direct archive URL: last path part
-    ('dataset.zip' if empty), '.zip' appended when missing, stem = name
-    without its last extension."""
-    path = F.coalesce(F.parse_url(url, F.lit("PATH")), F.lit(""))
-    last = F.regexp_extract(path, r"([^/]*)$", 1)
+    (trailing slashes ignored; 'dataset.zip' if empty), '.zip' appended when
+    missing, stem = name without its last extension. Unparsable URLs count as
+    an empty path (``try_parse_url``: no failure in ANSI mode)."""
+    path = F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
+    last = F.regexp_extract(F.regexp_replace(path, "/+$", ""), r"([^/]*)$", 1)
     name = F.when(last == "", F.lit("dataset.zip")).otherwise(last)
     filename = F.when(F.lower(name).endswith(".zip"), name).otherwise(F.concat(name, F.lit(".zip")))
     stem = F.regexp_replace(filename, r"(?<=.)\.[^.]*$", "")

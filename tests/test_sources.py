@@ -90,11 +90,12 @@ def test_catalog_dedup_last_wins(spark):
 
 def test_url_dataset_name(spark):
     df = spark.createDataFrame([("https://x.org/data/feed.zip?x=1",), ("https://x.org/data/feed",),
-                                ("https://x.org/",), ("https://x.org/a/b.tar.ZIP",)], "u string")
+                                ("https://x.org/",), ("https://x.org/a/b.tar.ZIP",),
+                                ("https://x.org/a/feeds/",), ("not a url",)], "u string")
     fn, stem = url_dataset_name(F.col("u"))
     got = [tuple(r) for r in df.select(fn, stem).collect()]
     assert got == [("feed.zip", "feed"), ("feed.zip", "feed"), ("dataset.zip", "dataset"),
-                   ("b.tar.ZIP", "b.tar")]
+                   ("b.tar.ZIP", "b.tar"), ("feeds.zip", "feeds"), ("dataset.zip", "dataset")]
 
 
 def _zip(files):
