@@ -28,7 +28,9 @@ def to_int(c: Column) -> Column:
     already rejects them (some engines accept ``'12.0'``; the oracle SQL adds
     an explicit pattern check for those).
     """
-    return strip(c).try_cast("bigint")
+    # Bounded to INT so that h * 3600 can never overflow (ANSI arithmetic
+    # would fail the job); anything wider is not a clock hour anyway.
+    return strip(c).try_cast("int").cast("bigint")
 
 
 def _parts(c: Column) -> Column:

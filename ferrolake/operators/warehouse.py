@@ -51,12 +51,12 @@ def stage_rows(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
         "destination_stop_name",
         clean_country(F.col("destination_country")).alias("destination_country"),
         "departure_time", "arrival_time",
-        F.col("distance_km").cast(DECIMAL).alias("distance_km"),
-        F.col("duration_h").cast(DECIMAL).alias("duration_h"),
+        F.col("distance_km").try_cast(DECIMAL).alias("distance_km"),
+        F.col("duration_h").try_cast(DECIMAL).alias("duration_h"),
         "train_type", "traction",
         F.lit("").alias("transport_type"),
-        F.col("emission_gco2e_pkm").cast(DECIMAL).alias("emission_gco2e_pkm"),
-        F.col("total_emission_kgco2e").cast(DECIMAL).alias("total_emission_kgco2e"),
+        F.col("emission_gco2e_pkm").try_cast(DECIMAL).alias("emission_gco2e_pkm"),
+        F.col("total_emission_kgco2e").try_cast(DECIMAL).alias("total_emission_kgco2e"),
         F.col("frequency_per_week").cast("int").alias("frequency_per_week"),
     )
 

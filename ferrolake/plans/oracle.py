@@ -36,7 +36,7 @@ def strip(x: str) -> str:
 
 def to_int(x: str) -> str:
     t = strip(x)
-    return f"(CASE WHEN regexp_matches({t}, '^[+-]?[0-9]+$') THEN TRY_CAST({t} AS BIGINT) END)"
+    return f"(CASE WHEN regexp_matches({t}, '^[+-]?[0-9]+$') THEN CAST(TRY_CAST({t} AS INTEGER) AS BIGINT) END)"
 
 
 def tsec(x: str) -> str:
@@ -339,11 +339,11 @@ def warehouse_ctes() -> str:
             origin_stop_name, {clean_country('origin_country')} AS origin_country,
             destination_stop_name, {clean_country('destination_country')} AS destination_country,
             departure_time, arrival_time,
-            CAST(distance_km AS DECIMAL(10,3)) AS distance_km,
-            CAST(duration_h AS DECIMAL(10,3)) AS duration_h, train_type, traction,
+            TRY_CAST(distance_km AS DECIMAL(10,3)) AS distance_km,
+            TRY_CAST(duration_h AS DECIMAL(10,3)) AS duration_h, train_type, traction,
             '' AS transport_type,
-            CAST(emission_gco2e_pkm AS DECIMAL(10,3)) AS emission_gco2e_pkm,
-            CAST(total_emission_kgco2e AS DECIMAL(10,3)) AS total_emission_kgco2e,
+            TRY_CAST(emission_gco2e_pkm AS DECIMAL(10,3)) AS emission_gco2e_pkm,
+            TRY_CAST(total_emission_kgco2e AS DECIMAL(10,3)) AS total_emission_kgco2e,
             CAST(frequency_per_week AS INTEGER) AS frequency_per_week
             FROM tagged WHERE reject_reason IS NULL)""",
         f"""seed(country_code, country_name) AS (VALUES {seed})""",
