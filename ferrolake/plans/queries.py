@@ -264,13 +264,13 @@ def q_emissions(spark, sf_dir):
     "SELECT service_days, count(*) AS trips FROM classified GROUP BY service_days"))
 def q_service_days(spark, sf_dir):
     p = _p(spark, sf_dir)
-    rows = classify(first_per_trip(trip_rows(p.feed))
+    rows = classify(first_per_trip(p._rows)
                     .withColumn("departures", F.lit(None).cast("bigint")), p.feed.stops)
     return rows.groupBy("service_days").agg(F.count(F.lit(1)).alias("trips"))
 
 
 def _classified_all(p: Pipeline) -> DataFrame:
-    return classify(trip_rows(p.feed).withColumn("departures", F.lit(None).cast("bigint")),
+    return classify(p._rows.withColumn("departures", F.lit(None).cast("bigint")),
                     p.feed.stops)
 
 
@@ -312,7 +312,7 @@ def q_sanitize_trips(spark, sf_dir):
     """SELECT dataset_id, trip_id, count(*) AS copies FROM jrows GROUP BY dataset_id, trip_id
     HAVING count(*) > 1"""))
 def q_dedup_trips(spark, sf_dir):
-    r = trip_rows(_p(spark, sf_dir).feed)
+    r = _p(spark, sf_dir)._rows
     return r.groupBy(*TRIP_KEY).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
