@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField, StructType)
 
 from ..operators.trips import SUMMARY_COLUMNS
-from ..operators.warehouse import DIM_KEYS, Warehouse, load_warehouse
+from ..operators.warehouse import load_warehouse
+from ..plans.store import latest_warehouse, now, read_version, versions, write_version  # noqa: F401
 from ..session import ensure_checkpoint_dir
 
 _DOUBLES = {"distance_km", "duration_h", "emission_gco2e_pkm", "total_emission_kgco2e"}
@@ -34,60 +35,19 @@ SUMMARY_SCHEMA = StructType(
        for c in SUMMARY_COLUMNS])
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS_ALL")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_version(spark: SparkSession, root: str, version: int) -> Warehouse:
-    base = f"{root.rstrip('/')}/v={version}"
-    dims = {name: spark.read.parquet(f"{base}/{name}") for name in DIM_KEYS}
-    staging = spark.read.parquet(f"{base}/staging")
-    return Warehouse(dims, spark.read.parquet(f"{base}/fact"), staging)
-
-
-def latest_warehouse(spark: SparkSession, root: str) -> Warehouse | None:
-    v = _versions(spark, root)
-    return read_version(spark, root, v[-1]) if v else None
-
-
-def _write_version(spark: SparkSession, wh: Warehouse, root: str, version: int) -> None:
-    base = f"{root.rstrip('/')}/v={version}"
-    for name in DIM_KEYS:
-        wh.dims[name].write.mode("overwrite").parquet(f"{base}/{name}")
-    wh.staging.write.mode("overwrite").parquet(f"{base}/staging")
-    wh.fact.write.mode("overwrite").parquet(f"{base}/fact")
-    # Completion marker, written last: readers only trust finished versions.
-    spark.createDataFrame([(version,)], "version int").coalesce(1) \
-        .write.mode("overwrite").parquet(f"{base}/_SUCCESS_ALL")
-
-
 def upsert_batch(root: str):
     """foreachBatch handler: load one micro-batch of summary rows on top of
     the newest finished warehouse version."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prior = [v for v in _versions(spark, root) if v < batch_id]
+        prior = [v for v in versions(spark, root) if v < batch_id]
         existing = read_version(spark, root, prior[-1]) if prior else None
-        wh = load_warehouse(batch, load_id=batch_id + 1, loaded_at=_now(spark),
+        wh = load_warehouse(batch, load_id=batch_id + 1, loaded_at=now(spark),
                             existing=existing)
-        _write_version(spark, wh, root, batch_id)
+        write_version(spark, wh, root, batch_id)
     return handle
 
 
-def _now(spark: SparkSession) -> str:
-    return spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")).first()[0]
-
-
 def run_incremental_load(spark: SparkSession, summary_dir: str, warehouse_root: str,
                          checkpoint_location: str | None = None):
     """Process every summary file landed since the last run, then stop."""
