@@ -26,15 +26,13 @@ def test_no_cartesian_or_nested_loop(spark, key):
 
 
 def test_trip_facts_one_exchange_on_trip_key(spark):
-    p = Pipeline(spark, SF)
-    plan = formatted(p._facts)
-    exchanges = [line for line in plan.splitlines() if line.strip().startswith("(") is False
-                 and "Exchange" in line and "hashpartitioning" in line]
-    trip_ex = [line for line in plan.splitlines()
-               if "hashpartitioning(dataset_id" in line and "trip_id" in line]
-    # stop_times is shuffled once, on the trip key; windows and the per-trip
-    # values reuse that partitioning.
-    assert len({line.split("Arguments:")[-1] for line in trip_ex}) == 1, exchanges
+    import re
+    plan = formatted(Pipeline(spark, SF)._facts)
+    # stop_times is shuffled on the trip key only (a cached copy of the same
+    # plan may be listed too: same partitioning, other plan id); the windows
+    # and per-trip values reuse it, and no aggregate with struct buffers runs.
+    keys = set(re.findall(r"hashpartitioning\(([^)]*)\)", plan))
+    assert len(keys) == 1 and "dataset_id" in next(iter(keys)) and "trip_id" in next(iter(keys))
     assert "SortAggregate" not in plan
 
 
