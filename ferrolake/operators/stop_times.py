@@ -123,16 +123,6 @@ def trip_facts(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     )
 
 
-def feed_shape_flags(stop_times: DataFrame) -> DataFrame:
-    """Per feed: does any stop_time carry a shape distance?
-
-    Read straight from the scan (the regression filter never removes the first
-    value of a trip, so it cannot change the answer): a column-pruned scan with
-    map-side partial aggregation, one tiny row per feed to shuffle."""
-    st = prepare_stop_times(stop_times)
-    return st.groupBy("dataset_id").agg(F.max(F.col("shape").isNotNull()).alias("feed_has_shape"))
-
-
 def shape_flags(facts: DataFrame) -> DataFrame:
     """Per feed: does any trip carry a shape distance? From the per-trip facts
     (every trip of a feed is there, and the regression filter never removes

@@ -19,9 +19,8 @@ from ..operators import reports as R
 from ..operators import warehouse as W
 from ..operators.quality import sanitize_report, validate_rows
 from ..operators.stop_times import (TRIP_KEY, drop_shape_regressions, prepare_stop_times,
-                                    shape_flags, stop_coordinates, trip_facts)
-from ..operators.trips import (SUMMARY_COLUMNS, classify, enrich_trips, first_per_trip,
-                               trip_rows)
+                                    shape_flags, stop_coordinates)
+from ..operators.trips import SUMMARY_COLUMNS, classify, enrich_trips, first_per_trip
 from ..sources.countries import country_seed
 from ..sources.driver_views import read_table
 from . import oracle as O
