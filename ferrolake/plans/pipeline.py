@@ -70,6 +70,21 @@ class Pipeline:
         return wh
 
 
+    def release(self) -> None:
+        """Drop this pipeline's persisted tables (facts, rows, staging)."""
+        for name in ("_facts", "_rows"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+        if "_warehouse" in self.__dict__:
+            self._warehouse.staging.unpersist()
+
+
+def release_pipelines(spark: SparkSession) -> None:
+    """Unpersist and forget every memoized pipeline of a session."""
+    for p in _PIPELINES.pop(spark, {}).values():
+        p.release()
+
+
 def _keep_cached(df: DataFrame) -> None:
     if df.storageLevel == StorageLevel(False, False, False, False, 1):  # not cached any more
         df.persist(StorageLevel.MEMORY_AND_DISK)

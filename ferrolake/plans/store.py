@@ -11,22 +11,21 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..operators.warehouse import DIM_KEYS, Warehouse
 
+MARKER = "committed"
+
 
 def versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    """Finished versions under ``root``: each holds a one-row marker table
+    that names its version, written after everything else."""
+    try:
+        m = spark.read.parquet(f"{root.rstrip('/')}/v=*/{MARKER}")
+    except AnalysisException:
         return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS_ALL")):
-            out.append(int(name[2:]))
-    return sorted(out)
+    return sorted(r["version"] for r in m.select("version").distinct().collect())
 
 
 def read_version(spark: SparkSession, root: str, version: int) -> Warehouse:
@@ -49,7 +48,7 @@ def write_version(spark: SparkSession, wh: Warehouse, root: str, version: int) -
     wh.fact.write.mode("overwrite").parquet(f"{base}/fact")
     # Completion marker, written last: readers only trust finished versions.
     spark.createDataFrame([(version,)], "version int").coalesce(1) \
-        .write.mode("overwrite").parquet(f"{base}/_SUCCESS_ALL")
+        .write.mode("overwrite").parquet(f"{base}/{MARKER}")
 
 
 
