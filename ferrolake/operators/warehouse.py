@@ -112,11 +112,19 @@ def build_dimensions(staging: DataFrame, spark: SparkSession) -> LazyTables:
             F.max("load_id").alias("load_id"))
 
     def country() -> DataFrame:
+        # Seed rows (with the newest load that used them, else 0) plus codes
+        # the seed lacks (no name). Two joins against the 25-row seed, which is
+        # broadcast; no full outer join (that would shuffle both sides).
         codes = _union_distinct(s, [["origin_country"], ["destination_country"]],
                                 ["country_code"], non_null="country_code")
-        return (country_seed(spark).join(codes, "country_code", "full")
-                .select("country_code", "country_name",
-                        F.coalesce("load_id", F.lit(0).cast("bigint")).alias("load_id")))
+        seed = country_seed(spark)
+        known = (seed.join(codes, "country_code", "left")
+                 .select("country_code", "country_name",
+                         F.coalesce("load_id", F.lit(0).cast("bigint")).alias("load_id")))
+        new = (codes.join(seed, "country_code", "left_anti")
+               .select("country_code", F.lit(None).cast("string").alias("country_name"),
+                       "load_id"))
+        return known.unionByName(new)
 
     def times() -> DataFrame:
         t = _union_distinct(s, [["departure_time"], ["arrival_time"]], ["time_value"],
