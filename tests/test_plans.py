@@ -40,3 +40,9 @@ def test_scan_prunes_columns(spark):
     plan = formatted(queries()["trip_duration"](spark, SF))
     line = [x for x in plan.splitlines() if x.strip().startswith("ReadSchema") and "l_orderkey" in x][0]
     assert "l_extendedprice" not in line and "l_shipdate" not in line
+
+
+def test_filter_pushed_to_parquet(spark):
+    plan = formatted(queries()["enrich_trips"](spark, SF))
+    pushed = [x for x in plan.splitlines() if x.strip().startswith("PushedFilters")]
+    assert any("LessThan(c_custkey,100)" in x for x in pushed), pushed
