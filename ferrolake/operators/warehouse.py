@@ -4,9 +4,10 @@ Surrogate keys are ``xxhash64`` of the natural key, computed row by row, so the
 fact is built from staging with *no* dimension lookup joins: every executor
 derives the same key locally, and a 100 TB load is a map-only projection plus
 one upsert. Dimensions are ``SELECT DISTINCT`` sets (partial aggregation
-before the shuffle). Natural keys ``trip_id``/``dataset_id`` stay on the fact
-as degenerate dimensions, so trip-level reports never join the trip
-dimension (which is as large as the fact).
+before the shuffle). The natural values behind the keys stay on the fact
+(``NATURAL_VALUES``, degenerate attributes), so reports never join the trip
+dimension (as large as the fact) and join only the dimensions that carry
+attributes of their own (route, agency and country names).
 """
 
 from __future__ import annotations
