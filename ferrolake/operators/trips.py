@@ -96,9 +96,8 @@ def trip_rows(feed: Feed, facts: DataFrame | None = None) -> DataFrame:
     The per-trip facts feed both the join and the feed-level shape flag, so
     they are persisted (MEMORY_AND_DISK): stop_times is scanned and shuffled
     once."""
-    if facts is None:
-        facts = trip_facts(feed.stop_times, feed.stops)
-    facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
+    if facts is None:  # otherwise the caller owns (and caches) the facts
+        facts = trip_facts(feed.stop_times, feed.stops).persist(StorageLevel.MEMORY_AND_DISK)
     return enrich_trips(feed).join(trip_distances(facts, shape_flags(facts)), TRIP_KEY, "inner")
 
 
@@ -163,9 +162,8 @@ def trips_summary(feed: Feed, with_extra: bool = False,
     lost executor's blocks are recomputed from lineage."""
     from .quality import sanitize  # local import: quality builds on this module
 
-    if rows is None:
-        rows = trip_rows(feed)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    if rows is None:  # otherwise the caller owns (and caches) the rows
+        rows = trip_rows(feed).persist(StorageLevel.MEMORY_AND_DISK)
     counts = pattern_departures(rows)
     firsts = first_per_trip(rows)
     joined = (firsts.join(counts, [firsts[k].eqNullSafe(counts[k]) for k in PATTERN_KEY], "left")
