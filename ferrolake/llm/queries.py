@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, jaccard
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode_documents(docs, VOCABULARY, public_tokenizers.PATTERN).drop("text")
     return bpe.digests(bpe.decode_documents(coded, VOCABULARY))
+
+
+@register("op7_ngram_jaccard")
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=5, num=75,
+                                      den=100)
