@@ -35,11 +35,11 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 from .common import distinct, flatten, starts_of
 
 #: Known pieces kept per worker before the cache starts anew.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 #: Ranks handled together; within a block each word still merges in rank order.
 RANK_BLOCK = 512
 #: Characters of text encoded at once inside a task.
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 1_500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -130,14 +130,14 @@ class Merges:
         if not n:
             return np.empty(0, np.int64), lens
         sym = self.byte_id[np.frombuffer(b"".join(pieces), np.uint8)]
-        word = np.repeat(np.arange(len(pieces)), lens)
-        nxt = np.arange(1, n + 1, dtype=np.int64)
-        prv = np.arange(-1, n - 1, dtype=np.int64)
+        word = np.repeat(np.arange(len(pieces), dtype=np.int32), lens)
+        nxt = np.arange(1, n + 1, dtype=np.int32)
+        prv = np.arange(-1, n - 1, dtype=np.int32)
         ends = np.cumsum(lens)
         nxt[ends - 1] = -1
         prv[ends - lens] = -1
         alive = np.ones(n, bool)
-        rank = np.full(n, -1, np.int64)  # of the pair that starts here
+        rank = np.full(n, -1, np.int32)  # of the pair that starts here
         index: dict[int, list] = {}  # block of ranks -> positions of its pairs
         heap: list[int] = []
 
@@ -151,7 +151,7 @@ class Merges:
             """Re-rank the pairs that start at ``pos`` and index them."""
             after = nxt[pos]
             has = after >= 0
-            new = np.full(len(pos), -1, np.int64)
+            new = np.full(len(pos), -1, np.int32)
             new[has] = self.pair_rank(sym[pos[has]], sym[after[has]])
             rank[pos] = new
             live = new >= 0
