@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard
+from . import bpe, jaccard, substrings
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=5, num=75,
                                       den=100)
+
+
+@register("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.kept_digest(
+        substrings.drop_repeats(read_table(spark, sf_dir, "documents"), window=50))
