@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, substrings
+from . import bpe, decontam, jaccard, substrings
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(
         substrings.drop_repeats(read_table(spark, sf_dir, "documents"), window=50))
+
+
+@register("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(read_table(spark, sf_dir, "documents"),
+                               read_table(spark, sf_dir, "benchmark"), threshold=0.75, radius=20)
