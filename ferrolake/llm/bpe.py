@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import re
 from itertools import chain
 
 import numpy as np
@@ -34,14 +35,20 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from .common import distinct, flatten, starts_of
 
-#: Known pieces kept per worker before the cache starts anew.
-CACHE_PIECES = 250_000
+#: Known chunks kept per worker before the cache starts anew.
+CACHE_CHUNKS = 300_000
 #: Ranks handled together; within a block each word still merges in rank order.
 RANK_BLOCK = 512
+#: Token ids decoded at once inside a task.
+CHUNK_IDS = 500_000
 #: Characters of text encoded at once inside a task.
 CHUNK_CHARS = 1_500_000
 
 
+_INSIDE = re.compile(r"\s \s").search  # a blank inside a run of white space
+_CUT = re.compile(r"(?= )").split
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a ``.tiktoken`` file: base64 token, blank, rank per line."""
     with open(path, "rb") as f:
@@ -210,7 +217,13 @@ class Merges:
 
 
 class Encoder:
-    """Piece cache over a vocabulary; encodes lists of texts."""
+    """Encodes lists of texts; keeps the ids of chunks and pieces it has met.
+
+    A text is cut before every blank into chunks (" word,\\nNext"). Matches of
+    the pattern do not cross such a cut unless the blank stands between two
+    other white-space characters, so a chunk's ids can be kept and reused; texts
+    with such blanks are matched as a whole.
+    """
 
     def __init__(self, merges: Merges, pattern: str, foreign: str | None = None):
         self.merges = merges
@@ -221,45 +234,63 @@ class Encoder:
         self.code: dict[str, int] = {}
         self.ids, self.lens = np.empty(0, np.int32), np.empty(0, np.int64)
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, ids per piece) of distinct pieces."""
         raw = [p.encode() for p in pieces]
-        whole = [self.merges.ranks.get(b, -1) for b in raw]  # a piece that is a token is that token
-        split = [b for b, w in zip(raw, whole) if w < 0]
-        flat, lens = self.merges.replay(split)
-        whole = np.array(whole, np.int64)
+        whole = np.array([self.merges.ranks.get(b, -1) for b in raw], np.int64)
+        split = whole < 0  # a piece that is a token is that token
+        flat, lens = self.merges.replay([b for b, s in zip(raw, split.tolist()) if s])
         n = np.ones(len(raw), np.int64)
-        n[whole < 0] = lens
+        n[split] = lens
         out = np.empty(int(n.sum()), np.int32)
         at = starts_of(n)[:-1]
-        out[at[whole >= 0]] = whole[whole >= 0]
-        out[flatten(at[whole < 0], lens)] = flat
-        for p in pieces:
-            self.code[p] = len(self.code)
-        self.ids = np.concatenate([self.ids, out])
-        self.lens = np.concatenate([self.lens, n])
+        out[at[~split]] = whole[~split]
+        out[flatten(at[split], lens)] = flat
+        return out, n
+
+    def _learn(self, chunks: list[str]) -> None:
+        joined = np.frombuffer("".join(chunks).encode(), np.uint8)
+        # Without a byte from 0xD5 up there is no code point above U+053F,
+        # below which both libraries' tables agree.
+        find = self.find if len(joined) and joined.max() >= 0xD5 else self.find.plain
+        found = [find(c) for c in chunks]
+        number = {p: i for i, p in enumerate(dict.fromkeys(chain.from_iterable(found)))}
+        flat, lens = self._pieces(list(number))
+        per = np.fromiter(map(len, found), np.int64, len(found))
+        piece = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64,
+                            int(per.sum()))
+        n = lens[piece]
+        ids = flat[flatten(starts_of(lens)[:-1][piece], n)]
+        base = len(self.code)
+        self.code.update(zip(chunks, range(base, base + len(chunks))))
+        self.ids = np.concatenate([self.ids, ids])
+        self.lens = np.concatenate([self.lens, np.diff(starts_of(n)[starts_of(per)])])
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids per text)."""
-        if len(self.code) > CACHE_PIECES:
+        if len(self.code) > CACHE_CHUNKS:
             self._clear()
-        # Texts without a byte from 0xD5 up hold no code point above U+053F,
-        # below which both libraries' tables agree.
-        joined = np.frombuffer("".join(t for t in texts if t).encode(), np.uint8)
-        find = self.find if len(joined) and joined.max() >= 0xD5 else self.find.plain
-        found = [find(t) if t else [] for t in texts]
+        cut = []
+        for t in texts:
+            if not t:
+                cut.append([])
+            elif _INSIDE(t):
+                cut.append([t])
+            else:
+                parts = t.replace(" ", "\0 ").split("\0") if "\0" not in t else _CUT(t)
+                cut.append(parts if parts[0] else parts[1:])
         fresh: set = set()
-        for f in found:
-            fresh.update(f)
+        for c in cut:
+            fresh.update(c)
         fresh -= self.code.keys()
         if fresh:
             self._learn(list(fresh))
-        per = np.fromiter(map(len, found), np.int64, len(found))
-        code = np.fromiter(map(self.code.__getitem__, chain.from_iterable(found)), np.int64,
+        per = np.fromiter(map(len, cut), np.int64, len(cut))
+        code = np.fromiter(map(self.code.__getitem__, chain.from_iterable(cut)), np.int64,
                            int(per.sum()))
         lens = self.lens[code]
         flat = self.ids[flatten(starts_of(self.lens)[:-1][code], lens)]
-        total = starts_of(lens)[starts_of(per)]
-        return flat, np.diff(total)
+        return flat, np.diff(starts_of(lens)[starts_of(per)])
 
 
 _LOADED: dict = {}
@@ -312,13 +343,18 @@ class BytePairCodec:
 
         def decode(ids: pa.Array) -> pa.Array:
             m = _merges(shared)
-            flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            lens = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            raw = memoryview(np.ascontiguousarray(m.decode(flat)))
-            ends = starts_of(m.token_len[flat])[starts_of(lens)]
-            null = ids.is_null().to_pylist()
-            return pa.array([None if null[i] else bytes(raw[ends[i]:ends[i + 1]])
-                             for i in range(len(lens))], pa.binary())
+            lens = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = starts_of(lens.astype(np.int64))
+            flat, null, out, i = ids.flatten().to_numpy(zero_copy_only=False), ids.is_null(), [], 0
+            while i < len(ids):
+                j = max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK_IDS)) - 1)
+                part = flat[ends[i]:ends[j]]
+                raw = memoryview(m.decode(part))
+                cuts = starts_of(m.token_len[part])[ends[i:j + 1] - ends[i]].tolist()
+                out += [None if null[k].as_py() else bytes(raw[a:b])
+                        for k, a, b in zip(range(i, j), cuts, cuts[1:])]
+                i = j
+            return pa.array(out, pa.binary())
 
         self._encode = F.arrow_udf(encode, ArrayType(IntegerType()))
         self._decode = F.arrow_udf(decode, BinaryType())

@@ -42,6 +42,8 @@ def test_matches_library(enc, ranks):
     alphabet = list("aabbcceett  \n\t'sd123.,!é漢字 \u0085\x1c\x1f \U0001F600ßœЖ١²")
     texts = ["", " ", "   a", "a" * 3000, "ab" * 500, " " * 300 + "x", "don't we'll I'M", "\r\n\r\n x"]
     texts += ["".join(rnd.choices(alphabet, k=rnd.randrange(1, 60))) for _ in range(3000)]
+    texts += ["".join(rnd.choices([" ", "  ", "\n", " \n", "\t", "a", "b,", "\0", "'ll", "\u2003", "1"],
+                                  k=rnd.randrange(1, 25))) for _ in range(4000)]
     texts += ["".join(chr(rnd.choice([rnd.randrange(32, 0x250), rnd.randrange(0x370, 0xD7FF),
                                       rnd.randrange(0x10000, 0x1FFFF)])) for _ in range(40))
               for _ in range(500)]
