@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontam, jaccard, substrings
+from . import bpe, decontam, jaccard, lines, substrings
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +55,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(read_table(spark, sf_dir, "documents"),
                                read_table(spark, sf_dir, "benchmark"), threshold=0.75, radius=20)
+
+
+@register("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = lines.drop_recurring(docs, depth=4, min_docs=3, constant=0.7)
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
