@@ -36,7 +36,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 from .common import distinct, flatten, starts_of
 
 #: Known chunks kept per worker before the cache starts anew.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 600_000
 #: Ranks handled together; within a block each word still merges in rank order.
 RANK_BLOCK = 512
 #: Token ids decoded at once inside a task.
