@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, jaccard, lines, substrings
+from . import bpe, decontam, jaccard, lines, ordinal, substrings
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_recurring(docs, depth=4, min_docs=3, constant=0.7)
     return out.select("doc_id", "n_lines", "n_dropped",
                       F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The selected documents with their expected grade and P(good)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    grades = ordinal.document_grades(read_table(spark, sf_dir, "labels"))
+    model = ordinal.train(docs, grades, grades=3, sample=ordinal.SAMPLE)
+    return ordinal.select(ordinal.rate(docs, model, keep_grade=2), least=0.5).drop("text")
