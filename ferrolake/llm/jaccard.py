@@ -18,9 +18,9 @@ Cost-based allocation, per band and per set:
 Candidates are verified on the whole sets. No pairs inside a key's group are
 enumerated unless the group is small: members are compared with a pivot and a
 group is done once its members are one component; others get further pivots.
-Groups over ``SMALL_GROUP`` keep only members with more than ``extra`` such hot
-keys, because a pair found by hot keys alone shares at least that many; this
-removes documents that merely share a passage.
+In groups over ``SMALL_GROUP`` a member counts only under its rarest hot keys,
+all but ``extra`` of them, because a pair found by hot keys alone shares more than
+``extra``; this removes documents that merely share a passage.
 
 Scale: one pass over the texts, one shuffle of 24-byte key rows; a key that is
 frequent within a task is dealt by member instead of by key, so no reducer
@@ -45,7 +45,7 @@ from .components import components
 #: Groups up to this size have all their pairs compared; larger ones by pivots.
 SMALL_GROUP = 8
 #: Pivots per hot group and round.
-PIVOTS = 8
+PIVOTS = 32
 #: Characters of text handled at once inside a task.
 CHUNK = 6_000_000
 MEMBER, HOT, MARK, DOC = 0, 1, 2, 3
@@ -261,21 +261,46 @@ def _group(batches):
 
 
 class _Verifier:
-    """Exact comparison of classes on their whole shingle sets."""
+    """Exact comparison of classes on their whole shingle sets.
 
-    def __init__(self, sets: DataFrame, num: int, den: int):
-        self.sets, self.num, self.den = sets, num, den
+    ``sizes`` (cls, n) and ``hot_keys`` (cls, k, keys) refuse pairs cheaply: by
+    size, and for pairs met under a hot key by too few common hot keys.
+    """
+
+    def __init__(self, sets: DataFrame, hot_keys: DataFrame, num: int, den: int):
+        self.sets, self.hot_keys, self.num, self.den = sets, hot_keys, num, den
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """(a, b) of the (a, b, k) pairs from hot groups that can be similar."""
+        a = self.hot_keys.select(F.col("cls").alias("a"), "k", F.col("keys").alias("x"),
+                                 F.col("n").alias("na"))
+        b = self.hot_keys.select(F.col("cls").alias("b"), "k", F.col("keys").alias("y"),
+                                 F.col("n").alias("nb"))
+        both = pairs.distinct().join(b, ["b", "k"]).join(a, ["a", "k"])
+        return both.where(
+            (self.den * F.least("na", "nb") >= self.num * F.greatest("na", "nb"))
+            & (F.size(F.array_intersect("x", "y")) > _extra(self.num, self.den, F.col("k")))) \
+            .select("a", "b")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) pairs whose sets are similar enough."""
         a = self.sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
         b = self.sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb"))
-        both = pairs.join(b, "b").join(a, "a")
+        both = pairs.distinct().join(b, "b").join(a, "a")
         common = F.size(F.array_intersect("ga", "gb"))
         sizes = F.size("ga") + F.size("gb")
         return both.where(self.den * common >= self.num * (sizes - common)).select("a", "b")
 
 
+def _level(grp):
+    """The band in a group's (a key's) low bits."""
+    return F.shiftrightunsigned(grp, 2).bitwiseAND(63).cast("int")
+
+
+def _extra(num: int, den: int, level):
+    return F.element_at(F.array(*[F.lit(band(k, num, den).extra) for k in range(40)]), level + 1)
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(cls, grams) of the wanted (doc, cls) rows."""
     rows = wanted.count()
@@ -295,6 +320,11 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return checkpoint(text.mapInArrow(grams, "cls long, grams array<long>"))
 
 
+def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    return df.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"),
+                     _level(F.col("grp")).alias("k"))
+
+
 def _link_groups(small: DataFrame, hot: DataFrame, verify: _Verifier) -> DataFrame:
     """All-component-deciding links among the members of the groups.
 
@@ -330,15 +360,14 @@ def _link_groups(small: DataFrame, hot: DataFrame, verify: _Verifier) -> DataFra
         if turn and not pivots.limit(1).count():
             return comp
         at = pivots.select("grp", F.col("cls").alias("b"), F.col("root").alias("rb"))
-        pairs = left.join(at, "grp").where("root <> rb").select(F.col("cls").alias("a"), "b")
+        pairs = verify.possible(_pairs(left.join(at, "grp").where("root <> rb"), "cls", "b"))
         if turn == 0:
             s = checkpoint(open_groups(small))
             p, q = s.alias("p"), s.alias("q")
             pairs = pairs.unionAll(
                 p.join(q, F.expr("p.grp = q.grp AND p.cls > q.cls AND p.root <> q.root"))
                 .select(F.col("p.cls").alias("a"), F.col("q.cls").alias("b")))
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        more = checkpoint(verify.links(pairs.distinct()))
+        more = checkpoint(verify.links(pairs))
         done = pivots.select("grp", "cls") if done is None \
             else done.unionAll(pivots.select("grp", "cls"))
         turn += 1
@@ -368,19 +397,26 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 75, den: int
     classes = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
     small = found.where(f"kind = {MEMBER}").select("grp", "cls").distinct()
     hot = found.where(f"kind = {HOT}").select("grp", "cls").distinct()
-    # A pair met by hot keys alone shares more than its band's extra keys.
-    level = F.shiftrightunsigned(F.col("grp"), 2).bitwiseAND(63)
-    extra = F.element_at(F.array(*[F.lit(band(k, num, den).extra) for k in range(40)]),
-                         (level + 1).cast("int"))
-    enough = (hot.withColumn("k", level).groupBy("cls", "k")
-              .agg(F.count(F.lit(1)).alias("have"), F.max(extra).alias("extra"))
-              .where("have > extra").select("cls", "k"))
-    hot = checkpoint(hot.withColumn("k", level).join(enough, ["cls", "k"]).select("grp", "cls"))
+    # A pair met by hot keys alone shares more than its band's extra keys, so
+    # members with no more than that go; the others keep their rarest hot keys,
+    # as many as any such pair must meet in.
+    level = _level(F.col("grp"))
+    extra = _extra(num, den, F.col("k"))
+    size = hot.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
+    rare = Window.partitionBy("cls", "k").orderBy("size", "grp")
+    kept = checkpoint(hot.join(size, "grp").withColumn("k", level)
+                      .withColumn("i", F.row_number().over(rare))
+                      .withColumn("have", F.count(F.lit(1)).over(Window.partitionBy("cls", "k")))
+                      .where(F.col("have") > extra).select("grp", "cls", "k", "i", "have"))
+    hot = kept.where(F.col("i") <= F.col("have") - extra).select("grp", "cls")
+    sized_rows = rows.groupBy("cls").agg(F.max("n").alias("n"))
+    hot_keys = checkpoint(kept.groupBy("cls", "k").agg(F.collect_list("grp").alias("keys"))
+                          .join(sized_rows, "cls"))
     small = checkpoint(small)
     candidates = small.select("cls").unionAll(hot.select("cls")).distinct()
     wanted = checkpoint(classes.join(candidates, "cls").select("doc", "cls"))
     sets = _sets_of(docs, wanted, words)
-    comp = _link_groups(small, hot, _Verifier(sets, num, den))
+    comp = _link_groups(small, hot, _Verifier(sets, hot_keys, num, den))
     # Components of classes -> smallest document of any member class.
     named = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("cls", "doc", F.coalesce("root", "cls").alias("root"))

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, jaccard, lines, ordinal, substrings
+from . import bpe, chat, decontam, jaccard, licenses, lines, ordinal, substrings, urls
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,25 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     grades = ordinal.document_grades(read_table(spark, sf_dir, "labels"))
     model = ordinal.train(docs, grades, grades=3, sample=ordinal.SAMPLE)
     return ordinal.select(ordinal.rate(docs, model, keep_grade=2), least=0.5).drop("text")
+
+
+@register("op1_url_filter")
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judges every page's url: the rules, else the list of insulting pages' urls."""
+    pages = read_table(spark, sf_dir, "pages")
+    judged = urls.judge(pages.select("page_id", "url"), urls.RULES, urls.insult_list(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op4_chat_format")
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)],
+                                "conv_id long, turn long, role string, text string")
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_chats(turns.unionByName(own)))
+
+
+@register("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
