@@ -74,7 +74,8 @@ def _block(hash_: Column, blocks: int) -> Column:
 def _masks(url: Column) -> list[Column]:
     """One bit in each of the block's eight words, from a second hash."""
     h = F.xxhash64(url, F.lit(1))
-    return [F.shiftleft(F.lit(1), F.shiftrightunsigned(h, 5 * i).bitwiseAND(31).cast("int"))
+    return [F.call_function("shiftleft", F.lit(1),
+                            F.shiftrightunsigned(h, 5 * i).bitwiseAND(31).cast("int"))
             for i in range(WORDS)]
 
 
@@ -96,12 +97,14 @@ def on_list(urls: DataFrame, listed: DataFrame, url_col: str, blocks: int = BLOC
     names = urls.columns
     listed = listed.select("url").where("url IS NOT NULL").distinct()
     bloom = bloom_filter(listed, blocks)
+    bloom = bloom.select(F.col("block").alias("__b"),
+                         *[F.col(f"w{i}").alias(f"__w{i}") for i in range(WORDS)])
     if blocks <= BROADCAST_BLOCKS:  # bounded by the filter's own size
         bloom = F.broadcast(bloom)
     probe = urls.withColumn("__block", _block(F.xxhash64(F.col(url_col)), blocks)).join(
-        bloom, F.col("__block") == F.col("block"), "left")
+        bloom, F.col("__block") == F.col("__b"), "left")
     hit = reduce(lambda a, b: a & b, [
-        F.coalesce(F.col(f"w{i}"), F.lit(0)).bitwiseAND(m) != 0
+        F.coalesce(F.col(f"__w{i}"), F.lit(0)).bitwiseAND(m) != 0
         for i, m in enumerate(_masks(F.col(url_col)))])
     probed = probe.withColumn("__hit", hit & F.col(url_col).isNotNull())
     clear = probed.where("NOT __hit").select(*names, F.lit(False).alias("listed"))
