@@ -32,20 +32,25 @@ _C = U64(0x94D049BB133111EB)
 BROADCAST_ROWS = 400_000
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Eager reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, also set as checkpoint folder.
 
     A folder of our own is used only for a local session that names none.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+        d = tempfile.mkdtemp(prefix="llm-ckpt-")
     if sc.getCheckpointDir() is None:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-        if not d:
-            if not sc.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-            d = tempfile.mkdtemp(prefix="llm-ckpt-")
         sc.setCheckpointDir(d)
+    return d
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Eager reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
