@@ -6,6 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Plain decimal or exponent notation; Java's own forms (1d, 2f, 0x1p3) are text.
+NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def to_number(text: Column) -> Column:
+    """Double read from text, or null where the text is not a number."""
+    t = F.trim(text.cast("string"))
+    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+
+
 def round_half_up(x: Column, digits: int) -> Column:
     """Round a double half-up to ``digits`` decimals, returned as double.
 

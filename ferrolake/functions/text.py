@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import to_number
 from .timeparse import strip
 
 # ---------------------------------------------------------------------------
@@ -28,6 +31,21 @@ def clean_country(c: Column, max_len: int = COUNTRY_COLUMN_WIDTH) -> Column:
     return F.when(~bad, F.substring(letters, 1, max_len))
 
 
+def _accents() -> tuple[str, str]:
+    """Lower-case Latin letters with marks and the plain letters under them."""
+    marked = sorted({chr(c).lower() for c in range(0xC0, 0x250) if len(chr(c).lower()) == 1})
+    pairs = [(c, unicodedata.normalize("NFD", c)[0]) for c in marked]
+    pairs = [(c, b) for c, b in pairs if b != c and b.isascii()]
+    return "".join(c for c, _ in pairs), "".join(b for _, b in pairs)
+
+
+def fold(c: Column) -> Column:
+    """The text as the source's collation compares it: without case and accents.
+
+    A plain string again, so it hashes, groups and joins like any key."""
+    return F.translate(F.lower(c), *_accents())
+
+
 def route_id_of(title: Column) -> Column:
     """Route id = text before the first " - " of the route title (whole title if none)."""
     return F.substring_index(title, " - ", 1)
@@ -44,4 +62,4 @@ def is_valid_numeric(c: Column) -> Column:
     dashes = F.length(t) - F.length(F.replace(t, F.lit("-"), F.lit("")))
     return (F.coalesce(t != "", F.lit(False))
             & ~t.contains("/") & (dashes <= 1)
-            & t.try_cast("double").isNotNull())
+            & to_number(t).isNotNull())

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import strip
+from ..functions import strip, to_number
 from ..functions.text import COUNTRY_COLUMN_WIDTH
 
 # Clean-up rules in the order they are applied; a row is charged to the first
@@ -39,8 +39,8 @@ def sanitize(df: DataFrame) -> DataFrame:
 
 
 def sanitize_report(rows: DataFrame) -> DataFrame:
-    """Rows removed per rule, rules applied in order, plus the count of
-    negative emission values set to null.
+    """Rows removed per rule, rules applied in order, their total per feed,
+    and the count of negative emission values set to null.
 
     ``rows`` are the classified rows *before* de-duplication. Duplicates are
     counted among the rows that pass the earlier rules, in file order.
@@ -58,7 +58,9 @@ def sanitize_report(rows: DataFrame) -> DataFrame:
                                     | (F.col("total_emission_kgco2e") < 0), 1)).alias("rows"))
                 .where("rows > 0")
                 .select("dataset_id", F.lit("negative_emission_nulled").alias("rule"), "rows"))
-    return removed.unionByName(negative)
+    total = (removed.groupBy("dataset_id").agg(F.sum("rows").alias("rows"))
+             .select("dataset_id", F.lit("total_removed").alias("rule"), "rows"))
+    return removed.unionByName(total).unionByName(negative)
 
 
 # P10 -----------------------------------------------------------------------
@@ -79,7 +81,7 @@ def reject_reason(df: DataFrame) -> Column:
         msg = F.lit(f"Missing or invalid {f}")
         expr = F.when(cond, msg) if expr is None else expr.when(cond, msg)
     d = F.col("distance_km")
-    num = d.cast("string").try_cast("double")
+    num = to_number(d)
     return (expr.when(d.isNotNull() & num.isNull(), F.lit("distance_km not numeric"))
             .when(num < 0, F.concat(F.lit("distance_km out of range: "), num.cast("string"))))
 

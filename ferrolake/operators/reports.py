@@ -8,12 +8,15 @@ addition order) and are returned as DOUBLE after rounding.
 
 from __future__ import annotations
 
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import country_of_point, round_half_up
+from ..functions import country_of_point, fold, round_half_up
+from ..sources.countries import country_seed
+from .stop_times import numeric
 from .warehouse import Warehouse
 
 DAY_LABEL = "Jour"
@@ -25,34 +28,45 @@ def _r2(c: Column) -> Column:
     return F.round(c, 2).cast("double")
 
 
-def _trips(f: str = "trip_sk") -> Column:
-    return F.countDistinct(f).alias("trip_count")
+def _trips() -> Column:
+    return F.countDistinct("trip_id").alias("trip_count")
+
+
+def _bounded(limit: int, most: int) -> int:
+    """``limit`` if it lies within the source's bounds for a report."""
+    if not 1 <= limit <= most:
+        raise ValueError(f"limit must be between 1 and {most}, not {limit}")
+    return limit
 
 
 def overview(wh: Warehouse) -> DataFrame:
     """KPI row."""
     f = wh.fact
-    return f.agg(
-        F.countDistinct("trip_sk").alias("total_trips"),
-        F.countDistinct("route_sk").alias("total_routes"),
-        F.countDistinct("agency_sk").alias("total_agencies"),
-        _r2(F.sum("distance_km")).alias("total_distance_km"),
-        _r2(F.sum("total_emission_kgco2e")).alias("total_emissions_kg"),
-        _r2(F.avg("distance_km")).alias("avg_distance_km"),
-        _r2(F.avg("duration_h")).alias("avg_duration_h"),
-        _r2(F.avg("emission_gco2e_pkm")).alias("avg_emission_per_km"),
-    )
+    # Each distinct count is taken on its own narrow column: counting three in
+    # one aggregate would copy every fact row three times.
+    parts = [f.agg(_r2(F.sum("distance_km")).alias("total_distance_km"),
+                   _r2(F.sum("total_emission_kgco2e")).alias("total_emissions_kg"),
+                   _r2(F.avg("distance_km")).alias("avg_distance_km"),
+                   _r2(F.avg("duration_h")).alias("avg_duration_h"),
+                   _r2(F.avg("emission_gco2e_pkm")).alias("avg_emission_per_km"))]
+    parts += [f.agg(F.countDistinct(c).alias(n)) for c, n in
+              [("trip_id", "total_trips"), ("route_sk", "total_routes"),
+               ("agency_sk", "total_agencies")]]
+    one = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return one.agg(*[F.max(c).alias(c) for c in [
+        "total_trips", "total_routes", "total_agencies", "total_distance_km", "total_emissions_kg",
+        "avg_distance_km", "avg_duration_h", "avg_emission_per_km"]])
 
 
 def by_country(wh: Warehouse, limit: int = 20) -> DataFrame:
     """A7 + T1: origin-country breakdown, top ``limit`` by trips."""
-    c = wh.dims["dim_country"].select("country_sk", "country_code", "country_name")
-    j = wh.fact.join(c, wh.fact["origin_country_sk"] == c["country_sk"], "left")
-    g = j.groupBy("country_code", "country_name").agg(
+    g = wh.fact.groupBy(F.col("origin_country").alias("country_code")).agg(
         _trips(),
         _r2(F.sum("distance_km")).alias("total_distance"),
         _r2(F.sum("total_emission_kgco2e")).alias("total_emissions"),
         _r2(F.avg("emission_gco2e_pkm")).alias("avg_emission_per_km"))
+    # Names come after the aggregate: one row per country meets the 25-row seed.
+    g = g.join(country_seed(wh.fact.sparkSession), "country_code", "left")
     out = g.select(F.coalesce("country_code", F.lit("UNKNOWN")).alias("country"),
                    F.coalesce("country_name", F.lit("Unknown")).alias("country_name"),
                    "trip_count", "total_distance", "total_emissions", "avg_emission_per_km")
@@ -86,7 +100,7 @@ def by_agency(wh: Warehouse, limit: int = 10) -> DataFrame:
     g = wh.fact.join(a, "agency_sk").groupBy("agency_name").agg(
         _trips(), _r2(F.sum("distance_km")).alias("total_distance"),
         _r2(F.avg("emission_gco2e_pkm")).alias("avg_emission_per_km"))
-    return g.orderBy(F.desc("trip_count"), "agency_name").limit(limit)
+    return g.orderBy(F.desc("trip_count"), "agency_name").limit(_bounded(limit, 100))
 
 
 def emissions_by_route(wh: Warehouse, limit: int = 20) -> DataFrame:
@@ -97,7 +111,7 @@ def emissions_by_route(wh: Warehouse, limit: int = 20) -> DataFrame:
         _trips(), _r2(F.sum("total_emission_kgco2e")).alias("total_emissions"),
         _r2(F.avg("emission_gco2e_pkm")).alias("avg_emission_per_km"),
         _r2(F.avg("distance_km")).alias("avg_distance"))
-    return g.orderBy(F.desc("total_emissions"), "route_name", "agency_name").limit(limit)
+    return g.orderBy(F.desc("total_emissions"), "route_name", "agency_name").limit(_bounded(limit, 100))
 
 
 def service_label(service_type: Column) -> Column:
@@ -153,32 +167,39 @@ SEARCH_COLUMNS = [
 ]
 
 
+def _distance(value: float, rounding: str) -> Column:
+    """A bound of the column's own type, so that the comparison reaches the scan.
+
+    Rounded to the side that keeps the same rows (distances have 3 decimals)."""
+    return F.lit(Decimal(str(value)).quantize(Decimal("0.001"), rounding)).cast("decimal(10,3)")
+
+
 def search_predicate(origin: str | None = None, destination: str | None = None,
                      train_type: str | None = None, min_distance: float | None = None,
                      max_distance: float | None = None) -> Column:
     """AND of the given filters (none → true).
 
-    Place names match as case- and accent-insensitive substrings (the
-    collation of the source database); a typed ``%`` or ``_`` is literal."""
+    Place names match as case- and accent-insensitive substrings, the train
+    type as a whole (the collation of the source database); a typed ``%`` or
+    ``_`` is literal."""
     conds = []
     if origin:
-        conds.append(F.contains(F.collate(F.col("origin"), "UNICODE_CI_AI"),
-                                F.lit(origin)))
+        conds.append(F.contains(fold(F.col("origin")), fold(F.lit(origin))))
     if destination:
-        conds.append(F.contains(F.collate(F.col("destination"), "UNICODE_CI_AI"),
-                                F.lit(destination)))
+        conds.append(F.contains(fold(F.col("destination")), fold(F.lit(destination))))
     if train_type:
-        conds.append(F.col("train_type") == train_type)
+        conds.append(fold(F.col("train_type")) == fold(F.lit(train_type)))
     if min_distance is not None:
-        conds.append(F.col("distance_km") >= F.lit(min_distance))
+        conds.append(F.col("distance_km") >= _distance(min_distance, ROUND_CEILING))
     if max_distance is not None:
-        conds.append(F.col("distance_km") <= F.lit(max_distance))
+        conds.append(F.col("distance_km") <= _distance(max_distance, ROUND_FLOOR))
     return reduce(lambda a, b: a & b, conds, F.lit(True))
 
 
 def latest_per_trip(df: DataFrame) -> DataFrame:
-    """Newest fact per trip_id (a trip id may occur in several feeds)."""
-    w = Window.partitionBy("trip_id").orderBy(F.desc("last_loaded_at"), F.desc("fact_sk"))
+    """Newest fact per trip_id (a trip id may occur in several feeds); facts
+    of one load are ordered by their feed, the greatest dataset_id first."""
+    w = Window.partitionBy("trip_id").orderBy(F.desc("last_loaded_at"), F.desc("dataset_id"))
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -190,7 +211,7 @@ def search_trips(wh: Warehouse, limit: int = 50, **filters) -> DataFrame:
     rows = fact_details(wh).where(search_predicate(**filters))
     rows = latest_per_trip(rows).withColumn("service_label", service_label(F.col("service_type")))
     return (rows.select(*SEARCH_COLUMNS)
-            .orderBy(F.desc("distance_km"), "trip_id", "dataset_id").limit(limit))
+            .orderBy(F.desc("distance_km"), "trip_id", "dataset_id").limit(_bounded(limit, 1000)))
 
 
 def trip_labels(trips: DataFrame) -> DataFrame:
@@ -224,36 +245,47 @@ def spotlight(wh: Warehouse) -> DataFrame:
     return c.unionByName(t).unionByName(x)
 
 
-def top_countries(wh: Warehouse) -> DataFrame:
+def top_countries(wh: Warehouse, countries: int = 10, types: int = 8) -> DataFrame:
     """Chart cuts — top 10 countries and top 8 train types by trips."""
-    c = by_country(wh).orderBy(F.desc("trip_count"), "country").limit(10).select(
+    c = by_country(wh).orderBy(F.desc("trip_count"), "country").limit(countries).select(
         F.lit("country").alias("cut"), F.col("country").alias("name"), "trip_count")
-    t = by_train_type(wh).orderBy(F.desc("trip_count"), "train_type").limit(8).select(
+    t = by_train_type(wh).orderBy(F.desc("trip_count"), "train_type").limit(types).select(
         F.lit("train_type").alias("cut"), F.col("train_type").alias("name"), "trip_count")
     return c.unionByName(t)
 
 
-def trip_view(wh: Warehouse) -> DataFrame:
-    """The flat trip view (inner joins on every dimension it shows)."""
+def trip_view(wh: Warehouse, view: str | None = None) -> DataFrame:
+    """The flat trip view (inner joins on every dimension it shows), 11
+    columns; ``fact_id`` names the fact by its natural key. Registered as the
+    temporary view ``view`` if a name is given."""
     j = fact_details(wh, inner_locations=True)
-    return j.select("trip_id", "route_name", "agency_name", "service_type", "origin",
-                    "destination", "departure_time", "arrival_time", "distance_km", "duration_h")
+    out = j.select(F.concat_ws(":", "dataset_id", "trip_id").alias("fact_id"), "trip_id",
+                   "route_name", "agency_name", "service_type", "origin", "destination",
+                   "departure_time", "arrival_time", "distance_km", "duration_h")
+    if view:
+        out.createOrReplaceTempView(view)
+    return out
 
 
 def stops_per_country(stops: DataFrame, top: int = 10) -> DataFrame:
-    """Stops per bounding-box country (top ``top``) and their share of the
-    stops with usable coordinates."""
-    s = (stops.select("stop_id", F.col("stop_lat").try_cast("double").alias("lat"),
-                      F.col("stop_lon").try_cast("double").alias("lon"))
+    """Stops per bounding-box country (top ``top``), their share of the stops
+    with usable coordinates, and the share of these that any box holds."""
+    s = (stops.select("stop_id", numeric(stops, "stop_lat").alias("lat"),
+                      numeric(stops, "stop_lon").alias("lon"))
          .where(F.col("lat").isNotNull() & F.col("lon").isNotNull()
                 & F.col("stop_id").isNotNull())
          .withColumn("country", country_of_point("lat", "lon")))
-    # <= 26 rows after the aggregate (25 boxes + unmapped): the share needs a
-    # grand total, taken with a window over that tiny result.
+    # <= 26 rows after the aggregate (25 boxes + unmapped): the shares need
+    # totals, taken with a window over that tiny result.
+    every = Window.partitionBy()
     per = s.groupBy("country").agg(F.count(F.lit(1)).alias("stop_count")) \
-        .withColumn("valid_stops", F.sum("stop_count").over(Window.partitionBy()))
+        .withColumn("valid_stops", F.sum("stop_count").over(every)) \
+        .withColumn("mapped", F.sum(F.when(F.col("country").isNotNull(), F.col("stop_count"))
+                                    .otherwise(0)).over(every))
     return (per.where(F.col("country").isNotNull())
             .orderBy(F.desc("stop_count"), "country").limit(top)
             .select("country", "stop_count",
                     round_half_up(F.col("stop_count") * 100.0 / F.col("valid_stops"), 2)
-                    .alias("pct_of_valid_stops")))
+                    .alias("pct_of_valid_stops"),
+                    round_half_up(F.col("mapped") * 100.0 / F.col("valid_stops"), 2)
+                    .alias("mapped_pct")))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import haversine_km, round_half_up, strip, time_to_seconds
+from ..functions import haversine_km, round_half_up, strip, time_to_seconds, to_number
 
 TRIP_KEY = ["dataset_id", "trip_id"]
 
@@ -26,6 +26,22 @@ def join_keys(left: DataFrame, right: DataFrame, key: str) -> list[str]:
     return (["dataset_id"] if both else []) + [key]
 
 
+def numeric(df: DataFrame, name: str) -> Column:
+    """The column as double: text is parsed strictly, numbers are cast."""
+    if dict(df.dtypes)[name] == "string":
+        return to_number(F.col(name))
+    return F.col(name).cast("double")
+
+
+def one_per_stop(stops: DataFrame) -> DataFrame:
+    """The first row of each stop id (in file order; without one, by value)."""
+    key = [c for c in ["dataset_id"] if c in stops.columns] + ["stop_id"]
+    order = ["file_row"] if "file_row" in stops.columns else \
+        [c for c in stops.columns if c not in key]
+    w = Window.partitionBy(*key).orderBy(*order)
+    return stops.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
 def prepare_stop_times(stop_times: DataFrame) -> DataFrame:
     """Strip trip ids, drop blank ones, coerce stop_sequence (bad → 0)."""
     st = stop_times
@@ -36,16 +52,15 @@ def prepare_stop_times(stop_times: DataFrame) -> DataFrame:
     return (st.withColumn("trip_id", strip(F.coalesce(F.col("trip_id").cast("string"), F.lit(""))))
             .where(F.col("trip_id") != "")
             .withColumn("seq", F.coalesce(
-                F.col("stop_sequence").try_cast("double").try_cast("int"), F.lit(0)))
-            .withColumn("shape", F.col("shape_dist_traveled").try_cast("double")))
+                numeric(st, "stop_sequence").try_cast("int"), F.lit(0)))
+            .withColumn("shape", numeric(st, "shape_dist_traveled")))
 
 
 def stop_coordinates(stops: DataFrame) -> DataFrame:
-    """stop_id → numeric lat/lon (unreadable → null)."""
+    """stop_id → numeric lat/lon (unreadable → null), one row per stop."""
     cols = [c for c in ["dataset_id"] if c in stops.columns]
-    return stops.select(*cols, "stop_id",
-                        F.col("stop_lat").try_cast("double").alias("lat"),
-                        F.col("stop_lon").try_cast("double").alias("lon"))
+    return one_per_stop(stops).select(*cols, "stop_id", numeric(stops, "stop_lat").alias("lat"),
+                                      numeric(stops, "stop_lon").alias("lon"))
 
 
 def trip_order() -> Window:
@@ -58,13 +73,23 @@ def drop_shape_regressions(st: DataFrame) -> DataFrame:
     Compared with the previous *original* row of the trip (single pass, not a
     running maximum); a null on either side keeps the row.
     """
+    return shape_falls(st).where("NOT falls").drop("falls")
+
+
+def shape_falls(st: DataFrame) -> DataFrame:
+    """``st`` with ``falls``: is the shape distance below the row just before?"""
     prev = F.lag("shape").over(trip_order())
-    return (st.withColumn("_prev_shape", prev)
-            .where(~F.coalesce(F.col("shape") < F.col("_prev_shape"), F.lit(False)))
-            .drop("_prev_shape"))
+    return (st.withColumn("_prev", prev)
+            .withColumn("falls", F.coalesce(F.col("shape") < F.col("_prev"), F.lit(False)))
+            .drop("_prev"))
+
+
+# Fixed value of the source: a larger shape span is read as metres.
+METRES_ABOVE = 1000
 
 
-def trip_facts(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+def trip_facts(stop_times: DataFrame, stops: DataFrame,
+               metres_above: float = METRES_ABOVE) -> DataFrame:
     """One row per (dataset_id, trip_id): endpoints, raw times, distance, duration.
 
     Columns: origin_stop_id, destination_stop_id, departure_time, arrival_time,
@@ -111,8 +136,8 @@ def trip_facts(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     direct = F.col("last_arr_s") - F.col("first_dep_s")
     span = F.when(F.col("n_times") < 2, F.lit(0)).otherwise(F.col("max_s") - F.col("min_s"))
     dur_s = F.when(direct >= 0, direct).otherwise(span)
-    # A2: shape span, read as metres when above 1000; A3: sum of stop-to-stop arcs.
-    shape_km = F.when(F.col("shape_span") <= 1000, F.col("shape_span")) \
+    # A2: shape span, read as metres when above ``metres_above``; A3: sum of stop-to-stop arcs.
+    shape_km = F.when(F.col("shape_span") <= metres_above, F.col("shape_span")) \
         .otherwise(F.col("shape_span") / 1000.0)
     return per_trip.select(
         *TRIP_KEY, "origin_stop_id", "destination_stop_id", "departure_time", "arrival_time",

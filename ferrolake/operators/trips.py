@@ -21,14 +21,17 @@ from ..functions import (active_days, country_of_name, country_of_point, day_nig
                          traction, train_class, weekly_frequency)
 from ..functions.classify import DAYS
 from ..sources.driver_views import Feed
-from .stop_times import TRIP_KEY, join_keys, shape_flags, trip_distances, trip_facts
+from .stop_times import (TRIP_KEY, join_keys, numeric, one_per_stop, shape_flags, trip_distances,
+                         trip_facts)
 
+# Fixed values (the summary's columns, in its order).
 SUMMARY_COLUMNS = [
     "trip_id", "agency_name", "route_name", "train_type", "service_type",
     "origin_stop_name", "origin_country", "destination_stop_name", "destination_country",
     "departure_time", "arrival_time", "distance_km", "duration_h", "emission_gco2e_pkm",
     "total_emission_kgco2e", "frequency_per_week", "source_dataset", "traction",
 ]
+# End of fixed values.
 PATTERN_KEY = ["dataset_id", "route_id", "service_id", "origin_stop_id", "destination_stop_id"]
 DAY_COLUMNS = [d for d, _ in DAYS]
 
@@ -65,11 +68,12 @@ def stop_labels(stops: DataFrame) -> DataFrame:
     holding the stop, else a city found in its name (J10 + N4).
 
     Computed on the stops table (small next to trips), once per stop rather
-    than twice per trip."""
+    than twice per trip. A stop listed again keeps its first row, so it cannot
+    multiply trips."""
     cols = [c for c in ["dataset_id"] if c in stops.columns]
-    s = stops.select(*cols, "stop_id", F.coalesce(F.col("stop_name"), F.lit("")).alias("name"),
-                     F.col("stop_lat").try_cast("double").alias("lat"),
-                     F.col("stop_lon").try_cast("double").alias("lon"))
+    s = one_per_stop(stops).select(
+        *cols, "stop_id", F.coalesce(F.col("stop_name"), F.lit("")).alias("name"),
+        numeric(stops, "stop_lat").alias("lat"), numeric(stops, "stop_lon").alias("lon"))
     return s.select(*cols, "stop_id", "name",
                     F.coalesce(country_of_point("lat", "lon"), country_of_name("name"))
                     .alias("country"))
@@ -152,8 +156,7 @@ def classify(rows: DataFrame, stops: DataFrame) -> DataFrame:
     )
 
 
-def trips_summary(feed: Feed, with_extra: bool = False,
-                  rows: DataFrame | None = None) -> DataFrame:
+def trips_summary(feed: Feed, rows: DataFrame | None = None) -> DataFrame:
     """The trips summary table (18 columns + ``dataset_id``), cleaned.
 
     ``rows`` (from ``trip_rows``) feed two consumers, the pattern counts and the
@@ -169,5 +172,4 @@ def trips_summary(feed: Feed, with_extra: bool = False,
     joined = (firsts.join(counts, [firsts[k].eqNullSafe(counts[k]) for k in PATTERN_KEY], "left")
               .select(firsts["*"], counts["departures"]))
     out = sanitize(classify(joined, feed.stops))
-    cols = ["dataset_id", *SUMMARY_COLUMNS] + (["service_days"] if with_extra else [])
-    return out.select(*cols)
+    return out.select("dataset_id", *SUMMARY_COLUMNS)

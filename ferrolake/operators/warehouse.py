@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import agency_id_of, clean_country, route_id_of, time_parts
+from ..functions import agency_id_of, clean_country, fold, route_id_of, time_parts
 from ..sources.countries import country_seed
 from .quality import validate_rows
 
@@ -64,6 +64,26 @@ def stage_rows(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
 
 # Dimensions -----------------------------------------------------------------
 
+# Columns whose values are compared as names: without case and accents, like the
+# source's collation. Identifiers and codes (trip, dataset, time, country) are
+# compared exactly.
+FOLDED = {"route_id", "agency_id", "service_type", "train_type", "traction", "stop_name"}
+
+
+def key_of(name: str, column: str | None = None) -> Column:
+    """The comparison key of a dimension column (read from ``column``)."""
+    c = F.col(column or name)
+    return fold(c) if name in FOLDED else c
+
+
+def _one_per_key(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
+    """The first row per key and the newest load that brought any of them. The
+    rows are distinct already (hash aggregates), so few enter the window."""
+    w = Window.partitionBy(*keys)
+    return (df.withColumn("_rn", F.row_number().over(w.orderBy(*order)))
+            .withColumn("load_id", F.max("load_id").over(w)).where("_rn = 1").drop("_rn"))
+
+
 def _union_distinct(staging: DataFrame, pairs: list[list[str]], names: list[str],
                     non_null: str | None = None) -> DataFrame:
     """Origin ∪ destination (or departure ∪ arrival), distinct.
@@ -103,29 +123,25 @@ def build_dimensions(staging: DataFrame, spark: SparkSession) -> LazyTables:
     s = staging
 
     def simple(col: str) -> DataFrame:
-        return (s.where(F.col(col).isNotNull()).groupBy(col)
-                .agg(F.max("load_id").alias("load_id")))
+        d = (s.where(F.col(col).isNotNull()).groupBy(col)
+             .agg(F.max("load_id").alias("load_id")))
+        return _one_per_key(d, [key_of(col)], [F.col(col)]) if col in FOLDED else d
 
     def named(key: str, name: str) -> DataFrame:
         # One row per id; several names → newest load, then greatest name.
-        return s.groupBy(key).agg(
-            F.max_by(F.col(name), F.struct("load_id", name)).alias(name),
-            F.max("load_id").alias("load_id"))
+        d = s.groupBy(key, name).agg(F.max("load_id").alias("load_id"))
+        return _one_per_key(d, [key_of(key)],
+                            [F.desc("load_id"), F.desc(name), F.desc(key)]).select(key, name, "load_id")
 
     def country() -> DataFrame:
-        # Seed rows (with the newest load that used them, else 0) plus codes
-        # the seed lacks (no name). Two joins against the 25-row seed, which is
-        # broadcast; no full outer join (that would shuffle both sides).
+        # Seed codes (load 0 unless a load used them) and the codes the seed
+        # lacks (no name); the 25-row seed is the broadcast side.
         codes = _union_distinct(s, [["origin_country"], ["destination_country"]],
                                 ["country_code"], non_null="country_code")
         seed = country_seed(spark)
-        known = (seed.join(codes, "country_code", "left")
-                 .select("country_code", "country_name",
-                         F.coalesce("load_id", F.lit(0).cast("bigint")).alias("load_id")))
-        new = (codes.join(seed, "country_code", "left_anti")
-               .select("country_code", F.lit(None).cast("string").alias("country_name"),
-                       "load_id"))
-        return known.unionByName(new)
+        every = codes.unionByName(seed.select("country_code", F.lit(0).cast("bigint").alias("load_id")))
+        newest = every.groupBy("country_code").agg(F.max("load_id").alias("load_id"))
+        return newest.join(seed, "country_code", "left").select("country_code", "country_name", "load_id")
 
     def times() -> DataFrame:
         t = _union_distinct(s, [["departure_time"], ["arrival_time"]], ["time_value"],
@@ -134,10 +150,11 @@ def build_dimensions(staging: DataFrame, spark: SparkSession) -> LazyTables:
                 .select("time_value", "p.hour", "p.minute", "p.second", "load_id"))
 
     def location() -> DataFrame:
-        return _union_distinct(
+        d = _union_distinct(
             s, [["origin_stop_name", "origin_country"],
                 ["destination_stop_name", "destination_country"]],
             ["stop_name", "country_code"])
+        return _one_per_key(d, [key_of("stop_name"), F.col("country_code")], [F.col("stop_name")])
 
     builders = {
         "dim_dataset": lambda: simple("dataset_id"),
@@ -170,7 +187,7 @@ DIM_KEYS = {
 
 def with_key(dim: str, df: DataFrame) -> DataFrame:
     name, keys = DIM_KEYS[dim]
-    return df.select(sk(*[F.col(k) for k in keys]).alias(name), *df.columns)
+    return df.select(sk(*[key_of(k) for k in keys]).alias(name), *df.columns)
 
 
 # Fact -----------------------------------------------------------------------
@@ -186,14 +203,14 @@ def build_fact(staging: DataFrame) -> DataFrame:
         sk(c("trip_id"), c("dataset_id")).alias("fact_sk"),
         sk(c("trip_id")).alias("trip_sk"),
         sk(c("dataset_id")).alias("dataset_sk"),
-        sk(c("route_id")).alias("route_sk"),
-        sk(c("agency_id")).alias("agency_sk"),
-        sk(c("service_type")).alias("service_sk"),
-        sk(c("train_type")).alias("train_type_sk"),
-        sk(c("traction")).alias("traction_sk"),
-        sk(c("origin_stop_name"), c("origin_country")).alias("origin_location_sk"),
+        sk(key_of("route_id")).alias("route_sk"),
+        sk(key_of("agency_id")).alias("agency_sk"),
+        sk(key_of("service_type")).alias("service_sk"),
+        sk(key_of("train_type")).alias("train_type_sk"),
+        sk(key_of("traction")).alias("traction_sk"),
+        sk(key_of("stop_name", "origin_stop_name"), c("origin_country")).alias("origin_location_sk"),
         sk(c("origin_country")).alias("origin_country_sk"),
-        sk(c("destination_stop_name"), c("destination_country")).alias("destination_location_sk"),
+        sk(key_of("stop_name", "destination_stop_name"), c("destination_country")).alias("destination_location_sk"),
         sk(c("destination_country")).alias("destination_country_sk"),
         sk(c("departure_time")).alias("departure_time_sk"),
         sk(c("arrival_time")).alias("arrival_time_sk"),
@@ -237,33 +254,63 @@ def orphan_countries(locations: DataFrame, countries: DataFrame) -> DataFrame:
 
 # Upserts --------------------------------------------------------------------
 
-def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list[str],
+def newest_per_key(rows: DataFrame, keys: list, newest: list[str]) -> DataFrame:
+    """One row per key: the newest; rows of one age are ordered by all their
+    values, so the choice never depends on the partitioning."""
+    rest = [c for c in rows.columns if c not in newest]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in [*newest, *rest]])
+    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list,
            newest: list[str]) -> DataFrame:
     """M1/M2: insert new keys, overwrite existing ones with the newest row.
 
-    union + ``row_number()`` over the key ordered newest first, ``= 1``.
-    Re-running the same load changes nothing. (A table format with MERGE
-    would do this in place; plain Parquet gets a rewritten, versioned path.)
-    """
+    The incoming rows are reduced to one per key also on a first load.
+    Re-running the same load changes nothing."""
+    both = incoming if existing is None else existing.unionByName(incoming)
+    return newest_per_key(both, keys, newest)
+
+
+FACT_KEY = ["trip_id", "dataset_id"]
+
+
+def upsert_facts(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
+    """M2 for the feeds of one load: their newest incoming rows, and the stored
+    rows of the same feeds that the load does not bring again. Only the narrow
+    key is compared; no stored row is sorted."""
+    new = newest_per_key(incoming, FACT_KEY, ["last_load_id", "last_loaded_at"])
     if existing is None:
-        return incoming
-    u = existing.unionByName(incoming)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in newest])
-    return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+        return new
+    feeds = new.select("dataset_id").distinct()
+    same = existing.join(feeds, "dataset_id", "left_semi")
+    kept = same.join(new.select(*FACT_KEY), FACT_KEY, "left_anti")
+    return new.unionByName(kept.select(*new.columns))
 
 
 def insert_ignore(existing: DataFrame | None, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """M4: keep existing rows; append only keys not present yet (left_anti)."""
+    """M4: keep existing rows; append only keys not present yet (left_anti), one
+    row per key (the first by value)."""
+    w = Window.partitionBy(*keys).orderBy(*incoming.columns)
+    once = incoming.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     if existing is None:
-        return incoming
-    return existing.unionByName(incoming.join(existing.select(*keys), keys, "left_anti"))
+        return once
+    return existing.unionByName(once.join(existing.select(*keys), keys, "left_anti"))
 
 
 @dataclass(frozen=True)
 class Warehouse:
+    """``changed``: the facts of the feeds that the last load touched (all of
+    them after a first load); storage rewrites only these."""
+
     dims: Mapping[str, DataFrame]
     fact: DataFrame
     staging: DataFrame
+    changed: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the persisted staging rows."""
+        self.staging.unpersist()
 
 
 def load_warehouse(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
@@ -274,17 +321,22 @@ def load_warehouse(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
     spark = summary.sparkSession
     # Staging is the one input of all ten dimensions and of the fact: persisted
     # (the role of the staging table in the source database), so each of them
-    # is a cheap aggregate over it instead of a re-run of the transform.
+    # is a cheap aggregate over it instead of a re-run of the transform. The
+    # caller releases it.
     staging = stage_rows(summary, load_id, str(loaded_at)).persist(StorageLevel.MEMORY_AND_DISK)
-    dims = build_dimensions(staging, spark)
-    fact = build_fact(staging)
-    if existing is not None:
-        new = dims
-        dims = LazyTables({k: (lambda k=k: upsert(existing.dims[k], new[k], [DIM_KEYS[k][0]],
-                                                  ["load_id"])) for k in DIM_KEYS})
-        fact = upsert(existing.fact, fact, ["trip_sk", "dataset_sk"],
-                      ["last_load_id", "last_loaded_at"])
-    return Warehouse(dims, fact, staging)
+    new = build_dimensions(staging, spark)
+    changed = upsert_facts(existing.fact if existing else None, build_fact(staging))
+    if existing is None:
+        return Warehouse(new, changed, staging, changed)
+
+    def merged(k: str) -> DataFrame:
+        return upsert(existing.dims[k], new[k], [key_of(c) for c in DIM_KEYS[k][1]], ["load_id"])
+
+    dims = LazyTables({k: (lambda k=k: merged(k)) for k in DIM_KEYS})
+    feeds = staging.select("dataset_id").distinct()
+    fact = changed.unionByName(existing.fact.join(feeds, "dataset_id", "left_anti")
+                               .select(*changed.columns))
+    return Warehouse(dims, fact, staging, changed)
 
 
 def materialize(wh: Warehouse, eager: bool = True) -> Warehouse:
@@ -293,4 +345,4 @@ def materialize(wh: Warehouse, eager: bool = True) -> Warehouse:
     recomputing the whole pipeline, and lost executors cost no recomputation."""
     return replace(wh, fact=wh.fact.checkpoint(eager),
                    dims={k: wh.dims[k].checkpoint(eager) for k in wh.dims},
-                   staging=wh.staging.checkpoint(eager))
+                   staging=wh.staging.checkpoint(eager), changed=None)

@@ -47,6 +47,11 @@ def tsec(x: str) -> str:
             f"(CASE WHEN len({p}) > 2 THEN {to_int(p + '[3]')} ELSE 0 END) END)")
 
 
+def folded(x: str) -> str:
+    """The text without case and accents (the source's collation)."""
+    return f"lower(strip_accents({x}))"
+
+
 def day_night(x: str) -> str:
     h = to_int(f"string_split({x}, ':')[1]")
     return (f"(CASE WHEN {h} IS NULL THEN 'INCONNU' WHEN {h} >= 22 OR {h} < 6 THEN 'NUIT' "
@@ -175,7 +180,7 @@ def valid_numeric(x: str) -> str:
     t = strip(x)
     return (f"(coalesce({t} <> '', false) AND NOT contains({t}, '/') AND "
             f"length({t}) - length(replace({t}, '-', '')) <= 1 AND "
-            f"TRY_CAST({t} AS DOUBLE) IS NOT NULL)")
+            f"regexp_matches({t}, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'))")
 
 
 def avg2(col: str) -> str:
@@ -322,6 +327,14 @@ def _reject() -> str:
     return "(CASE " + " ".join(parts) + " END)"
 
 
+def named_dim(name: str, key: str, label: str) -> str:
+    """One row per folded id: the greatest name, then the greatest id."""
+    return f"""{name} AS (SELECT {key}, {label}, folded FROM (SELECT *, row_number() OVER (
+            PARTITION BY folded ORDER BY {label} DESC, {key} DESC) AS rn FROM
+            (SELECT DISTINCT {key}, {label}, {folded(key)} AS folded FROM staging) d) x
+            WHERE rn = 1)"""
+
+
 LOAD_ID = 1
 LOADED_AT = "2025-01-01 00:00:00"
 
@@ -355,17 +368,17 @@ def warehouse_ctes() -> str:
         f"""dim_time AS (SELECT time_value, {hh} AS hour, {mm} AS minute, {ss} AS second FROM
             (SELECT departure_time AS time_value FROM staging WHERE departure_time IS NOT NULL
              UNION SELECT arrival_time FROM staging WHERE arrival_time IS NOT NULL) t)""",
-        """dim_location AS (SELECT DISTINCT stop_name, country_code FROM
+        f"""dim_location AS (SELECT min(stop_name) AS stop_name, country_code FROM
             (SELECT origin_stop_name AS stop_name, origin_country AS country_code FROM staging
-             UNION ALL SELECT destination_stop_name, destination_country FROM staging) t)""",
-        """dim_route AS (SELECT route_id, max(route_name) AS route_name FROM staging
-            GROUP BY route_id)""",
-        """dim_agency AS (SELECT agency_id, max(agency_name) AS agency_name FROM staging
-            GROUP BY agency_id)""",
+             UNION ALL SELECT destination_stop_name, destination_country FROM staging) t
+            GROUP BY {folded('stop_name')}, country_code)""",
+        named_dim("dim_route", "route_id", "route_name"),
+        named_dim("dim_agency", "agency_id", "agency_name"),
         # the fact with natural keys in place of surrogate keys
         """fact AS (SELECT s.*, dr.route_name AS dim_route_name,
             da.agency_name AS dim_agency_name, dc.country_name AS origin_country_name
-            FROM staging s JOIN dim_route dr USING (route_id) JOIN dim_agency da USING (agency_id)
+            FROM staging s JOIN dim_route dr ON dr.folded = lower(strip_accents(s.route_id))
+            JOIN dim_agency da ON da.folded = lower(strip_accents(s.agency_id))
             LEFT JOIN dim_country dc ON dc.country_code = s.origin_country)""",
     ])
 

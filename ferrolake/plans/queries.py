@@ -17,12 +17,12 @@ from ..functions import (clean_country, country_of_name, country_of_point, day_n
                          agency_id_of, route_title, time_to_seconds, transport_type)
 from ..operators import reports as R
 from ..operators import warehouse as W
-from ..operators.quality import sanitize_report, validate_rows
-from ..operators.stop_times import (TRIP_KEY, drop_shape_regressions, prepare_stop_times,
-                                    shape_flags, stop_coordinates)
+from ..operators.quality import country_offenders, sanitize, sanitize_report, validate_rows
+from ..operators.stop_times import (TRIP_KEY, prepare_stop_times, shape_falls, shape_flags,
+                                    stop_coordinates)
 from ..operators.trips import SUMMARY_COLUMNS, classify, enrich_trips, first_per_trip
-from ..sources.countries import country_seed
-from ..sources.driver_views import read_table
+from ..sources.countries import COUNTRIES, country_seed
+from ..sources.driver_views import raw_summary, raw_summary_sql, read_table
 from . import oracle as O
 from .pipeline import Pipeline, pipeline_for
 
@@ -32,6 +32,8 @@ ORACLE: dict[str, str] = {}
 
 # Fixed parameters of the registered report queries.
 SEARCH = dict(origin="zurich", min_distance=50.0, limit=50)
+SEARCH_ALL = dict(origin="PAR", destination="l", train_type="REGIONAL", min_distance=0.5,
+                  max_distance=100000.0, limit=50)
 REF_POINT = (48.8566, 2.3522)  # distance reference for the haversine query
 
 
@@ -90,9 +92,7 @@ def q_country_by_name(spark, sf_dir):
 @register("stop_country", O.with_pipeline(
     "SELECT stop_id, box_country AS country FROM labels"))
 def q_stop_country(spark, sf_dir):
-    s = _p(spark, sf_dir).feed.stops.select(
-        "stop_id", F.col("stop_lat").try_cast("double").alias("lat"),
-        F.col("stop_lon").try_cast("double").alias("lon"))
+    s = stop_coordinates(_p(spark, sf_dir).feed.stops)
     return s.select("stop_id", country_of_point("lat", "lon").alias("country"))
 
 
@@ -165,11 +165,9 @@ def q_prep_stop_times(spark, sf_dir):
     FROM st1 GROUP BY dataset_id"""))
 def q_shape_monotonic(spark, sf_dir):
     st = prepare_stop_times(_p(spark, sf_dir).feed.stop_times)
-    kept = drop_shape_regressions(st).groupBy("dataset_id").agg(
-        F.count(F.lit(1)).alias("kept_rows"))
-    total = st.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
-    return total.join(kept, "dataset_id").select(
-        "dataset_id", (F.col("n") - F.col("kept_rows")).alias("dropped_rows"), "kept_rows")
+    falls = shape_falls(st)
+    return falls.groupBy("dataset_id").agg(
+        F.count_if("falls").alias("dropped_rows"), F.count_if(~F.col("falls")).alias("kept_rows"))
 
 
 def _facts(spark, sf_dir):
@@ -289,7 +287,8 @@ ALLROWS_SQL = f"""allrows AS (SELECT *, {SANITIZE_RULES_SQL} AS rule0 FROM
 
 @register("sanitize_report", O.with_pipeline(
     """SELECT dataset_id, rule, count(*) AS rows FROM ruled WHERE rule IS NOT NULL
-    GROUP BY dataset_id, rule""",
+    GROUP BY dataset_id, rule UNION ALL SELECT dataset_id, 'total_removed', count(*)
+    FROM ruled WHERE rule IS NOT NULL GROUP BY dataset_id""",
     extra=[ALLROWS_SQL, """ruled AS (SELECT dataset_id, CASE WHEN rule0 IS NULL AND row_number()
       OVER (PARTITION BY dataset_id, trip_id, rule0 ORDER BY file_row, cal_row) > 1
       THEN 'duplicate_trip_id' ELSE rule0 END AS rule FROM allrows)"""]))
@@ -329,14 +328,49 @@ def q_stage_rows(spark, sf_dir):
     return _p(spark, sf_dir).warehouse.staging
 
 
-@register("country_offenders", O.with_pipeline(
-    """SELECT dataset_id, trip_id, origin_country, CAST(length(origin_country) AS INTEGER)
-    AS origin_len, destination_country, CAST(length(destination_country) AS INTEGER) AS dest_len
-    FROM summary
-    WHERE length(origin_country) > 30 OR length(destination_country) > 30"""))
+# Rows that break every rule somewhere (the timetable views cannot): P3-P7, P12, J14.
+RAW = f"WITH {raw_summary_sql()}"
+
+
+@register("sanitize_raw_rows", f"""{RAW}, ruled AS (SELECT *, CASE
+    WHEN trip_id IS NULL OR trim(trip_id) = '' THEN 'missing_trip_id'
+    WHEN coalesce(duration_h <= 0, true) THEN 'invalid_duration'
+    WHEN coalesce(distance_km < 0, true) THEN 'invalid_distance'
+    WHEN coalesce(origin_stop_name = destination_stop_name, false)
+      THEN 'same_origin_destination' END AS rule FROM rawsum)
+    SELECT trip_id, duration_h, distance_km, origin_stop_name, destination_stop_name,
+    CASE WHEN emission_gco2e_pkm >= 0 THEN emission_gco2e_pkm END AS emission_gco2e_pkm,
+    CASE WHEN total_emission_kgco2e >= 0 THEN total_emission_kgco2e END AS total_emission_kgco2e
+    FROM ruled WHERE rule IS NULL""")
+def q_sanitize_raw_rows(spark, sf_dir):
+    return sanitize(raw_summary(spark, sf_dir)).select(
+        "trip_id", "duration_h", "distance_km", "origin_stop_name", "destination_stop_name",
+        "emission_gco2e_pkm", "total_emission_kgco2e")
+
+
+@register("sanitize_raw_report", f"""{RAW}, rules AS (SELECT *, CASE
+    WHEN trip_id IS NULL OR trim(trip_id) = '' THEN 'missing_trip_id'
+    WHEN coalesce(duration_h <= 0, true) THEN 'invalid_duration'
+    WHEN coalesce(distance_km < 0, true) THEN 'invalid_distance'
+    WHEN coalesce(origin_stop_name = destination_stop_name, false)
+      THEN 'same_origin_destination' END AS rule0 FROM rawsum),
+    ruled AS (SELECT *, CASE WHEN rule0 IS NULL AND row_number() OVER (
+      PARTITION BY dataset_id, trip_id, rule0 ORDER BY file_row, cal_row) > 1
+      THEN 'duplicate_trip_id' ELSE rule0 END AS rule FROM rules)
+    SELECT dataset_id, rule, count(*) AS rows FROM ruled WHERE rule IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT dataset_id, 'total_removed', count(*) FROM ruled WHERE rule IS NOT NULL
+    GROUP BY dataset_id""")
+def q_sanitize_raw_report(spark, sf_dir):
+    report = sanitize_report(raw_summary(spark, sf_dir))
+    return report.where("rule <> 'negative_emission_nulled'")
+
+
+@register("country_offenders", f"""{RAW} SELECT dataset_id, trip_id, origin_country,
+    CAST(length(origin_country) AS INTEGER) AS origin_len, destination_country,
+    CAST(length(destination_country) AS INTEGER) AS dest_len FROM rawsum
+    WHERE length(origin_country) > 30 OR length(destination_country) > 30""")
 def q_country_offenders(spark, sf_dir):
-    from ..operators.quality import country_offenders
-    return country_offenders(_p(spark, sf_dir).summary)
+    return country_offenders(raw_summary(spark, sf_dir))
 
 
 def _dim(spark, sf_dir, name, cols):
@@ -368,8 +402,8 @@ DIM_KEY_SQL = " UNION ALL ".join(
     for name, sql in [
         ("dim_dataset", "SELECT DISTINCT dataset_id FROM staging"),
         ("dim_trip", "SELECT DISTINCT trip_id FROM staging"),
-        ("dim_route", "SELECT DISTINCT route_id FROM staging"),
-        ("dim_agency", "SELECT DISTINCT agency_id FROM staging"),
+        ("dim_route", "SELECT * FROM dim_route"),
+        ("dim_agency", "SELECT * FROM dim_agency"),
         ("dim_service_type", "SELECT DISTINCT service_type FROM staging"),
         ("dim_train_type", "SELECT DISTINCT train_type FROM staging"),
         ("dim_traction", "SELECT DISTINCT traction FROM staging"),
@@ -419,20 +453,25 @@ def q_build_fact_strict(spark, sf_dir):
 
 
 @register("trip_view", O.with_warehouse(
-    """SELECT trip_id, dim_route_name AS route_name, dim_agency_name AS agency_name, service_type,
-    origin_stop_name AS origin, destination_stop_name AS destination, departure_time,
-    arrival_time, distance_km, duration_h FROM fact
-    WHERE departure_time IS NOT NULL AND arrival_time IS NOT NULL"""))
+    """SELECT dataset_id || ':' || trip_id AS fact_id, trip_id, dim_route_name AS route_name,
+    dim_agency_name AS agency_name, service_type, origin_stop_name AS origin,
+    destination_stop_name AS destination, departure_time, arrival_time, distance_km, duration_h
+    FROM fact WHERE departure_time IS NOT NULL AND arrival_time IS NOT NULL"""))
 def q_trip_view(spark, sf_dir):
-    return R.trip_view(_p(spark, sf_dir).warehouse)
+    R.trip_view(_p(spark, sf_dir).warehouse, view="trip_view")
+    return spark.table("trip_view")
 
 
-@register("orphan_countries", O.with_warehouse(
-    """SELECT DISTINCT l.country_code FROM dim_location l WHERE l.country_code IS NOT NULL
-    AND l.country_code NOT IN (SELECT country_code FROM seed)"""))
+@register("orphan_countries", f"""{RAW} SELECT DISTINCT c AS country_code FROM
+    (SELECT {O.clean_country('origin_country')} AS c FROM rawsum
+     UNION SELECT {O.clean_country('destination_country')} FROM rawsum) t
+    WHERE c IS NOT NULL AND c NOT IN ({', '.join(O.q(c) for c, _ in COUNTRIES)})""")
 def q_orphan_countries(spark, sf_dir):
-    wh = _p(spark, sf_dir).warehouse
-    return W.orphan_countries(wh.dims["dim_location"], country_seed(spark))
+    raw = raw_summary(spark, sf_dir)
+    places = raw.select("origin_stop_name", "origin_country").union(
+        raw.select("destination_stop_name", "destination_country")).toDF("stop_name", "raw")
+    places = places.select("stop_name", clean_country(F.col("raw")).alias("country_code"))
+    return W.orphan_countries(places, country_seed(spark))
 
 
 def _two_loads(spark, sf_dir):
@@ -444,25 +483,34 @@ def _two_loads(spark, sf_dir):
 
 
 @register("upsert_fact", O.with_warehouse(
-    """SELECT dataset_id, CAST(CASE WHEN dataset_id = 'ds1' THEN 2 ELSE 1 END AS BIGINT)
-    AS last_load_id, count(*) AS facts FROM staging GROUP BY ALL"""))
+    """SELECT trip_id, dataset_id, CAST(CASE WHEN dataset_id = 'ds1' THEN 2 ELSE 1 END AS BIGINT)
+    AS last_load_id, distance_km, duration_h, emission_gco2e_pkm, total_emission_kgco2e,
+    frequency_per_week FROM staging"""))
 def q_upsert_fact(spark, sf_dir):
-    f = _two_loads(spark, sf_dir).fact
-    return f.groupBy("dataset_id", "last_load_id").agg(F.count(F.lit(1)).alias("facts"))
+    """Every feed loaded with each row sent twice, then feed ds1 sent again."""
+    p = _p(spark, sf_dir)
+    twice = p.summary.unionAll(p.summary)
+    first = W.load_warehouse(twice, 1, "2025-01-01 00:00:00")
+    again = p.summary.where(F.col("source_dataset") == "ds1")
+    f = W.load_warehouse(again, 2, "2025-01-02 00:00:00", existing=first).fact
+    return f.select("trip_id", "dataset_id", "last_load_id", *W.MEASURES, "frequency_per_week")
 
 
 @register("upsert_dim", O.with_warehouse(
-    """SELECT route_id, coalesce(max(route_name) FILTER (WHERE dataset_id = 'ds1'),
-    max(route_name)) AS route_name,
-    CAST(CASE WHEN bool_or(dataset_id = 'ds1') THEN 2 ELSE 1 END AS BIGINT) AS load_id
-    FROM staging GROUP BY route_id"""))
+    """SELECT route_id, route_name, load_id FROM (SELECT route_id, route_name,
+    CAST(load AS BIGINT) AS load_id, row_number() OVER (PARTITION BY lower(strip_accents(route_id))
+    ORDER BY load DESC, route_name DESC, route_id DESC) AS rn FROM
+    (SELECT route_id, route_name, max(CASE WHEN dataset_id = 'ds1' THEN 2 ELSE 1 END) AS load
+     FROM staging GROUP BY ALL) a) x WHERE rn = 1"""))
 def q_upsert_dim(spark, sf_dir):
     return _two_loads(spark, sf_dir).dims["dim_route"].select("route_id", "route_name", "load_id")
 
 
 @register("insert_ignore_dim", O.with_warehouse(
-    """SELECT route_id, coalesce(max(route_name) FILTER (WHERE dataset_id = 'ds0'),
-    max(route_name)) AS route_name FROM staging GROUP BY route_id"""))
+    """SELECT route_id, route_name FROM (SELECT route_id, route_name, row_number() OVER (
+    PARTITION BY lower(strip_accents(route_id)) ORDER BY old DESC, route_name DESC, route_id DESC)
+    AS rn FROM (SELECT route_id, route_name, bool_or(dataset_id = 'ds0') AS old FROM staging
+    GROUP BY ALL) a) x WHERE rn = 1"""))
 def q_insert_ignore_dim(spark, sf_dir):
     st = _p(spark, sf_dir).warehouse.staging
     a = W.build_dimensions(st.where("dataset_id = 'ds0'"), spark)["dim_route"]
@@ -477,8 +525,8 @@ SUM = O.sum2
 
 
 @register("overview", O.with_warehouse(
-    f"""SELECT count(DISTINCT trip_id) AS total_trips, count(DISTINCT route_id) AS total_routes,
-    count(DISTINCT agency_id) AS total_agencies, {SUM('distance_km')} AS total_distance_km,
+    f"""SELECT count(DISTINCT trip_id) AS total_trips, count(DISTINCT lower(strip_accents(route_id)))
+    AS total_routes, count(DISTINCT lower(strip_accents(agency_id))) AS total_agencies, {SUM('distance_km')} AS total_distance_km,
     {SUM('total_emission_kgco2e')} AS total_emissions_kg, {AVG('distance_km')} AS avg_distance_km,
     {AVG('duration_h')} AS avg_duration_h, {AVG('emission_gco2e_pkm')} AS avg_emission_per_km
     FROM fact"""))
@@ -571,22 +619,38 @@ def q_latest_per_trip(spark, sf_dir):
     return R.latest_per_trip(f).select("trip_id", "dataset_id", "distance_km", "last_load_id")
 
 
-SEARCH_SQL = f"""search AS (SELECT trip_id, dataset_id, distance_km, duration_h,
+def search_sql(where: str) -> str:
+    """The search as SQL: filters, then the newest fact per trip id, then the cut."""
+    return f"""search AS (SELECT trip_id, dataset_id, distance_km, duration_h,
     total_emission_kgco2e, frequency_per_week, loaded_at AS last_loaded_at,
     dim_route_name AS route_name, dim_agency_name AS agency_name,
     origin_stop_name AS origin, destination_stop_name AS destination, origin_country,
     destination_country, departure_time, arrival_time, train_type, traction, service_type,
-    {LABEL_SQL} AS service_label FROM fact
-    WHERE contains(lower(strip_accents(origin_stop_name)), lower(strip_accents({O.q(SEARCH['origin'])})))
-      AND distance_km >= {SEARCH['min_distance']}
+    {LABEL_SQL} AS service_label FROM (SELECT *, row_number() OVER (PARTITION BY trip_id
+      ORDER BY loaded_at DESC, dataset_id DESC) AS rn FROM fact WHERE {where}) f WHERE rn = 1
     ORDER BY distance_km DESC, trip_id, dataset_id LIMIT {SEARCH['limit']})"""
 
 
+SEARCH_SQL = search_sql(
+    f"contains({O.folded('origin_stop_name')}, {O.folded(O.q(SEARCH['origin']))}) "
+    f"AND distance_km >= {SEARCH['min_distance']}")
+SEARCH_ALL_SQL = search_sql(
+    f"contains({O.folded('origin_stop_name')}, {O.folded(O.q(SEARCH_ALL['origin']))}) "
+    f"AND contains({O.folded('destination_stop_name')}, {O.folded(O.q(SEARCH_ALL['destination']))}) "
+    f"AND {O.folded('train_type')} = {O.folded(O.q(SEARCH_ALL['train_type']))} "
+    f"AND distance_km BETWEEN {SEARCH_ALL['min_distance']} AND {SEARCH_ALL['max_distance']}")
+
+
 @register("search_trips", O.with_warehouse("SELECT * FROM search", extra=[SEARCH_SQL]))
 def q_search_trips(spark, sf_dir):
     return R.search_trips(_p(spark, sf_dir).warehouse, **SEARCH)
 
 
+@register("search_trips_all_filters", O.with_warehouse("SELECT * FROM search", extra=[SEARCH_ALL_SQL]))
+def q_search_trips_all_filters(spark, sf_dir):
+    return R.search_trips(_p(spark, sf_dir).warehouse, **SEARCH_ALL)
+
+
 @register("trip_labels", f"""WITH {O.warehouse_ctes()},
 {SEARCH_SQL}
 SELECT trip_id, dataset_id,
@@ -629,9 +693,10 @@ def q_top_countries(spark, sf_dir):
 
 @register("stops_per_country", O.with_pipeline(
     f"""SELECT country, stop_count, {O.rnd('stop_count * 100.0 / valid_stops', 2)}
-    AS pct_of_valid_stops FROM
+    AS pct_of_valid_stops, {O.rnd('mapped * 100.0 / valid_stops', 2)} AS mapped_pct FROM
     (SELECT box_country AS country, count(*) AS stop_count,
-       sum(count(*)) OVER () AS valid_stops
+       sum(count(*)) OVER () AS valid_stops,
+       sum(count(*)) FILTER (WHERE box_country IS NOT NULL) OVER () AS mapped
      FROM (SELECT {O.box_country('lat', 'lon')} AS box_country FROM coords
            WHERE lat IS NOT NULL AND lon IS NOT NULL AND stop_id IS NOT NULL) s
      GROUP BY box_country) t

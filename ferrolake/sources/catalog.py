@@ -22,7 +22,7 @@ HISTORY_WINDOW = 5
 GTFS_FORMAT = "GTFS"
 
 
-def catalog_latest(answers: DataFrame) -> DataFrame:
+def catalog_latest(answers: DataFrame, window: int = HISTORY_WINDOW) -> DataFrame:
     """Per catalogue answer, the newest usable GTFS resource.
 
     ``answers``: one row per answer with ``source_url`` and ``history``
@@ -32,14 +32,14 @@ def catalog_latest(answers: DataFrame) -> DataFrame:
     dates fall back from the payload to the entry."""
     h = answers.select("source_url", F.posexplode("history").alias("pos", "item"))
     p = F.col("item.payload")
-    ok = ((F.col("pos") < HISTORY_WINDOW) & (p["format"] == GTFS_FORMAT)
+    ok = ((F.col("pos") < window) & (p["format"] == GTFS_FORMAT)
           & (F.coalesce(p["permanent_url"], F.lit("")) != "")
           & (F.coalesce(p["filename"], F.lit("")) != ""))
     pick = F.struct(
         p["permanent_url"].alias("url"), p["filename"].alias("filename"),
         F.coalesce(p["dataset_id"], F.lit("")).alias("dataset_id"),
-        F.coalesce(p["created_at"], F.col("item.created_at")).alias("created_at"),
-        F.coalesce(p["updated_at"], F.col("item.updated_at")).alias("updated_at"),
+        F.coalesce(F.nullif(p["created_at"], F.lit("")), F.col("item.created_at")).alias("created_at"),
+        F.coalesce(F.nullif(p["updated_at"], F.lit("")), F.col("item.updated_at")).alias("updated_at"),
         p["format"].alias("format"))
     best = h.where(ok).groupBy("source_url").agg(F.min_by(pick, F.col("pos")).alias("r"))
     return best.select("r.url", "r.filename", "source_url", "r.dataset_id", "r.created_at",

@@ -25,9 +25,3 @@ def country_seed(spark: SparkSession) -> DataFrame:
     is always safe to broadcast."""
     return F.broadcast(spark.createDataFrame(COUNTRIES, "country_code string, country_name string"))
 
-
-def seed_missing(existing: DataFrame, spark: SparkSession) -> DataFrame:
-    """Insert-if-absent: existing country rows plus seed rows whose code is new."""
-    seed = country_seed(spark)
-    new = seed.join(existing.select("country_code"), "country_code", "left_anti")
-    return existing.unionByName(new, allowMissingColumns=True)

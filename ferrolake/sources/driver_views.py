@@ -25,9 +25,11 @@ STOPS_SQL = {
     "stop_id": f"concat('S', {_s('s_suppkey')})",
     "stop_name": (
         "concat(CASE s_suppkey % 10 WHEN 0 THEN 'Paris' WHEN 1 THEN 'Lyon' WHEN 2 THEN 'Berlin' "
-        "WHEN 3 THEN 'Zürich HB' WHEN 4 THEN 'Milano' WHEN 5 THEN 'Madrid' WHEN 6 THEN 'Unknown' "
+        # Two spellings of one name: places are compared without case and accents.
+        "WHEN 3 THEN (CASE WHEN s_suppkey % 20 = 3 THEN 'Zürich HB' ELSE 'ZURICH hb' END) "
+        "WHEN 4 THEN 'Milano' WHEN 5 THEN 'Madrid' WHEN 6 THEN 'Unknown' "
         "WHEN 7 THEN 'Wien' WHEN 8 THEN 'Lisboa' ELSE 'Praha' END, ' ', "
-        f"{_s('CAST(floor(s_suppkey / 10) AS INT)')})"),
+        f"{_s('CAST(floor(s_suppkey / 20) AS INT)')})"),
     "stop_lat": ("CASE WHEN s_suppkey % 11 = 7 THEN NULL "
                  "ELSE CAST(3400 + ((s_suppkey * 7919) % 3600) AS DOUBLE) / 100 END"),
     "stop_lon": ("CASE WHEN s_suppkey % 13 = 9 THEN NULL "
@@ -36,12 +38,13 @@ STOPS_SQL = {
 
 AGENCY_SQL = {
     "agency_id": f"concat('A', {_s('n_nationkey')})",
-    "agency_name": ("CASE n_nationkey % 6 WHEN 0 THEN 'SNCF' WHEN 1 THEN 'DB:Fernverkehr' "
-                    "WHEN 2 THEN 'OBB NIGHTJET' WHEN 3 THEN 'Regio Nord' "
+    "agency_name": ("CASE n_nationkey % 6 WHEN 0 THEN (CASE WHEN n_nationkey % 12 = 0 "
+                    "THEN 'SNCF' ELSE 'Sncf' END) WHEN 1 THEN 'DB:Fernverkehr' "
+                    "WHEN 2 THEN (CASE WHEN n_nationkey % 12 = 2 THEN 'OBB NIGHTJET' "
+                    "ELSE 'ÖBB Nightjet' END) WHEN 3 THEN 'Regio Nord' "
                     "WHEN 4 THEN 'Compagnie X' ELSE NULL END"),
 }
 
-ROUTES_FILTER = "c_custkey < 100"
 ROUTES_SQL = {
     "route_id": f"concat('R', {_s('c_custkey')})",
     "agency_id": f"concat('A', {_s('c_nationkey')})",
@@ -58,7 +61,6 @@ ROUTES_SQL = {
 
 CALENDAR_BASE_SQL = ("SELECT DISTINCT substr(o_orderpriority, 1, 1) AS p, o_orderstatus AS st "
                      "FROM orders")
-CALENDAR_FILTER = "NOT (p = '5' AND st = 'P')"
 CALENDAR_SQL = {
     "service_id": "concat(p, st)",
     "monday": "CASE WHEN p IN ('1', '2', '3') THEN '1' ELSE '0' END",
@@ -73,16 +75,21 @@ CALENDAR_DUPLICATE = "3F"  # service added twice to exercise the join fan-out
 
 TRIPS_SQL = {
     "dataset_id": f"concat('ds', {_s('o_orderkey % 3')})",
-    "trip_id": f"CASE WHEN o_orderkey % 97 = 5 THEN '  ' ELSE {_s('o_orderkey')} END",
-    "route_id": f"concat('R', {_s('o_custkey % 110')})",
-    "service_id": "concat(substr(o_orderpriority, 1, 1), o_orderstatus)",
+    # The same trip id occurs in every feed.
+    "trip_id": (f"CASE WHEN o_orderkey % 97 = 5 THEN '  ' "
+                f"ELSE {_s('CAST(floor(o_orderkey / 3) AS BIGINT)')} END"),
+    # Some trips name a route or a service that does not exist (join misses).
+    "route_id": (f"CASE WHEN o_orderkey % 89 = 7 THEN concat('X', {_s('o_custkey')}) "
+                 f"ELSE concat('R', {_s('o_custkey')}) END"),
+    "service_id": ("CASE WHEN o_orderkey % 83 = 11 THEN '9X' "
+                   "ELSE concat(substr(o_orderpriority, 1, 1), o_orderstatus) END"),
     "file_row": "o_orderkey",
 }
 
 STOP_TIMES_CLOCK = ("CAST(((l_orderkey * 611) % 1440) + l_linenumber * 35 + l_partkey % 7 AS INT)")
 STOP_TIMES_SQL = {
     "dataset_id": f"concat('ds', {_s('l_orderkey % 3')})",
-    "trip_id": _s("l_orderkey"),
+    "trip_id": _s("CAST(floor(l_orderkey / 3) AS BIGINT)"),
     "stop_id": f"concat('S', {_s('l_suppkey')})",
     "stop_sequence": f"CASE WHEN l_partkey % 101 = 3 THEN 'x' ELSE {_s('l_linenumber')} END",
     "departure_time": (
@@ -103,6 +110,39 @@ STOP_TIMES_SQL = {
 STOP_TIMES_ORDER = ["l_partkey", "l_suppkey", "l_linenumber"]
 
 
+# Summary-shaped rows over the whole of lineitem and part that break every
+# clean-up rule somewhere: blank ids, durations and distances at or below zero,
+# negative emissions, equal ends, over-long country texts and unknown codes.
+RAW_SUMMARY_SQL = {
+    "dataset_id": f"concat('ds', {_s('l_orderkey % 3')})",
+    "trip_id": ("CASE WHEN l_partkey % 53 = 1 THEN NULL WHEN l_partkey % 59 = 2 THEN '   ' "
+                f"ELSE {_s('l_orderkey')} END"),
+    "duration_h": ("CASE WHEN l_suppkey % 31 = 4 THEN NULL "
+                   "ELSE (l_linenumber - 2) / 4e0 END"),
+    "distance_km": "CASE WHEN l_suppkey % 37 = 5 THEN NULL ELSE l_quantity - 5e0 END",
+    "emission_gco2e_pkm": "round(l_discount * 100 - 2e0, 2)",
+    "total_emission_kgco2e": "round(l_tax * 100 - 1e0, 3)",
+    "origin_stop_name": "p_name",
+    "destination_stop_name": "CASE WHEN l_linenumber = 4 THEN p_name ELSE p_brand END",
+    "origin_country": ("CASE WHEN l_partkey % 7 = 0 THEN concat(p_type, ' ', p_brand, ' ', p_name, ' ', p_name) "
+                       "WHEN l_partkey % 7 = 1 THEN NULL ELSE p_type END"),
+    "destination_country": "CASE WHEN l_partkey % 5 = 0 THEN 'FR' ELSE p_name END",
+    "file_row": "l_partkey * 100000000 + l_suppkey * 1000 + l_linenumber",
+    "cal_row": "CAST(0 AS BIGINT)",
+}
+
+
+def raw_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary-shaped rows of ``RAW_SUMMARY_SQL`` as a DataFrame."""
+    li, part = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part")
+    return _sel(li.join(part, li["l_partkey"] == part["p_partkey"]), RAW_SUMMARY_SQL)
+
+
+def raw_summary_sql() -> str:
+    cols = ", ".join(f"{v} AS {k}" for k, v in RAW_SUMMARY_SQL.items())
+    return f"rawsum AS (SELECT {cols} FROM lineitem JOIN part ON l_partkey = p_partkey)"
+
+
 @dataclass(frozen=True)
 class Feed:
     """One DataFrame per GTFS file, all feeds of a run stacked together.
@@ -133,10 +173,10 @@ def feed_from_driver(spark: SparkSession, sf_dir: str) -> Feed:
     t = lambda n: read_table(spark, sf_dir, n)
     stops = _sel(t("supplier"), STOPS_SQL)
     agency = _sel(t("nation"), AGENCY_SQL)
-    routes = _sel(t("customer").where(ROUTES_FILTER), ROUTES_SQL)
+    routes = _sel(t("customer"), ROUTES_SQL)
     base = (t("orders").select(F.substring("o_orderpriority", 1, 1).alias("p"),
                                F.col("o_orderstatus").alias("st"))
-            .distinct().where(CALENDAR_FILTER))
+            .distinct())
     cal = _sel(base, CALENDAR_SQL)
     calendar = cal.unionAll(cal.where(F.col("service_id") == CALENDAR_DUPLICATE))
     calendar = calendar.withColumn("file_row", F.lit(0).cast("bigint"))
@@ -153,11 +193,11 @@ def oracle_views_sql() -> str:
     def sel(exprs: dict[str, str]) -> str:
         return ", ".join(f"{v} AS {k}" for k, v in exprs.items())
 
-    cal = f"SELECT {sel(CALENDAR_SQL)} FROM ({CALENDAR_BASE_SQL}) q WHERE {CALENDAR_FILTER}"
+    cal = f"SELECT {sel(CALENDAR_SQL)} FROM ({CALENDAR_BASE_SQL}) q"
     return ",\n".join([
         f"v_stops AS (SELECT {sel(STOPS_SQL)} FROM supplier)",
         f"v_agency AS (SELECT {sel(AGENCY_SQL)} FROM nation)",
-        f"v_routes AS (SELECT {sel(ROUTES_SQL)} FROM customer WHERE {ROUTES_FILTER})",
+        f"v_routes AS (SELECT {sel(ROUTES_SQL)} FROM customer)",
         f"v_cal0 AS ({cal})",
         "v_calendar AS (SELECT * FROM v_cal0 UNION ALL "
         f"SELECT * FROM v_cal0 WHERE service_id = '{CALENDAR_DUPLICATE}')",
