@@ -14,16 +14,17 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators import reports as R
-from ..operators.trips import trips_summary
+from ..operators.stop_times import trip_facts
+from ..operators.trips import trip_rows, trips_summary
 from ..operators.warehouse import load_warehouse
-from ..sources.driver_views import Feed
-from ..sources.gtfs import read_feeds, skip_existing
+from ..sources.gtfs import read_feeds
 from .pipeline import write_summary
+from ..session import job_session
 from .store import latest_warehouse, now, versions, write_version
 
 REPORTS = {
@@ -35,24 +36,28 @@ REPORTS = {
 }
 
 
-def _processed(spark: SparkSession, summary_path: str) -> DataFrame | None:
+def _processed(spark: SparkSession, summary_path: str) -> set[str]:
+    """Feeds that have output: the summary's partition folders, no data column."""
     try:
         s = spark.read.parquet(summary_path)
     except AnalysisException:
-        return None
-    return s.select(F.col("source_dataset").alias("dataset_id")).distinct()
+        return set()
+    return {str(r[0]) for r in s.select("part_dataset").distinct().collect()}
 
 
 def transform(spark: SparkSession, feeds_root: str, summary_path: str,
               skip_done: bool = True) -> None:
-    """Entry 1: every landed feed → trips summary table (partition per feed)."""
-    feed = read_feeds(spark, feeds_root)
-    done = _processed(spark, summary_path) if skip_done else None
-    if done is not None:
-        feed = Feed(*[skip_existing(t, done) for t in
-                      (feed.stops, feed.agency, feed.routes, feed.calendar, feed.trips,
-                       feed.stop_times)])
-    write_summary(trips_summary(feed), summary_path)
+    """Entry 1: every landed feed → trips summary table (partition per feed).
+    Feeds that have output already are left out before any file is parsed."""
+    done = _processed(spark, summary_path) if skip_done else set()
+    feed = read_feeds(spark, feeds_root, skip=done)
+    facts = trip_facts(feed.stop_times, feed.stops).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = trip_rows(feed, facts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_summary(trips_summary(feed, rows), summary_path)
+    finally:
+        rows.unpersist()
+        facts.unpersist()
 
 
 def load(spark: SparkSession, summary_path: str, warehouse_root: str) -> int:
@@ -64,8 +69,9 @@ def load(spark: SparkSession, summary_path: str, warehouse_root: str) -> int:
     done = versions(spark, warehouse_root)
     version = (done[-1] + 1) if done else 1
     wh = load_warehouse(summary, load_id=version, loaded_at=now(spark), existing=existing)
-    write_version(spark, wh, warehouse_root, version)
-    return version
+    written = write_version(spark, wh, warehouse_root)
+    wh.release()
+    return written
 
 
 def report(spark: SparkSession, warehouse_root: str, name: str, **params) -> DataFrame:
@@ -91,7 +97,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--name", required=True, choices=sorted(REPORTS))
     r.add_argument("--out", required=True)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.getOrCreate()
+    spark = job_session()
     if a.cmd == "transform":
         transform(spark, a.feeds, a.summary, skip_done=not a.all)
     elif a.cmd == "load":

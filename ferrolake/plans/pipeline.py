@@ -3,12 +3,11 @@
 ``transform``: GTFS feeds → trips summary (one row per feed × trip).
 ``load``: trips summary → staging → star schema (dimensions + fact).
 Nothing here collects to the driver: each step returns DataFrames and Spark
-runs the whole chain as one plan (or as stored tables, see ``write_*``).
+runs the whole chain as one plan (or as stored tables, see ``store``).
 """
 
 from __future__ import annotations
 
-import weakref
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -26,10 +25,10 @@ from ..sources.driver_views import Feed, feed_from_driver
 class Pipeline:
     """Lazy handles on every stage for one input folder.
 
-    Only *plans* are kept here; data is read from the parquet tables when a
-    query runs. The fan-out points (per-trip facts, joined trip rows, staging) are
-    persisted, and re-registered on every access so that a cleared cache is
-    rebuilt instead of silently bypassed."""
+    The fan-out points (per-trip facts, joined trip rows, staging) are persisted:
+    a later query of the same pipeline reads them from Spark's cache, not from
+    the files. They are re-registered on every access so that a cleared cache is
+    rebuilt instead of silently bypassed; ``release`` drops them."""
 
     spark: SparkSession
     sf_dir: str
@@ -80,32 +79,21 @@ class Pipeline:
             self._warehouse.staging.unpersist()
 
 
-def release_pipelines(spark: SparkSession) -> None:
-    """Unpersist and forget every memoized pipeline of a session."""
-    for p in _PIPELINES.pop(spark, {}).values():
-        p.release()
-
-
 def _keep_cached(df: DataFrame) -> None:
     if df.storageLevel == StorageLevel(False, False, False, False, 1):  # not cached any more
         df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-_PIPELINES: "weakref.WeakKeyDictionary[SparkSession, dict[str, Pipeline]]" = \
-    weakref.WeakKeyDictionary()
-
-
 def pipeline_for(spark: SparkSession, sf_dir: str) -> Pipeline:
-    """The (memoized) lazy pipeline of one session and input folder: building
-    the ~60-operator plan costs seconds of analysis, so queries share it.
-    Plans only — data is re-read whenever a query runs. A stopped session's
-    plans are never reused (the entry dies with the session object, and the
-    SparkContext is checked)."""
-    per = _PIPELINES.setdefault(spark, {})
+    """The lazy pipeline of one session and input folder: building the
+    ~60-operator plan costs seconds of analysis, so queries share it. It is kept
+    on the session object and ends with it; a stopped session's plans are never
+    reused."""
+    kept = spark.__dict__.setdefault("_ferrolake_pipelines", {})
     key = sf_dir.rstrip("/")
-    p = per.get(key)
+    p = kept.get(key)
     if p is None or p.spark.sparkContext is not spark.sparkContext:
-        p = per[key] = Pipeline(spark, sf_dir)
+        p = kept[key] = Pipeline(spark, sf_dir)
     return p
 
 
@@ -115,16 +103,3 @@ def write_summary(summary: DataFrame, path: str) -> None:
     (summary.withColumn("part_dataset", summary["source_dataset"])
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("part_dataset").parquet(path))
-
-
-def write_warehouse(wh: Warehouse, root: str) -> None:
-    """Store the star schema as Parquet (fact partitioned by load)."""
-    for name in wh.dims:
-        wh.dims[name].write.mode("overwrite").parquet(f"{root}/{name}")
-    wh.fact.write.mode("overwrite").partitionBy("last_load_id").parquet(f"{root}/fact_trip_summary")
-
-
-def read_warehouse(spark: SparkSession, root: str, staging: DataFrame) -> Warehouse:
-    from ..operators.warehouse import DIM_KEYS
-    dims = {name: spark.read.parquet(f"{root}/{name}") for name in DIM_KEYS}
-    return Warehouse(dims, spark.read.parquet(f"{root}/fact_trip_summary"), staging)

@@ -1,38 +1,72 @@
 """Versioned warehouse storage on shared storage (plain Parquet, no MERGE).
 
-Each load writes a complete new version ``<root>/v=<n>`` (dimensions, staging,
-fact) and marks it finished last; readers take the highest finished
-version. Re-running a load with the same version number rewrites that folder,
-so a retried job is idempotent; older versions stay readable until removed by
-the storage's lifecycle rules.
+Each load writes a new version: the dimensions (small), its staging rows, and
+the facts of the feeds it touched, one folder per feed. The last thing
+written is the version's marker table, a manifest that says for every feed
+which version holds its facts. Feeds that a load does not touch keep their
+files: a daily load moves its own feeds, not the warehouse.
+
+A version is finished when its marker exists and is never written again: the
+next load, batch or stream, takes the number after the newest finished one. An
+attempt that died before its marker is overwritten by the next.
+
+    <root>/v=<n>/<dimension>, staging, fact/feed=<dataset_id>, committed
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.warehouse import DIM_KEYS, Warehouse
 
 MARKER = "committed"
+MANIFEST = "version int, origin string, feed string, held_in int"
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Finished versions under ``root``: each holds a one-row marker table
-    that names its version, written after everything else."""
+def _markers(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        m = spark.read.parquet(f"{root.rstrip('/')}/v=*/{MARKER}")
+        return spark.read.schema(MANIFEST).parquet(f"{root.rstrip('/')}/v=*/{MARKER}")
     except AnalysisException:
+        return None
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Finished versions under ``root``."""
+    m = _markers(spark, root)
+    if m is None:
         return []
     return sorted(r["version"] for r in m.select("version").distinct().collect())
 
 
+def loaded_from(spark: SparkSession, root: str, origin: str) -> bool:
+    """Whether a finished version was made by ``origin`` (a stream's batch)."""
+    m = _markers(spark, root)
+    return m is not None and bool(m.where(F.col("origin") == origin).limit(1).count())
+
+
+def manifest(spark: SparkSession, root: str, version: int) -> dict[str, int]:
+    """feed -> version that holds its facts, as of ``version`` (one row per feed)."""
+    m = spark.read.schema(MANIFEST).parquet(f"{root.rstrip('/')}/v={version}/{MARKER}")
+    return {r["feed"]: r["held_in"] for r in m.where("feed IS NOT NULL").collect()}
+
+
 def read_version(spark: SparkSession, root: str, version: int) -> Warehouse:
-    base = f"{root.rstrip('/')}/v={version}"
+    root = root.rstrip("/")
+    base = f"{root}/v={version}"
     dims = {name: spark.read.parquet(f"{base}/{name}") for name in DIM_KEYS}
-    staging = spark.read.parquet(f"{base}/staging")
-    return Warehouse(dims, spark.read.parquet(f"{base}/fact"), staging)
+    held = manifest(spark, root, version)
+    facts = {v: [] for v in held.values()}
+    for feed, v in held.items():
+        facts[v].append(feed)
+    fact = spark.read.parquet(f"{base}/fact_columns")  # no rows: the columns of the facts
+    schema = StructType([*fact.schema.fields, StructField("feed", StringType())])
+    for v, feeds in sorted(facts.items()):
+        part = spark.read.schema(schema).parquet(f"{root}/v={v}/fact")
+        fact = fact.unionByName(part.where(F.col("feed").isin(feeds)).drop("feed"))
+    return Warehouse(dims, fact, spark.read.parquet(f"{base}/staging"))
 
 
 def latest_warehouse(spark: SparkSession, root: str) -> Warehouse | None:
@@ -40,17 +74,27 @@ def latest_warehouse(spark: SparkSession, root: str) -> Warehouse | None:
     return read_version(spark, root, v[-1]) if v else None
 
 
-def write_version(spark: SparkSession, wh: Warehouse, root: str, version: int) -> None:
-    base = f"{root.rstrip('/')}/v={version}"
+def write_version(spark: SparkSession, wh: Warehouse, root: str, origin: str = "batch") -> int:
+    """Store a load on top of the newest finished version; returns its number."""
+    root = root.rstrip("/")
+    done = versions(spark, root)
+    version = done[-1] + 1 if done else 1
+    base = f"{root}/v={version}"
     for name in DIM_KEYS:
         wh.dims[name].write.mode("overwrite").parquet(f"{base}/{name}")
     wh.staging.write.mode("overwrite").parquet(f"{base}/staging")
-    wh.fact.write.mode("overwrite").parquet(f"{base}/fact")
-    # Completion marker, written last: readers only trust finished versions.
-    spark.createDataFrame([(version,)], "version int").coalesce(1) \
+    changed = wh.fact if wh.changed is None else wh.changed
+    changed.limit(0).write.mode("overwrite").parquet(f"{base}/fact_columns")
+    stored = changed.withColumn("feed", F.col("dataset_id").cast("string"))
+    stored.write.mode("overwrite").partitionBy("feed").parquet(f"{base}/fact")
+    touched = [r[0] for r in wh.staging.select("dataset_id").distinct().collect()]
+    held = manifest(spark, root, done[-1]) if done else {}
+    held.update({str(d): version for d in touched})
+    rows = [(version, origin, feed, v) for feed, v in sorted(held.items())]
+    # The marker comes last: readers only trust finished versions.
+    spark.createDataFrame(rows or [(version, origin, None, None)], MANIFEST).coalesce(1) \
         .write.mode("overwrite").parquet(f"{base}/{MARKER}")
-
-
+    return version
 
 
 def now(spark: SparkSession) -> str:

@@ -33,7 +33,10 @@ SCALE_CONF = {
 
 def get_spark(app: str = "ferrolake", cores: int | str = "*", shuffle_partitions: int = 8,
               extra: dict | None = None) -> SparkSession:
-    """Local session for tests and the benchmark (the cluster provides its own)."""
+    """Local session for tests and the benchmark (the cluster provides its own).
+
+    Only here, where driver and executors are one process, a scratch folder
+    stands in for an unset ``spark.checkpoint.dir``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -46,21 +49,28 @@ def get_spark(app: str = "ferrolake", cores: int | str = "*", shuffle_partitions
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ferrolake-ckpt-"))
     ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset.
+def job_session(app: str = "ferrolake") -> SparkSession:
+    """The platform's session with ``SCALE_CONF`` for whatever it leaves unset."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    given = dict(spark.sparkContext.getConf().getAll())
+    for k, v in SCALE_CONF.items():
+        if k not in given:
+            spark.conf.set(k, v)
+    return spark
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is kept as
-    is; only a bare local/test session gets a fresh temporary folder.
-    """
-    sc = spark.sparkContext
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; an error if
+    it is unset, since a folder of the driver's own would not survive it."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="ferrolake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+        raise ValueError("spark.checkpoint.dir must name a folder on shared storage")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d

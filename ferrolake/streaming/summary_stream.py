@@ -7,24 +7,21 @@ each upserted into the warehouse (dimensions on their natural key, facts on
 ``trigger(availableNow=True)`` processes whatever has landed and stops, so a
 scheduler can run it like a batch job with exactly-once file tracking.
 
-Plain Parquet has no MERGE: each micro-batch writes a new warehouse version
-``<root>/v=<batch_id>`` and the next batch reads the highest version. A
-replayed batch (after a failure) rewrites the same version folder, so a
-retry is idempotent. The stream checkpoint must live on shared storage; by
-default it goes under the session's ``spark.checkpoint.dir``.
+Batch and stream loads share one sequence of versions (``plans.store``): a
+micro-batch becomes the version after the newest finished one, whoever wrote
+that. Its marker names the stream run and batch, so a batch replayed after a
+failure is recognised and skipped. The stream checkpoint must be named by the
+caller and live on shared storage.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField, StructType)
 
 from ..operators.trips import SUMMARY_COLUMNS
 from ..operators.warehouse import load_warehouse
-from ..plans.store import latest_warehouse, now, read_version, versions, write_version  # noqa: F401
-from ..session import ensure_checkpoint_dir
+from ..plans.store import latest_warehouse, loaded_from, now, versions, write_version
 
 _DOUBLES = {"distance_km", "duration_h", "emission_gco2e_pkm", "total_emission_kgco2e"}
 SUMMARY_SCHEMA = StructType(
@@ -35,26 +32,32 @@ SUMMARY_SCHEMA = StructType(
 
 
 def upsert_batch(root: str):
-    """foreachBatch handler: load one micro-batch of summary rows on top of
-    the newest finished warehouse version."""
+    """foreachBatch handler: load one micro-batch of summary rows on top of the
+    newest finished warehouse version, once."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prior = [v for v in versions(spark, root) if v < batch_id]
-        existing = read_version(spark, root, prior[-1]) if prior else None
-        wh = load_warehouse(batch, load_id=batch_id + 1, loaded_at=now(spark),
-                            existing=existing)
-        write_version(spark, wh, root, batch_id)
+        # The query id is kept in the checkpoint: a new checkpoint is a new
+        # stream, whose batch numbers start again.
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        origin = f"stream {query} batch {batch_id}"
+        if loaded_from(spark, root, origin):
+            return
+        done = versions(spark, root)
+        wh = load_warehouse(batch, load_id=done[-1] + 1 if done else 1, loaded_at=now(spark),
+                            existing=latest_warehouse(spark, root))
+        write_version(spark, wh, root, origin)
+        wh.release()
     return handle
 
 
 def run_incremental_load(spark: SparkSession, summary_dir: str, warehouse_root: str,
-                         checkpoint_location: str | None = None):
+                         checkpoint_location: str):
     """Process every summary file landed since the last run, then stop."""
-    ckpt = checkpoint_location or os.path.join(ensure_checkpoint_dir(spark),
-                                               "summary-stream")
+    if not checkpoint_location:
+        raise ValueError("the stream needs a checkpoint location on shared storage")
     stream = (spark.readStream.schema(SUMMARY_SCHEMA).option("recursiveFileLookup", True)
               .parquet(summary_dir))
     q = (stream.writeStream.foreachBatch(upsert_batch(warehouse_root))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+         .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
     q.awaitTermination()
     return q

@@ -1,5 +1,7 @@
 """Trip-level operators on hand-made feeds, and invariants on the driver data."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,7 +124,7 @@ def test_summary_invariants(small):
 def test_fact_unique_and_reload_idempotent(small):
     wh = small.warehouse
     f = wh.fact
-    assert f.groupBy("trip_sk", "dataset_sk").count().where("count > 1").count() == 0
+    assert f.groupBy("trip_id", "dataset_id").count().where("count > 1").count() == 0
     again = load_warehouse(small.summary, 2, "2025-01-02 00:00:00", existing=wh)
     cols = [c for c in f.columns if c not in ("last_load_id", "last_loaded_at")]
     assert again.fact.select(cols).exceptAll(f.select(cols)).count() == 0
@@ -130,6 +132,21 @@ def test_fact_unique_and_reload_idempotent(small):
     assert again.fact.where("last_load_id = 2").count() == f.count()
 
 
+def test_first_load_collapses_repeats(small):
+    """A day and its re-send in one load: one fact per (trip, feed)."""
+    twice = load_warehouse(small.summary.unionAll(small.summary), 1)
+    assert twice.fact.count() == small.warehouse.fact.count()
+    twice.release()
+
+
+def test_repeated_stop_does_not_multiply_trips(spark):
+    feed = mini_feed(spark, count=2, extra_trip_without_times=False)
+    stops = feed.stops.withColumn("file_row", F.monotonically_increasing_id())
+    again = spark.createDataFrame([("S1", "Other name", "0", "0", 10 ** 12)], STOPS + ", file_row long")
+    s = trips_summary(replace(feed, stops=stops.unionByName(again))).collect()
+    assert len(s) == 2 and {r["origin_stop_name"] for r in s} == {"Paris Gare de Lyon"}
+
+
 def test_surrogate_keys_unique(small):
     from ferrolake.operators.warehouse import DIM_KEYS
     for name, (key, nat) in DIM_KEYS.items():

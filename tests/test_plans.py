@@ -2,11 +2,12 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
-from __spark_entry__ import queries
 from ferrolake.plans.pipeline import Pipeline
+from ferrolake.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,15 +19,14 @@ def formatted(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cartesian_or_nested_loop(spark, key):
-    plan = formatted(queries()[key](spark, SF))
+    plan = formatted(QUERIES[key](spark, SF))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
 
 def test_trip_facts_one_exchange_on_trip_key(spark):
-    import re
     plan = formatted(Pipeline(spark, SF)._facts)
     # stop_times is shuffled on the trip key only (a cached copy of the same
     # plan may be listed too: same partitioning, other plan id); the windows
@@ -37,12 +37,29 @@ def test_trip_facts_one_exchange_on_trip_key(spark):
 
 
 def test_scan_prunes_columns(spark):
-    plan = formatted(queries()["trip_duration"](spark, SF))
+    plan = formatted(QUERIES["trip_duration"](spark, SF))
     line = [x for x in plan.splitlines() if x.strip().startswith("ReadSchema") and "l_orderkey" in x][0]
     assert "l_extendedprice" not in line and "l_shipdate" not in line
 
 
 def test_filter_pushed_to_parquet(spark):
-    plan = formatted(queries()["enrich_trips"](spark, SF))
-    pushed = [x for x in plan.splitlines() if x.strip().startswith("PushedFilters")]
-    assert any("LessThan(c_custkey,100)" in x for x in pushed), pushed
+    plan = formatted(QUERIES["search_trips"](spark, SF))
+    assert "CAST(distance_km" not in plan and "cast(distance_km" not in plan
+    assert re.search(r"distance_km#\d+ >= 50\.000", plan), plan
+
+
+@pytest.mark.parametrize("key", ["dim_country", "dim_time", "dim_location", "dim_route_latest"])
+def test_dimensions_hash_aggregate(spark, key):
+    assert "SortAggregate" not in formatted(QUERIES[key](spark, SF))
+
+
+def test_no_fact_exchange_on_a_country(spark):
+    """by_country shuffles (country, trip) partial rows, never the fact by its country key."""
+    plan = formatted(QUERIES["by_country"](spark, SF))
+    assert "origin_country_sk" not in plan
+    assert not re.search(r"hashpartitioning\(origin_country_sk", plan)
+    assert "SortMergeJoin" not in plan.split("InMemoryRelation")[0]
+
+
+def test_overview_has_no_expand(spark):
+    assert "Expand" not in formatted(QUERIES["overview"](spark, SF)).split("InMemoryRelation")[0]

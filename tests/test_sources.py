@@ -58,6 +58,25 @@ def test_latest_version_and_metadata(spark, tmp_path):
     assert {r["route_name"] for r in s} == {"Paris - Lyon"}
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    """Three column orders, an extra column, doubled quotes, two versions."""
+    stops = {"a/2024": "stop_id,stop_name,stop_lat,stop_lon\nOLD,Old,1,1\n",
+             "a/2025": "stop_id,stop_name,stop_lat,stop_lon\nA1,\"Gare \"\"du\"\" Nord\",48.8,2.3\n",
+             "b": "stop_name, stop_lat ,stop_lon,stop_id\nBerlin,52.5,13.4,B1\n",
+             "c": "stop_id,stop_code,stop_name,stop_lat,stop_lon\nC1,X1,\"Lyon, Part Dieu\",45.7,4.8\n"}
+    for folder, text in stops.items():
+        write_feed(tmp_path / folder, {**FEED, "stops.txt": text})
+    feed = read_feeds(spark, str(tmp_path))
+    got = sorted((r["dataset_id"], r["stop_id"], r["stop_name"], r["stop_lat"], r["stop_lon"])
+                 for r in feed.stops.collect())
+    assert got == [("a", "A1", 'Gare "du" Nord', "48.8", "2.3"), ("b", "B1", "Berlin", "52.5", "13.4"),
+                   ("c", "C1", "Lyon, Part Dieu", "45.7", "4.8")]
+    paths = feed.stops.inputFiles() + feed.trips.inputFiles()
+    assert len(paths) == 6 and not any("2024" in p for p in paths)
+    left = read_feeds(spark, str(tmp_path), skip={"a", "c"})
+    assert all("/b/" in p for p in left.stops.inputFiles()) and left.trips.count() == 2
+
+
 def test_skip_existing(spark):
     feeds = spark.createDataFrame([("a",), ("b",), ("c",)], "dataset_id string")
     done = spark.createDataFrame([("b",)], "dataset_id string")
@@ -132,4 +151,6 @@ def test_run_summary(spark):
         "stage string, duration_seconds double, success boolean, downloaded int, "
         "files_generated int, rows_loaded int")
     r = run_summary(stages).first()
+    two = stages.selectExpr("*", "stage = 'load' AS run_id")
+    assert {x["run_id"]: x["success"] for x in run_summary(two).collect()} == {True: False, False: True}
     assert r["total_duration_seconds"] == 7.5 and r["success"] is False and r["rows_loaded"] == 100

@@ -1,7 +1,11 @@
 """Incremental loads: two landed summary drops, one stream run each."""
 
+import pytest
+
 from ferrolake.plans.pipeline import Pipeline
-from ferrolake.streaming.summary_stream import latest_warehouse, run_incremental_load
+from ferrolake.operators.warehouse import load_warehouse
+from ferrolake.plans.store import latest_warehouse, versions, write_version
+from ferrolake.streaming.summary_stream import run_incremental_load, upsert_batch
 
 
 def test_incremental_upsert(spark, tmp_path):
@@ -18,7 +22,48 @@ def test_incremental_upsert(spark, tmp_path):
     run_incremental_load(spark, str(land), wh_root, ckpt)
     second = latest_warehouse(spark, wh_root)
     f = second.fact
-    assert f.groupBy("trip_sk", "dataset_sk").count().where("count > 1").count() == 0
+    assert f.groupBy("trip_id", "dataset_id").count().where("count > 1").count() == 0
     assert f.where("dataset_id = 'ds0'").count() == first.fact.count()
     assert f.select("last_load_id").distinct().count() == 1  # every row touched by batch 2
     assert f.where("dataset_id = 'ds1'").count() > 0
+
+
+def files(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def test_batch_batch_stream_replay(spark, tmp_path):
+    """One sequence of versions; untouched feeds keep their files; a replay adds nothing."""
+    summary = Pipeline(spark, "/root/testdata/sf0.001").summary.cache()
+    part = lambda d: summary.where(f"dataset_id = '{d}'")
+    land, root = tmp_path / "land", tmp_path / "wh"
+    write_version(spark, load_warehouse(part("ds0"), 1), str(root))
+    old = latest_warehouse(spark, str(root))
+    write_version(spark, load_warehouse(part("ds1"), 2, existing=old), str(root))
+    before = files(root)
+    part("ds2").write.parquet(str(land / "day1"))
+    run_incremental_load(spark, str(land), str(root), str(tmp_path / "ckpt"))
+    assert versions(spark, str(root)) == [1, 2, 3]
+    assert {k: v for k, v in files(root).items() if k in before} == before
+    assert not [k for k in files(root) if k.startswith("v=3/fact/") and "feed=ds2" not in k]
+    wh = latest_warehouse(spark, str(root))
+    assert wh.fact.groupBy("trip_id", "dataset_id").count().where("count > 1").count() == 0
+    got = {r["dataset_id"]: r["count"] for r in wh.fact.groupBy("dataset_id").count().collect()}
+    want = {d: load_warehouse(part(d), 1).fact.count() for d in ("ds0", "ds1", "ds2")}
+    assert got == want
+    # The same batch of the same stream again (as after a failure).
+    sc = spark.sparkContext
+    handle = upsert_batch(str(root))
+    sc.setLocalProperty("sql.streaming.queryId", "q")
+    handle(part("ds2"), 0)
+    handle(part("ds2"), 0)
+    sc.setLocalProperty("sql.streaming.queryId", None)
+    assert versions(spark, str(root)) == [1, 2, 3, 4]
+    assert latest_warehouse(spark, str(root)).fact.count() == sum(want.values())
+
+
+def test_a_checkpoint_location_is_required(spark, tmp_path):
+    with pytest.raises((TypeError, ValueError)):
+        run_incremental_load(spark, str(tmp_path), str(tmp_path / "wh"))
+    with pytest.raises(ValueError):
+        run_incremental_load(spark, str(tmp_path), str(tmp_path / "wh"), "")
