@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontam, jaccard, licenses, lines, ordinal, substrings, urls
+from . import ann, bpe, chat, decontam, jaccard, licenses, lines, oracle, ordinal, substrings, urls
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,13 +39,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_documents(coded, VOCABULARY))
 
 
-@register("op7_ngram_jaccard")
+@register("op7_ngram_jaccard", oracle.jaccard_sql())
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=5, num=75,
                                       den=100)
 
 
-@register("op10_substring_dedup")
+@register("op10_substring_dedup", oracle.substrings_sql())
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(
         substrings.drop_repeats(read_table(spark, sf_dir, "documents"), window=50))
@@ -74,7 +74,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.select(ordinal.rate(docs, model, keep_grade=2), least=0.5).drop("text")
 
 
-@register("op1_url_filter")
+@register("op1_url_filter", oracle.urls_sql())
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judges every page's url: the rules, else the list of insulting pages' urls."""
     pages = read_table(spark, sf_dir, "pages")
@@ -82,7 +82,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-@register("op4_chat_format")
+@register("op4_chat_format", oracle.chat_sql())
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)],
@@ -91,7 +91,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(own)))
 
 
-@register("op8_license_scan")
+@register("op8_license_scan", oracle.licenses_sql())
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
