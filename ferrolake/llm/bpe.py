@@ -26,6 +26,7 @@ import re
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 import tiktoken
@@ -45,8 +46,9 @@ CHUNK_IDS = 500_000
 CHUNK_CHARS = 1_500_000
 
 
-_INSIDE = re.compile(r"\s \s").search  # a blank inside a run of white space
-_CUT = re.compile(r"(?= )").split
+# A blank or line end after white space that no other character follows.
+_INSIDE = re.compile(r"\s[ \n](?!\S)").search
+_CUT = re.compile(r"(?=[ \n])").split
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -219,14 +221,16 @@ class Merges:
 class Encoder:
     """Encodes lists of texts; keeps the ids of chunks and pieces it has met.
 
-    A text is cut before every blank into chunks (" word,\\nNext"). Matches of
-    the pattern do not cross such a cut unless the blank stands between two
-    other white-space characters, so a chunk's ids can be kept and reused; texts
-    with such blanks are matched as a whole.
+    Under ``public_tokenizers.PATTERN`` a text is cut before every blank and line
+    end into chunks (" word,"). Its matches do not cross such a cut unless white
+    space stands before it and white space or the end after it, so a chunk's ids
+    can be kept and reused; texts with such places are matched as a whole, and
+    so are all texts under other patterns.
     """
 
     def __init__(self, merges: Merges, pattern: str, foreign: str | None = None):
         self.merges = merges
+        self.cuts = pattern == public_tokenizers.PATTERN
         self.find = Splitter(pattern, foreign_letters() if foreign is None else foreign)
         self._clear()
 
@@ -274,10 +278,11 @@ class Encoder:
         for t in texts:
             if not t:
                 cut.append([])
-            elif _INSIDE(t):
+            elif not self.cuts or _INSIDE(t):
                 cut.append([t])
             else:
-                parts = t.replace(" ", "\0 ").split("\0") if "\0" not in t else _CUT(t)
+                parts = _CUT(t) if "\0" in t else \
+                    t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
                 cut.append(parts if parts[0] else parts[1:])
         fresh: set = set()
         for c in cut:

@@ -22,11 +22,6 @@ def ranks():
     return bpe.read_ranks(VOCABULARY)
 
 
-@pytest.fixture(scope="module")
-def enc(ranks):
-    return bpe.Encoder(bpe.Merges(ranks), public_tokenizers.PATTERN)
-
-
 def check(enc, tk, texts):
     flat, lens = enc.encode(texts)
     at = 0
@@ -37,10 +32,13 @@ def check(enc, tk, texts):
         assert bytes(enc.merges.decode(flat[at - n:at])).decode() == t
 
 
-def test_matches_library(enc, ranks):
+@pytest.mark.parametrize("name", ["byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"])
+def test_matches_library(name):
+    ranks = bpe.read_ranks(public_tokenizers.path(name))
+    enc = bpe.Encoder(bpe.Merges(ranks), public_tokenizers.PATTERN)
     rnd = random.Random(7)
     alphabet = list("aabbcceett  \n\t'sd123.,!é漢字 \u0085\x1c\x1f \U0001F600ßœЖ١²")
-    texts = ["", " ", "   a", "a" * 3000, "ab" * 500, " " * 300 + "x", "don't we'll I'M", "\r\n\r\n x"]
+    texts = ["", " ", "   a", "a" * 3000, "ab" * 500, " " * 300 + "x", "foo  ", "a \n", "a\n\n", "x\n \ny", "don't we'll I'M", "\r\n\r\n x"]
     texts += ["".join(rnd.choices(alphabet, k=rnd.randrange(1, 60))) for _ in range(3000)]
     texts += ["".join(rnd.choices([" ", "  ", "\n", " \n", "\t", "a", "b,", "\0", "'ll", "\u2003", "1"],
                                   k=rnd.randrange(1, 25))) for _ in range(4000)]
