@@ -257,7 +257,8 @@ def orphan_countries(locations: DataFrame, countries: DataFrame) -> DataFrame:
 def newest_per_key(rows: DataFrame, keys: list, newest: list[str]) -> DataFrame:
     """One row per key: the newest; rows of one age are ordered by all their
     values, so the choice never depends on the partitioning."""
-    rest = [c for c in rows.columns if c not in newest]
+    # Surrogate keys follow from the natural values, so they decide nothing.
+    rest = [c for c in rows.columns if c not in newest and not c.endswith("_sk")]
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in [*newest, *rest]])
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
@@ -309,8 +310,10 @@ class Warehouse:
     changed: DataFrame | None = None
 
     def release(self) -> None:
-        """Drop the persisted staging rows."""
+        """Drop the persisted staging rows and facts."""
         self.staging.unpersist()
+        if self.changed is not None:
+            self.changed.unpersist()
 
 
 def load_warehouse(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
@@ -322,10 +325,12 @@ def load_warehouse(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
     # Staging is the one input of all ten dimensions and of the fact: persisted
     # (the role of the staging table in the source database), so each of them
     # is a cheap aggregate over it instead of a re-run of the transform. The
-    # caller releases it.
+    # facts are persisted after their reduction to one row per key, which every
+    # report would repeat otherwise. The caller releases both.
     staging = stage_rows(summary, load_id, str(loaded_at)).persist(StorageLevel.MEMORY_AND_DISK)
     new = build_dimensions(staging, spark)
-    changed = upsert_facts(existing.fact if existing else None, build_fact(staging))
+    changed = upsert_facts(existing.fact if existing else None, build_fact(staging)) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     if existing is None:
         return Warehouse(new, changed, staging, changed)
 

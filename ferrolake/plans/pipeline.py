@@ -67,6 +67,7 @@ class Pipeline:
         _ = self.summary
         wh = self._warehouse
         _keep_cached(wh.staging)
+        _keep_cached(wh.changed)
         return wh
 
 
@@ -76,7 +77,7 @@ class Pipeline:
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
         if "_warehouse" in self.__dict__:
-            self._warehouse.staging.unpersist()
+            self._warehouse.release()
 
 
 def _keep_cached(df: DataFrame) -> None:
