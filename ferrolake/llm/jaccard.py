@@ -16,9 +16,11 @@ Cost-based allocation, per band and per set:
   shared most) as long as the pigeonhole leaves ``extra + 1`` common keys.
 
 Candidates are verified on the whole sets. No pairs inside a key's group are
-enumerated unless the group is small: members are compared with a pivot and a
-group is done once its members are one component; others get further pivots.
-In groups over ``SMALL_GROUP`` a member counts only under its rarest hot keys,
+enumerated unless the group is small; their common keys are counted, and pairs
+with ``extra`` of them or fewer are refused without looking at the sets, and so
+are pairs whose parity bits (a few per shingle) differ in too many places. In
+larger groups members are compared with a pivot, and a group is done once its
+members are one component; others get further pivots. In groups over ``SMALL_GROUP`` a member counts only under its rarest hot keys,
 all but ``extra`` of them, because a pair found by hot keys alone shares more than
 ``extra``; this removes documents that merely share a passage.
 
@@ -38,11 +40,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (U64, WordHash, binary, checkpoint, gather, hash_words, mix, signed, sized,
-                     starts_of, window_hash)
+from .common import (U64, WordHash, binary, checkpoint, gather, hash_words, list_array, mix, signed,
+                     sized, starts_of, window_hash)
 from .components import components
 
-#: Groups up to this size have all their pairs compared; larger ones by pivots.
+#: Groups up to this size have all their pairs counted; larger ones go by pivots.
 SMALL_GROUP = 8
 #: Pivots per hot group and round.
 PIVOTS = 32
@@ -144,6 +146,18 @@ def shingle_sets(texts: list, cache: WordHash, k: int) -> list[np.ndarray]:
     return out
 
 
+def sketch(g: np.ndarray) -> np.ndarray:
+    """Parity bits of a set: every hash flips one of 2**(k+2) bits (64 at least).
+
+    Two sets differ in at least as many hashes as their parity bits do, and the
+    bits of a larger set fold (xor of the halves) to those of a smaller size.
+    """
+    bits = max(64, 4 << (len(g).bit_length() - 1)) if len(g) else 64
+    at = mix(g) & U64(bits - 1)
+    odd = (np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<u8")
+
+
 def _chunks(batches, size: int = CHUNK):
     """(ids, texts) of bounded total length."""
     for b in batches:
@@ -247,49 +261,80 @@ def _group(batches):
     yield from rows(HOT, signed(key[hot]), cls[hot])
     small = ~is_hot & (size > 1)
     row = np.repeat(small, size)
-    # Keys with the same members are one group, named by its members.
+    # Keys of a band with the same members are one group, named by them; the
+    # last column holds the band and the number of keys.
     s = size[small]
     member = cls[row]
     begin = starts_of(s)[:-1]
+    level = (key[head][small] >> U64(2)) & U64(63)
     name = np.add.reduceat(mix(member.view(U64)), begin) if len(s) else np.empty(0, U64)
-    name = mix(name + s.astype(U64))
-    _, first = np.unique(name, return_index=True)
-    pick = np.zeros(len(s), bool)
-    pick[first] = True
+    name = mix(name + (s.astype(U64) << U64(8)) + level)
+    _, first, many = np.unique(name, return_index=True, return_counts=True)
+    pick, count = np.zeros(len(s), bool), np.zeros(len(s), U64)
+    pick[first], count[first] = True, many
     take = np.repeat(pick, s)
-    yield from rows(MEMBER, signed(np.repeat(name, s)[take]), member[take])
+    info = np.repeat(signed((level << U64(32)) | count), s)
+    yield from rows(MEMBER, signed(np.repeat(name, s)[take]), member[take], info[take])
 
 
 class _Verifier:
-    """Exact comparison of classes on their whole shingle sets.
+    """Exact comparison of classes on their whole shingle sets."""
 
-    ``sizes`` (cls, n) and ``hot_keys`` (cls, k, keys) refuse pairs cheaply: by
-    size, and for pairs met under a hot key by too few common hot keys.
-    """
-
-    def __init__(self, sets: DataFrame, hot_keys: DataFrame, num: int, den: int):
-        self.sets, self.hot_keys, self.num, self.den = sets, hot_keys, num, den
-
-    def possible(self, pairs: DataFrame) -> DataFrame:
-        """(a, b) of the (a, b, k) pairs from hot groups that can be similar."""
-        a = self.hot_keys.select(F.col("cls").alias("a"), "k", F.col("keys").alias("x"),
-                                 F.col("n").alias("na"))
-        b = self.hot_keys.select(F.col("cls").alias("b"), "k", F.col("keys").alias("y"),
-                                 F.col("n").alias("nb"))
-        both = pairs.distinct().join(b, ["b", "k"]).join(a, ["a", "k"])
-        return both.where(
-            (self.den * F.least("na", "nb") >= self.num * F.greatest("na", "nb"))
-            & (F.size(F.array_intersect("x", "y")) > _extra(self.num, self.den, F.col("k")))) \
-            .select("a", "b")
+    def __init__(self, sets: DataFrame, num: int, den: int):
+        self.sets, self.num, self.den = sets, num, den
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) pairs whose sets are similar enough."""
         a = self.sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
         b = self.sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb"))
-        both = pairs.distinct().join(b, "b").join(a, "a")
+        both = pairs.select("a", "b").distinct().join(b, "b").join(a, "a")
         common = F.size(F.array_intersect("ga", "gb"))
         sizes = F.size("ga") + F.size("gb")
-        return both.where(self.den * common >= self.num * (sizes - common)).select("a", "b")
+        return checkpoint(both.where(self.den * common >= self.num * (sizes - common))
+                          .select("a", "b"))
+
+
+class _Filter:
+    """Refuses pairs that cannot be similar, by three necessary conditions: sizes,
+    common keys (more than the band's ``extra``), and parity bits that differ in
+    no more places than the sets may. ``hot_keys`` (cls, k, keys), ``sizes``
+    (cls, n), ``sketches`` (cls, n, bits)."""
+
+    def __init__(self, hot_keys: DataFrame, num: int, den: int):
+        self.hot_keys, self.num, self.den = hot_keys, num, den
+
+    def _sized(self, pairs: DataFrame, sizes: DataFrame, *extra: str) -> DataFrame:
+        side = lambda c: sizes.select(F.col("cls").alias(c), *[
+            F.col(x).alias(f"{x}_{c}") for x in ("n", *extra)])
+        return pairs.join(side("a"), "a").join(side("b"), "b").where(
+            self.den * F.least("n_a", "n_b") >= self.num * F.greatest("n_a", "n_b"))
+
+    def by_keys(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+        """(a, b) of the (a, b, k, w) pairs, ``w`` being their common small-group keys."""
+        a = self.hot_keys.select(F.col("cls").alias("a"), "k", F.col("keys").alias("x"))
+        b = self.hot_keys.select(F.col("cls").alias("b"), "k", F.col("keys").alias("y"))
+        both = self._sized(pairs, sizes).join(b, ["b", "k"], "left").join(a, ["a", "k"], "left")
+        hot = F.coalesce(F.when(F.col("x").isNotNull() & F.col("y").isNotNull(),
+                                F.size(F.array_intersect("x", "y"))), F.lit(0))
+        return both.where(F.col("w") + hot > _extra(self.num, self.den, F.col("k"))) \
+            .select("a", "b").distinct()
+
+    def by_bits(self, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+        """(a, b) of the pairs whose parity bits are near enough."""
+        both = self._sized(pairs.select("a", "b").distinct(), sketches, "bits")
+
+        def folded(c: str, other: str):
+            # At most one band lies between two sets that can be similar.
+            half = (F.size(c) / 2).cast("int")
+            return F.when(F.size(c) > F.size(other), F.zip_with(
+                F.slice(c, 1, half), F.slice(c, half + 1, half),
+                lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(c))
+
+        apart = F.aggregate(
+            F.zip_with(folded("bits_a", "bits_b"), folded("bits_b", "bits_a"),
+                       lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+        most = (self.den - self.num) * (F.col("n_a") + F.col("n_b"))
+        return both.where(apart * (self.den + self.num) <= most).select("a", "b")
 
 
 def _level(grp):
@@ -302,7 +347,7 @@ def _extra(num: int, den: int, level):
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(cls, grams) of the wanted (doc, cls) rows."""
+    """(cls, n, bits, grams) of the wanted (doc, cls) rows."""
     rows = wanted.count()
     text = docs.join(sized(wanted, rows), docs["doc_id"] == wanted["doc"]).select("cls", "text")
 
@@ -312,64 +357,75 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             sets = shingle_sets(texts, cache, k)
             lens = np.fromiter(map(len, sets), np.int64, len(sets))
             flat = np.concatenate(sets) if sets else np.empty(0, U64)
+            bits = [sketch(g) for g in sets]
+            words = np.fromiter(map(len, bits), np.int64, len(bits))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.ListArray.from_arrays(pa.array(starts_of(lens), pa.int32()),
-                                                         pa.array(signed(flat)))],
-                names=["cls", "grams"])
+                [pa.array(ids), pa.array(lens),
+                 list_array(signed(np.concatenate(bits)), words, pa.int64()),
+                 list_array(signed(flat), lens, pa.int64())], names=["cls", "n", "bits", "grams"])
 
-    return checkpoint(text.mapInArrow(grams, "cls long, grams array<long>"))
+    return checkpoint(text.mapInArrow(
+        grams, "cls long, n long, bits array<long>, grams array<long>"))
 
 
 def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b, k, w = 0) pairs of a hot group, the larger class first."""
     return df.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"),
-                     _level(F.col("grp")).alias("k"))
+                     _level(F.col("grp")).alias("k"), F.lit(0).alias("w")).distinct()
 
 
-def _link_groups(small: DataFrame, hot: DataFrame, verify: _Verifier) -> DataFrame:
-    """All-component-deciding links among the members of the groups.
+def _link_groups(near: DataFrame, hot: DataFrame, verify: _Verifier, possible) -> DataFrame:
+    """(node, root) of the components that the true links make.
 
-    Round 0 compares every member with the smallest of its groups' smallest
-    members. Later rounds only look at groups that span several components:
-    small ones compare all pairs across components, hot ones take the next
-    pivots, until every group is one component or all its members were pivots.
+    ``near``: the possible pairs from small groups, ``hot``: (grp, cls),
+    ``possible``: (a, b) of the pairs of hot groups that may be similar. First
+    every class meets one partner (the smallest of its possible ones) and the
+    smallest member of its hot groups; most components are found by that. Then
+    only pairs across components are left: all of ``near``, and, in rounds, the
+    next pivots of the hot groups that span several components, until each is
+    one component or all its members outside the largest one were pivots.
     """
-    members = small.unionAll(hot)
-    least = members.groupBy("grp").agg(F.min("cls").alias("b"))
-    first = (members.join(least, "grp").groupBy(F.col("cls").alias("a")).agg(F.min("b").alias("b"))
-             .where("a <> b"))
-    links = checkpoint(verify.links(first))
+    least = hot.groupBy("grp").agg(F.min("cls").alias("b"))
+    star = possible(_pairs(hot.join(least, "grp").where("cls <> b"), "cls", "b"))
+    first = near.unionAll(star).groupBy("a").agg(F.min("b").alias("b"))
+    links = verify.links(first)
     comp = components(links)
     done = None  # (grp, cls) pairs that were pivots
     turn = 0
     while True:
-        def rooted(df, comp=comp):
-            return (df.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-                    .select("grp", "cls", F.coalesce("root", "cls").alias("root")))
-
-        def open_groups(df):
-            r = rooted(df)
-            split = (r.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-                     .where("x <> y").select("grp"))
-            return r.join(split, "grp")
-
-        left = open_groups(hot)
-        fresh = left if done is None else left.join(done, ["grp", "cls"], "left_anti")
+        root = comp.select(F.col("node").alias("cls"), "root")
+
+        def named(df, c, out, root=root):
+            r = root.select(F.col("cls").alias(c), F.col("root").alias(out))
+            return df.join(r, c, "left").withColumn(out, F.coalesce(out, c))
+
+        rooted = named(hot, "cls", "root")
+        split = (rooted.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+                 .where("x <> y").select("grp"))
+        left = rooted.join(split, "grp")
+        # Every open pair has a member outside the group's largest component, so
+        # only those become pivots: near copies with a few strangers cost a pass
+        # per stranger, not per copy.
+        most = Window.partitionBy("grp").orderBy(F.desc("c"), "root")
+        main = (left.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("c"))
+                .withColumn("i", F.row_number().over(most)).where("i = 1")
+                .select("grp", F.col("root").alias("main")))
+        fresh = left.join(main, "grp").where("root <> main").drop("main")
+        if done is not None:
+            fresh = fresh.join(done, ["grp", "cls"], "left_anti")
         turns = Window.partitionBy("grp").orderBy("cls")
         pivots = checkpoint(fresh.withColumn("i", F.row_number().over(turns))
                             .where(F.col("i") <= PIVOTS).select("grp", "cls", "root"))
         if turn and not pivots.limit(1).count():
             return comp
         at = pivots.select("grp", F.col("cls").alias("b"), F.col("root").alias("rb"))
-        pairs = verify.possible(_pairs(left.join(at, "grp").where("root <> rb"), "cls", "b"))
+        pairs = possible(_pairs(left.join(at, "grp").where("root <> rb"), "cls", "b"))
         if turn == 0:
-            s = checkpoint(open_groups(small))
-            p, q = s.alias("p"), s.alias("q")
-            pairs = pairs.unionAll(
-                p.join(q, F.expr("p.grp = q.grp AND p.cls > q.cls AND p.root <> q.root"))
-                .select(F.col("p.cls").alias("a"), F.col("q.cls").alias("b")))
-        more = checkpoint(verify.links(pairs))
-        done = pivots.select("grp", "cls") if done is None \
-            else done.unionAll(pivots.select("grp", "cls"))
+            pairs = pairs.unionAll(named(named(near, "a", "ra"), "b", "rb").where("ra <> rb")
+                                   .select("a", "b"))
+        more = verify.links(pairs)
+        now = pivots.select("grp", "cls")
+        done = now if done is None else done.unionAll(now)
         turn += 1
         if more.limit(1).count():
             links = links.unionAll(more)
@@ -394,29 +450,43 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 75, den: int
         f"if((key & 3) = {HOT}, xxhash64(cls, key), if((key & 3) = {DOC}, xxhash64(doc), key))"))
     found = checkpoint(dealt.mapInArrow(_group, GROUPS))
     rows = found.where(f"kind = {DOC}").select("doc", F.col("grp").alias("n"), "cls")
-    classes = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
-    small = found.where(f"kind = {MEMBER}").select("grp", "cls").distinct()
-    hot = found.where(f"kind = {HOT}").select("grp", "cls").distinct()
-    # A pair met by hot keys alone shares more than its band's extra keys, so
-    # members with no more than that go; the others keep their rarest hot keys,
-    # as many as any such pair must meet in.
-    level = _level(F.col("grp"))
+    sizes = checkpoint(rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"),
+                                                              F.max("n").alias("n")))
+    classes = sizes.select("cls", "doc")
+    # Small groups: their few pairs, with the number of keys each pair shares.
+    small = found.where(f"kind = {MEMBER}").groupBy(
+        "grp", "cls", F.shiftright("doc", 32).cast("int").alias("k")).agg(
+        F.sum(F.col("doc").bitwiseAND((1 << 32) - 1)).alias("w"))
+    p, q = small.alias("p"), small.alias("q")
+    shared = p.join(q, F.expr("p.grp = q.grp AND p.cls > q.cls")).groupBy(
+        F.col("p.cls").alias("a"), F.col("q.cls").alias("b"), F.col("p.k").alias("k")).agg(
+        F.sum("p.w").alias("w"))
+    # Hot groups: a pair met by hot keys alone shares more than its band's extra
+    # keys, so members with no more than that go; the others keep their rarest
+    # hot keys, as many as any such pair must meet in.
+    hot = checkpoint(found.where(f"kind = {HOT}").select(
+        "grp", "cls", _level(F.col("grp")).alias("k")).distinct())
+    hot_keys = checkpoint(hot.groupBy("cls", "k").agg(F.collect_list("grp").alias("keys")))
+    keep = _Filter(hot_keys, num, den)
+    near = checkpoint(keep.by_keys(shared, sizes))
     extra = _extra(num, den, F.col("k"))
     size = hot.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    rare = Window.partitionBy("cls", "k").orderBy("size", "grp")
-    kept = checkpoint(hot.join(size, "grp").withColumn("k", level)
-                      .withColumn("i", F.row_number().over(rare))
-                      .withColumn("have", F.count(F.lit(1)).over(Window.partitionBy("cls", "k")))
-                      .where(F.col("have") > extra).select("grp", "cls", "k", "i", "have"))
-    hot = kept.where(F.col("i") <= F.col("have") - extra).select("grp", "cls")
-    sized_rows = rows.groupBy("cls").agg(F.max("n").alias("n"))
-    hot_keys = checkpoint(kept.groupBy("cls", "k").agg(F.collect_list("grp").alias("keys"))
-                          .join(sized_rows, "cls"))
-    small = checkpoint(small)
-    candidates = small.select("cls").unionAll(hot.select("cls")).distinct()
+    per = Window.partitionBy("cls", "k")
+    hot = checkpoint(hot.join(size, "grp")
+                     .withColumn("i", F.row_number().over(per.orderBy("size", "grp")))
+                     .withColumn("have", F.count(F.lit(1)).over(per))
+                     .where(F.col("i") <= F.col("have") - extra).select("grp", "cls"))
+    candidates = near.select(F.explode(F.array("a", "b")).alias("cls")) \
+        .unionAll(hot.select("cls")).distinct()
     wanted = checkpoint(classes.join(candidates, "cls").select("doc", "cls"))
     sets = _sets_of(docs, wanted, words)
-    comp = _link_groups(small, hot, _Verifier(sets, hot_keys, num, den))
+    sketches = checkpoint(sets.select("cls", "n", "bits"))
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        return keep.by_bits(keep.by_keys(pairs, sketches.select("cls", "n")), sketches)
+
+    near = checkpoint(keep.by_bits(near, sketches))
+    comp = _link_groups(near, hot, _Verifier(sets, num, den), possible)
     # Components of classes -> smallest document of any member class.
     named = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("cls", "doc", F.coalesce("root", "cls").alias("root"))

@@ -163,3 +163,21 @@ def test_components(spark):
     nodes = {x for e in edges if e[0] != e[1] for x in e}
     assert got == {x: find(x) for x in nodes}
     assert components(df.where("a < 0")).count() == 0
+
+
+def test_sketch_is_a_lower_bound():
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    for _ in range(200):
+        n = int(rnd.integers(1, 400))
+        a = rnd.integers(0, 2 ** 63, n).astype(np.uint64)
+        b = np.concatenate([a[: n - int(rnd.integers(0, n // 4 + 1))],
+                            rnd.integers(0, 2 ** 63, int(rnd.integers(0, n // 4 + 1))).astype(np.uint64)])
+        x, y = jaccard.sketch(a), jaccard.sketch(b)
+        if len(x) > len(y):
+            x, y = y, x
+        if len(y) > len(x):
+            y = y[: len(y) // 2] ^ y[len(y) // 2:]
+        if len(x) == len(y):
+            apart = sum(bin(int(v)).count("1") for v in x ^ y)
+            assert apart <= len(set(a.tolist()) ^ set(b.tolist()))
