@@ -9,9 +9,13 @@ constants. A template that stands in ``min_docs`` documents or more is
 recurring: its lines are dropped from every document but the first (smallest
 doc_id) that holds the template, so the text itself survives once.
 
+A ``<*>`` is no constant, whatever recurs. A line whose tokens without a digit
+are fewer than ``constant`` of its positions (a row of numbers) has no template;
+it recurs only where its unmasked tokens are equal.
+
 Two levels keep this cheap and exact. Lines whose masked text alone recurs are
-templates at once (all their positions are constant). Only the other lines of
-leaves that many documents reach are opened token by token.
+templates at once (all their tokens without a digit are constant). Only the
+other lines of leaves that many documents reach are opened token by token.
 
 All counts are Spark aggregates with map-side combining over (leaf, line) and
 (leaf, position, token) hashes, over all documents; no leaf is ever collected.
@@ -37,10 +41,12 @@ CONSTANT = 0.7
 CHUNK = 4_000_000
 _DIGIT = re.compile(rb"\S*[0-9]\S*")
 WILD = b"<*>"
+#: No number of documents makes the masked line alone a template.
+NEVER = (1 << 31) - 1
 
 
-def _hash(x: bytes) -> int:
-    h = xxhash.xxh64_intdigest(x)
+def _hash(x: bytes, seed: int = 0) -> int:
+    h = xxhash.xxh64_intdigest(x, seed)
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
@@ -49,14 +55,19 @@ def masked(line: bytes) -> bytes:
     return b" ".join(_DIGIT.sub(WILD, line).split())
 
 
-def parse(line: bytes, depth: int) -> tuple[int, int, bytes] | None:
-    """(leaf, line hash, masked line); None for a blank line."""
+def parse(line: bytes, depth: int, min_docs: int, constant: float) -> tuple:
+    """The line's (leaf, key, documents from which the key alone recurs); none for a
+    blank line. First its masked text; one with too few constants also has its
+    unmasked text, outside the tree (leaf None)."""
     m = masked(line)
     if not m:
-        return None
-    n = m.count(b" ") + 1
-    lead = b" ".join(m.split(b" ", depth)[:depth])
-    return _hash(b"%d %s" % (n, lead)), _hash(m), m
+        return ()
+    tokens = m.split(b" ")
+    n = len(tokens)
+    leaf = _hash(b"%d %s" % (n, b" ".join(tokens[:depth])))
+    if WILD not in m or (n - tokens.count(WILD)) / n >= constant:
+        return (leaf, _hash(m), min_docs),
+    return (leaf, _hash(m), NEVER), (None, _hash(b" ".join(line.split()), 1), min_docs)
 
 
 def _texts(batches):
@@ -72,52 +83,52 @@ def _texts(batches):
 
 
 class _Parsed(dict):
-    """line bytes -> (leaf, hash), filled on demand and cleared when large."""
+    """line bytes -> its keys by ``parse``, filled on demand and cleared when large."""
 
-    def __init__(self, depth: int):
+    def __init__(self, *rule):
         super().__init__()
-        self.depth = depth
+        self.rule = rule
 
     def __missing__(self, line: bytes):
-        p = parse(line, self.depth)
-        self[line] = p and p[:2]
-        return self[line]
+        p = self[line] = parse(line, *self.rule)
+        return p
 
     def trim(self) -> None:
         if len(self) > 100_000:
             self.clear()
 
 
-def _lines(batches, depth: int):
-    """(doc, leaf, line): each distinct masked line of a document once."""
-    known = _Parsed(depth)
+def _lines(batches, *rule):
+    """(doc, leaf, line, need): each distinct key of a document's lines once."""
+    known = _Parsed(*rule)
     for b, texts in _texts(batches):
-        docs, leaf, line = [], [], []
+        docs, leaf, line, need = [], [], [], []
         for d, t in zip(b.column(0).to_pylist(), texts):
             if not t:
                 continue
-            for p in {known[x] for x in t.split(b"\n")}:
-                if p:
-                    docs.append(d)
-                    leaf.append(p[0])
-                    line.append(p[1])
+            for p in {k for x in set(t.split(b"\n")) for k in known[x]}:
+                docs.append(d)
+                leaf.append(p[0])
+                line.append(p[1])
+                need.append(p[2])
         known.trim()
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(leaf, pa.int64()),
-                                          pa.array(line, pa.int64())], names=["doc", "leaf", "line"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(docs, pa.int64()), pa.array(leaf, pa.int64()), pa.array(line, pa.int64()),
+             pa.array(need, pa.int32())], names=["doc", "leaf", "line", "need"])
 
 
-def _opened(batches, depth: int):
+def _opened(batches, *rule):
     """(line, masked text) of the wanted line hashes of each document."""
-    known = _Parsed(depth)
+    known = _Parsed(*rule)
     for b, texts in _texts(batches):
         line, text = [], []
         for want, t in zip(b.column(0).to_pylist(), texts):
             want = set(want)
             for x in t.split(b"\n"):
                 p = known[x]
-                if p and p[1] in want:
-                    want.discard(p[1])
-                    line.append(p[1])
+                if p and p[0][1] in want:
+                    want.discard(p[0][1])
+                    line.append(p[0][1])
                     text.append(masked(x))
         known.trim()
         yield pa.RecordBatch.from_arrays([pa.array(line, pa.int64()), pa.array(text, pa.binary())],
@@ -126,19 +137,21 @@ def _opened(batches, depth: int):
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
                     constant: float = CONSTANT) -> tuple[DataFrame, DataFrame]:
-    """(rows, dropped): all (doc, leaf, line) rows, and (line, first) of the lines
+    """(rows, dropped): all (doc, leaf, line, need) rows, and (line, first) of the lines
     whose template recurs, with the smallest document that holds the template."""
+    rule = depth, min_docs, constant
     rows = checkpoint(docs.select("doc_id", "text").mapInArrow(
-        lambda it: _lines(it, depth), "doc long, leaf long, line long"))
+        lambda it: _lines(it, *rule), "doc long, leaf long, line long, need int"))
     lines = checkpoint(rows.groupBy("leaf", "line").agg(
         F.countDistinct("doc").alias("n") if _repeats(docs) else F.count(F.lit(1)).alias("n"),
-        F.min("doc").alias("first")))
-    exact = lines.where(F.col("n") >= min_docs)
-    rare = lines.where(F.col("n") < min_docs)
+        F.min("doc").alias("first"), F.max("need").alias("need")))
+    exact = lines.where(F.col("n") >= F.col("need"))
+    tree = lines.where("leaf IS NOT NULL").drop("need")
+    rare = tree.where(F.col("n") < min_docs)
     # A template of rare lines needs a leaf that enough documents reach.
-    reach = lines.groupBy("leaf").agg(F.sum("n").alias("reach"), F.min("n").alias("least")) \
+    reach = tree.groupBy("leaf").agg(F.sum("n").alias("reach"), F.min("n").alias("least")) \
         .where((F.col("reach") >= min_docs) & (F.col("least") < min_docs)).select("leaf")
-    opened = checkpoint(_open(docs, lines.join(reach, "leaf"), depth))
+    opened = checkpoint(_open(docs, tree.join(reach, "leaf"), rule))
     general = _general(opened, rare, min_docs, constant)
     return rows, exact.select("line", "first").unionAll(general)
 
@@ -148,7 +161,7 @@ def _repeats(docs: DataFrame) -> bool:
     return bool(docs.groupBy("doc_id").count().where("count > 1").limit(1).count())
 
 
-def _open(docs: DataFrame, lines: DataFrame, depth: int) -> DataFrame:
+def _open(docs: DataFrame, lines: DataFrame, rule: tuple) -> DataFrame:
     """(leaf, line, n, first, masked): one masked text per line, read from its
     smallest document (the only one that has to be read)."""
     lines = checkpoint(lines)
@@ -156,7 +169,7 @@ def _open(docs: DataFrame, lines: DataFrame, depth: int) -> DataFrame:
     wanted = checkpoint(wanted)
     near = docs.join(sized(wanted, wanted.count()), docs["doc_id"] == wanted["doc"]) \
         .select("want", "text").where("text IS NOT NULL")
-    text = near.mapInArrow(lambda it: _opened(it, depth), "line long, masked binary")
+    text = near.mapInArrow(lambda it: _opened(it, *rule), "line long, masked binary")
     return lines.join(text.groupBy("line").agg(F.first("masked").alias("masked")), "line")
 
 
@@ -166,7 +179,7 @@ def _general(opened: DataFrame, rare: DataFrame, min_docs: int, constant: float)
                           F.posexplode(F.split(F.col("masked").cast("string"), " "))
                           .alias("pos", "tok")) \
         .select("leaf", "line", "n", "first", "pos", F.xxhash64("tok").alias("tok"))
-    fixed = token.groupBy("leaf", "pos", "tok").agg(F.sum("n").alias("docs")) \
+    fixed = token.where(F.col("tok") != F.xxhash64(F.lit(WILD.decode()))).groupBy("leaf", "pos", "tok").agg(F.sum("n").alias("docs")) \
         .where(F.col("docs") >= min_docs).select("leaf", "pos", "tok", F.lit(1).alias("fixed"))
     shown = token.join(fixed, ["leaf", "pos", "tok"], "left")
     # The template's hash: constants by value and place, all else alike.
@@ -206,7 +219,7 @@ def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS
     both = left.join(sized(side, hit.count()), F.col(id_col).cast("long") == F.col("__doc"), "left")
 
     def cut(text: pa.Array, gone: pa.Array) -> pa.Array:
-        known = _Parsed(depth)
+        known = _Parsed(depth, min_docs, constant)
         n, less, kept = [], [], []
         for t, g in zip(binary(text), gone.to_pylist()):
             if t is None:
@@ -218,7 +231,7 @@ def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS
             full = sum(1 for x in lines if x.strip(b" \t\n\r\x0b\x0c"))
             if g:
                 g = set(g)
-                stay = [x for x in lines if not ((p := known[x]) and p[1] in g)]
+                stay = [x for x in lines if not any(p[1] in g for p in known[x])]
                 less.append(len(lines) - len(stay))
                 t = b"\n".join(stay)
                 known.trim()
