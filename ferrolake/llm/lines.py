@@ -19,8 +19,10 @@ other lines of leaves that many documents reach are opened token by token.
 
 All counts are Spark aggregates with map-side combining over (leaf, line) and
 (leaf, position, token) hashes, over all documents; no leaf is ever collected.
-Counting follows documents, not rows: a task hands on each line of a document
-once.
+Counting follows documents, not rows or lines: a task hands on each line of a
+document once. A line that ``min_docs`` documents hold settles its constants and
+its template alone; the others have fewer documents, which are carried along and
+counted distinctly.
 """
 
 from __future__ import annotations
@@ -148,10 +150,15 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
     exact = lines.where(F.col("n") >= F.col("need"))
     tree = lines.where("leaf IS NOT NULL").drop("need")
     rare = tree.where(F.col("n") < min_docs)
-    # A template of rare lines needs a leaf that enough documents reach.
+    # A template of rare lines needs a leaf that enough documents reach; the sum over
+    # its lines is never less than its documents.
     reach = tree.groupBy("leaf").agg(F.sum("n").alias("reach"), F.min("n").alias("least")) \
         .where((F.col("reach") >= min_docs) & (F.col("least") < min_docs)).select("leaf")
-    opened = checkpoint(_open(docs, tree.join(reach, "leaf"), rule))
+    opened = _open(docs, tree.join(reach, "leaf"), rule)
+    few = checkpoint(rare.join(reach, "leaf", "left_semi").select("line"))
+    holders = rows.where("leaf IS NOT NULL").join(sized(few, few.count()), "line") \
+        .groupBy("line").agg(F.collect_set("doc").alias("docs"))
+    opened = checkpoint(opened.join(holders, "line", "left"))
     general = _general(opened, rare, min_docs, constant)
     return rows, exact.select("line", "first").unionAll(general)
 
@@ -175,13 +182,14 @@ def _open(docs: DataFrame, lines: DataFrame, rule: tuple) -> DataFrame:
 
 def _general(opened: DataFrame, rare: DataFrame, min_docs: int, constant: float) -> DataFrame:
     """(line, first) of the rare lines whose generalised template recurs."""
-    token = opened.select("leaf", "line", "n", "first",
+    token = opened.select("leaf", "line", "n", "first", "docs",
                           F.posexplode(F.split(F.col("masked").cast("string"), " "))
                           .alias("pos", "tok")) \
-        .select("leaf", "line", "n", "first", "pos", F.xxhash64("tok").alias("tok"))
-    fixed = token.where(F.col("tok") != F.xxhash64(F.lit(WILD.decode()))).groupBy("leaf", "pos", "tok").agg(F.sum("n").alias("docs")) \
-        .where(F.col("docs") >= min_docs).select("leaf", "pos", "tok", F.lit(1).alias("fixed"))
-    shown = token.join(fixed, ["leaf", "pos", "tok"], "left")
+        .select("leaf", "line", "n", "first", "docs", "pos", F.xxhash64("tok").alias("tok"))
+    fixed = _enough(token.where(F.col("tok") != F.xxhash64(F.lit(WILD.decode()))),
+                    ["leaf", "pos", "tok"], min_docs) \
+        .select("leaf", "pos", "tok", F.lit(1).alias("fixed"))
+    shown = token.drop("docs").join(fixed, ["leaf", "pos", "tok"], "left")
     # The template's hash: constants by value and place, all else alike.
     template = shown.groupBy("leaf", "line").agg(
         F.first("n").alias("n"), F.first("first").alias("first"),
@@ -189,14 +197,22 @@ def _general(opened: DataFrame, rare: DataFrame, min_docs: int, constant: float)
         F.sum(F.when(F.col("fixed") == 1, F.xxhash64("pos", "tok")).otherwise(0)
               .cast("decimal(38,0)")).alias("template")) \
         .where(F.col("share") >= constant)
-    recurring = template.groupBy("leaf", "template").agg(
-        F.sum("n").alias("docs"), F.min("first").alias("oldest")) \
-        .where(F.col("docs") >= min_docs).select("leaf", "template", "oldest")
+    template = template.join(opened.select("leaf", "line", "docs"), ["leaf", "line"])
+    recurring = _enough(template, ["leaf", "template"], min_docs)
     again = template.join(recurring, ["leaf", "template"]).select("leaf", "line", "oldest")
     return again.join(rare.select("leaf", "line"), ["leaf", "line"]).select(
         "line", F.col("oldest").alias("first"))
 
 
+def _enough(df: DataFrame, key: list[str], min_docs: int) -> DataFrame:
+    """(key, most, held, oldest) of the keys that ``min_docs`` documents hold: by one
+    line (``n``), or counted over the ``docs`` of the lines that fewer hold."""
+    return df.select(*key, "n", "first", F.explode_outer("docs").alias("doc")) \
+        .groupBy(*key).agg(F.max("n").alias("most"), F.countDistinct("doc").alias("held"),
+                           F.min("first").alias("oldest")) \
+        .where((F.col("most") >= min_docs) | (F.col("held") >= min_docs))
+
+
 def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
                    constant: float = CONSTANT, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ def dropped(spark, rows, **kw):
 
 def brute(rows, depth=4, min_docs=3, constant=0.7):
     """(doc, n_lines, n_dropped, kept text) by plain loops: a template's constants are
-    real tokens."""
+    real tokens, and counts are of documents."""
     holders, equal = defaultdict(set), defaultdict(set)
     for d, t in rows:
         for x in t.encode().split(b"\n"):
@@ -24,19 +24,18 @@ def brute(rows, depth=4, min_docs=3, constant=0.7):
     holders.pop(b"", None)
     words = {m: m.split(b" ") for m in holders}
     leaf = {m: (len(w), tuple(w[:depth])) for m, w in words.items()}
-    at = defaultdict(int)
+    at = defaultdict(set)
     for m, ds in holders.items():
         for i, w in enumerate(words[m]):
-            at[leaf[m], i, w] += len(ds)
+            at[leaf[m], i, w] |= ds
     enough = {m for m, w in words.items() if sum(x != lines.WILD for x in w) / len(w) >= constant}
-    count, first, template = defaultdict(int), {}, {}
+    held, template = defaultdict(set), {}
     for m, ds in holders.items():
-        shape = tuple(w if w != lines.WILD and at[leaf[m], i, w] >= min_docs else None
+        shape = tuple(w if w != lines.WILD and len(at[leaf[m], i, w]) >= min_docs else None
                       for i, w in enumerate(words[m]))
         if sum(x is not None for x in shape) / len(shape) >= constant:
             k = template[m] = leaf[m], shape
-            count[k] += len(ds)
-            first[k] = min(first.get(k, min(ds)), min(ds))
+            held[k] |= ds
     out = []
     for d, t in rows:
         kept, gone, n = [], 0, 0
@@ -48,8 +47,8 @@ def brute(rows, depth=4, min_docs=3, constant=0.7):
                 old = min(own)
             elif m in enough and len(holders[m]) >= min_docs:
                 old = min(holders[m])
-            elif m in template and count[template[m]] >= min_docs:
-                old = first[template[m]]
+            elif m in template and len(held[template[m]]) >= min_docs:
+                old = min(held[template[m]])
             gone += d > old
             if d <= old:
                 kept.append(x)
@@ -85,3 +84,17 @@ def test_fields_with_a_digit_are_no_constants(spark):
     # Four of seven positions hold constants, two fields have digits, one varies.
     rows = [(d, f"from 1{d} to 2{d} came {w} home") for d, w in enumerate(["ann", "bob", "cid", "dan"])]
     assert set(dropped(spark, rows, depth=2).values()) == {0}
+
+
+def test_lines_of_one_document_are_no_template(spark):
+    price = "the price per kilo of {} is low today".format
+    rows = [(1, "\n".join(map(price, ["apples", "pears", "plums", "figs"]))), (2, price("leeks")),
+            (3, "something else")]
+    assert dropped(spark, rows) == {1: 0, 2: 0, 3: 0}
+    # Nor do its tokens become constants for the lines of others.
+    rows = [(1, "the old man of all {0} x{0} is here\nthe old man of all k{0} is gone now".format("a")),
+            (2, "the old man of all b is here now")]
+    assert dropped(spark, rows) == {1: 0, 2: 0}
+    # A third document makes the template recur.
+    rows = [(1, "\n".join(map(price, ["apples", "pears"]))), (2, price("leeks")), (3, price("kale"))]
+    assert dropped(spark, rows) == {1: 0, 2: 1, 3: 1}
