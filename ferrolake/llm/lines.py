@@ -9,9 +9,13 @@ constants. A template that stands in ``min_docs`` documents or more is
 recurring: its lines are dropped from every document but the first (smallest
 doc_id) that holds the template, so the text itself survives once.
 
+A line of enough constants (tokens without a digit) whose unmasked tokens are
+equal in ``equal_docs`` documents recurs too, whatever its template does; it
+stays in the first of those.
+
 A ``<*>`` is no constant, whatever recurs. A line whose tokens without a digit
 are fewer than ``constant`` of its positions (a row of numbers) has no template;
-it recurs only where its unmasked tokens are equal.
+it recurs only where its unmasked tokens are equal in ``min_docs`` documents.
 
 Two levels keep this cheap and exact. Lines whose masked text alone recurs are
 templates at once (all their tokens without a digit are constant). Only the
@@ -38,6 +42,7 @@ from .common import binary, checkpoint, sized
 
 DEPTH = 4
 MIN_DOCS = 3
+EQUAL_DOCS = 2
 CONSTANT = 0.7
 #: Bytes of text handled at once inside a task.
 CHUNK = 4_000_000
@@ -57,19 +62,22 @@ def masked(line: bytes) -> bytes:
     return b" ".join(_DIGIT.sub(WILD, line).split())
 
 
-def parse(line: bytes, depth: int, min_docs: int, constant: float) -> tuple:
+def parse(line: bytes, depth: int, min_docs: int, constant: float, equal_docs: int) -> tuple:
     """The line's (leaf, key, documents from which the key alone recurs); none for a
-    blank line. First its masked text; one with too few constants also has its
-    unmasked text, outside the tree (leaf None)."""
+    blank line. First its masked text; one with a ``<*>`` also has its unmasked text,
+    outside the tree (leaf None)."""
     m = masked(line)
     if not m:
         return ()
     tokens = m.split(b" ")
     n = len(tokens)
     leaf = _hash(b"%d %s" % (n, b" ".join(tokens[:depth])))
-    if WILD not in m or (n - tokens.count(WILD)) / n >= constant:
-        return (leaf, _hash(m), min_docs),
-    return (leaf, _hash(m), NEVER), (None, _hash(b" ".join(line.split()), 1), min_docs)
+    if WILD not in m:
+        return (leaf, _hash(m), equal_docs),
+    own = _hash(b" ".join(line.split()), 1)
+    if (n - tokens.count(WILD)) / n >= constant:
+        return (leaf, _hash(m), min_docs), (None, own, equal_docs)
+    return (leaf, _hash(m), NEVER), (None, own, min_docs)
 
 
 def _texts(batches):
@@ -138,10 +146,12 @@ def _opened(batches, *rule):
 
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
-                    constant: float = CONSTANT) -> tuple[DataFrame, DataFrame]:
+                    constant: float = CONSTANT,
+                    equal_docs: int = EQUAL_DOCS) -> tuple[DataFrame, DataFrame]:
     """(rows, dropped): all (doc, leaf, line, need) rows, and (line, first) of the lines
-    whose template recurs, with the smallest document that holds the template."""
-    rule = depth, min_docs, constant
+    that recur, with the smallest document that holds the template or the equal line."""
+    equal_docs = min(equal_docs, min_docs)
+    rule = depth, min_docs, constant, equal_docs
     rows = checkpoint(docs.select("doc_id", "text").mapInArrow(
         lambda it: _lines(it, *rule), "doc long, leaf long, line long, need int"))
     lines = checkpoint(rows.groupBy("leaf", "line").agg(
@@ -215,7 +225,7 @@ def _enough(df: DataFrame, key: list[str], min_docs: int) -> DataFrame:
 
 def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
                    constant: float = CONSTANT, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", equal_docs: int = EQUAL_DOCS) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped`` and the text left in ``kept``.
 
     Lines end at ``\\n``; blank lines are never dropped and do not count as
@@ -226,7 +236,7 @@ def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS
     """
     base = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows, dropped = recurring_lines(base, depth, min_docs, constant)
+    rows, dropped = recurring_lines(base, depth, min_docs, constant, equal_docs)
     hit = (rows.join(dropped, "line").where(F.col("doc") > F.col("first"))
            .groupBy("doc").agg(F.collect_set("line").alias("gone")))
     hit = checkpoint(hit)
@@ -235,7 +245,7 @@ def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS
     both = left.join(sized(side, hit.count()), F.col(id_col).cast("long") == F.col("__doc"), "left")
 
     def cut(text: pa.Array, gone: pa.Array) -> pa.Array:
-        known = _Parsed(depth, min_docs, constant)
+        known = _Parsed(depth, min_docs, constant, min(equal_docs, min_docs))
         n, less, kept = [], [], []
         for t, g in zip(binary(text), gone.to_pylist()):
             if t is None:

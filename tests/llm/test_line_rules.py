@@ -1,19 +1,21 @@
 """What line dedup takes for recurring: constants, documents and equal lines."""
 
+import hashlib
 import random
 from collections import defaultdict
 
 import pytest
-from test_lines import run
+from test_lines import SF, run
 
 from ferrolake.llm import lines
+from ferrolake.llm.queries import op9_line_dedup
 
 
 def dropped(spark, rows, **kw):
     return {r[0]: r[2] for r in run(spark, rows, **kw)}
 
 
-def brute(rows, depth=4, min_docs=3, constant=0.7):
+def brute(rows, depth=4, min_docs=3, constant=0.7, equal_docs=2):
     """(doc, n_lines, n_dropped, kept text) by plain loops: a template's constants are
     real tokens, and counts are of documents."""
     holders, equal = defaultdict(set), defaultdict(set)
@@ -43,12 +45,12 @@ def brute(rows, depth=4, min_docs=3, constant=0.7):
             m, own = lines.masked(x.encode()), equal[tuple(x.encode().split())]
             n += bool(m)
             old = d
-            if m and m not in enough and len(own) >= min_docs:
+            if m and len(own) >= (equal_docs if m in enough else min_docs):
                 old = min(own)
-            elif m in enough and len(holders[m]) >= min_docs:
+            if m in enough and len(holders[m]) >= min_docs:
                 old = min(holders[m])
             elif m in template and len(held[template[m]]) >= min_docs:
-                old = min(held[template[m]])
+                old = min(old, *held[template[m]])
             gone += d > old
             if d <= old:
                 kept.append(x)
@@ -98,3 +100,19 @@ def test_lines_of_one_document_are_no_template(spark):
     # A third document makes the template recur.
     rows = [(1, "\n".join(map(price, ["apples", "pears"]))), (2, price("leeks")), (3, price("kale"))]
     assert dropped(spark, rows) == {1: 0, 2: 1, 3: 1}
+
+
+def test_equal_lines_of_two_documents(spark):
+    rows = [(1, "a long line that stands in two\npage 7 of this long book\n1 2 3"),
+            (2, "a long  line that stands in two \npage 7 of this long book\n1 2 3\nown words"),
+            (3, "page 8 of that long book\nother words")]
+    assert dropped(spark, rows) == {1: 0, 2: 2, 3: 0}
+    # The higher minimum stays for templates.
+    rows = [(1, "page 7 of this long book"), (2, "page 8 of this long book")]
+    assert dropped(spark, rows) == {1: 0, 2: 0}
+
+
+def test_query_on_documents(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = [(d, n, g, hashlib.sha256(k.encode()).hexdigest()) for d, n, g, k in brute(rows)]
+    assert sorted(map(tuple, op9_line_dedup(spark, SF).collect())) == want
