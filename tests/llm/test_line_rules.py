@@ -2,10 +2,9 @@
 
 import hashlib
 import random
-from collections import defaultdict
 
 import pytest
-from test_lines import SF, run
+from test_lines import SF, brute, run
 
 from ferrolake.llm import lines
 from ferrolake.llm.queries import op9_line_dedup
@@ -15,49 +14,6 @@ def dropped(spark, rows, **kw):
     return {r[0]: r[2] for r in run(spark, rows, **kw)}
 
 
-def brute(rows, depth=4, min_docs=3, constant=0.7, equal_docs=2):
-    """(doc, n_lines, n_dropped, kept text) by plain loops: a template's constants are
-    real tokens, and counts are of documents."""
-    holders, equal = defaultdict(set), defaultdict(set)
-    for d, t in rows:
-        for x in t.encode().split(b"\n"):
-            holders[lines.masked(x)].add(d)
-            equal[tuple(x.split())].add(d)
-    holders.pop(b"", None)
-    words = {m: m.split(b" ") for m in holders}
-    leaf = {m: (len(w), tuple(w[:depth])) for m, w in words.items()}
-    at = defaultdict(set)
-    for m, ds in holders.items():
-        for i, w in enumerate(words[m]):
-            at[leaf[m], i, w] |= ds
-    enough = {m for m, w in words.items() if sum(x != lines.WILD for x in w) / len(w) >= constant}
-    held, template = defaultdict(set), {}
-    for m, ds in holders.items():
-        shape = tuple(w if w != lines.WILD and len(at[leaf[m], i, w]) >= min_docs else None
-                      for i, w in enumerate(words[m]))
-        if sum(x is not None for x in shape) / len(shape) >= constant:
-            k = template[m] = leaf[m], shape
-            held[k] |= ds
-    out = []
-    for d, t in rows:
-        kept, gone, n = [], 0, 0
-        for x in t.split("\n"):
-            m, own = lines.masked(x.encode()), equal[tuple(x.encode().split())]
-            n += bool(m)
-            old = d
-            if m and len(own) >= (equal_docs if m in enough else min_docs):
-                old = min(own)
-            if m in enough and len(holders[m]) >= min_docs:
-                old = min(holders[m])
-            elif m in template and len(held[template[m]]) >= min_docs:
-                old = min(old, *held[template[m]])
-            gone += d > old
-            if d <= old:
-                kept.append(x)
-        out.append((d, n, gone, "\n".join(kept)))
-    return sorted(out)
-
-
 @pytest.mark.parametrize("depth,min_docs,constant", [(4, 3, 0.7), (2, 2, 0.5), (1, 4, 0.9)])
 def test_random(spark, depth, min_docs, constant):
     rnd = random.Random(depth)
