@@ -11,12 +11,3 @@ from ferrolake.session import get_spark  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     return get_spark(app="ferrolake-tests", cores=4, shuffle_partitions=4)
-
-
-def one(spark, col, **cols):
-    """Evaluate a Column over a one-row frame built from ``cols`` (all strings unless given)."""
-    if not cols:
-        return spark.range(1).select(col.alias("v")).first()["v"]
-    names = list(cols)
-    df = spark.createDataFrame([tuple(cols[n] for n in names)], names)
-    return df.select(col.alias("v")).first()["v"]

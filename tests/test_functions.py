@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import one
+from expressions import one
 from ferrolake.functions import (active_days, agency_id_of, clean_country, country_of_name,
                                  country_of_point, day_night, emission_factor, haversine_km,
                                  is_valid_numeric, route_id_of, route_title, time_parts,
