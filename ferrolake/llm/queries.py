@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontam, jaccard, licenses, lines, oracle, ordinal, substrings, urls
+from . import (ann, bpe, chat, decontam, jaccard, licenses, lines, oracle, ordinal, periods,
+               substrings, urls)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,9 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_nearest_neighbours")
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periods.digests(periods.periodic_runs(periods.plant_periods(docs), least=12))
