@@ -6,6 +6,7 @@ no levels), so it checks the operators' results, not their steps.
 
 from __future__ import annotations
 
+from .audit import ORDERS
 from .licenses import NOTICES, PHRASES, SHARE, SLACK, template_words
 from .urls import INSULTS, RULES
 
@@ -132,3 +133,40 @@ def jaccard_sql(words: int = 5, num: int = 75, den: int = 100) -> str:
     least AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id)
     SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id
     FROM docs d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+
+def audit_sql() -> str:
+    words = SPLIT_WORDS.format("text")
+    fails = {"A": "len(w) < 100", "B": "100 * len(list_distinct(w)) < 80 * len(w)",
+             "C": "100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text)",
+             "D": "regexp_matches(text, '[#$%&*|]')", "E": "coalesce(doc_id > first, false)"}
+    orders = ", ".join(f"({q(o)})" for o in ORDERS)
+    steps = " UNION ALL ".join(
+        f"SELECT filter_order, {k} AS step, substr(filter_order, {k}, 1) AS letter, "
+        f"substr(filter_order, 1, {k - 1}) AS before FROM orders" for k in range(1, 6))
+    return f"""WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part
+      FROM documents),
+    firsts AS (SELECT *, {words} AS w, min(doc_id) OVER (PARTITION BY text) AS first FROM docs),
+    flags AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+      max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+    judged AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+      {' || '.join(f"CASE WHEN {c} THEN {q(f)} ELSE '' END" for f, c in fails.items())} AS failed
+      FROM firsts LEFT JOIN flags USING (doc_id)),
+    counts AS (SELECT part, failed, good, toxic, count(*) AS n FROM judged GROUP BY ALL),
+    orders(filter_order) AS (VALUES {orders}),
+    steps AS ({steps}),
+    rows AS (SELECT part, filter_order, step, letter, n, good, toxic, failed,
+      contains(failed, letter) AS fails, before <> '' AND regexp_matches(failed,
+        '[' || CASE before WHEN '' THEN '-' ELSE before END || ']') AS gone FROM counts, steps),
+    sums AS (SELECT part, filter_order, step, letter,
+      sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS kept,
+      sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+      sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant,
+      sum(CASE WHEN failed = letter THEN n ELSE 0 END) AS unique_fails,
+      sum(CASE WHEN fails AND NOT gone AND good = 1 THEN n ELSE 0 END) AS good_lost,
+      sum(CASE WHEN fails AND NOT gone AND toxic = 1 THEN n ELSE 0 END) AS toxic_lost
+      FROM rows GROUP BY part, filter_order, step, letter)
+    SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+      redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+      good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+      (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM sums"""

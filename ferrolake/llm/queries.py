@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, bpe, chat, decontam, jaccard, licenses, lines, oracle, ordinal, periods,
+from . import (ann, audit, bpe, chat, decontam, jaccard, licenses, lines, oracle, ordinal, periods,
                substrings, urls)
 from .common import read_table
 
@@ -106,3 +106,9 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return periods.digests(periods.periodic_runs(periods.plant_periods(docs), least=12))
+
+
+@register("op12_filter_audit", oracle.audit_sql())
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(spark, f"{sf_dir}/documents.parquet", read_table(spark, sf_dir, "labels"),
+                       batches=4)
