@@ -11,24 +11,26 @@ micro-batches). A to D are column expressions; E needs memory across files:
 * each task first settles its own rows: of equal texts only those with the
   smallest id can still be first, the others fail E for certain and are counted
   at once. A text that makes up a third of all rows thus leaves one row per task;
-* a keyed state per text (by its SHA-256) holds the smallest id so far and where
-  its rows were counted. When a smaller id arrives, the old rows are retracted
-  (-n under the mask without E, +n under the mask with E) and the new ones counted;
+* keyed state holds, per text (by its SHA-256), the smallest id so far and where its
+  rows were counted. When a smaller id arrives, the old rows are retracted (-n
+  under the mask without E, +n under the mask with E) and the new ones counted.
+  Texts share a state value with about ``TEXTS`` others (a hash bucket; their number
+  follows the counted rows), so that Python is called per bucket, not per text;
 * every micro-batch writes its summed changes to the folder of its batch number,
   so a replayed batch replaces them; the part counters are the sum of all folders.
 
-State lives in Spark's RocksDB store with its checkpoint in the shared folder, so
-it is neither bounded by executor memory nor lost with an executor.
+State lives in the session's state store and is checkpointed in the shared folder, so
+it is not lost with an executor. The default store holds it in executor memory (about
+100 bytes a text); where that is too much, the platform names the RocksDB store in
+``spark.sql.streaming.stateStore.providerClass``.
 """
 
 from __future__ import annotations
 
-import json
 import math
 import uuid
 from itertools import permutations
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,11 +46,10 @@ ORDERS = ["".join(p) for p in permutations(FILTERS)]
 #: Rows that a task settles at once.
 SETTLE_ROWS = 200_000
 
-ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
-           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-           "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+#: Texts, about, of one state value.
+TEXTS = 1024
 
-_ROWS = "key string, id long, part string, mask int, good int, toxic int, n long"
+_ROWS = "key binary, id long, keyed boolean, part string, mask int, good int, toxic int, n long"
 CHANGES = "part string, mask int, good int, toxic int, n long"
 
 
@@ -73,7 +74,7 @@ def masked(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text"))).select(
         "id", "part", own_mask(F.col("text"), F.col("words")).alias("mask"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("key"))
+        F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key"))
     return rows.join(labels, "id", "left").select(
         "key", "id", "part", "mask", F.coalesce("good", F.lit(0)).alias("good"),
         F.coalesce("toxic", F.lit(0)).alias("toxic"))
@@ -87,33 +88,47 @@ def label_flags(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
                                                     flag("toxic").alias("toxic"))
 
 
-_OUT = pa.schema([("key", pa.string()), ("id", pa.int64()), ("part", pa.string()),
-                  ("mask", pa.int32()), ("good", pa.int32()), ("toxic", pa.int32()),
-                  ("n", pa.int64())])
+_OUT = pa.schema([("key", pa.binary()), ("id", pa.int64()), ("keyed", pa.bool_()),
+                  ("part", pa.string()), ("mask", pa.int32()), ("good", pa.int32()),
+                  ("toxic", pa.int32()), ("n", pa.int64())])
 _SUMS = ["part", "mask", "good", "toxic"]
 
 
+def _failing(t: pa.Table) -> pa.Table:
+    """The rows with filter E among those that they fail."""
+    mask = pc.bit_wise_or(t["mask"], pa.scalar(E, pa.int32()))
+    return t.set_column(t.column_names.index("mask"), "mask", mask)
+
+
+def _summed(tables: list[pa.Table], by: list[str]) -> pa.Table:
+    t = pa.concat_tables([t.select([*by, "n"]) for t in tables])
+    return t.group_by(by).aggregate([("n", "sum")]).rename_columns([*by, "n"])
+
+
+def _split(t: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """Rows with the smallest id of their text, and all others."""
+    least = t.group_by("key").aggregate([("id", "min")])
+    both = t.join(least, "key")
+    first = pc.equal(both["id"], both["id_min"])
+    return both.filter(first), both.filter(pc.invert(first))
+
+
 def _settled(t: pa.Table):
     """Rows of one task: the smallest id of each text stays keyed, all others are counted."""
+    t = t.append_column("n", pa.array([1] * len(t), pa.int64()))
     t = t.cast(pa.schema([_OUT.field(c) for c in t.column_names]))
-    ided = t.filter(pc.is_valid(t["id"]))
-    least = ided.group_by("key").aggregate([("id", "min")])
-    both = ided.join(least, "key")
-    first = pc.equal(both["id"], both["id_min"])
-    keyed = both.filter(first).group_by(["key", "id", *_SUMS]).aggregate([([], "count_all")])
-    yield keyed.rename_columns(["key", "id", *_SUMS, "n"]).select(_OUT.names).cast(_OUT)
+    first, late = _split(t.filter(pc.is_valid(t["id"])))
+    keyed = _summed([first], ["key", "id", *_SUMS])
+    yield keyed.append_column("keyed", pa.array([True] * len(keyed))).select(_OUT.names).cast(_OUT)
     # Certain to fail E: this task holds a smaller id. Rows without an id compare with none.
-    late = both.filter(pc.invert(first)).select(_SUMS)
-    late = late.set_column(1, "mask", pc.bit_wise_or(late["mask"], pa.scalar(E, pa.int32())))
-    free = t.filter(pc.is_null(t["id"])).select(_SUMS)
-    rest = pa.concat_tables([late, free]).group_by(_SUMS).aggregate([([], "count_all")])
-    rest = rest.rename_columns([*_SUMS, "n"])
-    none = pa.nulls(len(rest))
-    rest = rest.append_column("id", none.cast(pa.int64()))
+    rest = _summed([_failing(late), t.filter(pc.is_null(t["id"]))], _SUMS)
     # A key of its own per counter, so that the counters of all tasks meet spread.
     name = pc.binary_join_element_wise(rest["part"], *[pc.cast(rest[c], pa.string())
                                                        for c in _SUMS[1:]], "|")
-    yield rest.append_column("key", name).select(_OUT.names).cast(_OUT)
+    for c, v in (("key", name.cast(pa.binary())), ("id", pa.array([0] * len(rest), pa.int64())),
+                 ("keyed", pa.array([False] * len(rest)))):
+        rest = rest.append_column(c, v)
+    yield rest.select(_OUT.names).cast(_OUT)
 
 
 def settle(batches):
@@ -130,40 +145,47 @@ def settle(batches):
             yield from t.to_batches()
 
 
+_STATE = pa.schema([f for f in _OUT if f.name != "keyed"])
+
+
+def merge(old: pa.Table | None, new: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """(state, changes): the first rows of each text, and what the new rows change.
+
+    ``old``: the state so far, ``new``: rows that their tasks settled.
+    """
+    counted = new.filter(pc.invert(new["keyed"]))
+    new = new.filter(new["keyed"]).select(_STATE.names)
+    old = _STATE.empty_table() if old is None else old
+    both = pa.concat_tables([t.append_column("old", pa.array([o] * len(t), pa.bool_()))
+                             for t, o in ((old, True), (new, False))])
+    first, late = _split(both)
+    # Rows that are no longer first were counted without E.
+    back = late.filter(late["old"])
+    back = back.set_column(back.column_names.index("n"), "n", pc.negate(back["n"]))
+    changes = [counted, first.filter(pc.invert(first["old"])), _failing(late), back]
+    return _summed([first], ["key", "id", *_SUMS]).select(_STATE.names), _summed(changes, _SUMS)
+
+
 def _update(key: tuple, frames, state: GroupState):
-    """Changes of the part counters by the rows of one text (or of one counter)."""
-    rows = [r for f in frames for r in f.itertuples(index=False, name=None)]
-    out = []
-    if pd.isna(rows[0][1]):  # counted by its task already
-        out = [(p, m, g, x, n) for _, _, p, m, g, x, n in rows]
-    else:
-        base = rows[0][3]  # equal texts have equal masks
-        old = state.get if state.exists else None
-        least = min(int(r[1]) for r in rows)
-        if old is not None:
-            least = min(least, old[0])
-        holders: dict = {}
-        for _, i, p, m, g, x, n in rows:
-            first = int(i) == least
-            out.append((p, m if first else m | E, g, x, n))
-            if first:
-                holders[p, g, x] = holders.get((p, g, x), 0) + n
-        if old is not None and old[0] > least:
-            for p, g, x, n in json.loads(old[1]):
-                out += [(p, base, g, x, -n), (p, base | E, g, x, n)]
-        elif old is not None:
-            for p, g, x, n in json.loads(old[1]):
-                holders[p, g, x] = holders.get((p, g, x), 0) + n
-        if holders:
-            state.update((least, json.dumps([[p, int(g), int(x), int(n)]
-                                             for (p, g, x), n in holders.items()])))
-    yield pd.DataFrame(out, columns=["part", "mask", "good", "toxic", "n"])
-
-
-def stream_changes(stream: DataFrame, labels: DataFrame, **columns) -> DataFrame:
+    """Changes of the part counters by the rows of one bucket of texts."""
+    new = pa.concat_tables([pa.Table.from_pandas(f[_OUT.names], _OUT, preserve_index=False)
+                            for f in frames])
+    old = pa.ipc.open_stream(state.get[0]).read_all() if state.exists else None
+    kept, changes = merge(old, new)
+    if len(kept):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, kept.schema) as out:
+            out.write_table(kept)
+        state.update((sink.getvalue().to_pybytes(),))
+    yield changes.to_pandas()
+
+
+def stream_changes(stream: DataFrame, labels: DataFrame, buckets: int, **columns) -> DataFrame:
     """The changes (part, mask, good, toxic, n) that a stream of documents makes."""
-    return (masked(stream, labels, **columns).mapInArrow(settle, _ROWS).groupBy("key")
-            .applyInPandasWithState(_update, CHANGES, "id long, holders string", "append",
+    settled = masked(stream, labels, **columns).mapInArrow(settle, _ROWS)
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets))
+    return (settled.withColumn("bucket", bucket).groupBy("bucket")
+            .applyInPandasWithState(_update, CHANGES, "texts binary", "append",
                                     GroupStateTimeout.NoTimeout))
 
 
@@ -176,6 +198,7 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, batches: int
     path = path.rstrip("/")
     base = spark.read.parquet(path)
     files = max(1, len(base.inputFiles()))
+    buckets = 1 + base.count() // TEXTS
     folder = f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
     # The folder is there even if no batch has a row.
     spark.createDataFrame([], CHANGES).write.parquet(f"{folder}/changes/batch=-1")
@@ -184,21 +207,14 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, batches: int
         (changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
          .write.mode("overwrite").parquet(f"{folder}/changes/batch={number}"))
 
-    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
-    for k, v in ROCKSDB.items():
-        spark.conf.set(k, v)
-    try:
-        # As a pattern (of one name), so that the path may be a folder or a single file.
-        source = (spark.readStream.schema(base.schema)
-                  .option("maxFilesPerTrigger", math.ceil(files / batches))
-                  .parquet(f"{path[:-1]}[{path[-1]}]"))
-        query = (stream_changes(source, flags, **columns).writeStream.foreachBatch(save)
-                 .option("checkpointLocation", f"{folder}/stream")
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # As a pattern (of one name), so that the path may be a folder or a single file.
+    source = (spark.readStream.schema(base.schema)
+              .option("maxFilesPerTrigger", math.ceil(files / batches))
+              .parquet(f"{path[:-1]}[{path[-1]}]"))
+    query = (stream_changes(source, flags, buckets, **columns).writeStream.foreachBatch(save)
+             .option("checkpointLocation", f"{folder}/stream")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
     return (spark.read.schema(CHANGES).parquet(f"{folder}/changes")
             .groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")))
 

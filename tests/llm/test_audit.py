@@ -3,7 +3,7 @@ import re
 from collections import Counter, defaultdict
 from itertools import permutations
 
-import pandas as pd
+import pyarrow as pa
 import pytest
 
 from ferrolake.llm import audit
@@ -85,52 +85,40 @@ def test_against_every_order(spark, tmp_path, files, batches):
 
 
 def test_state_retracts_and_recounts():
-    class State:
-        value = None
-        exists = property(lambda s: s.value is not None)
-        get = property(lambda s: s.value)
-
-        def update(self, v):
-            self.value = v
-
-    def step(state, *rows):
-        frame = pd.DataFrame(rows, columns=["key", "id", "part", "mask", "good", "toxic", "n"])
-        total = Counter()
-        for f in audit._update(("k",), iter([frame]), state):
-            for p, m, g, x, n in f.itertuples(index=False, name=None):
-                total[p, m, g, x] += n
-        return {k: v for k, v in total.items() if v}
-
-    s = State()
-    assert step(s, ("k", 9, "en", 1, 1, 0, 1)) == {("en", 1, 1, 0): 1}
-    assert step(s, ("k", 12, "de", 1, 0, 0, 1)) == {("de", 1 | audit.E, 0, 0): 1}
-    assert step(s, ("k", 9, "de", 1, 1, 0, 2)) == {("de", 1, 1, 0): 2}
-    assert step(s, ("k", 4, "fr", 1, 0, 1, 1), ("k", 5, "fr", 1, 0, 1, 1)) == {
+    state = None
+
+    def step(*rows):
+        nonlocal state
+        new = pa.Table.from_pylist([dict(zip(audit._OUT.names, (b"k", i, True, *r)))
+                                    for i, *r in rows], audit._OUT)
+        state, changes = audit.merge(state, new)
+        return {tuple(r.values())[:4]: r["n"] for r in changes.to_pylist() if r["n"]}
+
+    assert step((9, "en", 1, 1, 0, 1)) == {("en", 1, 1, 0): 1}
+    assert step((12, "de", 1, 0, 0, 1)) == {("de", 1 | audit.E, 0, 0): 1}
+    assert step((9, "de", 1, 1, 0, 2)) == {("de", 1, 1, 0): 2}
+    assert step((4, "fr", 1, 0, 1, 1), (5, "fr", 1, 0, 1, 1)) == {
         ("fr", 1, 0, 1): 1, ("fr", 1 | audit.E, 0, 1): 1, ("en", 1, 1, 0): -1,
         ("en", 1 | audit.E, 1, 0): 1, ("de", 1, 1, 0): -2, ("de", 1 | audit.E, 1, 0): 2}
-    assert s.value[0] == 4
+    assert state["id"].to_pylist() == [4]
 
 
 def test_hot_text_leaves_a_row_per_task():
-    import pyarrow as pa
     n = 50_000
-    cols = [pa.array(["k"] * n), pa.array(range(n)), pa.array(["en"] * n),
+    cols = [pa.array([b"k"] * n), pa.array(range(n)), pa.array(["en"] * n),
             *[pa.array([0] * n, pa.int32())] * 3]
     out = pa.Table.from_batches(audit.settle(iter([pa.record_batch(
         cols, names=["key", "id", "part", "mask", "good", "toxic"])])))
-    assert sorted(zip(out["id"].to_pylist(), out["mask"].to_pylist(), out["n"].to_pylist()),
-                  key=str) == [(0, 0, 1), (None, audit.E, n - 1)]
+    assert sorted(zip(out["keyed"].to_pylist(), out["mask"].to_pylist(), out["n"].to_pylist())) == \
+        [(False, audit.E, n - 1), (True, 0, 1)]
 
 
-def test_empty_table_and_settings(spark, tmp_path):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
+def test_empty_table(spark, tmp_path):
     path = f"{tmp_path}/documents.parquet"
     spark.createDataFrame([], "doc_id long, text string, lang string").write.parquet(path)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = audit.audit(spark, path, none)
     assert out.columns == COLUMNS and out.count() == 0
-    assert spark.conf.get(key, None) == before
 
 
 def test_query(spark):
