@@ -170,3 +170,7 @@ def audit_sql() -> str:
       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM sums"""
+
+
+def minhash_sql() -> str:
+    return f"SELECT *, doc_id = component_id AS kept FROM ({jaccard_sql(2, 80, 100)})"

@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, audit, bpe, chat, decontam, jaccard, licenses, lines, oracle, ordinal, periods,
-               substrings, urls)
+from . import (ann, audit, bpe, chat, decontam, jaccard, licenses, lines, minhash, oracle, ordinal,
+               periods, substrings, urls)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(spark, f"{sf_dir}/documents.parquet", read_table(spark, sf_dir, "labels"),
                        batches=4)
+
+
+@register("op11_minhash_dedup", oracle.minhash_sql())
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_classes(read_table(spark, sf_dir, "documents"), words=2, num=80, den=100)

@@ -12,16 +12,16 @@ from ferrolake.llm.queries import op7_ngram_jaccard
 SF = "/root/testdata/sf0.001"
 
 
-def shingles(text):
+def shingles(text, k=5):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     if not w:
         return frozenset()
-    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4)))
+    return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1)))
 
 
-def brute(rows, num=75, den=100):
+def brute(rows, num=75, den=100, k=5):
     """doc -> (size, component) by comparing every pair that shares a shingle."""
-    sets = [(d, shingles(t)) for d, t in rows]
+    sets = [(d, shingles(t, k)) for d, t in rows]
     parent = list(range(len(sets)))
 
     def find(i):
