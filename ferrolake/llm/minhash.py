@@ -14,10 +14,14 @@ with equal sets are one *class* from the start, however many they are.
 * Star: of a bucket only edges to one hub are candidates, members - 1 of them. All
   bands draw hubs in one order of classes, so a group that fills many buckets has
   few distinct edges.
-* Every candidate is confirmed on the two full sets. Buckets whose members are
-  then still in several components get further hubs among those outside the
-  largest one (1, 8, 64, ... a round), until each such member was a hub: no link
-  within a bucket is lost, and no pairs are made inside a component.
+* Candidates whose sizes or signature bits (one per bin) are too far apart go;
+  the others are confirmed on the two full sets. Bits refuse a pair at the
+  threshold itself with a chance of about 1e-5.
+* Buckets whose members are then still in several components are closed: members
+  outside a bucket's largest component meet that component's members, once for all
+  their buckets, and then one another, in blocks of bounded size inside a task
+  (bits first, then full sets). A block returns its links, one for each class and
+  component, so strangers that share a bucket make no rows, and no link is lost.
 
 Scale: one pass over the texts writes one row per document, with the keys of its
 class where the task meets the class first. Band rows are shuffled twice (partial
@@ -29,6 +33,7 @@ with another class.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 import numpy as np
@@ -115,6 +120,20 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def signature_bits(values: np.ndarray) -> np.ndarray:
+    """One bit per bin of each signature, packed to 64-bit words: equal values agree,
+    others in every second bin."""
+    bins = values.shape[1]
+    bit = mix(values + np.arange(1, bins + 1, dtype=U64) * _SEED) >> U64(63)
+    return np.packbits(bit.astype(np.uint8), axis=1, bitorder="little").view("<u8")
+
+
+def most_apart(bins: int, num: int, den: int) -> int:
+    """Bits in which two sets at the threshold differ at most (4.3 standard deviations)."""
+    p = (1 - num / den) / 2
+    return math.ceil(bins * p + 4.3 * math.sqrt(bins * p * (1 - p)))
+
+
 def shingle_sets(texts: list, cache: WordHash, k: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes per text (fewer than k words: one shingle)."""
     h, lens, _ = hash_words(texts, cache, lower=True)
@@ -184,8 +203,8 @@ def _index(batches, k: int, bands: int, rows: int):
              pa.array([len(g) for g in sets], pa.int64()), listed], names=["cls", "doc", "n", "keys"])
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(cls, n, grams) of the wanted (doc, cls) rows; of repeated ids the fitting text."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, k: int, bins: int) -> DataFrame:
+    """(cls, n, bits, grams) of the wanted (doc, cls) rows; of repeated ids the fitting text."""
     text = docs.join(sized(wanted, wanted.count()), docs["doc_id"] == wanted["doc"]) \
         .select("cls", "text")
 
@@ -197,82 +216,186 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             sets = [sets[i] for i in fits]
             lens = np.fromiter(map(len, sets), np.int64, len(sets))
             flat = np.concatenate(sets) if sets else np.empty(0, U64)
+            bits = [signature_bits(signatures(sets[a:a + SIGNED], bins))
+                    for a in range(0, len(sets), SIGNED)]
+            words = signed(np.concatenate(bits).reshape(-1)) if bits else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(want[fits]), pa.array(lens), list_array(signed(flat), lens, pa.int64())],
-                names=["cls", "n", "grams"])
+                [pa.array(want[fits]), pa.array(lens),
+                 list_array(words, np.full(len(sets), bins // 64), pa.int64()),
+                 list_array(signed(flat), lens, pa.int64())], names=["cls", "n", "bits", "grams"])
 
-    found = text.mapInArrow(grams, "cls long, n long, grams array<long>")
-    return checkpoint(found)
+    return checkpoint(text.mapInArrow(
+        grams, "cls long, n long, bits array<long>, grams array<long>"))
 
 
 class _Confirm:
-    """Exact test of class pairs on their full sets: den * common >= num * union."""
+    """Exact test of class pairs on their full sets: den * common >= num * union.
 
-    def __init__(self, sets: DataFrame, num: int, den: int):
-        self.sets, self.num, self.den = sets, num, den
-        self.sizes = checkpoint(sets.select("cls", "n").distinct())
+    ``sets``: (cls, n, bits, grams). Sizes and bits refuse most strangers before any
+    set moves.
+    """
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
+    def __init__(self, sets: DataFrame, num: int, den: int, apart: int):
+        self.sets, self.num, self.den, self.apart = sets, num, den, apart
+        self.sketches = checkpoint(sets.select("cls", "n", "bits").distinct())
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        side = lambda c: self.sketches.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"),
+                                              F.col("bits").alias(f"bits{c}"))
+        differ = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                             F.lit(0), lambda t, x: t + x)
+        return (pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+                .where((self.den * F.least("na", "nb") >= self.num * F.greatest("na", "nb"))
+                       & (differ <= self.apart)).select("a", "b"))
+
+    def exact(self, pairs: DataFrame) -> DataFrame:
         a = self.sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
         b = self.sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb"))
-        sizes = self.sizes
-        # Sizes alone refuse most strangers before any set moves.
-        near = (pairs.select("a", "b").distinct()
-                .join(sizes.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a")
-                .join(sizes.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
-                .where(self.den * F.least("na", "nb") >= self.num * F.greatest("na", "nb"))
-                .select("a", "b"))
         common = F.size(F.array_intersect("ga", "gb"))
         union = F.size("ga") + F.size("gb") - common
-        return checkpoint(near.join(a, "a").join(b, "b")
+        return checkpoint(pairs.join(a, "a").join(b, "b")
                           .where(self.den * common >= self.num * union).select("a", "b"))
 
-
-def _draw():
-    """Order in which a bucket's members become hubs, one for all buckets."""
-    return F.xxhash64("cls")
-
-
-def link_buckets(members: DataFrame, confirm, fan: int = 8) -> DataFrame:
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        return self.exact(self.near(pairs))
+
+
+#: Classes that meet in one block of the closing pass: outer and inner ones.
+OUTER, INNER = 256, 1024
+
+
+def _first_links(rows: dict, num: int, den: int, apart: int) -> list:
+    """For each outer class of a block the exact link to its nearest inner class of
+    another component that has one, nearest by bits first; one per outer and component."""
+    found = []
+    inner = np.flatnonzero(~rows["outer"])
+    n_in = rows["n"][inner]
+    bits = rows["bits"][inner]
+    root = rows["root"][inner]
+    at = rows["at"]
+    gram = lambda r: rows["grams"][at[r]:at[r + 1]]
+    for i in np.flatnonzero(rows["outer"]):
+        n = int(rows["n"][i])
+        ok = np.flatnonzero((root != rows["root"][i])
+                            & (den * np.minimum(n, n_in) >= num * np.maximum(n, n_in)))
+        differ = np.bitwise_count(bits[ok] ^ rows["bits"][i]).sum(axis=1)
+        ok, differ = ok[differ <= apart], differ[differ <= apart]
+        own, met = gram(i), set()
+        for k in ok[np.argsort(differ, kind="stable")].tolist():
+            if root[k] in met:
+                continue
+            other = gram(inner[k])
+            if len(other) < len(own):
+                spot = np.searchsorted(own, other)
+                common = int((own[np.minimum(spot, n - 1)] == other).sum())
+            else:
+                spot = np.searchsorted(other, own)
+                common = int((other[np.minimum(spot, len(other) - 1)] == own).sum())
+            if den * common >= num * (n + len(other) - common):
+                found.append((rows["cls"][i], rows["cls"][inner[k]]))
+                met.add(root[k])
+    return found
+
+
+def _blocks(batches, num: int, den: int, apart: int):
+    """Links of all blocks of a task, whose rows come sorted by block; a block is about
+    a thousand sets, so a task holds one of them and one Arrow batch."""
+    names = ("grp", "i", "j", "outer", "cls", "root", "n")
+    held: list = []
+
+    def emit():
+        t = pa.Table.from_batches(held).combine_chunks()
+        rows = {c: t[c].to_numpy() for c in names}
+        lists = t["grams"].combine_chunks() if t.num_rows else None
+        rows["at"] = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        rows["grams"] = lists.flatten().to_numpy().view(U64)
+        rows["bits"] = t["bits"].combine_chunks().flatten().to_numpy().view(U64).reshape(t.num_rows, -1)
+        links = np.array(_first_links(rows, num, den, apart), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(links.max(axis=1)), pa.array(links.min(axis=1))],
+                                          names=["a", "b"])
+
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        block = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names[:3]], axis=1)
+        cut = np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1
+        start = 0
+        for end in [*cut.tolist(), len(batch)]:
+            if held and tuple(block[start]) != last:
+                yield emit()
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = tuple(block[start])
+            start = end
+    if held:
+        yield emit()
+
+
+def _close(outer: DataFrame, inner: DataFrame, confirm: _Confirm) -> DataFrame:
+    """(a, b) links of outer to inner (grp, cls, root) rows of one group that lie in
+    different components: one at least for every outer class and component linked."""
+    lanes = lambda df, c, size: df.groupBy("grp").agg(
+        F.ceil(F.count(F.lit(1)) / size).cast("int").alias(c))
+    outer, inner = outer.distinct(), inner.distinct()
+    size = checkpoint(lanes(outer, "outers", OUTER).join(lanes(inner, "inners", INNER), "grp"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
+    sides = [(inner, False, "j", own("inners"), "i", every("outers")),
+             (outer, True, "i", own("outers"), "j", every("inners"))]
+    rows = None
+    for df, flag, fixed, lane, spread, each in sides:
+        side = df.join(size, "grp").withColumns({"outer": F.lit(flag), fixed: lane}) \
+            .withColumn(spread, each).select("grp", "i", "j", "outer", "cls", "root")
+        rows = side if rows is None else rows.unionAll(side)
+    dealt = rows.join(confirm.sets, "cls").select("grp", "i", "j", "outer", "cls", "root", "n",
+                                                  "bits", "grams")
+    limits = confirm.num, confirm.den, confirm.apart
+    return checkpoint(dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
+                      .mapInArrow(lambda it: _blocks(it, *limits), "a long, b long").distinct())
+
+
+def _pairs(a: str, b: str) -> list:
+    return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
+
+
+def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, cls, root, main) of the buckets with several components; main: the largest."""
+    root = comp.select(F.col("node").alias("cls"), "root")
+    rooted = members.join(root, "cls", "left").select("key", "cls", F.coalesce("root", "cls").alias("root"))
+    size = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = size.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"),
+                                   F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    return checkpoint(rooted.join(main.drop("roots"), "key"))
+
+
+def link_buckets(members: DataFrame, confirm: _Confirm) -> DataFrame:
     """(node, root) of the components that the confirmed links within buckets make.
 
-    ``members``: distinct (key, cls) of buckets with two members or more. First star:
-    all members with the bucket's first hub. Then rounds over the buckets that span
-    several components: fan ** round further hubs among the members outside the
-    bucket's largest component, each with all members of other components, until
-    all of those were hubs or joined.
+    ``members``: distinct (key, cls) of buckets with two members or more. All members
+    meet their bucket's first hub; then those outside its largest component meet the
+    first of them. Closing: the members outside meet, once for all buckets, all of
+    that component that share open buckets; then each other, bucket by bucket.
     """
-    hub = members.groupBy("key").agg(F.min_by("cls", F.struct(_draw(), "cls")).alias("hub"))
-    star = members.join(hub, "key").where("cls <> hub").select(
-        F.greatest("cls", "hub").alias("a"), F.least("cls", "hub").alias("b"))
-    links = confirm(star)
+    first = lambda x: F.min_by(x, F.struct(F.xxhash64("cls"), "cls")).alias("hub")
+    star = members.join(members.groupBy("key").agg(first("cls")), "key").where("cls <> hub")
+    links = confirm(star.select(*_pairs("cls", "hub")))
+    comp = components(links)
+    left = _open(members, comp)
+    hub = left.where("root <> main").groupBy("key").agg(first(F.struct("cls", "root")))
+    star = left.join(hub, "key").where("root <> hub.root").select("cls", F.col("hub.cls").alias("hub"))
+    links = links.unionAll(confirm(star.select(*_pairs("cls", "hub"))))
+    comp = components(links)
+    left = _open(left.select("key", "cls"), comp)
+    grp = F.col("main").alias("grp")
+    links = links.unionAll(_close(left.where("root <> main").select(grp, "cls", "root"),
+                                  left.where("root = main").select(grp, "cls", "root"), confirm))
+    # Links to the main components are settled: others are left among the rest.
+    rest = left.where("root <> main").select(F.col("key").alias("grp"), "cls")
     comp = components(links)
-    done = checkpoint(hub.select("key", F.col("hub").alias("cls")))
-    left, turn = members, 1
-    while True:
-        root = comp.select(F.col("node").alias("cls"), "root")
-        rooted = left.join(root, "cls", "left").select("key", "cls", F.coalesce("root", "cls").alias("root"))
-        size = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-        main = (size.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"),
-                                        F.count(F.lit(1)).alias("roots")).where("roots > 1"))
-        left = checkpoint(rooted.join(main, "key").select("key", "cls", "root", "main"))
-        lane = F.pmod(_draw(), F.lit(fan ** turn))
-        hubs = checkpoint(left.where("root <> main").join(done, ["key", "cls"], "left_anti")
-                          .groupBy("key", lane.alias("lane"))
-                          .agg(F.min_by(F.struct("cls", "root"),
-                                        F.struct(_draw(), "cls")).alias("hub"))
-                          .select("key", F.col("hub.cls").alias("b"), F.col("hub.root").alias("rb")))
-        if not hubs.limit(1).count():
-            return comp
-        pairs = left.join(hubs, "key").where("root <> rb").select(
-            F.greatest("cls", "b").alias("a"), F.least("cls", "b").alias("b"))
-        more = confirm(pairs)
-        done = done.unionAll(hubs.select("key", F.col("b").alias("cls")))
-        left = left.select("key", "cls")
-        turn += 1
-        if more.limit(1).count():
-            links = links.unionAll(more)
-            comp = components(links)
+    open_ = _open(rest.select(F.col("grp").alias("key"), "cls"), comp)
+    rest = open_.select(F.col("key").alias("grp"), "cls", "root")
+    return components(links.unionAll(_close(rest, rest, confirm)))
 
 
 def minhash_classes(docs: DataFrame, words: int = 2, num: int = 80, den: int = 100,
@@ -282,7 +405,7 @@ def minhash_classes(docs: DataFrame, words: int = 2, num: int = 80, den: int = 1
 
     Documents link when den * |intersection| >= num * |union| of their sets of
     ``words``-word shingles (A-Z lower-cased; fewer words: the whole sequence as
-    one). component_id is the smallest doc_id reachable by links, kept whether it
+    one). ``bands * rows`` must be a multiple of 64. component_id is the smallest doc_id reachable by links, kept whether it
     is the document's own. Every link is exact; a pair at the threshold itself
     is missed with a chance of (1 - (num/den) ** rows) ** bands. Null, empty and
     blank texts have no shingles and are alone. Repeated rows stay rows; rows of
@@ -304,7 +427,9 @@ def minhash_classes(docs: DataFrame, words: int = 2, num: int = 80, den: int = 1
     first = rows_.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
     wanted = checkpoint(first.join(members.select("cls").distinct(), "cls", "left_semi")
                         .select("doc", "cls"))
-    comp = link_buckets(members, _Confirm(_sets_of(docs, wanted, words), num, den))
+    bins = bands * rows
+    confirm = _Confirm(_sets_of(docs, wanted, words, bins), num, den, most_apart(bins, num, den))
+    comp = link_buckets(members, confirm)
     named = checkpoint(first.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
                        .select("cls", "doc", F.coalesce("root", "cls").alias("root")))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
