@@ -13,7 +13,7 @@ prefixes, and the binned shares of capitals, symbols, digits, distinct words and
 line lengths; hashed to ``BUCKETS``. Presence counts once.
 
 The fit reads a bounded sample (``sample`` labelled documents, those of least
-hash) in one task: features that tell grades apart (chi-square) are kept, then
+hash) in one task, to which only their extracted features move: features that tell grades apart (chi-square) are kept, then
 the penalised likelihood is climbed. The model is a table of at most
 ``FEATURES`` weights. Scoring is one pass over the documents without a shuffle.
 """
@@ -229,7 +229,7 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE
              pa.array([w.tolist()], pa.list_(pa.float64())),
              pa.array([t.tolist()], pa.list_(pa.float64()))], names=["bucket", "weight", "threshold"])
 
-    found = rows.mapInArrow(extract, "doc_id long, grade int, x array<int>").coalesce(1).mapInArrow(
+    found = rows.mapInArrow(extract, "doc_id long, grade int, x array<int>").repartition(1).mapInArrow(
         fit, "bucket array<int>, weight array<double>, threshold array<double>").collect()
     if not found:
         return None
