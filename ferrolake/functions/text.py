@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import unicodedata
+from functools import lru_cache
+from string import ascii_lowercase
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .numeric import to_number
@@ -31,19 +32,53 @@ def clean_country(c: Column, max_len: int = COUNTRY_COLUMN_WIDTH) -> Column:
     return F.when(~bad, F.substring(letters, 1, max_len))
 
 
-def _accents() -> tuple[str, str]:
-    """Lower-case Latin letters with marks and the plain letters under them."""
-    marked = sorted({chr(c).lower() for c in range(0xC0, 0x250) if len(chr(c).lower()) == 1})
-    pairs = [(c, unicodedata.normalize("NFD", c)[0]) for c in marked]
-    pairs = [(c, b) for c, b in pairs if b != c and b.isascii()]
-    return "".join(c for c, _ in pairs), "".join(b for _, b in pairs)
+#: The source's collation: without case and accents.
+COLLATION = "UNICODE_CI_AI"
+#: Code points whose collation keys are tabulated: Latin, Greek, Cyrillic, Armenian and
+#: Georgian letters, marks, digits and signs (first, one past the last).
+TABULATED = [(0x01, 0x590), (0x10A0, 0x1100), (0x1C80, 0x1CC0), (0x1E00, 0x2070)]
 
 
-def fold(c: Column) -> Column:
-    """The text as the source's collation compares it: without case and accents.
+@lru_cache(maxsize=1)
+def _collation_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
+    """(letters, their key letters, letters that equal two letters) by the collation.
+
+    Spark's own collated strings say which characters are equal; the key of each
+    class is its first character. Characters that compare as nothing come last, so
+    that ``translate`` drops them. A fixed table of a few thousand characters.
+    """
+    letters = [chr(c) for a, z in TABULATED for c in range(a, z)]
+    double = [x + y for x in ascii_lowercase for y in ascii_lowercase]
+    rows = [(len(x), i, x) for i, x in enumerate(letters + double)]
+    classes = (SparkSession.active().createDataFrame(rows, "size int, at int, c string")
+               .groupBy(F.collate("c", COLLATION).alias("k"))
+               .agg(F.sort_array(F.collect_list(F.struct("size", "at", "c"))).alias("all")))
+    one, double = {}, []
+    for row in classes.collect():
+        names = [r["c"] for r in row["all"]]
+        nothing = "\u0300" in names  # a combining mark: compares as nothing
+        for c in names:
+            if len(c) == 1 and len(names[-1]) == 2:
+                double.append((c, names[-1]))
+            elif len(c) == 1:
+                one[c] = "" if nothing else names[0]
+    kept = sorted(c for c in one if one[c] and one[c] != c)
+    dropped = sorted(c for c in one if not one[c])
+    return "".join(kept + dropped), "".join(one[c] for c in kept), tuple(sorted(double))
 
-    A plain string again, so it hashes, groups and joins like any key."""
-    return F.translate(F.lower(c), *_accents())
+
+def fold(c: Column) -> Column:
+    """The collation key of a text: equal for texts that are equal without case and
+    accents by the source's collation (Αθήνα/ΑΘΗΝΑ, Straße/STRASSE, Łódź/LODZ).
+
+    A plain string again, so it hashes, groups, joins and searches like any key.
+    Characters outside ``TABULATED`` stand for themselves."""
+    letters, keys, double = _collation_table()
+    spelled = c
+    for one, two in double:
+        spelled = F.replace(spelled, F.lit(one), F.lit(two))
+    plain = F.octet_length(c) == F.length(c)  # ASCII: nothing to spell out
+    return F.translate(F.when(plain, c).otherwise(spelled), letters, keys)
 
 
 def route_id_of(title: Column) -> Column:

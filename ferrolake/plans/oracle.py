@@ -48,8 +48,12 @@ def tsec(x: str) -> str:
 
 
 def folded(x: str) -> str:
-    """The text without case and accents (the source's collation)."""
-    return f"lower(strip_accents({x}))"
+    """The text without case and accents, with the letters that have no accent to
+    strip spelled out (as far as the driver views hold any)."""
+    t = f"lower(strip_accents({x}))"
+    for letter, plain in (("ß", "ss"), ("œ", "oe"), ("ł", "l"), ("ø", "o"), ("ς", "σ")):
+        t = f"replace({t}, '{letter}', '{plain}')"
+    return t
 
 
 def day_night(x: str) -> str:
@@ -375,10 +379,10 @@ def warehouse_ctes() -> str:
         named_dim("dim_route", "route_id", "route_name"),
         named_dim("dim_agency", "agency_id", "agency_name"),
         # the fact with natural keys in place of surrogate keys
-        """fact AS (SELECT s.*, dr.route_name AS dim_route_name,
+        f"""fact AS (SELECT s.*, dr.route_name AS dim_route_name,
             da.agency_name AS dim_agency_name, dc.country_name AS origin_country_name
-            FROM staging s JOIN dim_route dr ON dr.folded = lower(strip_accents(s.route_id))
-            JOIN dim_agency da ON da.folded = lower(strip_accents(s.agency_id))
+            FROM staging s JOIN dim_route dr ON dr.folded = {folded('s.route_id')}
+            JOIN dim_agency da ON da.folded = {folded('s.agency_id')}
             LEFT JOIN dim_country dc ON dc.country_code = s.origin_country)""",
     ])
 

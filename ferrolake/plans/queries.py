@@ -114,12 +114,14 @@ def q_transport_type(spark, sf_dir):
     return r.select("route_type", transport_type(F.col("route_type")).alias("transport_type"))
 
 
-@register("clean_country", f"""SELECT n_name AS raw_text, {O.clean_country('n_name')} AS country
-    FROM nation UNION ALL SELECT r_name, {O.clean_country('r_name')} FROM region""")
+@register("clean_country", f"""WITH {raw_summary_sql()}, texts AS (
+    SELECT origin_country AS raw_text FROM rawsum UNION SELECT destination_country FROM rawsum)
+    SELECT raw_text, {O.clean_country('raw_text')} AS country FROM texts""")
 def q_clean_country(spark, sf_dir):
-    n = read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("raw_text"))
-    r = read_table(spark, sf_dir, "region").select(F.col("r_name").alias("raw_text"))
-    return n.unionAll(r).select("raw_text", clean_country(F.col("raw_text")).alias("country"))
+    raw = raw_summary(spark, sf_dir)
+    texts = raw.select(F.col("origin_country").alias("raw_text")).union(
+        raw.select("destination_country")).distinct()
+    return texts.select("raw_text", clean_country(F.col("raw_text")).alias("country"))
 
 
 @register("valid_numeric", O.with_pipeline(
@@ -359,10 +361,11 @@ def q_sanitize_raw_rows(spark, sf_dir):
       THEN 'duplicate_trip_id' ELSE rule0 END AS rule FROM rules)
     SELECT dataset_id, rule, count(*) AS rows FROM ruled WHERE rule IS NOT NULL GROUP BY ALL
     UNION ALL SELECT dataset_id, 'total_removed', count(*) FROM ruled WHERE rule IS NOT NULL
-    GROUP BY dataset_id""")
+    GROUP BY dataset_id
+    UNION ALL SELECT dataset_id, 'negative_emission_nulled', count(*) FROM ruled WHERE rule IS NULL
+      AND (emission_gco2e_pkm < 0 OR total_emission_kgco2e < 0) GROUP BY dataset_id""")
 def q_sanitize_raw_report(spark, sf_dir):
-    report = sanitize_report(raw_summary(spark, sf_dir))
-    return report.where("rule <> 'negative_emission_nulled'")
+    return sanitize_report(raw_summary(spark, sf_dir))
 
 
 @register("country_offenders", f"""{RAW} SELECT dataset_id, trip_id, origin_country,
@@ -497,8 +500,8 @@ def q_upsert_fact(spark, sf_dir):
 
 
 @register("upsert_dim", O.with_warehouse(
-    """SELECT route_id, route_name, load_id FROM (SELECT route_id, route_name,
-    CAST(load AS BIGINT) AS load_id, row_number() OVER (PARTITION BY lower(strip_accents(route_id))
+    f"""SELECT route_id, route_name, load_id FROM (SELECT route_id, route_name,
+    CAST(load AS BIGINT) AS load_id, row_number() OVER (PARTITION BY {O.folded('route_id')}
     ORDER BY load DESC, route_name DESC, route_id DESC) AS rn FROM
     (SELECT route_id, route_name, max(CASE WHEN dataset_id = 'ds1' THEN 2 ELSE 1 END) AS load
      FROM staging GROUP BY ALL) a) x WHERE rn = 1"""))
@@ -507,8 +510,8 @@ def q_upsert_dim(spark, sf_dir):
 
 
 @register("insert_ignore_dim", O.with_warehouse(
-    """SELECT route_id, route_name FROM (SELECT route_id, route_name, row_number() OVER (
-    PARTITION BY lower(strip_accents(route_id)) ORDER BY old DESC, route_name DESC, route_id DESC)
+    f"""SELECT route_id, route_name FROM (SELECT route_id, route_name, row_number() OVER (
+    PARTITION BY {O.folded('route_id')} ORDER BY old DESC, route_name DESC, route_id DESC)
     AS rn FROM (SELECT route_id, route_name, bool_or(dataset_id = 'ds0') AS old FROM staging
     GROUP BY ALL) a) x WHERE rn = 1"""))
 def q_insert_ignore_dim(spark, sf_dir):
@@ -525,8 +528,8 @@ SUM = O.sum2
 
 
 @register("overview", O.with_warehouse(
-    f"""SELECT count(DISTINCT trip_id) AS total_trips, count(DISTINCT lower(strip_accents(route_id)))
-    AS total_routes, count(DISTINCT lower(strip_accents(agency_id))) AS total_agencies, {SUM('distance_km')} AS total_distance_km,
+    f"""SELECT count(DISTINCT trip_id) AS total_trips, count(DISTINCT {O.folded('route_id')})
+    AS total_routes, count(DISTINCT {O.folded('agency_id')}) AS total_agencies, {SUM('distance_km')} AS total_distance_km,
     {SUM('total_emission_kgco2e')} AS total_emissions_kg, {AVG('distance_km')} AS avg_distance_km,
     {AVG('duration_h')} AS avg_duration_h, {AVG('emission_gco2e_pkm')} AS avg_emission_per_km
     FROM fact"""))
@@ -651,6 +654,21 @@ def q_search_trips_all_filters(spark, sf_dir):
     return R.search_trips(_p(spark, sf_dir).warehouse, **SEARCH_ALL)
 
 
+SEARCHES = {"search_trips_greek": "ΑΘΗΝ", "search_trips_expanded": "strasse", "search_trips_stroke": "odz"}
+
+
+def _register_search(name: str, origin: str) -> None:
+    where = f"contains({O.folded('origin_stop_name')}, {O.folded(O.q(origin))})"
+
+    @register(name, O.with_warehouse("SELECT * FROM search", extra=[search_sql(where)]))
+    def query(spark, sf_dir):
+        return R.search_trips(_p(spark, sf_dir).warehouse, origin=origin, limit=SEARCH["limit"])
+
+
+for _name, _origin in SEARCHES.items():
+    _register_search(_name, _origin)
+
+
 @register("trip_labels", f"""WITH {O.warehouse_ctes()},
 {SEARCH_SQL}
 SELECT trip_id, dataset_id,

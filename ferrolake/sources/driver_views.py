@@ -27,8 +27,10 @@ STOPS_SQL = {
         "concat(CASE s_suppkey % 10 WHEN 0 THEN 'Paris' WHEN 1 THEN 'Lyon' WHEN 2 THEN 'Berlin' "
         # Two spellings of one name: places are compared without case and accents.
         "WHEN 3 THEN (CASE WHEN s_suppkey % 20 = 3 THEN 'Zürich HB' ELSE 'ZURICH hb' END) "
-        "WHEN 4 THEN 'Milano' WHEN 5 THEN 'Madrid' WHEN 6 THEN 'Unknown' "
-        "WHEN 7 THEN 'Wien' WHEN 8 THEN 'Lisboa' ELSE 'Praha' END, ' ', "
+        "WHEN 4 THEN (CASE s_suppkey % 40 WHEN 4 THEN 'Łódź' WHEN 14 THEN 'LODZ' "
+        "WHEN 24 THEN 'Køge' ELSE 'KOGE' END) WHEN 5 THEN 'Madrid' WHEN 6 THEN 'Unknown' "
+        "WHEN 7 THEN 'Wien' WHEN 8 THEN 'Lisboa' ELSE (CASE s_suppkey % 40 WHEN 9 THEN 'Αθήνα' "
+        "WHEN 19 THEN 'ΑΘΗΝΑ' WHEN 29 THEN 'Straße' ELSE 'STRASSE' END) END, ' ', "
         f"{_s('CAST(floor(s_suppkey / 20) AS INT)')})"),
     "stop_lat": ("CASE WHEN s_suppkey % 11 = 7 THEN NULL "
                  "ELSE CAST(3400 + ((s_suppkey * 7919) % 3600) AS DOUBLE) / 100 END"),
