@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import agency_id_of, clean_country, fold, route_id_of, time_parts
 from ..sources.countries import country_seed
-from .quality import validate_rows
+from .quality import reject_reason, validate_rows
 
 MEASURES = ["distance_km", "duration_h", "emission_gco2e_pkm", "total_emission_kgco2e"]
 DECIMAL = "decimal(10,3)"
@@ -39,7 +39,22 @@ def stage_rows(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
                loaded_at: str = DEFAULT_LOADED_AT) -> DataFrame:
     """P10 + P11: valid summary rows projected to the 23 staging columns."""
     valid, _ = validate_rows(summary)
-    return valid.select(
+    return valid.select(*_staging_columns(load_id, loaded_at))
+
+
+def staged_or_rejected(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
+                       loaded_at: str = DEFAULT_LOADED_AT) -> DataFrame:
+    """Every summary row in staging form, in one pass: ``accepted``, and for the others
+    the ``reject_reason`` and the distance as it was written (P10's side output)."""
+    reason = reject_reason(summary)
+    return summary.select(
+        *_staging_columns(load_id, loaded_at), reason.isNull().alias("accepted"),
+        reason.alias("reject_reason"),
+        F.when(reason.isNotNull(), F.col("distance_km").cast("string")).alias("distance_text"))
+
+
+def _staging_columns(load_id: int, loaded_at: str) -> list:
+    return [
         F.lit(load_id).cast("bigint").alias("load_id"),
         F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),  # DATETIME: no time zone
         F.col("source_dataset").cast("string").alias("dataset_id"),
@@ -59,7 +74,7 @@ def stage_rows(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
         F.col("emission_gco2e_pkm").try_cast(DECIMAL).alias("emission_gco2e_pkm"),
         F.col("total_emission_kgco2e").try_cast(DECIMAL).alias("total_emission_kgco2e"),
         F.col("frequency_per_week").cast("int").alias("frequency_per_week"),
-    )
+    ]
 
 
 # Dimensions -----------------------------------------------------------------
@@ -252,6 +267,20 @@ def orphan_countries(locations: DataFrame, countries: DataFrame) -> DataFrame:
     return used.join(countries.select("country_code"), "country_code", "left_anti")
 
 
+def known_countries(staging: DataFrame, countries: DataFrame) -> DataFrame:
+    """J14 in the load: staging with the country codes that ``countries`` lacks set to
+    null, as the row loader stores such locations. The country table is complete
+    before locations are built; it has one row per code and is the broadcast side
+    only if the planner finds it small."""
+    codes = countries.select("country_code").distinct()
+    out = staging
+    for c in ("origin_country", "destination_country"):
+        known = codes.select(F.col("country_code").alias(f"__{c}"))
+        out = (out.join(known, F.col(c) == F.col(f"__{c}"), "left")
+               .withColumn(c, F.col(f"__{c}")).drop(f"__{c}"))
+    return out.select(*staging.columns)
+
+
 # Upserts --------------------------------------------------------------------
 
 def newest_per_key(rows: DataFrame, keys: list, newest: list[str]) -> DataFrame:

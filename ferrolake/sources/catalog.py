@@ -14,6 +14,7 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from .gtfs import CORE_FILES
 
@@ -90,6 +91,20 @@ def archive_manifest(spark: SparkSession, zip_glob: str, previous: DataFrame | N
                     done.alias("already_extracted"))
 
 
+def changed_archives(spark: SparkSession, zip_glob: str, state: str) -> DataFrame:
+    """S12 → S7: (dataset_name, file_hash, changed) of the landed archives whose hash is
+    not the one kept under ``state`` (file_hash by ``part_dataset``); ``changed`` if
+    another hash is kept, so that the feed's output is out of date."""
+    landed = archive_manifest(spark, zip_glob).select("dataset_name", "file_hash")
+    try:
+        known = spark.read.schema("file_hash string, part_dataset string").parquet(state)
+    except AnalysisException:
+        return landed.withColumn("changed", F.lit(False))
+    known = known.select(F.col("part_dataset").alias("dataset_name"), F.col("file_hash").alias("old"))
+    return (landed.join(known, "dataset_name", "left").where("old IS NULL OR old <> file_hash")
+            .select("dataset_name", "file_hash", F.col("old").isNotNull().alias("changed")))
+
+
 def unpack_archives(spark: SparkSession, zip_glob: str, extract_root: str) -> DataFrame:
     """Unzip every archive into ``<extract_root>/<dataset_name>/``.
 

@@ -142,19 +142,21 @@ def read_metadata(spark: SparkSession, root: str) -> DataFrame:
                     F.coalesce(meta_id, dataset).alias("dataset_id"))
 
 
-def read_feeds(spark: SparkSession, root: str, skip: set[str] = frozenset()) -> Feed:
+def read_feeds(spark: SparkSession, root: str, skip: set[str] = frozenset(),
+               redo: set[str] = frozenset()) -> Feed:
     """Every feed under ``root`` at its latest version, as one ``Feed``.
 
     ``dataset_id`` becomes the id from the feed's metadata when present. The
-    versions, and the feeds to ``skip`` (S7), are settled on the listing (a few
-    rows per feed), so only files that are needed are opened."""
+    versions, and the feeds to ``skip`` (S7) but for the folders to ``redo``, are
+    settled on the listing (a few rows per feed), so only files that are needed are
+    opened."""
     latest = latest_versions(spark, root)
     meta = read_metadata(spark, root).select(
         F.col("dataset_folder").alias("dataset_id"), "version", F.col("dataset_id").alias("meta_id"))
     chosen = feed_files(spark, root).join(latest, ["dataset_id", "version"]) \
         .join(meta, ["dataset_id", "version"], "left") \
         .select("dataset_id", "file", "path", F.coalesce("meta_id", "dataset_id").alias("feed_id"))
-    rows = [r for r in chosen.collect() if r["feed_id"] not in skip]
+    rows = [r for r in chosen.collect() if r["feed_id"] not in skip or r["dataset_id"] in redo]
     ids = spark.createDataFrame(sorted({(r["dataset_id"], r["feed_id"]) for r in rows}),
                                 "dataset_id string, feed_id string")
 
