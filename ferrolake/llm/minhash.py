@@ -373,29 +373,20 @@ def link_buckets(members: DataFrame, confirm: _Confirm) -> DataFrame:
     """(node, root) of the components that the confirmed links within buckets make.
 
     ``members``: distinct (key, cls) of buckets with two members or more. All members
-    meet their bucket's first hub; then those outside its largest component meet the
-    first of them. Closing: the members outside meet, once for all buckets, all of
-    that component that share open buckets; then each other, bucket by bucket.
+    meet their bucket's first hub. Closing: the members outside a bucket's largest
+    component meet, once for all buckets, all of that component that share open
+    buckets, and each other, bucket by bucket.
     """
-    first = lambda x: F.min_by(x, F.struct(F.xxhash64("cls"), "cls")).alias("hub")
-    star = members.join(members.groupBy("key").agg(first("cls")), "key").where("cls <> hub")
+    hub = F.min_by("cls", F.struct(F.xxhash64("cls"), "cls")).alias("hub")
+    star = members.join(members.groupBy("key").agg(hub), "key").where("cls <> hub")
     links = confirm(star.select(*_pairs("cls", "hub")))
-    comp = components(links)
-    left = _open(members, comp)
-    hub = left.where("root <> main").groupBy("key").agg(first(F.struct("cls", "root")))
-    star = left.join(hub, "key").where("root <> hub.root").select("cls", F.col("hub.cls").alias("hub"))
-    links = links.unionAll(confirm(star.select(*_pairs("cls", "hub"))))
-    comp = components(links)
-    left = _open(left.select("key", "cls"), comp)
+    left = _open(members, components(links))
+    outer = left.where("root <> main")
     grp = F.col("main").alias("grp")
-    links = links.unionAll(_close(left.where("root <> main").select(grp, "cls", "root"),
-                                  left.where("root = main").select(grp, "cls", "root"), confirm))
-    # Links to the main components are settled: others are left among the rest.
-    rest = left.where("root <> main").select(F.col("key").alias("grp"), "cls")
-    comp = components(links)
-    open_ = _open(rest.select(F.col("grp").alias("key"), "cls"), comp)
-    rest = open_.select(F.col("key").alias("grp"), "cls", "root")
-    return components(links.unionAll(_close(rest, rest, confirm)))
+    main = _close(outer.select(grp, "cls", "root"),
+                  left.where("root = main").select(grp, "cls", "root"), confirm)
+    rest = outer.select(F.col("key").alias("grp"), "cls", "root")
+    return components(links.unionAll(main).unionAll(_close(rest, rest, confirm)))
 
 
 def minhash_classes(docs: DataFrame, words: int = 2, num: int = 80, den: int = 100,
