@@ -261,7 +261,7 @@ class _Confirm:
 
 
 #: Classes that meet in one block of the closing pass: outer and inner ones.
-OUTER, INNER = 256, 1024
+OUTER, INNER = 2048, 1024
 
 
 def _first_links(rows: dict, num: int, den: int, apart: int) -> list:
@@ -298,8 +298,8 @@ def _first_links(rows: dict, num: int, den: int, apart: int) -> list:
 
 
 def _blocks(batches, num: int, den: int, apart: int):
-    """Links of all blocks of a task, whose rows come sorted by block; a block is about
-    a thousand sets, so a task holds one of them and one Arrow batch."""
+    """Links of all blocks of a task, whose rows come sorted by block; a block is a
+    few thousand sets, so a task holds one of them and one Arrow batch."""
     names = ("grp", "i", "j", "outer", "cls", "root", "n")
     held: list = []
 
