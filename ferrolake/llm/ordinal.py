@@ -9,8 +9,9 @@ The expected grade is the sum of these; a document is selected by its tail
 probability P(grade >= keep_grade).
 
 Features of a text (all of it): its distinct lower-cased words and their byte
-prefixes, and the binned shares of capitals, symbols, digits, distinct words and
-line lengths; hashed to ``BUCKETS``. Presence counts once.
+prefixes, and the shares of capitals, symbols, digits, distinct words and the line
+lengths in steps, each with all steps below it; hashed to ``BUCKETS``. Presence
+counts once.
 
 The fit reads a bounded sample (``sample`` labelled documents, those of least
 hash) in one task, to which only their extracted features move: features that tell grades apart (chi-square) are kept, then
@@ -81,7 +82,19 @@ def shape_features(text: bytes, n_words: int, n_distinct: int) -> list[int]:
               b"digit": _bin(n - len(text.translate(None, _DIGITS)), n),
               b"distinct": int(8 * n_distinct / n_words) if n_words else -1,
               b"line": min(12, int(math.log2(1 + n_words / lines)))}
-    return [_bucket(b"s:%s:%d" % kv) for kv in shares.items()]
+    return [f for kv in shares.items() for f in _steps(*kv)]
+
+
+_STEPS: dict = {}
+
+
+def _steps(name: bytes, step: int) -> list[int]:
+    """Buckets of a share's step and of all steps below it, so that documents of
+    neighbouring steps tell about each other."""
+    found = _STEPS.get((name, step))
+    if found is None:
+        found = _STEPS[name, step] = [_bucket(b"s:%s:%d" % (name, i)) for i in range(step + 1)]
+    return found
 
 
 def features(text: bytes | None, known: WordFeatures) -> set:
