@@ -1,8 +1,10 @@
 """Approximate nearest neighbours (largest cosine) with robust-pruned graph shards.
 
-Equal vectors are one node; a node keeps its few smallest ids, as many as any
-result can need, so copies cost nothing and are never lost. Nodes are dealt by
-hash into shards of about ``SHARD`` nodes, and every node is indexed.
+Equal vectors are one node, named by a hash of the vector; a node keeps its few
+smallest ids, as many as any result can need, so copies cost nothing and are never
+lost. An id with several vectors stands in several nodes; its best score counts.
+Nodes are dealt by hash into shards of about ``SHARD`` nodes, and every node is
+indexed.
 
 Build (one task a shard): from a random graph, each node's greedy search from
 a few entry nodes spread over the shard proposes neighbours; walking them from the nearest, a proposal goes if
@@ -13,7 +15,8 @@ passes over the nodes.
 Search: queries go in blocks to every shard (a stated query set against all
 rows) and walk its graph with a beam of ``BEAM``; the shards' best are scored
 anew in double precision on the original vectors and merged per query. Work grows
-with queries times shards; rows that leave a task are at most k + 1 a query.
+with queries times shards; rows that leave a task are at most k + 1 a query (as
+often as the most repeated id has vectors, for which the beam is widened too).
 
 Greedy searches run for a block of nodes or queries at once in numpy.
 """
@@ -168,19 +171,29 @@ def _matrix(col) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(col), -1)
 
 
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each (exact), their largest component in [0.5, 1): no
+    square overflows or vanishes."""
+    _, e = np.frexp(np.abs(v).max(axis=1, keepdims=True))
+    return np.ldexp(v, -e)
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
-    v = v / np.abs(v).max(axis=1, keepdims=True)  # no overflow in the squares
+    v = _scaled(v)
     return (v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]).astype(np.float32)
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of row pairs in double precision."""
+    a, b = _scaled(a), _scaled(b)
     return np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a))
                                           * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
 
 def nodes_of(vectors: DataFrame, k: int, id_col: str, vector_col: str) -> DataFrame:
-    """(node, ids, dim, vector) per distinct usable vector: its k + 1 smallest ids.
+    """(node, h2, ids, dim, vector) per distinct usable vector: its k + 1 smallest ids.
+
+    ``node`` and ``h2`` are two hashes of the vector; ``node`` is its name.
 
     Left out: null ids, and vectors that are null, empty, zero or hold null or
     non-finite components.
@@ -190,13 +203,16 @@ def nodes_of(vectors: DataFrame, k: int, id_col: str, vector_col: str) -> DataFr
                           F.col(vector_col).alias("vector")).where("id IS NOT NULL")
     bad = F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     rows = rows.where((F.size(v) > 0) & ~bad & F.exists(v, lambda c: c != 0))
-    rows = rows.withColumn("h1", F.xxhash64("vector")).withColumn("h2", F.xxhash64("vector", F.lit(1)))
-    per = Window.partitionBy("h1", "h2").orderBy("id")
+    rows = rows.select("id", "vector", *_hashes(v))
+    per = Window.partitionBy("node", "h2").orderBy("id")
     few = rows.withColumn("i", F.dense_rank().over(per)).where(F.col("i") <= k + 1)
-    return few.groupBy("h1", "h2").agg(
+    return few.groupBy("node", "h2").agg(
         F.array_sort(F.collect_set("id")).alias("ids"), F.first("vector").alias("vector")) \
-        .select(F.element_at("ids", 1).alias("node"), "ids", F.size("vector").alias("dim"), "vector",
-                "h1", "h2")
+        .select("node", "h2", "ids", F.size("vector").alias("dim"), "vector")
+
+
+def _hashes(vector) -> tuple:
+    return F.xxhash64(vector).alias("node"), F.xxhash64(vector, F.lit(1)).alias("h2")
 
 
 def build_index(nodes: DataFrame, shard_rows: int = SHARD) -> DataFrame:
@@ -205,7 +221,7 @@ def build_index(nodes: DataFrame, shard_rows: int = SHARD) -> DataFrame:
     shards = F.lit(1)
     for d, s in dims.items():
         shards = F.when(F.col("dim") == d, s).otherwise(shards)
-    dealt = nodes.select("dim", F.pmod(F.xxhash64("node", "h1"), shards).cast("int").alias("shard"),
+    dealt = nodes.select("dim", F.pmod(F.xxhash64("node", "h2"), shards).cast("int").alias("shard"),
                          "node", "vector")
 
     def build(t: pa.Table) -> pa.Table:
@@ -224,8 +240,8 @@ def build_index(nodes: DataFrame, shard_rows: int = SHARD) -> DataFrame:
         build, f"dim int, shard int, node long, vector {kind}, edges array<int>, entry boolean"))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
-    """(query, node, score): each query node's k + 1 best nodes of every shard.
+def search(index: DataFrame, queries: DataFrame, keep: int, beam: int = BEAM) -> DataFrame:
+    """(query, node, score): each query node's ``keep`` best nodes of every shard.
 
     ``queries``: (query, dim, vector). Queries meet the shards of their dimension.
     """
@@ -252,9 +268,10 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> Da
         start = np.flatnonzero(graph.column("entry").to_numpy(zero_copy_only=False))
         x, q = _unit(v), _matrix(ask.column("vector"))
         name = ask.column("query").to_numpy()
+        wide = max(beam, min(keep, len(x)))
         out = [[], [], []]
         for a in range(0, len(q), STEP):
-            ids, _ = beam_search(x, nbr, start, _unit(q[a:a + STEP]), beam)
+            ids, _ = beam_search(x, nbr, start, _unit(q[a:a + STEP]), wide)
             r, c = np.nonzero(ids >= 0)
             at = ids[r, c]
             score = cosine(q[a:a + STEP][r], v[at])
@@ -262,7 +279,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> Da
             r, at, score = r[order], at[order], score[order]
             head = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
             rank = np.arange(len(r)) - np.repeat(head, np.diff(np.append(head, len(r))))
-            top = rank <= k
+            top = rank < keep
             out[0].append(name[a:a + STEP][r[top]])
             out[1].append(node[at[top]])
             out[2].append(score[top])
@@ -280,27 +297,29 @@ def nearest(vectors: DataFrame, queries, k: int = 5, shard_rows: int = SHARD, be
     Nearest first, ties to the smaller vec_id; every row but those of the query's
     own id is a candidate, within the query's dimension. Fewer than k candidates
     give fewer rows. Unusable vectors (see ``nodes_of``) take no part; repeated
-    rows count once per id.
+    rows count once per id. Of an id with several vectors, as query or candidate,
+    the nearest pair counts.
     """
     nodes = checkpoint(nodes_of(vectors, k, id_col, vector_col))
     index = build_index(nodes, shard_rows)
-    own = vectors.where(queries).select(F.col(id_col).cast("long").alias("query_id"),
-                                        F.col(vector_col).alias("vector")) \
-        .where("query_id IS NOT NULL AND vector IS NOT NULL") \
-        .select("query_id", F.xxhash64("vector").alias("h1"),
-                F.xxhash64("vector", F.lit(1)).alias("h2")).distinct()
-    asked = checkpoint(own.join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
-                       .select("query_id", "node"))
+    usable = vectors.where(queries).select(F.col(id_col).cast("long").alias("query_id"),
+                                           F.col(vector_col).alias("vector")) \
+        .where("query_id IS NOT NULL AND vector IS NOT NULL")
+    own = usable.select("query_id", *_hashes(F.col("vector"))).distinct()
+    asked = checkpoint(own.join(nodes.select("node", "h2"), ["node", "h2"]).select("query_id", "node"))
     wanted = nodes.join(asked.select("node").distinct(), "node").select(
         F.col("node").alias("query"), "dim", "vector")
-    hits = search(index, wanted, k, beam)
-    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "node")
-    merged = hits.withColumn("i", F.row_number().over(best)).where(F.col("i") <= k + 1)
-    found = merged.join(nodes.select("node", "ids"), "node").groupBy("query").agg(F.array_sort(
-        F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(
-            (-F.col("score")).alias("far"), i.alias("id")))))).alias("all"))
-    each = asked.join(found, F.col("node") == F.col("query"))
-    top = F.slice(F.filter("all", lambda h: h["id"] != F.col("query_id")), 1, k)
-    return each.select("query_id", F.posexplode(top).alias("i", "hit")).select(
-        "query_id", (F.col("i") + 1).alias("rank"), F.col("hit.id").alias("vec_id"),
-        (-F.col("hit.far")).alias("score"))
+    # k + 1 ids stand in the best (k + 1) * most nodes, if no id stands in more than ``most``.
+    per_id = nodes.select(F.explode("ids").alias("id")).groupBy("id").count()
+    most = per_id.agg(F.max("count")).first()[0] or 1
+    hits = search(index, wanted, (k + 1) * most, beam)
+    least = F.element_at("ids", 1)
+    named = hits.join(nodes.select("node", "ids"), "node")
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), least)
+    merged = named.withColumn("i", F.row_number().over(best)).where(F.col("i") <= (k + 1) * most)
+    near = merged.select("query", F.explode("ids").alias("vec_id"), "score")
+    each = asked.join(near, F.col("node") == F.col("query")).where("vec_id <> query_id") \
+        .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    top = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return each.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k) \
+        .select("query_id", "rank", "vec_id", "score")

@@ -14,20 +14,22 @@ def usable(v):
     return v is not None and len(v) and all(c is not None and math.isfinite(c) for c in v) and any(v)
 
 
-def brute(rows, k, every):
-    """query -> [(vec_id, score)] over all candidates, exactly."""
-    rows = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if i is not None and usable(v)]
-    out = {}
+def brute(rows, k, every, kind=np.float32):
+    """query -> [(vec_id, score)] over all candidates, exactly; of several vectors of
+    an id the nearest pair."""
+    rows = [(i, np.array(v, kind).astype(float)) for i, v in rows if i is not None and usable(v)]
+    rows = [(i, v / np.abs(v).max()) for i, v in rows]
+    near = {}
     for q, v in rows:
         if q % every:
             continue
-        best = {}
+        best = near.setdefault(q, {})
         for i, w in rows:
             if i != q and len(w) == len(v):
                 s = float((v * w).sum() / (np.sqrt((v * v).sum()) * np.sqrt((w * w).sum())))
                 best[i] = max(s, best.get(i, -2))
-        out[q] = sorted(best.items(), key=lambda x: (-round(x[1], 12), x[0]))[:k]
-    return out
+    return {q: sorted(best.items(), key=lambda x: (-round(x[1], 12), x[0]))[:k]
+            for q, best in near.items()}
 
 
 def collected(df):
@@ -81,6 +83,28 @@ def test_copies_and_ties(spark):
     assert [v for _, v, _ in got[0]] == [1, 2, 3, 4, 5] and [v for _, v, _ in got[3 * 10]] == [0, 1, 2, 3, 4]
 
 
+def test_ids_with_several_vectors(spark):
+    rnd = np.random.default_rng(9)
+    near = rnd.normal(size=8)
+    rows = [(i % 60, rnd.normal(size=8).tolist()) for i in range(240)]
+    # Thirty vectors of id 5 around those of query 50, which has three itself.
+    rows += [(5, (near + 1e-3 * rnd.normal(size=8)).tolist()) for _ in range(30)]
+    rows += [(50, (near + 1e-3 * rnd.normal(size=8)).tolist()) for _ in range(3)]
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = collected(ann.nearest(df, "vec_id % 10 = 0", k=5, shard_rows=100))
+    assert compare(got, brute(rows, 5, 10)) >= 0.98
+    assert got[50][0][1] == 5 and len({v for _, v, _ in got[50]}) == 5
+
+
+def test_very_large_and_small_components(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(i, (rnd.normal(size=4) * 10.0 ** rnd.choice([-200, 0, 200])).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collected(ann.nearest(df, "vec_id % 10 = 0", k=5))
+    assert compare(got, brute(rows, 5, 10, float)) == 1.0
+
+
 def test_edge_cases(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]),
             (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1e30, 1e30]), (8, [0.0, 1.0]),
