@@ -5,7 +5,8 @@ with the template positions of the same hash. A hit votes for the diagonal
 (word position - template position) it lies on; votes are counted per text,
 template and diagonal, neighbouring diagonals (words put in or left out) are
 merged, and the merged span is verified: its grams are compared word by word,
-and it may not be much longer than the template.
+each template position counts once however often the text repeats it, and the
+span may not be much longer than the template.
 
 Phrases are voted for by bigrams and must be complete on one diagonal, so their
 places are exact. Longer notices are voted for by trigrams and need a share of
@@ -103,21 +104,23 @@ def scan(docs: DataFrame, phrases: list = PHRASES, notices: list = NOTICES, id_c
     hits = each.join(F.broadcast(tpl), same, "left") \
         .where(F.col("tpl").isNotNull() | (F.col("i") == 0)) \
         .select("row", "doc_id", "n_words", "tpl", "base", "label", "grams", "words",
-                (F.col("at") - F.col("tpos")).alias("diagonal"), "at")
+                (F.col("at") - F.col("tpos")).alias("diagonal"), "at", "tpos")
     hits = hits.repartition("row")  # the three steps below need no further shuffle
     votes = hits.groupBy("row", "tpl", "diagonal").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.first("base").alias("base"), F.first("label").alias("label"),
         F.first("grams").alias("grams"), F.first("words").alias("words"),
-        F.count("tpl").alias("votes"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+        F.count("tpl").alias("votes"), F.collect_set("tpos").alias("seen"),
+        F.min("at").alias("lo"), F.max("at").alias("hi"))
     # Counted from the diagonal itself and the few after it: a span is met at
-    # its first diagonal.
+    # its first diagonal. A diagonal's positions are no more than its template's.
     near = Window.partitionBy("row", "tpl").orderBy("diagonal").rangeBetween(0, SLACK)
     merged = votes.select(
-        "*", F.sum("votes").over(near).alias("all_votes"), F.min("lo").over(near).alias("from"),
+        "*", F.size(F.array_distinct(F.flatten(F.collect_list("seen").over(near)))).alias("found"),
+        F.min("lo").over(near).alias("from"),
         F.max("hi").over(near).alias("to"))
     place = F.col("base") & (F.col("votes") == F.col("grams"))
-    share = F.least(F.lit(1.0), F.col("all_votes") / F.col("grams"))
+    share = F.col("found") / F.col("grams")
     fits = F.col("to") - F.col("from") + 3 <= F.col("words") + SLACK
     note = ~F.col("base") & fits & (share >= SHARE)
     found = merged.select(

@@ -79,14 +79,14 @@ def licenses_sql() -> str:
       w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g3, len(w) AS n, i FROM each WHERE i < len(w)),
     hits AS (SELECT g.doc_id, t.*, pos - tpos AS diagonal, pos FROM grams g JOIN tpl t
       ON t.gram = CASE WHEN t.k = 2 THEN g.g2 WHEN g.i + 1 < g.n THEN g.g3 END),
-    votes AS (SELECT doc_id, tpl, base, label, grams, words, diagonal, count(*) AS votes,
-      min(pos) AS lo, max(pos) AS hi FROM hits GROUP BY ALL),
-    merged AS (SELECT *, sum(votes) OVER w AS all_votes, min(lo) OVER w AS a, max(hi) OVER w AS z
-      FROM votes WINDOW w AS (PARTITION BY doc_id, tpl ORDER BY diagonal
-        RANGE BETWEEN CURRENT ROW AND {SLACK} FOLLOWING)),
+    votes AS (SELECT doc_id, tpl, base, label, grams, words, diagonal, count(*) AS votes
+      FROM hits GROUP BY ALL),
+    merged AS (SELECT v.*, count(DISTINCT h.tpos) AS seen, min(h.pos) AS a, max(h.pos) AS z
+      FROM votes v JOIN hits h ON h.doc_id = v.doc_id AND h.tpl = v.tpl
+        AND h.diagonal BETWEEN v.diagonal AND v.diagonal + {SLACK} GROUP BY ALL),
     found AS (SELECT doc_id, label, diagonal, base AND votes = grams AS place,
       NOT base AND z - a + 3 <= words + {SLACK} AS fits,
-      least(1.0::DOUBLE, all_votes::DOUBLE / grams) AS share FROM merged),
+      seen::DOUBLE / grams AS share FROM merged),
     per AS (SELECT doc_id, count(*) FILTER (WHERE place) AS n_base,
       min(diagonal) FILTER (WHERE place) AS first_word, max(diagonal) FILTER (WHERE place) AS last_word,
       {labels.format("CASE WHEN place THEN label END")} AS base_labels,

@@ -27,11 +27,12 @@ def brute(rows, phrases=licenses.PHRASES, notices=licenses.NOTICES):
             for j in range(n):
                 for i in range(len(w) - 2):
                     if w[i:i + 3] == x[j:j + 3]:
-                        diag.setdefault(i - j, []).append(i)
+                        diag.setdefault(i - j, []).append((i, j))
             for g in diag:
                 hits = [i for h in range(g, g + licenses.SLACK + 1) for i in diag.get(h, [])]
-                if max(hits) - min(hits) + 3 <= len(x) + licenses.SLACK:
-                    share = min(1.0, len(hits) / n)
+                at = [i for i, _ in hits]
+                if max(at) - min(at) + 3 <= len(x) + licenses.SLACK:
+                    share = len({j for _, j in hits}) / n
                     score = max(score, share)
                     if share >= licenses.SHARE:
                         labels.add(label)
@@ -95,3 +96,10 @@ def test_query(spark):
 def test_no_python_in_the_plan(spark):
     plan = op8_license_scan(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_repeated_gram_counts_once(spark):
+    text = "released under the released under the new name"
+    got = run(spark, [(1, text)])
+    assert got == brute([(1, text)])
+    assert got[0][6] == "" and got[0][7] == pytest.approx(1 / 3, abs=1e-9)

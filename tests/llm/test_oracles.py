@@ -18,7 +18,7 @@ def norm(v):
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     rel = con.sql(ORACLE[key])
     df = QUERIES[key](spark, SF)
