@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, checkpoint, sized
+from .common import binary, checkpoint, sized, sized_lists
 
 DEPTH = 4
 MIN_DOCS = 3
@@ -46,8 +46,11 @@ EQUAL_DOCS = 2
 CONSTANT = 0.7
 #: Bytes of text handled at once inside a task.
 CHUNK = 4_000_000
-_DIGIT = re.compile(rb"\S*[0-9]\S*")
+_DIGITS = b"0123456789"
+_HAS_DIGIT = re.compile(rb"[0-9]").search
 WILD = b"<*>"
+#: From the first visible character of a line to its end.
+LINE = r"\S[^\n]*"
 #: No number of documents makes the masked line alone a template.
 NEVER = (1 << 31) - 1
 
@@ -59,7 +62,10 @@ def _hash(x: bytes, seed: int = 0) -> int:
 
 def masked(line: bytes) -> bytes:
     """The line's tokens joined by one blank, fields with a digit as ``<*>``."""
-    return b" ".join(_DIGIT.sub(WILD, line).split())
+    tokens = line.split()
+    if len(line.translate(None, _DIGITS)) < len(line):
+        tokens = [WILD if _HAS_DIGIT(t) else t for t in tokens]
+    return b" ".join(tokens)
 
 
 def parse(line: bytes, depth: int, min_docs: int, constant: float, equal_docs: int) -> tuple:
@@ -184,7 +190,7 @@ def _open(docs: DataFrame, lines: DataFrame, rule: tuple) -> DataFrame:
     lines = checkpoint(lines)
     wanted = lines.groupBy(F.col("first").alias("doc")).agg(F.collect_list("line").alias("want"))
     wanted = checkpoint(wanted)
-    near = docs.join(sized(wanted, wanted.count()), docs["doc_id"] == wanted["doc"]) \
+    near = docs.join(sized_lists(wanted, "want"), docs["doc_id"] == wanted["doc"]) \
         .select("want", "text").where("text IS NOT NULL")
     text = near.mapInArrow(lambda it: _opened(it, *rule), "line long, masked binary")
     return lines.join(text.groupBy("line").agg(F.first("masked").alias("masked")), "line")
@@ -242,36 +248,30 @@ def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS
     hit = checkpoint(hit)
     side = hit.select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone"))
     left = docs.drop("n_lines", "n_dropped", "kept")
-    both = left.join(sized(side, hit.count()), F.col(id_col).cast("long") == F.col("__doc"), "left")
+    both = left.join(sized_lists(side, "__gone"), F.col(id_col).cast("long") == F.col("__doc"), "left")
 
     def cut(text: pa.Array, gone: pa.Array) -> pa.Array:
         known = _Parsed(depth, min_docs, constant, min(equal_docs, min_docs))
-        n, less, kept = [], [], []
+        less, kept = [], []
         for t, g in zip(binary(text), gone.to_pylist()):
             if t is None:
-                n.append(0)
                 less.append(0)
                 kept.append(None)
                 continue
-            lines = t.split(b"\n")
-            full = sum(1 for x in lines if x.strip(b" \t\n\r\x0b\x0c"))
-            if g:
-                g = set(g)
-                stay = [x for x in lines if not any(p[1] in g for p in known[x])]
-                less.append(len(lines) - len(stay))
-                t = b"\n".join(stay)
-                known.trim()
-            else:
-                less.append(0)
-            n.append(full)
-            kept.append(t)
+            g, lines = set(g), t.split(b"\n")
+            stay = [x for x in lines if not any(p[1] in g for p in known[x])]
+            less.append(len(lines) - len(stay))
+            kept.append(b"\n".join(stay))
+            known.trim()
         return pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(less, pa.int64()),
-             pa.array(kept, pa.binary()).cast(pa.string())], names=["n", "less", "kept"])
-
-    trimmed = F.arrow_udf(cut, "n long, less long, kept string")
-    out = both.withColumn("__r", trimmed(F.col(text_col), F.col("__gone")))
-    return out.select(*left.columns, F.col("__r.n").alias("n_lines"),
-                      F.col("__r.less").alias("n_dropped"), F.col("__r.kept").alias("kept"))
-
-
+            [pa.array(less, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+            names=["less", "kept"])
+
+    # Only texts that lose lines go to Python.
+    trimmed = F.arrow_udf(cut, "less long, kept string")
+    text, loses = F.col(text_col), F.col("__gone").isNotNull()
+    out = both.withColumn("__r", trimmed(F.when(loses, text), F.col("__gone")))
+    return out.select(*left.columns,
+                      F.coalesce(F.regexp_count(text, F.lit(LINE)), F.lit(0)).cast("long").alias("n_lines"),
+                      F.when(loses, F.col("__r.less")).otherwise(F.lit(0)).alias("n_dropped"),
+                      F.when(loses, F.col("__r.kept")).otherwise(text).alias("kept"))
