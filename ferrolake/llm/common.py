@@ -30,7 +30,9 @@ _C = U64(0x94D049BB133111EB)
 #: A side may be broadcast up to this many rows (a few dozen MB at most for the
 #: narrow tables passed here); beyond it the same join is a shuffle join.
 BROADCAST_ROWS = 400_000
-#: The same for a side with list columns, by rows and list entries together (16 MB
+#: Narrow rows (keys, links) that a task takes, where a step is sized by counted rows.
+TASK_ROWS = 250_000
+#: As ``BROADCAST_ROWS`` for a side with list columns, by rows and list entries together (16 MB
 #: of 64-bit values).
 BROADCAST_VALUES = 2_000_000
 
@@ -62,6 +64,11 @@ def sized(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def tasks_for(rows: int) -> int:
+    """Tasks for so many narrow rows: small tables stay in few files and shuffle blocks."""
+    return max(1, -(-rows // TASK_ROWS))
+
+
 def sized_lists(df: DataFrame, *lists: str, limit: int = BROADCAST_VALUES) -> DataFrame:
     """Broadcast hint only behind a check of the rows and list entries of a (checkpointed) side."""
     size = sum((F.greatest(F.size(c), F.lit(0)).cast("long") for c in lists), F.lit(1).cast("long"))

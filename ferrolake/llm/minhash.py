@@ -14,9 +14,10 @@ with equal sets are one *class* from the start, however many they are.
 * Star: of a bucket only edges to one hub are candidates, members - 1 of them. All
   bands draw hubs in one order of classes, so a group that fills many buckets has
   few distinct edges.
-* Candidates whose sizes or signature bits (one per bin) are too far apart go;
-  the others are confirmed on the two full sets. Bits refuse a pair at the
-  threshold itself with a chance of about 1e-5.
+* Candidates whose sizes or signature bits (one per bin) are too far apart go; of a
+  class's others, the nearest hub by bits and the first in the order of hubs are
+  confirmed on the full sets. Bits refuse a pair at the threshold itself with a
+  chance of about 1e-5.
 * Buckets whose members are then still in several components are closed: members
   outside a bucket's largest component meet that component's members, once for all
   their buckets, and then one another, in blocks of bounded size inside a task
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (U64, WordHash, binary, checkpoint, flatten, hash_words, list_array, mix, pair,
-                     shared_folder, signed, sized, starts_of, window_hash)
+                     shared_folder, signed, sized, starts_of, tasks_for, window_hash)
 from .components import components
 
 BANDS, ROWS = 64, 8
@@ -235,18 +236,24 @@ class _Confirm:
     set moves.
     """
 
-    def __init__(self, sets: DataFrame, num: int, den: int, apart: int):
-        self.sets, self.num, self.den, self.apart = sets, num, den, apart
-        self.sketches = checkpoint(sets.select("cls", "n", "bits").distinct())
+    def __init__(self, sets: DataFrame, num: int, den: int, apart: int, tasks: int):
+        self.sets, self.num, self.den, self.apart, self.tasks = sets, num, den, apart, tasks
+        self.sketches = checkpoint(sets.select("cls", "n", "bits").distinct().coalesce(tasks))
 
     def near(self, pairs: DataFrame) -> DataFrame:
+        """Of each a's pairs (a, b) that may be links: to the nearest b and to the first."""
         side = lambda c: self.sketches.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"),
                                               F.col("bits").alias(f"bits{c}"))
         differ = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                              F.lit(0), lambda t, x: t + x)
-        return (pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
-                .where((self.den * F.least("na", "nb") >= self.num * F.greatest("na", "nb"))
-                       & (differ <= self.apart)).select("a", "b"))
+        near = (pairs.select("a", "b").distinct().coalesce(self.tasks)
+                .join(side("a"), "a").coalesce(self.tasks).join(side("b"), "b")
+                .where(self.den * F.least("na", "nb") >= self.num * F.greatest("na", "nb"))
+                .select("a", "b", differ.alias("differ")).where(F.col("differ") <= self.apart))
+        order = F.xxhash64("b"), F.col("b")
+        two = near.groupBy("a").agg(F.array_distinct(F.array(
+            F.min_by("b", F.struct("differ", *order)), F.min_by("b", F.struct(*order)))).alias("b"))
+        return two.select("a", F.explode("b").alias("b")).coalesce(self.tasks)
 
     def exact(self, pairs: DataFrame) -> DataFrame:
         a = self.sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
@@ -359,14 +366,15 @@ def _pairs(a: str, b: str) -> list:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
 
-def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
+def _open(members: DataFrame, comp: DataFrame, tasks: int) -> DataFrame:
     """(key, cls, root, main) of the buckets with several components; main: the largest."""
     root = comp.select(F.col("node").alias("cls"), "root")
-    rooted = members.join(root, "cls", "left").select("key", "cls", F.coalesce("root", "cls").alias("root"))
+    rooted = members.join(root, "cls", "left") \
+        .select("key", "cls", F.coalesce("root", "cls").alias("root")).coalesce(tasks)
     size = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     main = size.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"),
                                    F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    return checkpoint(rooted.join(main.drop("roots"), "key"))
+    return checkpoint(rooted.join(main.drop("roots"), "key").coalesce(tasks))
 
 
 def link_buckets(members: DataFrame, confirm: _Confirm) -> DataFrame:
@@ -379,8 +387,9 @@ def link_buckets(members: DataFrame, confirm: _Confirm) -> DataFrame:
     """
     hub = F.min_by("cls", F.struct(F.xxhash64("cls"), "cls")).alias("hub")
     star = members.join(members.groupBy("key").agg(hub), "key").where("cls <> hub")
-    links = confirm(star.select(*_pairs("cls", "hub")))
-    left = _open(members, components(links))
+    star = star.select(F.col("cls").alias("a"), F.col("hub").alias("b")).coalesce(confirm.tasks)
+    links = confirm(star).select(*_pairs("a", "b"))
+    left = _open(members, components(links), confirm.tasks)
     outer = left.where("root <> main")
     grp = F.col("main").alias("grp")
     main = _close(outer.select(grp, "cls", "root"),
@@ -411,18 +420,20 @@ def minhash_classes(docs: DataFrame, words: int = 2, num: int = 80, den: int = 1
     found = spark.read.schema(INDEX).parquet(folder)
     rows_ = found.select("cls", "doc", "n")
     # Buckets of several classes.
-    keyed = found.where("keys is not null").select(F.explode("keys").alias("key"), "cls")
+    listed = found.where("keys is not null")
+    tasks = tasks_for(listed.count() * bands)
+    keyed = listed.select(F.explode("keys").alias("key"), "cls")
     shared = keyed.groupBy("key").agg(F.min("cls").alias("x"), F.max("cls").alias("y")) \
         .where("x <> y").select("key")
-    members = checkpoint(keyed.join(shared, "key", "left_semi").distinct())
+    members = checkpoint(keyed.join(shared, "key", "left_semi").distinct().coalesce(tasks))
     first = rows_.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
     wanted = checkpoint(first.join(members.select("cls").distinct(), "cls", "left_semi")
-                        .select("doc", "cls"))
+                        .select("doc", "cls").coalesce(tasks))
     bins = bands * rows
-    confirm = _Confirm(_sets_of(docs, wanted, words, bins), num, den, most_apart(bins, num, den))
+    confirm = _Confirm(_sets_of(docs, wanted, words, bins), num, den, most_apart(bins, num, den), tasks)
     comp = link_buckets(members, confirm)
     named = checkpoint(first.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-                       .select("cls", "doc", F.coalesce("root", "cls").alias("root")))
+                       .select("cls", "doc", F.coalesce("root", "cls").alias("root")).coalesce(tasks))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
     label = named.join(least, "root").select("cls", "component_id")
     return rows_.join(label, "cls", "left").select(
