@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
-from .common import distinct, flatten, starts_of
+from .common import distinct, flatten, starts_of, worker_state
 
 #: Known chunks kept per worker before the cache starts anew.
 CACHE_CHUNKS = 600_000
@@ -298,22 +298,21 @@ class Encoder:
         return flat, np.diff(starts_of(lens)[starts_of(per)])
 
 
-_LOADED: dict = {}
-
-
 def _merges(shared) -> Merges:
-    if ("m", shared.id) not in _LOADED:
-        _LOADED.clear()
-        _LOADED["m", shared.id] = Merges(shared.ranks.value)
-    return _LOADED["m", shared.id]
+    loaded = worker_state("bpe")
+    if ("m", shared.id) not in loaded:
+        loaded.clear()
+        loaded["m", shared.id] = Merges(shared.ranks.value)
+    return loaded["m", shared.id]
 
 
 def _encoder(shared) -> Encoder:
     key = ("e", shared.id, shared.pattern)
-    if key not in _LOADED:
+    loaded = worker_state("bpe")
+    if key not in loaded:
         m = _merges(shared)
-        _LOADED[key] = Encoder(m, shared.pattern, shared.foreign)
-    return _LOADED[key]
+        loaded[key] = Encoder(m, shared.pattern, shared.foreign)
+    return loaded[key]
 
 
 class _Shared:

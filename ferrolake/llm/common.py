@@ -76,6 +76,18 @@ def sized_lists(df: DataFrame, *lists: str, limit: int = BROADCAST_VALUES) -> Da
     return F.broadcast(df) if held <= limit else df
 
 
+_KEPT: list = [None, {}]
+
+
+def worker_state(owner: str) -> dict:
+    """What an operator keeps between the tasks of a Python worker. Workers outlive a
+    stage: the state of another operator is dropped first."""
+    if _KEPT[0] != owner:
+        _KEPT[1].clear()
+        _KEPT[0] = owner
+    return _KEPT[1]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser, elementwise over uint64."""
     h = (h ^ (h >> U64(30))) * _B

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, checkpoint, sized, sized_lists
+from .common import binary, checkpoint, sized, sized_lists, worker_state
 
 DEPTH = 4
 MIN_DOCS = 3
@@ -116,6 +116,7 @@ class _Parsed(dict):
 
 def _lines(batches, *rule):
     """(doc, leaf, line, need): each distinct key of a document's lines once."""
+    worker_state("lines")
     known = _Parsed(*rule)
     for b, texts in _texts(batches):
         docs, leaf, line, need = [], [], [], []

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, flatten, sized, starts_of
+from .common import binary, flatten, sized, starts_of, worker_state
 
 BUCKETS = 1 << 18
 FEATURES = 4096
@@ -201,6 +201,7 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE
     rows = text.join(sized(rated, sample), "doc_id").select("text", "doc_id", "grade")
 
     def extract(batches):
+        worker_state("ordinal")
         known = WordFeatures()
         for b in batches:
             found = []
@@ -279,14 +280,12 @@ def rate(docs: DataFrame, model: OrdinalModel | None, keep_grade: int, text_col:
                       F.col("__r.tail").alias("tail_probability"))
 
 
-_KNOWN: list = []
-
-
 def _known(model: OrdinalModel) -> WordFeatures:
     """The worker's word cache for a model."""
-    if not _KNOWN or _KNOWN[0] is not model:
-        _KNOWN[:] = [model, WordFeatures(frozenset(model.weights))]
-    return _KNOWN[1]
+    kept = worker_state("ordinal")
+    if kept.get("model") is not model:
+        kept.update(model=model, words=WordFeatures(frozenset(model.weights)))
+    return kept["words"]
 
 
 def select(rated: DataFrame, least: float = 0.5) -> DataFrame:
