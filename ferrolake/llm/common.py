@@ -81,10 +81,12 @@ _KEPT: list = [None, {}]
 
 def worker_state(owner: str) -> dict:
     """What an operator keeps between the tasks of a Python worker. Workers outlive a
-    stage: the state of another operator is dropped first."""
+    stage: the state of another operator is dropped first, and the Arrow memory that
+    is free is given back."""
     if _KEPT[0] != owner:
         _KEPT[1].clear()
         _KEPT[0] = owner
+        pa.default_memory_pool().release_unused()
     return _KEPT[1]
 
 

@@ -33,7 +33,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +47,7 @@ MIN_DOCS = 3
 EQUAL_DOCS = 2
 CONSTANT = 0.7
 #: Bytes of text handled at once inside a task.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 _DIGITS = b"0123456789"
 _HAS_DIGIT = re.compile(rb"[0-9]").search
 WILD = b"<*>"
@@ -89,13 +91,13 @@ def parse(line: bytes, depth: int, min_docs: int, constant: float, equal_docs: i
 def _texts(batches):
     """(row arrays) in pieces of bounded text length."""
     for b in batches:
-        texts = binary(b.column(1))
-        start = held = 0
-        for i, t in enumerate(texts):
-            held += len(t) if t else 0
-            if held >= CHUNK or i + 1 == len(texts):
-                yield b.slice(start, i + 1 - start), texts[start:i + 1]
-                start, held = i + 1, 0
+        size = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+        # A piece ends with the text that fills it.
+        full = np.cumsum(size, dtype=np.int64) // CHUNK
+        ends = np.flatnonzero(full[1:] != full[:-1]) + 1
+        for start, end in zip([0, *ends.tolist()], [*ends.tolist(), len(b)]):
+            part = b.slice(start, end - start)
+            yield part, binary(part.column(1))
 
 
 class _Parsed(dict):
@@ -110,7 +112,7 @@ class _Parsed(dict):
         return p
 
     def trim(self) -> None:
-        if len(self) > 100_000:
+        if len(self) > 20_000:  # lines that recur often are back at once
             self.clear()
 
 
@@ -136,6 +138,7 @@ def _lines(batches, *rule):
 
 def _opened(batches, *rule):
     """(line, masked text) of the wanted line hashes of each document."""
+    worker_state("lines")
     known = _Parsed(*rule)
     for b, texts in _texts(batches):
         line, text = [], []
