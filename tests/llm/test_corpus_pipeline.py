@@ -84,5 +84,5 @@ def test_registered():
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert tiktoken
