@@ -12,6 +12,7 @@ Conventions used by all of them:
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 import numpy as np
@@ -81,12 +82,14 @@ _KEPT: list = [None, {}]
 
 def worker_state(owner: str) -> dict:
     """What an operator keeps between the tasks of a Python worker. Workers outlive a
-    stage: the state of another operator is dropped first, and the Arrow memory that
-    is free is given back."""
+    stage: the state of another operator is dropped first, and the Arrow memory and heap
+    that are free are given back."""
     if _KEPT[0] != owner:
         _KEPT[1].clear()
         _KEPT[0] = owner
         pa.default_memory_pool().release_unused()
+        if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc
+            trim(0)
     return _KEPT[1]
 
 

@@ -15,14 +15,13 @@ Cost-based allocation, per band and per set:
 * a set drops its most expensive subsets (fewest shingles first, as those are
   shared most) as long as the pigeonhole leaves ``extra + 1`` common keys.
 
-Candidates are verified on the whole sets. No pairs inside a key's group are
-enumerated unless the group is small; their common keys are counted, and pairs
-with ``extra`` of them or fewer are refused without looking at the sets, and so
-are pairs whose parity bits (a few per shingle) differ in too many places. In
-larger groups members are compared with a pivot, and a group is done once its
-members are one component; others get further pivots. In groups over ``SMALL_GROUP`` a member counts only under its rarest hot keys,
-all but ``extra`` of them, because a pair found by hot keys alone shares more than
-``extra``; this removes documents that merely share a passage.
+A set meets others under its shared keys less the ``extra`` most frequent ones
+(``_members``): similar sets still meet in one, documents that merely share a
+passage do not. No pairs inside a key's group are enumerated as rows: all members
+meet the group's hub, and groups whose members are then still in several
+components are closed in blocks inside tasks (``minhash.link_buckets``). Every
+link is verified on the whole sets; sizes and parity bits only refuse pairs that
+cannot be similar.
 
 Scale: one pass over the texts, one shuffle of 24-byte key rows; a key that is
 frequent within a task is dealt by member instead of by key, so no reducer
@@ -36,20 +35,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import minhash
 from .common import (U64, WordHash, binary, checkpoint, gather, hash_words, list_array, mix, signed,
-                     sized, starts_of, window_hash)
-from .components import components
+                     sized, starts_of, tasks_for, window_hash, worker_state)
 
-#: Groups up to this size have all their pairs counted; larger ones go by pivots.
-SMALL_GROUP = 8
-#: Pivots per hot group and round.
-PIVOTS = 32
+#: Members of a key within a task, or within a reducer, from which the key is hot.
+SMALL_GROUP = 32
 #: Characters of text handled at once inside a task.
-CHUNK = 6_000_000
+CHUNK = 2 << 20
 MEMBER, HOT, MARK, DOC = 0, 1, 2, 3
 
 
@@ -174,13 +170,13 @@ KEYS = "key long, cls long, doc long"
 
 
 def _index(batches, k: int, num: int, den: int):
+    worker_state("jaccard")
     cache = WordHash()
     for ids, texts in _chunks(batches):
         keys, cls, docs, done = [], [], [], set()
         local: dict = {"key": [], "cls": []}
         for doc, g in zip(ids.tolist(), shingle_sets(texts, cache, k)):
-            c = xxhash.xxh64_intdigest(g.tobytes())
-            c = c - (1 << 64) if c >= 1 << 63 else c
+            c = minhash.class_of(g)
             keys.append((len(g) << 8) | DOC)
             cls.append(c)
             docs.append(doc)
@@ -277,52 +273,16 @@ def _group(batches):
     yield from rows(MEMBER, signed(np.repeat(name, s)[take]), member[take], info[take])
 
 
-class _Verifier:
-    """Exact comparison of classes on their whole shingle sets."""
-
-    def __init__(self, sets: DataFrame, num: int, den: int):
-        self.sets, self.num, self.den = sets, num, den
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The (a, b) pairs whose sets are similar enough."""
-        a = self.sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
-        b = self.sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb"))
-        both = pairs.select("a", "b").distinct().join(b, "b").join(a, "a")
-        common = F.size(F.array_intersect("ga", "gb"))
-        sizes = F.size("ga") + F.size("gb")
-        return checkpoint(both.where(self.den * common >= self.num * (sizes - common))
-                          .select("a", "b"))
-
-
-class _Filter:
-    """Refuses pairs that cannot be similar, by three necessary conditions: sizes,
-    common keys (more than the band's ``extra``), and parity bits that differ in
-    no more places than the sets may. ``hot_keys`` (cls, k, keys), ``sizes``
-    (cls, n), ``sketches`` (cls, n, bits)."""
-
-    def __init__(self, hot_keys: DataFrame, num: int, den: int):
-        self.hot_keys, self.num, self.den = hot_keys, num, den
-
-    def _sized(self, pairs: DataFrame, sizes: DataFrame, *extra: str) -> DataFrame:
-        side = lambda c: sizes.select(F.col("cls").alias(c), *[
-            F.col(x).alias(f"{x}_{c}") for x in ("n", *extra)])
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(
-            self.den * F.least("n_a", "n_b") >= self.num * F.greatest("n_a", "n_b"))
-
-    def by_keys(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-        """(a, b) of the (a, b, k, w) pairs, ``w`` being their common small-group keys."""
-        a = self.hot_keys.select(F.col("cls").alias("a"), "k", F.col("keys").alias("x"))
-        b = self.hot_keys.select(F.col("cls").alias("b"), "k", F.col("keys").alias("y"))
-        both = self._sized(pairs, sizes).join(b, ["b", "k"], "left").join(a, ["a", "k"], "left")
-        hot = F.coalesce(F.when(F.col("x").isNotNull() & F.col("y").isNotNull(),
-                                F.size(F.array_intersect("x", "y"))), F.lit(0))
-        return both.where(F.col("w") + hot > _extra(self.num, self.den, F.col("k"))) \
-            .select("a", "b").distinct()
-
-    def by_bits(self, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-        """(a, b) of the pairs whose parity bits are near enough."""
-        both = self._sized(pairs.select("a", "b").distinct(), sketches, "bits")
+class _Confirm(minhash.Confirm):
+    """Exact test of class pairs. Before any whole set moves, pairs go whose sizes differ too
+    much or whose parity bits differ in more places than the sets may (both necessary)."""
 
+    sift = True
+
+    def __init__(self, sets: DataFrame, num: int, den: int, tasks: int):
+        super().__init__(sets, num, den, None, tasks)
+
+    def aligned(self, a: str, b: str) -> list:
         def folded(c: str, other: str):
             # At most one band lies between two sets that can be similar.
             half = (F.size(c) / 2).cast("int")
@@ -330,11 +290,15 @@ class _Filter:
                 F.slice(c, 1, half), F.slice(c, half + 1, half),
                 lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(c))
 
-        apart = F.aggregate(
-            F.zip_with(folded("bits_a", "bits_b"), folded("bits_b", "bits_a"),
-                       lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        most = (self.den - self.num) * (F.col("n_a") + F.col("n_b"))
-        return both.where(apart * (self.den + self.num) <= most).select("a", "b")
+        return [folded(a, b), folded(b, a)]
+
+    def limit(self, na, nb):
+        """Most shingles, so also parity bits, that sets of these sizes may differ in."""
+        return F.floor((self.den - self.num) * (na + nb) / (self.den + self.num))
+
+    def block_limit(self):
+        num, den = self.num, self.den
+        return lambda n, others: (den - num) * (n + others) // (den + num)
 
 
 def _level(grp):
@@ -347,89 +311,51 @@ def _extra(num: int, den: int, level):
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(cls, n, bits, grams) of the wanted (doc, cls) rows."""
-    rows = wanted.count()
-    text = docs.join(sized(wanted, rows), docs["doc_id"] == wanted["doc"]).select("cls", "text")
+    """(cls, n, bits, grams) of the wanted (doc, cls) rows; of repeated ids the fitting text."""
+    text = docs.join(sized(wanted, wanted.count()), docs["doc_id"] == wanted["doc"]) \
+        .select("cls", "text")
 
     def grams(batches):
+        worker_state("jaccard")
         cache = WordHash()
-        for ids, texts in _chunks(batches):
+        for want, texts in _chunks(batches):
             sets = shingle_sets(texts, cache, k)
+            fits = [i for i, g in enumerate(sets) if minhash.class_of(g) == want[i]]
+            sets = [sets[i] for i in fits]
             lens = np.fromiter(map(len, sets), np.int64, len(sets))
             flat = np.concatenate(sets) if sets else np.empty(0, U64)
             bits = [sketch(g) for g in sets]
             words = np.fromiter(map(len, bits), np.int64, len(bits))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(lens),
-                 list_array(signed(np.concatenate(bits)), words, pa.int64()),
+                [pa.array(want[fits]), pa.array(lens),
+                 list_array(signed(np.concatenate([*bits, np.empty(0, U64)])), words, pa.int64()),
                  list_array(signed(flat), lens, pa.int64())], names=["cls", "n", "bits", "grams"])
 
     return checkpoint(text.mapInArrow(
         grams, "cls long, n long, bits array<long>, grams array<long>"))
 
 
-def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
-    """(a, b, k, w = 0) pairs of a hot group, the larger class first."""
-    return df.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"),
-                     _level(F.col("grp")).alias("k"), F.lit(0).alias("w")).distinct()
-
-
-def _link_groups(near: DataFrame, hot: DataFrame, verify: _Verifier, possible) -> DataFrame:
-    """(node, root) of the components that the true links make.
+def _members(found: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, cls) under which classes meet: for each class and band its keys that other
+    classes have too, less the ``extra`` most frequent ones.
 
-    ``near``: the possible pairs from small groups, ``hot``: (grp, cls),
-    ``possible``: (a, b) of the pairs of hot groups that may be similar. First
-    every class meets one partner (the smallest of its possible ones) and the
-    smallest member of its hot groups; most components are found by that. Then
-    only pairs across components are left: all of ``near``, and, in rounds, the
-    next pivots of the hot groups that span several components, until each is
-    one component or all its members outside the largest one were pivots.
+    Similar sets share more than ``extra`` keys of a band. All classes order keys alike
+    (frequency, name), so the first key that two such sets share is never among the
+    ``extra`` last ones of either: they still meet, while documents that merely share a
+    passage lose the keys they would meet in.
     """
-    least = hot.groupBy("grp").agg(F.min("cls").alias("b"))
-    star = possible(_pairs(hot.join(least, "grp").where("cls <> b"), "cls", "b"))
-    first = near.unionAll(star).groupBy("a").agg(F.min("b").alias("b"))
-    links = verify.links(first)
-    comp = components(links)
-    done = None  # (grp, cls) pairs that were pivots
-    turn = 0
-    while True:
-        root = comp.select(F.col("node").alias("cls"), "root")
-
-        def named(df, c, out, root=root):
-            r = root.select(F.col("cls").alias(c), F.col("root").alias(out))
-            return df.join(r, c, "left").withColumn(out, F.coalesce(out, c))
-
-        rooted = named(hot, "cls", "root")
-        split = (rooted.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-                 .where("x <> y").select("grp"))
-        left = rooted.join(split, "grp")
-        # Every open pair has a member outside the group's largest component, so
-        # only those become pivots: near copies with a few strangers cost a pass
-        # per stranger, not per copy.
-        most = Window.partitionBy("grp").orderBy(F.desc("c"), "root")
-        main = (left.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("c"))
-                .withColumn("i", F.row_number().over(most)).where("i = 1")
-                .select("grp", F.col("root").alias("main")))
-        fresh = left.join(main, "grp").where("root <> main").drop("main")
-        if done is not None:
-            fresh = fresh.join(done, ["grp", "cls"], "left_anti")
-        turns = Window.partitionBy("grp").orderBy("cls")
-        pivots = checkpoint(fresh.withColumn("i", F.row_number().over(turns))
-                            .where(F.col("i") <= PIVOTS).select("grp", "cls", "root"))
-        if turn and not pivots.limit(1).count():
-            return comp
-        at = pivots.select("grp", F.col("cls").alias("b"), F.col("root").alias("rb"))
-        pairs = possible(_pairs(left.join(at, "grp").where("root <> rb"), "cls", "b"))
-        if turn == 0:
-            pairs = pairs.unionAll(named(named(near, "a", "ra"), "b", "rb").where("ra <> rb")
-                                   .select("a", "b"))
-        more = verify.links(pairs)
-        now = pivots.select("grp", "cls")
-        done = now if done is None else done.unionAll(now)
-        turn += 1
-        if more.limit(1).count():
-            links = links.unionAll(more)
-            comp = components(links)
+    few = found.where(f"kind = {MEMBER}").select(
+        "grp", "cls", F.shiftright("doc", 32).cast("int").alias("k"),
+        F.col("doc").bitwiseAND((1 << 32) - 1).alias("w"))
+    hot = found.where(f"kind = {HOT}").select(
+        "grp", "cls", _level(F.col("grp")).alias("k"), F.lit(1).cast("long").alias("w")).distinct()
+    every = few.unionAll(hot).groupBy("grp", "cls", "k").agg(F.sum("w").alias("w"))
+    size = every.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    rest = Window.partitionBy("cls", "k").orderBy(F.desc("size"), F.desc("grp")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = every.join(size, "grp").withColumn("up", F.sum("w").over(rest)) \
+        .where(F.col("up") > _extra(num, den, F.col("k"))).select(F.col("grp").alias("key"), "cls")
+    return checkpoint(kept)
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 75, den: int = 100,
@@ -450,48 +376,18 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 75, den: int
         f"if((key & 3) = {HOT}, xxhash64(cls, key), if((key & 3) = {DOC}, xxhash64(doc), key))"))
     found = checkpoint(dealt.mapInArrow(_group, GROUPS))
     rows = found.where(f"kind = {DOC}").select("doc", F.col("grp").alias("n"), "cls")
-    sizes = checkpoint(rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"),
-                                                              F.max("n").alias("n")))
-    classes = sizes.select("cls", "doc")
-    # Small groups: their few pairs, with the number of keys each pair shares.
-    small = found.where(f"kind = {MEMBER}").groupBy(
-        "grp", "cls", F.shiftright("doc", 32).cast("int").alias("k")).agg(
-        F.sum(F.col("doc").bitwiseAND((1 << 32) - 1)).alias("w"))
-    p, q = small.alias("p"), small.alias("q")
-    shared = p.join(q, F.expr("p.grp = q.grp AND p.cls > q.cls")).groupBy(
-        F.col("p.cls").alias("a"), F.col("q.cls").alias("b"), F.col("p.k").alias("k")).agg(
-        F.sum("p.w").alias("w"))
-    # Hot groups: a pair met by hot keys alone shares more than its band's extra
-    # keys, so members with no more than that go; the others keep their rarest
-    # hot keys, as many as any such pair must meet in.
-    hot = checkpoint(found.where(f"kind = {HOT}").select(
-        "grp", "cls", _level(F.col("grp")).alias("k")).distinct())
-    hot_keys = checkpoint(hot.groupBy("cls", "k").agg(F.collect_list("grp").alias("keys")))
-    keep = _Filter(hot_keys, num, den)
-    near = checkpoint(keep.by_keys(shared, sizes))
-    extra = _extra(num, den, F.col("k"))
-    size = hot.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    per = Window.partitionBy("cls", "k")
-    hot = checkpoint(hot.join(size, "grp")
-                     .withColumn("i", F.row_number().over(per.orderBy("size", "grp")))
-                     .withColumn("have", F.count(F.lit(1)).over(per))
-                     .where(F.col("i") <= F.col("have") - extra).select("grp", "cls"))
-    candidates = near.select(F.explode(F.array("a", "b")).alias("cls")) \
-        .unionAll(hot.select("cls")).distinct()
-    wanted = checkpoint(classes.join(candidates, "cls").select("doc", "cls"))
-    sets = _sets_of(docs, wanted, words)
-    sketches = checkpoint(sets.select("cls", "n", "bits"))
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        return keep.by_bits(keep.by_keys(pairs, sketches.select("cls", "n")), sketches)
-
-    near = checkpoint(keep.by_bits(near, sketches))
-    comp = _link_groups(near, hot, _Verifier(sets, num, den), possible)
+    first = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
+    members = _members(found, num, den)
+    tasks = tasks_for(members.count())
+    wanted = checkpoint(first.join(members.select("cls").distinct(), "cls", "left_semi")
+                        .select("doc", "cls").coalesce(tasks))
+    confirm = _Confirm(_sets_of(docs, wanted, words), num, den, tasks)
+    comp = minhash.link_buckets(members.coalesce(tasks), confirm)
     # Components of classes -> smallest document of any member class.
-    named = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left") \
-        .select("cls", "doc", F.coalesce("root", "cls").alias("root"))
+    named = checkpoint(first.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
+                       .select("cls", "doc", F.coalesce("root", "cls").alias("root")))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
     label = named.join(least, "root").select("cls", "component_id")
     return rows.join(label, "cls", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"))
+        F.coalesce("component_id", "doc").alias("component_id"))

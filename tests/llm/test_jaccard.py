@@ -181,3 +181,32 @@ def test_sketch_is_a_lower_bound():
         if len(x) == len(y):
             apart = sum(bin(int(v)).count("1") for v in x ^ y)
             assert apart <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_groups_make_no_pairs():
+    """A block's links stay one per class and component: rows for 300 near copies that all
+    meet one another do not grow with the square of the group."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ferrolake.llm import minhash
+    rnd = np.random.default_rng(9)
+    base = rnd.integers(1, 2 ** 62, 200).astype(np.uint64)
+    sets = [np.sort(np.concatenate([base, rnd.integers(1, 2 ** 62, i % 5).astype(np.uint64)]))
+            for i in range(300)]
+    lens = np.array([len(s) for s in sets])
+    bits = [jaccard.sketch(s) for s in sets]
+    offsets = lambda rows: pa.array(np.r_[0, np.cumsum([len(r) for r in rows])].astype(np.int32))
+    column = lambda rows: pa.ListArray.from_arrays(
+        offsets(rows), pa.array(np.concatenate(rows).view(np.int64)))
+    cls = np.arange(300)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(300, np.int64)), pa.array(np.zeros(300, np.int32)), pa.array(np.zeros(300, np.int32)),
+         pa.array(cls >= 150), pa.array(cls), pa.array(np.where(cls < 150, 0, cls)), pa.array(lens),
+         column(bits), column(sets)],
+        names=["grp", "i", "j", "outer", "cls", "root", "n", "bits", "grams"])
+    most = lambda n, others: (n + others) // 7
+    links = pa.Table.from_batches(list(minhash._blocks([batch], 3, 4, most)))
+    assert links.num_rows == 150
+    kept = pa.Table.from_batches(list(minhash._blocks([batch], 3, 4, most, sift=True)))
+    assert sorted(kept["cls"].to_pylist()) == list(range(300))
