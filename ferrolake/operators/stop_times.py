@@ -156,12 +156,19 @@ def shape_flags(facts: DataFrame) -> DataFrame:
     return facts.groupBy("dataset_id").agg(F.max("has_shape").alias("feed_has_shape"))
 
 
+def feed_shape_flags(stop_times: DataFrame) -> DataFrame:
+    """``shape_flags`` read from stop_times: a partial aggregate of one narrow scan,
+    for callers that keep no per-trip facts to read a second time."""
+    return (prepare_stop_times(stop_times).groupBy("dataset_id")
+            .agg(F.max(F.col("shape").isNotNull()).alias("feed_has_shape")))
+
+
 def trip_distances(facts: DataFrame, flags: DataFrame) -> DataFrame:
     """Pick the distance source per feed: shape distances for *every* trip of a
     feed in which any stop_time has one, stop coordinates otherwise. ``flags``
-    has one row per feed; AQE broadcasts it from its measured size."""
-    flag = flags
-    return (facts.join(flag, "dataset_id")
+    has one row per feed and is broadcast: a shuffle on the feed would put each
+    feed's facts into one task and lose their partitioning by trip."""
+    return (facts.join(F.broadcast(flags), "dataset_id")
             .withColumn("distance_km", F.when(F.col("feed_has_shape"), F.col("shape_km"))
                         .otherwise(F.col("geo_km")))
             .drop("feed_has_shape", "shape_km", "geo_km", "has_shape"))

@@ -21,8 +21,8 @@ from ..functions import (active_days, country_of_name, country_of_point, day_nig
                          traction, train_class, weekly_frequency)
 from ..functions.classify import DAYS
 from ..sources.driver_views import Feed
-from .stop_times import (TRIP_KEY, join_keys, numeric, one_per_stop, shape_flags, trip_distances,
-                         trip_facts)
+from .stop_times import (TRIP_KEY, feed_shape_flags, join_keys, numeric, one_per_stop, shape_flags,
+                         trip_distances, trip_facts)
 
 # Fixed values (the summary's columns, in its order).
 SUMMARY_COLUMNS = [
@@ -97,12 +97,14 @@ def trip_rows(feed: Feed, facts: DataFrame | None = None) -> DataFrame:
     """Enriched trips ⋈ per-trip facts (trips without stop_times vanish),
     before frequency and de-duplication; one row per trip × calendar match.
 
-    The per-trip facts feed both the join and the feed-level shape flag, so
-    they are persisted (MEMORY_AND_DISK): stop_times is scanned and shuffled
-    once."""
-    if facts is None:  # otherwise the caller owns (and caches) the facts
-        facts = trip_facts(feed.stop_times, feed.stops).persist(StorageLevel.MEMORY_AND_DISK)
-    return enrich_trips(feed).join(trip_distances(facts, shape_flags(facts)), TRIP_KEY, "inner")
+    Facts that the caller keeps (and caches) give the feed-level shape flag too.
+    Otherwise it comes from a narrow scan of stop_times, so that the facts have one
+    reader, the join on the key they are partitioned by, and need no copy."""
+    if facts is None:
+        facts, flags = trip_facts(feed.stop_times, feed.stops), feed_shape_flags(feed.stop_times)
+    else:
+        flags = shape_flags(facts)
+    return enrich_trips(feed).join(trip_distances(facts, flags), TRIP_KEY, "inner")
 
 
 def pattern_departures(rows: DataFrame) -> DataFrame:
@@ -119,7 +121,9 @@ def first_per_trip(rows: DataFrame) -> DataFrame:
     on the trip, so de-duplicating first keeps exactly the rows the source keeps."""
     w = Window.partitionBy(*TRIP_KEY).orderBy(
         "file_row", "cal_row", *[F.col(d) for d in DAY_COLUMNS])
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    # A row without one before it. (A row number would be cut to the first row before
+    # the exchange too, by one more sort of all rows, and a trip has few rows.)
+    return rows.withColumn("_one", F.lag(F.lit(1)).over(w)).where("_one IS NULL").drop("_one")
 
 
 def classify(rows: DataFrame, stops: DataFrame) -> DataFrame:
@@ -136,6 +140,7 @@ def classify(rows: DataFrame, stops: DataFrame) -> DataFrame:
     r = r.withColumn("traction", traction("route_name", "agency_name", "train_type"))
     r = r.withColumn("_factor", emission_factor("train_type", "traction"))
     cal = {d: F.col(d) for d in DAY_COLUMNS}
+    days = F.col("active_days") if "active_days" in rows.columns else active_days(cal)
     return r.select(
         "dataset_id", "trip_id", "agency_name", "route_name", "train_type",
         F.when(F.col("departure_time").isNull() | (F.col("departure_time") == ""),
@@ -148,7 +153,7 @@ def classify(rows: DataFrame, stops: DataFrame) -> DataFrame:
         round_half_up(F.col("_factor"), 2).alias("emission_gco2e_pkm"),
         round_half_up(F.col("_factor") * F.col("distance_km") / 1000, 3)
         .alias("total_emission_kgco2e"),
-        weekly_frequency(active_days(cal), F.col("departures")).alias("frequency_per_week"),
+        weekly_frequency(days, F.col("departures")).alias("frequency_per_week"),
         F.col("dataset_id").alias("source_dataset"),
         "traction",
         service_days(cal).alias("service_days"),
@@ -168,8 +173,12 @@ def trips_summary(feed: Feed, rows: DataFrame | None = None) -> DataFrame:
     if rows is None:  # otherwise the caller owns (and caches) the rows
         rows = trip_rows(feed).persist(StorageLevel.MEMORY_AND_DISK)
     counts = pattern_departures(rows)
-    firsts = first_per_trip(rows)
-    joined = (firsts.join(counts, [firsts[k].eqNullSafe(counts[k]) for k in PATTERN_KEY], "left")
-              .select(firsts["*"], counts["departures"]))
+    # One number instead of the seven day flags goes through the join.
+    firsts = first_per_trip(rows).withColumn("active_days",
+                                             active_days({d: F.col(d) for d in DAY_COLUMNS}))
+    # Only these may be null in a counted pattern.
+    same = [firsts[k].eqNullSafe(counts[k]) if k in ("route_id", "service_id")
+            else firsts[k] == counts[k] for k in PATTERN_KEY]
+    joined = firsts.join(counts, same, "left").select(firsts["*"], counts["departures"])
     out = sanitize(classify(joined, feed.stops))
     return out.select("dataset_id", *SUMMARY_COLUMNS)

@@ -25,7 +25,7 @@ from ..sources.driver_views import Feed, feed_from_driver
 class Pipeline:
     """Lazy handles on every stage for one input folder.
 
-    The fan-out points (per-trip facts, joined trip rows, staging) are persisted:
+    The fan-out points (joined trip rows, staging, facts) are persisted:
     a later query of the same pipeline reads them from Spark's cache, not from
     the files. They are re-registered on every access so that a cleared cache is
     rebuilt instead of silently bypassed; ``release`` drops them."""
@@ -45,8 +45,7 @@ class Pipeline:
 
     @cached_property
     def _rows(self) -> DataFrame:
-        _keep_cached(self._facts)
-        return trip_rows(self.feed, self._facts)
+        return trip_rows(self.feed)
 
     @cached_property
     def _summary(self) -> DataFrame:
@@ -58,7 +57,6 @@ class Pipeline:
 
     @property
     def summary(self) -> DataFrame:
-        _keep_cached(self._facts)
         _keep_cached(self._rows)
         return self._summary
 
@@ -72,10 +70,9 @@ class Pipeline:
 
 
     def release(self) -> None:
-        """Drop this pipeline's persisted tables (facts, rows, staging)."""
-        for name in ("_facts", "_rows"):
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
+        """Drop this pipeline's persisted tables (rows, staging, facts)."""
+        if "_rows" in self.__dict__:
+            self._rows.unpersist()
         if "_warehouse" in self.__dict__:
             self._warehouse.release()
 

@@ -18,7 +18,7 @@ from ..functions import (clean_country, country_of_name, country_of_point, day_n
 from ..operators import reports as R
 from ..operators import warehouse as W
 from ..operators.quality import country_offenders, sanitize, sanitize_report, validate_rows
-from ..operators.stop_times import (TRIP_KEY, prepare_stop_times, shape_falls, shape_flags,
+from ..operators.stop_times import (TRIP_KEY, feed_shape_flags, prepare_stop_times, shape_falls,
                                     stop_coordinates)
 from ..operators.trips import SUMMARY_COLUMNS, classify, enrich_trips, first_per_trip
 from ..sources.countries import COUNTRIES, country_seed
@@ -176,6 +176,12 @@ def _facts(spark, sf_dir):
     return _p(spark, sf_dir)._facts
 
 
+def _facts_by_flag(spark, sf_dir):
+    flag = feed_shape_flags(_p(spark, sf_dir).feed.stop_times)
+    flag = flag.withColumnRenamed("feed_has_shape", "f")
+    return _facts(spark, sf_dir).join(F.broadcast(flag), "dataset_id")
+
+
 @register("trip_endpoints", O.with_pipeline(
     """SELECT dataset_id, trip_id, origin_stop_id, destination_stop_id, departure_time,
     arrival_time FROM pt2"""))
@@ -194,18 +200,14 @@ def q_trip_duration(spark, sf_dir):
     """SELECT dataset_id, trip_id, shape_km FROM pt2 JOIN feedflag USING (dataset_id)
     WHERE f"""))
 def q_trip_distance_shape(spark, sf_dir):
-    f = _facts(spark, sf_dir)
-    flag = shape_flags(f).withColumnRenamed("feed_has_shape", "f")
-    return f.join(flag, "dataset_id").where("f").select(*TRIP_KEY, "shape_km")
+    return _facts_by_flag(spark, sf_dir).where("f").select(*TRIP_KEY, "shape_km")
 
 
 @register("trip_distance_geo", O.with_pipeline(
     """SELECT dataset_id, trip_id, geo_km FROM pt2 JOIN feedflag USING (dataset_id)
     WHERE NOT f"""))
 def q_trip_distance_geo(spark, sf_dir):
-    f = _facts(spark, sf_dir)
-    flag = shape_flags(f).withColumnRenamed("feed_has_shape", "f")
-    return f.join(flag, "dataset_id").where("NOT f").select(*TRIP_KEY, "geo_km")
+    return _facts_by_flag(spark, sf_dir).where("NOT f").select(*TRIP_KEY, "geo_km")
 
 
 # --- trip summary stages --------------------------------------------------------

@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from ferrolake.operators.stop_times import shape_flags, trip_distances, trip_facts
+from ferrolake.operators.stop_times import feed_shape_flags, shape_flags, trip_distances, trip_facts
 from ferrolake.operators.trips import trips_summary
 from ferrolake.operators.warehouse import load_warehouse
 from ferrolake.plans.pipeline import Pipeline
@@ -98,6 +98,20 @@ def mini_feed(spark, days="11111", count=5, extra_trip_without_times=True):
     return Feed(stops, agency, routes, cal, trips, st)
 
 
+def test_feed_flags_from_stop_times(spark):
+    """The flags read from stop_times are those of the per-trip facts: a fall, text that
+    is no number, a blank trip id and a feed without shapes included."""
+    rows = [("a", "1", "S1", "1", "5", 1), ("a", "1", "S2", "2", "3", 2), ("b", "1", "S1", "1", "x", 1),
+            ("b", " ", "S1", "1", "7", 2), ("c", "2", "S1", "1", None, 1)]
+    st = spark.createDataFrame(rows, "dataset_id string, trip_id string, stop_id string, stop_sequence string, "
+                                     "shape_dist_traveled string, file_row long")
+    st = st.withColumns({"departure_time": F.lit("10:00:00"), "arrival_time": F.lit("10:00:00")})
+    stops = spark.createDataFrame([("S1", "A", "48", "2", 1), ("S2", "B", "47", "2", 2)], STOPS + ", file_row long")
+    read = {r["dataset_id"]: r["feed_has_shape"] for r in feed_shape_flags(st).collect()}
+    assert read == {"a": True, "b": False, "c": False}
+    assert read == {r["dataset_id"]: r["feed_has_shape"] for r in shape_flags(trip_facts(st, stops)).collect()}
+
+
 def test_mini_trip_frequency_and_summary(spark):
     s = trips_summary(mini_feed(spark)).collect()
     assert len(s) == 5  # the trip without stop_times vanishes

@@ -7,8 +7,11 @@ import re
 import pytest
 
 from ferrolake.operators.reports import search_predicate
+from ferrolake.operators.stop_times import shape_flags, trip_distances
+from ferrolake.operators.trips import DAY_COLUMNS, first_per_trip
 from ferrolake.plans.pipeline import Pipeline
 from ferrolake.plans.queries import QUERIES
+from ferrolake.session import SCALE_CONF
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +70,24 @@ def test_no_fact_exchange_on_a_country(spark):
 
 def test_overview_has_no_expand(spark):
     assert "Expand" not in formatted(QUERIES["overview"](spark, SF)).split("InMemoryTableScan")[0]
+
+
+def test_facts_are_not_shuffled_by_feed(spark):
+    """The flags (one row per feed) are the broadcast side however large the facts are."""
+    facts = spark.sql("SELECT 'a' AS dataset_id, 't' AS trip_id, true AS has_shape, 1D AS shape_km, 2D AS geo_km")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = formatted(trip_distances(facts, shape_flags(facts)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", SCALE_CONF["spark.sql.autoBroadcastJoinThreshold"])
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_first_per_trip_sorts_once(spark):
+    """No cut to the first row before the exchange, which would sort all rows twice."""
+    rows = spark.range(9).selectExpr(
+        "'a' AS dataset_id", "CAST(id % 3 AS STRING) AS trip_id", "id AS file_row", "0 AS cal_row",
+        *[f"'1' AS {d}" for d in DAY_COLUMNS])
+    first = first_per_trip(rows)
+    assert "WindowGroupLimit" not in formatted(first)
+    assert sorted(r["file_row"] for r in first.collect()) == [0, 1, 2]
