@@ -213,8 +213,20 @@ def build_fact(staging: DataFrame) -> DataFrame:
     Equivalent to staging ⋈ dataset, trip ⟕ the other nine dimensions, since
     every dimension is built from the same staging rows; the location key is
     null-safe on the country (``<=>``)."""
+    return with_fact_keys(fact_rows(staging))
+
+
+def fact_rows(staging: DataFrame) -> DataFrame:
+    """The facts without their surrogate keys: what a load moves and keeps."""
+    return staging.select(*MEASURES, "frequency_per_week", F.col("load_id").alias("last_load_id"),
+                          F.col("loaded_at").alias("last_loaded_at"), *NATURAL_VALUES)
+
+
+def with_fact_keys(rows: DataFrame) -> DataFrame:
+    """Facts with their surrogate keys, a projection of the natural values: a reader
+    pays for the keys it uses only."""
     c = F.col
-    return staging.select(
+    return rows.select(
         sk(c("trip_id"), c("dataset_id")).alias("fact_sk"),
         sk(c("trip_id")).alias("trip_sk"),
         sk(c("dataset_id")).alias("dataset_sk"),
@@ -229,9 +241,7 @@ def build_fact(staging: DataFrame) -> DataFrame:
         sk(c("destination_country")).alias("destination_country_sk"),
         sk(c("departure_time")).alias("departure_time_sk"),
         sk(c("arrival_time")).alias("arrival_time_sk"),
-        *MEASURES, "frequency_per_week",
-        c("load_id").alias("last_load_id"), c("loaded_at").alias("last_loaded_at"),
-        *NATURAL_VALUES,
+        *MEASURES, "frequency_per_week", "last_load_id", "last_loaded_at", *NATURAL_VALUES,
     )
 
 
@@ -289,7 +299,8 @@ def newest_per_key(rows: DataFrame, keys: list, newest: list[str]) -> DataFrame:
     # Surrogate keys follow from the natural values, so they decide nothing.
     rest = [c for c in rows.columns if c not in newest and not c.endswith("_sk")]
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in [*newest, *rest]])
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    # As in ``first_per_trip``: the row without one before it, sorted after the exchange only.
+    return rows.withColumn("_one", F.lag(F.lit(1)).over(w)).where("_one IS NULL").drop("_one")
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list,
@@ -305,16 +316,12 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list,
 FACT_KEY = ["trip_id", "dataset_id"]
 
 
-def upsert_facts(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """M2 for the feeds of one load: their newest incoming rows, and the stored
-    rows of the same feeds that the load does not bring again. Only the narrow
-    key is compared; no stored row is sorted."""
-    new = newest_per_key(incoming, FACT_KEY, ["last_load_id", "last_loaded_at"])
+def upsert_facts(existing: DataFrame | None, new: DataFrame) -> DataFrame:
+    """M2: the rows of a load (one per key), and the stored rows that it does not
+    bring again. Only the narrow key is compared; no stored row is sorted."""
     if existing is None:
         return new
-    feeds = new.select("dataset_id").distinct()
-    same = existing.join(feeds, "dataset_id", "left_semi")
-    kept = same.join(new.select(*FACT_KEY), FACT_KEY, "left_anti")
+    kept = existing.join(new.select(*FACT_KEY), FACT_KEY, "left_anti")
     return new.unionByName(kept.select(*new.columns))
 
 
@@ -331,46 +338,57 @@ def insert_ignore(existing: DataFrame | None, incoming: DataFrame, keys: list[st
 @dataclass(frozen=True)
 class Warehouse:
     """``changed``: the facts of the feeds that the last load touched (all of
-    them after a first load); storage rewrites only these."""
+    them after a first load); storage rewrites only these. ``kept``: the tables that
+    are persisted (staging rows, newest fact rows of the load)."""
 
     dims: Mapping[str, DataFrame]
     fact: DataFrame
     staging: DataFrame
     changed: DataFrame | None = None
+    kept: tuple[DataFrame, ...] = ()
 
     def release(self) -> None:
         """Drop the persisted staging rows and facts."""
-        self.staging.unpersist()
-        if self.changed is not None:
-            self.changed.unpersist()
+        for table in self.kept:
+            table.unpersist()
 
 
 def load_warehouse(summary: DataFrame, load_id: int = DEFAULT_LOAD_ID,
                    loaded_at: str | _dt.datetime = DEFAULT_LOADED_AT,
-                   existing: Warehouse | None = None) -> Warehouse:
+                   existing: Warehouse | None = None,
+                   keep: tuple[str, ...] = ("staging", "facts")) -> Warehouse:
     """Entry 2 of the pipeline: summary → staging → dimensions → fact, upserted
-    into ``existing`` (dimensions on their natural key, facts on (trip, dataset))."""
+    into ``existing`` (dimensions on their natural key, facts on (trip, dataset)).
+
+    ``keep`` names the tables to persist: those that the caller reads more than once.
+    One that is read once is cheaper without a copy, as only the columns in use are
+    then computed."""
     spark = summary.sparkSession
     # Staging is the one input of all ten dimensions and of the fact: persisted
     # (the role of the staging table in the source database), so each of them
     # is a cheap aggregate over it instead of a re-run of the transform. The
     # facts are persisted after their reduction to one row per key, which every
-    # report would repeat otherwise. The caller releases both.
-    staging = stage_rows(summary, load_id, str(loaded_at)).persist(StorageLevel.MEMORY_AND_DISK)
+    # report would repeat otherwise, and before their surrogate keys, which follow
+    # from the values. The caller releases both.
+    staging = stage_rows(summary, load_id, str(loaded_at))
+    rows = newest_per_key(fact_rows(staging), FACT_KEY, ["last_load_id", "last_loaded_at"])
+    tables = {"staging": staging, "facts": rows}
+    kept = tuple(tables[k].persist(StorageLevel.MEMORY_AND_DISK) for k in keep)
     new = build_dimensions(staging, spark)
-    changed = upsert_facts(existing.fact if existing else None, build_fact(staging)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
     if existing is None:
-        return Warehouse(new, changed, staging, changed)
+        fact = with_fact_keys(rows)
+        return Warehouse(new, fact, staging, fact, kept)
 
     def merged(k: str) -> DataFrame:
         return upsert(existing.dims[k], new[k], [key_of(c) for c in DIM_KEYS[k][1]], ["load_id"])
 
     dims = LazyTables({k: (lambda k=k: merged(k)) for k in DIM_KEYS})
+    # A key names its feed, so the stored rows of untouched feeds stay by the same rule.
+    stored = existing.fact.select(*rows.columns)
     feeds = staging.select("dataset_id").distinct()
-    fact = changed.unionByName(existing.fact.join(feeds, "dataset_id", "left_anti")
-                               .select(*changed.columns))
-    return Warehouse(dims, fact, staging, changed)
+    changed = upsert_facts(stored.join(feeds, "dataset_id", "left_semi"), rows)
+    return Warehouse(dims, with_fact_keys(upsert_facts(stored, rows)), staging,
+                     with_fact_keys(changed), kept)
 
 
 def materialize(wh: Warehouse, eager: bool = True) -> Warehouse:
@@ -379,4 +397,4 @@ def materialize(wh: Warehouse, eager: bool = True) -> Warehouse:
     recomputing the whole pipeline, and lost executors cost no recomputation."""
     return replace(wh, fact=wh.fact.checkpoint(eager),
                    dims={k: wh.dims[k].checkpoint(eager) for k in wh.dims},
-                   staging=wh.staging.checkpoint(eager), changed=None)
+                   staging=wh.staging.checkpoint(eager), changed=None, kept=())

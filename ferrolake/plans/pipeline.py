@@ -60,12 +60,25 @@ class Pipeline:
         _keep_cached(self._rows)
         return self._summary
 
+    @cached_property
+    def _fact_warehouse(self) -> Warehouse:
+        return load_warehouse(self.summary, self.load_id, self.loaded_at, keep=("facts",))
+
+    @property
+    def fact_warehouse(self) -> Warehouse:
+        """``warehouse`` for reports on facts alone: the staging rows, which feed the
+        dimensions, get no copy of their own (the facts are the same cached table)."""
+        _ = self.summary
+        for table in self._fact_warehouse.kept:
+            _keep_cached(table)
+        return self._fact_warehouse
+
     @property
     def warehouse(self) -> Warehouse:
         _ = self.summary
         wh = self._warehouse
-        _keep_cached(wh.staging)
-        _keep_cached(wh.changed)
+        for table in wh.kept:
+            _keep_cached(table)
         return wh
 
 
@@ -73,8 +86,9 @@ class Pipeline:
         """Drop this pipeline's persisted tables (rows, staging, facts)."""
         if "_rows" in self.__dict__:
             self._rows.unpersist()
-        if "_warehouse" in self.__dict__:
-            self._warehouse.release()
+        for name in ("_warehouse", "_fact_warehouse"):
+            if name in self.__dict__:
+                self.__dict__[name].release()
 
 
 def _keep_cached(df: DataFrame) -> None:

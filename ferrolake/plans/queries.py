@@ -536,7 +536,7 @@ SUM = O.sum2
     {AVG('duration_h')} AS avg_duration_h, {AVG('emission_gco2e_pkm')} AS avg_emission_per_km
     FROM fact"""))
 def q_overview(spark, sf_dir):
-    return R.overview(_p(spark, sf_dir).warehouse)
+    return R.overview(_p(spark, sf_dir).fact_warehouse)
 
 
 BY_COUNTRY_SQL = f"""SELECT coalesce(origin_country, 'UNKNOWN') AS country,
@@ -550,7 +550,7 @@ BY_COUNTRY_SQL = f"""SELECT coalesce(origin_country, 'UNKNOWN') AS country,
 @register("by_country", O.with_warehouse(
     f"{BY_COUNTRY_SQL} ORDER BY trip_count DESC, country, country_name LIMIT 20"))
 def q_by_country(spark, sf_dir):
-    return R.by_country(_p(spark, sf_dir).warehouse)
+    return R.by_country(_p(spark, sf_dir).fact_warehouse)
 
 
 BY_TRAIN_SQL = f"""SELECT coalesce(train_type, 'Unknown') AS train_type,
@@ -561,7 +561,7 @@ BY_TRAIN_SQL = f"""SELECT coalesce(train_type, 'Unknown') AS train_type,
 
 @register("by_train_type", O.with_warehouse(BY_TRAIN_SQL))
 def q_by_train_type(spark, sf_dir):
-    return R.by_train_type(_p(spark, sf_dir).warehouse)
+    return R.by_train_type(_p(spark, sf_dir).fact_warehouse)
 
 
 BY_TRACTION_SQL = f"""SELECT coalesce(traction, 'Unknown') AS traction,
@@ -571,7 +571,7 @@ BY_TRACTION_SQL = f"""SELECT coalesce(traction, 'Unknown') AS traction,
 
 @register("by_traction", O.with_warehouse(BY_TRACTION_SQL))
 def q_by_traction(spark, sf_dir):
-    return R.by_traction(_p(spark, sf_dir).warehouse)
+    return R.by_traction(_p(spark, sf_dir).fact_warehouse)
 
 
 @register("by_agency", O.with_warehouse(
@@ -601,12 +601,12 @@ LABEL_SQL = """CASE WHEN upper(coalesce(service_type, '')) = 'JOUR' THEN 'Jour'
     f"""SELECT {LABEL_SQL} AS service_type, count(DISTINCT trip_id) AS trip_count
     FROM fact GROUP BY 1"""))
 def q_by_service_type(spark, sf_dir):
-    return R.by_service_type(_p(spark, sf_dir).warehouse)
+    return R.by_service_type(_p(spark, sf_dir).fact_warehouse)
 
 
 @register("fact_count", O.with_warehouse("SELECT count(*) AS count FROM fact"))
 def q_fact_count(spark, sf_dir):
-    return R.fact_count(_p(spark, sf_dir).warehouse)
+    return R.fact_count(_p(spark, sf_dir).fact_warehouse)
 
 
 @register("load_counts", O.with_warehouse(
@@ -698,7 +698,7 @@ UNION ALL
 (SELECT 'Traction la plus émissive', traction, avg_emission_per_km FROM bx
  ORDER BY avg_emission_per_km DESC, traction LIMIT 1)""")
 def q_spotlight(spark, sf_dir):
-    return R.spotlight(_p(spark, sf_dir).warehouse)
+    return R.spotlight(_p(spark, sf_dir).fact_warehouse)
 
 
 @register("top_countries", f"""WITH {O.warehouse_ctes()},
@@ -708,7 +708,7 @@ bc AS ({BY_COUNTRY_SQL}), bt AS ({BY_TRAIN_SQL})
 UNION ALL
 (SELECT 'train_type', train_type, trip_count FROM bt ORDER BY trip_count DESC, train_type LIMIT 8)""")
 def q_top_countries(spark, sf_dir):
-    return R.top_countries(_p(spark, sf_dir).warehouse)
+    return R.top_countries(_p(spark, sf_dir).fact_warehouse)
 
 
 @register("stops_per_country", O.with_pipeline(

@@ -74,7 +74,8 @@ def test_overview_has_no_expand(spark):
 
 def test_facts_are_not_shuffled_by_feed(spark):
     """The flags (one row per feed) are the broadcast side however large the facts are."""
-    facts = spark.sql("SELECT 'a' AS dataset_id, 't' AS trip_id, true AS has_shape, 1D AS shape_km, 2D AS geo_km")
+    facts = spark.range(4).selectExpr("CAST(id % 2 AS STRING) AS dataset_id", "CAST(id AS STRING) AS trip_id",
+                                      "id > 2 AS has_shape", "1D AS shape_km", "2D AS geo_km")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = formatted(trip_distances(facts, shape_flags(facts)))
@@ -91,3 +92,19 @@ def test_first_per_trip_sorts_once(spark):
     first = first_per_trip(rows)
     assert "WindowGroupLimit" not in formatted(first)
     assert sorted(r["file_row"] for r in first.collect()) == [0, 1, 2]
+
+
+def test_reports_on_facts_keep_narrow_facts_only(spark):
+    """Neither the staging rows nor the surrogate keys are copied for a report on facts."""
+    p = Pipeline(spark, SF)
+    (facts,) = p.fact_warehouse.kept
+    assert not [c for c in facts.columns if c.endswith("_sk")]
+    assert facts.is_cached and not p.fact_warehouse.staging.is_cached
+    assert "xxhash64" not in formatted(QUERIES["top_countries"](spark, SF))
+    p.release()
+
+
+def test_search_facts_are_kept_without_keys(spark):
+    p = Pipeline(spark, SF)
+    assert not [c for t in p.warehouse.kept for c in t.columns if c.endswith("_sk")]
+    p.release()
