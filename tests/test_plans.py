@@ -10,7 +10,7 @@ from ferrolake.operators.reports import search_predicate
 from ferrolake.operators.stop_times import shape_flags, trip_distances
 from ferrolake.operators.trips import DAY_COLUMNS, first_per_trip
 from ferrolake.plans.pipeline import Pipeline
-from ferrolake.plans.queries import QUERIES
+from ferrolake.plans.queries import QUERIES, _two_loads
 from ferrolake.session import SCALE_CONF
 
 SF = "/root/testdata/sf0.001"
@@ -108,3 +108,13 @@ def test_search_facts_are_kept_without_keys(spark):
     p = Pipeline(spark, SF)
     assert not [c for t in p.warehouse.kept for c in t.columns if c.endswith("_sk")]
     p.release()
+
+
+def test_upserted_dimension_keeps_no_staging(spark):
+    wh = _two_loads(spark, SF)
+    assert wh.kept == () and not wh.staging.is_cached
+
+
+def test_upsert_fact_derives_the_sent_rows_once(spark):
+    plan = QUERIES["upsert_fact"](spark, SF)._jdf.queryExecution().analyzed().toString()
+    assert "explode(array(1, 2))" in plan
