@@ -88,11 +88,21 @@ def route_title(short: Column, long: Column, origin_name: Column, dest_name: Col
     Placeholder or empty names → "origin - destination"; both names set → the
     short one; otherwise whichever is set. Nulls count as empty.
     """
+    return title_or_ends(named_title(short, long), origin_name, dest_name)
+
+
+def title_or_ends(named: Column, origin_name: Column, dest_name: Column) -> Column:
+    """``named_title`` where the route has one, else "origin - destination"."""
+    return F.coalesce(named, F.concat(origin_name, F.lit(" - "), dest_name))
+
+
+def named_title(short: Column, long: Column) -> Column:
+    """The title that the route's own names give, null where its stops give it."""
     s = strip(F.coalesce(short, F.lit("")))
     lg = strip(F.coalesce(long, F.lit("")))
     ph_s, ph_l = s.startswith(TITLE_PLACEHOLDER), lg.startswith(TITLE_PLACEHOLDER)
     use_stops = (ph_s & ph_l) | ((s == "") & ph_l) | ((lg == "") & ph_s) | ((s == "") & (lg == ""))
-    return (F.when(use_stops, F.concat(origin_name, F.lit(" - "), dest_name))
+    return (F.when(use_stops, F.lit(None).cast("string"))
             .when((s != "") & (lg != ""), s)
             .otherwise(F.when(lg != "", lg).otherwise(s)))
 

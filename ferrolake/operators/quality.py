@@ -81,7 +81,9 @@ def reject_reason(df: DataFrame) -> Column:
         msg = F.lit(f"Missing or invalid {f}")
         expr = F.when(cond, msg) if expr is None else expr.when(cond, msg)
     d = F.col("distance_km")
-    num = to_number(d)
+    # A double needs no way through text: all but NaN and the infinities read back as they are.
+    num = (F.when(F.abs(d) < float("inf"), d) if dict(df.dtypes)["distance_km"] == "double"
+           else to_number(d))
     return (expr.when(d.isNotNull() & num.isNull(), F.lit("distance_km not numeric"))
             .when(num < 0, F.concat(F.lit("distance_km out of range: "), num.cast("string"))))
 

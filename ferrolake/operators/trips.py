@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (active_days, country_of_name, country_of_point, day_night,
-                         emission_factor, round_half_up, route_title, service_days, strip,
-                         traction, train_class, weekly_frequency)
+                         emission_factor, named_title, round_half_up, route_title, service_days,
+                         strip, title_or_ends, traction, train_class, weekly_frequency)
 from ..functions.classify import DAYS
 from ..sources.driver_views import Feed
 from .stop_times import (TRIP_KEY, feed_shape_flags, join_keys, numeric, one_per_stop, shape_flags,
@@ -132,8 +132,9 @@ def classify(rows: DataFrame, stops: DataFrame) -> DataFrame:
     labels = stop_labels(stops)
     r = _endpoint(_endpoint(rows, labels, "origin"), labels, "destination")
     dur_h = F.col("duration_min") / 60.0
-    title = route_title(F.col("route_short_name"), F.col("route_long_name"),
-                        F.col("origin_stop_name"), F.col("destination_stop_name"))
+    ends = F.col("origin_stop_name"), F.col("destination_stop_name")
+    title = title_or_ends(F.col("named_title"), *ends) if "named_title" in rows.columns else \
+        route_title(F.col("route_short_name"), F.col("route_long_name"), *ends)
     r = r.withColumns({"duration_hours": dur_h, "route_name": title})
     r = r.withColumn("train_type", train_class("route_type", "route_name", "agency_name",
                                                "distance_km", "duration_hours"))
@@ -173,9 +174,11 @@ def trips_summary(feed: Feed, rows: DataFrame | None = None) -> DataFrame:
     if rows is None:  # otherwise the caller owns (and caches) the rows
         rows = trip_rows(feed).persist(StorageLevel.MEMORY_AND_DISK)
     counts = pattern_departures(rows)
-    # One number instead of the seven day flags goes through the join.
-    firsts = first_per_trip(rows).withColumn("active_days",
-                                             active_days({d: F.col(d) for d in DAY_COLUMNS}))
+    # One number instead of the seven day flags goes through the join, and one title
+    # instead of two names; the checks of the title then do not derive it again.
+    firsts = first_per_trip(rows).withColumns({
+        "active_days": active_days({d: F.col(d) for d in DAY_COLUMNS}),
+        "named_title": named_title(F.col("route_short_name"), F.col("route_long_name"))})
     # Only these may be null in a counted pattern.
     same = [firsts[k].eqNullSafe(counts[k]) if k in ("route_id", "service_id")
             else firsts[k] == counts[k] for k in PATTERN_KEY]

@@ -5,7 +5,9 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from ferrolake.operators.quality import reject_reason
 from ferrolake.operators.reports import search_predicate
 from ferrolake.operators.stop_times import shape_flags, trip_distances
 from ferrolake.operators.trips import DAY_COLUMNS, first_per_trip
@@ -94,6 +96,13 @@ def test_first_per_trip_sorts_once(spark):
     assert sorted(r["file_row"] for r in first.collect()) == [0, 1, 2]
 
 
+def test_summary_join_carries_a_title_not_two_names(spark):
+    plan = Pipeline(spark, SF).summary._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.split("Join LeftOuter")[-1]  # the pattern join lies lowest
+    head = join.split("Window")[0]
+    assert "named_title" in head and "active_days" in head
+
+
 def test_reports_on_facts_keep_narrow_facts_only(spark):
     """Neither the staging rows nor the surrogate keys are copied for a report on facts."""
     p = Pipeline(spark, SF)
@@ -118,3 +127,15 @@ def test_upserted_dimension_keeps_no_staging(spark):
 def test_upsert_fact_derives_the_sent_rows_once(spark):
     plan = QUERIES["upsert_fact"](spark, SF)._jdf.queryExecution().analyzed().toString()
     assert "explode(array(1, 2))" in plan
+
+
+def test_double_distances_are_judged_without_text(spark):
+    row = ["'t' AS trip_id", "'a' AS agency_name", "'r' AS route_name", "'o' AS origin_stop_name",
+           "'d' AS destination_stop_name"]
+    df = spark.sql("SELECT inline(array(struct(1, -1D), struct(2, 0D), struct(3, double('NaN')), struct(4, CAST(NULL AS DOUBLE)), "
+                   "struct(5, double('-Infinity')), struct(6, -1e-9D))) AS (id, distance_km)").selectExpr("*", *row)
+    text = df.withColumn("distance_km", F.col("distance_km").cast("string"))
+    got = dict(df.select("id", reject_reason(df)).collect())
+    assert got == dict(text.select("id", reject_reason(text)).collect())
+    assert got[1] == "distance_km out of range: -1.0" and got[2] is None and got[3] == "distance_km not numeric"
+    assert "RLIKE" not in formatted(df.select(reject_reason(df)))
