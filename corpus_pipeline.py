@@ -53,8 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, token_ids, n_tokens, exact): the tokens of each document,
     and whether they decode to its text again."""
-    coded = bpe.encode_documents(docs, VOCABULARY, public_tokenizers.PATTERN)
-    back = bpe.decode_documents(coded, VOCABULARY)
+    back = bpe.encode_documents(docs, VOCABULARY, public_tokenizers.PATTERN, decoded="decoded")
     return back.select("doc_id", "lang", "source", "token_ids",
                        F.size("token_ids").cast("long").alias("n_tokens"),
                        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary"))

@@ -23,32 +23,44 @@ import base64
 import functools
 import heapq
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
-from .common import distinct, flatten, starts_of, worker_state
+from .common import distinct, flatten, starts_of, tidy, worker_state
 
 #: Known chunks kept per worker before the cache starts anew.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 300_000
 #: Ranks handled together; within a block each word still merges in rank order.
 RANK_BLOCK = 512
 #: Token ids decoded at once inside a task.
 CHUNK_IDS = 500_000
-#: Characters of text encoded at once inside a task.
-CHUNK_CHARS = 1_500_000
+#: Bytes of text encoded at once inside a task.
+CHUNK_BYTES = 1_500_000
 
 
 # A blank or line end after white space that no other character follows.
 _INSIDE = re.compile(r"\s[ \n](?!\S)").search
-_CUT = re.compile(r"(?=[ \n])").split
+# Bytes that may begin a white-space character, and those that may end one.
+_SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_BEGINS, _ENDS = _SPACE | np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3]), _SPACE.copy()
+_ENDS[0x80:] = True
+
+
+def _slices(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes cut at ``starts`` (the first is 0), as one binary array."""
+    offsets = np.append(starts, len(values)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts),
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(values)])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -121,16 +133,33 @@ class Merges:
         self.risky[left[self.made < left]] = True
         self.risky[right[self.made < right]] = True
         lens = np.fromiter(map(len, self.tokens), np.int64, self.size)
-        self.token_len, self.token_at = lens, starts_of(lens)[:-1]
-        self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.token_len = lens
+        self.table = pa.array(self.tokens, pa.binary())
+        # A pair's slot names its key; keys that share a slot are searched for.
+        self.bits = max(1, (4 * len(self.keys)).bit_length())
+        at = self._slot(self.keys)
+        self.slot = np.full(1 << self.bits, -1, np.int32)
+        self.slot[at] = np.arange(len(at), dtype=np.int32)
+        self.crowded = np.bincount(at, minlength=1 << self.bits) > 1
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank made by each pair of token ids; -1 where they do not merge."""
         if not len(self.keys):
             return np.full(len(a), -1, np.int64)
         k = a * self.size + b
-        i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
-        return np.where(self.keys[i] == k, self.made[i], -1)
+        at = self._slot(k)
+        i = self.slot[at]
+        out = np.where((i >= 0) & (self.keys[i] == k), self.made[i], -1)
+        rest = np.flatnonzero((out < 0) & self.crowded[at])
+        if len(rest):
+            k = k[rest]
+            i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+            out[rest] = np.where(self.keys[i] == k, self.made[i], -1)
+        return out
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        odd = np.uint64(0x9E3779B97F4A7C15)
+        return (key.view(np.uint64) * odd >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def replay(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids per piece) of distinct non-empty pieces."""
@@ -213,19 +242,44 @@ class Merges:
             enter(distinct(np.concatenate([now, before[before >= 0]])))
         return sym[alive], np.bincount(word[alive], minlength=len(pieces))
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
+    def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the concatenated tokens."""
-        return self.token_bytes[flatten(self.token_at[ids], self.token_len[ids])]
+        return self.decode_lists(ids, np.array([0, len(ids)]))[0].as_py()
+
+    def decode_lists(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+        """The same for each of several lists; ``starts``: where they begin, and the end."""
+        found = self.table.take(pa.array(ids))
+        _, offsets, raw = found.buffers()
+        at = np.frombuffer(offsets, np.int32)[starts]
+        return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(at), raw])
+
+    def texts(self, ids: pa.Array):
+        """The bytes that the lists of an array decode to, in arrays of bounded size."""
+        ends = starts_of(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                         .astype(np.int64))
+        flat, i = ids.flatten(), 0
+        if flat.null_count:
+            raise ValueError("a list of token ids holds a null")
+        flat = flat.to_numpy()
+        while i < len(ids) or not i:
+            j = min(max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK_IDS)) - 1), len(ids))
+            out = self.decode_lists(flat[ends[i]:ends[j]], ends[i:j + 1] - ends[i])
+            null = ids.slice(i, j - i).is_null()
+            yield pc.if_else(null, pa.scalar(None, pa.binary()), out) if ids.null_count else out
+            i = max(j, 1)
 
 
 class Encoder:
-    """Encodes lists of texts; keeps the ids of chunks and pieces it has met.
+    """Encodes arrays of texts; keeps the ids of chunks it has met.
 
     Under ``public_tokenizers.PATTERN`` a text is cut before every blank and line
     end into chunks (" word,"). Its matches do not cross such a cut unless white
     space stands before it and white space or the end after it, so a chunk's ids
     can be kept and reused; texts with such places are matched as a whole, and
     so are all texts under other patterns.
+
+    Texts stay one run of bytes: numpy finds the cuts, Arrow the distinct chunks
+    of a batch; only those become Python objects.
     """
 
     def __init__(self, merges: Merges, pattern: str, foreign: str | None = None):
@@ -235,13 +289,13 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code: dict[bytes, int] = {}
         self.ids, self.lens = np.empty(0, np.int32), np.empty(0, np.int64)
 
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _pieces(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids per piece) of distinct pieces."""
-        raw = [p.encode() for p in pieces]
-        whole = np.array([self.merges.ranks.get(b, -1) for b in raw], np.int64)
+        get = self.merges.ranks.get
+        whole = np.fromiter((get(b, -1) for b in raw), np.int64, len(raw))
         split = whole < 0  # a piece that is a token is that token
         flat, lens = self.merges.replay([b for b, s in zip(raw, split.tolist()) if s])
         n = np.ones(len(raw), np.int64)
@@ -252,50 +306,107 @@ class Encoder:
         out[flatten(at[split], lens)] = flat
         return out, n
 
-    def _learn(self, chunks: list[str]) -> None:
-        joined = np.frombuffer("".join(chunks).encode(), np.uint8)
-        # Without a byte from 0xD5 up there is no code point above U+053F,
-        # below which both libraries' tables agree.
-        find = self.find if len(joined) and joined.max() >= 0xD5 else self.find.plain
-        found = [find(c) for c in chunks]
-        number = {p: i for i, p in enumerate(dict.fromkeys(chain.from_iterable(found)))}
-        flat, lens = self._pieces(list(number))
+    def _joinable(self, joined: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Chunks (from ``at`` on) that can be matched in one text: a blank or line end,
+        then no white space, so no match crosses where they begin. All their code points
+        are below U+0540, where both libraries' tables of letters agree."""
+        if not self.cuts:
+            return np.zeros(len(at) - 1, bool)
+        begin, size = at[:-1], np.diff(at)
+        first, second = joined[begin], joined[np.minimum(begin + 1, len(joined) - 1)]
+        return (size > 1) & ((first == 32) | (first == 10)) & ~_BEGINS[second] \
+            & (np.maximum.reduceat(joined, begin) < 0xD5)
+
+    def _matches(self, chunks: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """(all matches of the joinable chunks, matches per chunk)."""
+        joined = b"".join(chunks)
+        text = joined.decode()
+        chars = np.fromiter(map(len, self.find.plain(text)), np.int64)
+        joined = np.frombuffer(joined, np.uint8)
+        begin = starts_of(chars)  # in characters, then in bytes
+        if len(text) < len(joined):
+            begin = np.append(np.flatnonzero((joined & 0xC0) != 0x80), len(joined))[begin]
+        ends = starts_of(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        return _slices(joined, begin[:-1]), np.diff(np.searchsorted(begin, ends))
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        at = starts_of(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        together = self._joinable(np.frombuffer(b"".join(chunks), np.uint8), at)
+        alone = [c for c, j in zip(chunks, together.tolist()) if not j]
+        joint = [c for c, j in zip(chunks, together.tolist()) if j]
+        found = [self.find(c.decode()) for c in alone]
+        pieces = pa.array([p.encode() for p in chain.from_iterable(found)], pa.binary())
         per = np.fromiter(map(len, found), np.int64, len(found))
-        piece = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64,
-                            int(per.sum()))
+        if joint:
+            more, each = self._matches(joint)
+            pieces, per = pa.concat_arrays([pieces, more]), np.concatenate([per, each])
+        number = pieces.dictionary_encode()
+        flat, lens = self._pieces(number.dictionary.to_pylist())
+        piece = number.indices.to_numpy()
         n = lens[piece]
         ids = flat[flatten(starts_of(lens)[:-1][piece], n)]
         base = len(self.code)
-        self.code.update(zip(chunks, range(base, base + len(chunks))))
+        self.code.update(zip(chain(alone, joint), range(base, base + len(chunks))))
         self.ids = np.concatenate([self.ids, ids])
         self.lens = np.concatenate([self.lens, np.diff(starts_of(n)[starts_of(per)])])
 
-    def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        """(flat ids, ids per text)."""
+    def _cut(self, joined: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where the chunks of the texts (from ``at`` on) begin."""
+        begins = at[:-1][at[1:] > at[:-1]]
+        if not self.cuts:
+            return begins
+        cut = (joined == 32) | (joined == 10)
+        # Where a cut may have white space on both sides the text itself is looked at.
+        blank = np.flatnonzero(cut)
+        last = np.zeros(len(joined) + 1, bool)
+        last[at] = True
+        after = _BEGINS[joined[np.minimum(blank + 1, len(joined) - 1)]] | last[blank + 1]
+        before = _ENDS[joined[np.maximum(blank - 1, 0)]] & ~last[blank]
+        for i in distinct(np.searchsorted(at, blank[after & before], "right") - 1).tolist():
+            if _INSIDE(joined[at[i]:at[i + 1]].tobytes().decode()):
+                cut[at[i]:at[i + 1]] = False
+        cut[begins] = True
+        return np.flatnonzero(cut)
+
+    def _encode(self, joined: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(joined):
+            return np.empty(0, np.int32), np.zeros(len(at) - 1, np.int64)
         if len(self.code) > CACHE_CHUNKS:
             self._clear()
-        cut = []
-        for t in texts:
-            if not t:
-                cut.append([])
-            elif not self.cuts or _INSIDE(t):
-                cut.append([t])
-            else:
-                parts = _CUT(t) if "\0" in t else \
-                    t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-                cut.append(parts if parts[0] else parts[1:])
-        fresh: set = set()
-        for c in cut:
-            fresh.update(c)
-        fresh -= self.code.keys()
+        begin = self._cut(joined, at)
+        number = _slices(joined, begin).dictionary_encode()
+        chunks = number.dictionary.to_pylist()
+        fresh = [c for c in chunks if c not in self.code]
         if fresh:
-            self._learn(list(fresh))
-        per = np.fromiter(map(len, cut), np.int64, len(cut))
-        code = np.fromiter(map(self.code.__getitem__, chain.from_iterable(cut)), np.int64,
-                           int(per.sum()))
+            self._learn(fresh)
+        code = np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))
+        code = code[number.indices.to_numpy()]
         lens = self.lens[code]
         flat = self.ids[flatten(starts_of(self.lens)[:-1][code], lens)]
-        return flat, np.diff(starts_of(lens)[starts_of(per)])
+        return flat, np.diff(starts_of(lens)[np.searchsorted(begin, at)])
+
+    def encode(self, texts: list | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, ids per text)."""
+        lists = pa.concat_arrays(list(self.lists(
+            texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))))
+        return lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+
+    def lists(self, texts: pa.Array):
+        """The lists of ids of the texts, in arrays of bounded size."""
+        if texts.null_count:
+            texts = texts.fill_null("")
+        texts = texts.cast(pa.large_binary())
+        _, offsets, data = texts.buffers()
+        at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] \
+            if len(texts) else np.zeros(1, np.int64)
+        data = np.frombuffer(data or b"", np.uint8)
+        i = 0
+        while i < len(texts) or not i:
+            j = min(max(i + 1, int(np.searchsorted(at, at[i] + CHUNK_BYTES, "right")) - 1), len(texts))
+            flat, lens = self._encode(data[at[i]:at[j]], at[i:j + 1] - at[i])
+            yield pa.ListArray.from_arrays(pa.array(starts_of(lens), pa.int32()),
+                                           pa.array(flat, pa.int32()))
+            i = max(j, 1)
 
 
 def _merges(shared) -> Merges:
@@ -326,40 +437,26 @@ class _Shared:
 
 
 class BytePairCodec:
-    """``encode``: text column -> array<int>; ``decode``: array<int> -> binary."""
+    """``encode``: text column -> array<int>; ``decode``: array<int> -> binary;
+    ``both``: text -> struct of the ids and the bytes decoded from them."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         shared = self.shared = _Shared(spark, path, pattern)
 
-        def encode(text: pa.Array) -> pa.Array:
-            enc = _encoder(shared)
-            texts = text.to_pylist()
-            done, start, size = [], 0, 0
-            for i, t in enumerate(texts):
-                size += len(t) if t else 0
-                if size >= CHUNK_CHARS or i + 1 == len(texts):
-                    done.append(enc.encode(texts[start:i + 1]))
-                    start, size = i + 1, 0
-            flat = np.concatenate([d[0] for d in done]) if done else np.empty(0, np.int32)
-            lens = np.concatenate([d[1] for d in done]) if done else np.empty(0, np.int64)
-            return pa.ListArray.from_arrays(pa.array(starts_of(lens), pa.int32()),
-                                            pa.array(flat, pa.int32()))
-
-        def decode(ids: pa.Array) -> pa.Array:
-            m = _merges(shared)
-            lens = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = starts_of(lens.astype(np.int64))
-            flat, null, out, i = ids.flatten().to_numpy(zero_copy_only=False), ids.is_null(), [], 0
-            while i < len(ids):
-                j = max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK_IDS)) - 1)
-                part = flat[ends[i]:ends[j]]
-                raw = memoryview(m.decode(part))
-                cuts = starts_of(m.token_len[part])[ends[i:j + 1] - ends[i]].tolist()
-                out += [None if null[k].as_py() else bytes(raw[a:b])
-                        for k, a, b in zip(range(i, j), cuts, cuts[1:])]
-                i = j
-            return pa.array(out, pa.binary())
+        # Iterators: a batch of thousands of whole texts is answered in pieces.
+        def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            return tidy(chain.from_iterable(map(_encoder(shared).lists, texts)))
 
+        def decode(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            return tidy(chain.from_iterable(map(_merges(shared).texts, lists)))
+
+        def both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            m, enc = _merges(shared), _encoder(shared)
+            return tidy(pa.StructArray.from_arrays([ids, pa.concat_arrays(list(m.texts(ids)))],
+                                                   names=["ids", "decoded"])
+                        for text in texts for ids in enc.lists(text))
+
+        self._both = F.arrow_udf(both, "ids array<int>, decoded binary")
         self._encode = F.arrow_udf(encode, ArrayType(IntegerType()))
         self._decode = F.arrow_udf(decode, BinaryType())
 
@@ -369,12 +466,23 @@ class BytePairCodec:
     def decode(self, ids: Column) -> Column:
         return self._decode(ids)
 
+    def both(self, text: Column) -> Column:
+        return self._both(text)
+
 
 def encode_documents(df: DataFrame, path: str, pattern: str, text: str = "text",
-                     ids: str = "token_ids") -> DataFrame:
-    """``df`` with the token ids of its whole ``text`` column (null text: no ids)."""
+                     ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with the token ids of its whole ``text`` column (null text: no ids).
+
+    ``decoded`` names a column for the bytes that the ids decode to, made in the same
+    pass: as ``decode_documents`` after it Spark would encode every text twice, once
+    for the ids and once inside the decoder's argument.
+    """
     codec = BytePairCodec(df.sparkSession, path, pattern)
-    return df.withColumn(ids, codec.encode(F.col(text)))
+    if decoded is None:
+        return df.withColumn(ids, codec.encode(F.col(text)))
+    both = codec.both(F.col(text))
+    return df.withColumns({ids: both["ids"], decoded: both["decoded"]})
 
 
 def decode_documents(df: DataFrame, path: str, ids: str = "token_ids",

@@ -87,12 +87,26 @@ def worker_state(owner: str) -> dict:
     if _KEPT[0] != owner:
         _KEPT[1].clear()
         _KEPT[0] = owner
-        pa.default_memory_pool().release_unused()
-        if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc
-            trim(0)
+        give_back()
     return _KEPT[1]
 
 
+def give_back() -> None:
+    """Gives free Arrow memory and heap back. Spark deals tasks to all of an executor's
+    Python workers in turn, so those that wait would hold what their last task needed."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc
+        trim(0)
+
+
+def tidy(rows):
+    """The rows of a task, after which its memory is given back."""
+    try:
+        yield from rows
+    finally:
+        give_back()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser, elementwise over uint64."""
     h = (h ^ (h >> U64(30))) * _B
@@ -108,7 +122,7 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """word bytes -> 64-bit hash, filled on demand; cleared when it grows large."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __missing__(self, w: bytes) -> int:
         h = self[w] = xxhash.xxh64_intdigest(w)

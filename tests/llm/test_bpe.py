@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -61,6 +62,29 @@ def test_random_small_vocabularies():
               ["".join(rnd.choices("abc ", k=rnd.randrange(1, 40))) for _ in range(60)])
 
 
+def test_arrow_slices(ranks):
+    """A slice of an Arrow array, nulls in it, is encoded as it is."""
+    enc = bpe.Encoder(bpe.Merges(ranks), public_tokenizers.PATTERN)
+    texts = ["left out", " one two\n\n three", None, "", "größe  \t x é\u3000 漢", "a \n", "z"]
+    for kind in (pa.string(), pa.large_string()):
+        flat, lens = enc.encode(pa.array(texts, kind).slice(1, 5))
+        tk = tiktoken_encoding(ranks)
+        want = [tk.encode_ordinary(t or "") for t in texts[1:6]]
+        assert lens.tolist() == [len(w) for w in want]
+        assert flat.tolist() == [i for w in want for i in w]
+
+
+def test_new_words_are_matched_in_one_text(ranks):
+    """One call of the pattern for all plain words of a batch, not one a word."""
+    enc, calls = bpe.Encoder(bpe.Merges(ranks), public_tokenizers.PATTERN), []
+    plain = enc.find.plain
+    enc.find.plain = lambda text: calls.append(text) or plain(text)
+    check(enc, tiktoken_encoding(ranks), [" ".join(f"w{i},ß" for i in range(2000)) + "\t \n"])
+    calls.clear()
+    check(enc, tiktoken_encoding(ranks), [" " + " ".join(f"v{i}\té" for i in range(2000))])
+    assert len(calls) == 1
+
+
 def test_query_against_library(spark, ranks):
     tk = tiktoken_encoding(ranks)
     got = {r.doc_id: r for r in op2_bpe(spark, SF).collect()}
@@ -88,6 +112,17 @@ def test_nulls_empty_tables_and_clashing_columns(spark):
     assert bpe.decode_documents(null, VOCABULARY).first().decoded is None
 
 
+def test_ids_and_bytes_in_one_pass(spark):
+    """Each text is encoded once, not once more inside the decoder's argument."""
+    df = spark.createDataFrame([(1, "größe of it\n\n x"), (2, None), (3, "")], "doc_id long, text string")
+    both = bpe.encode_documents(df, VOCABULARY, public_tokenizers.PATTERN, decoded="decoded")
+    steps = bpe.decode_documents(bpe.encode_documents(df, VOCABULARY, public_tokenizers.PATTERN), VOCABULARY)
+    assert both.columns == steps.columns
+    assert sorted(map(str, both.collect())) == sorted(map(str, steps.collect()))
+    plan = op2_bpe(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "both(text" in plan and "encode(text" not in plan
+
+
 def test_rank_file(ranks):
     assert ranks[b"a"] >= 0 and all(isinstance(k, bytes) for k in list(ranks)[:5])
     assert base64.b64encode(b"a")
