@@ -17,6 +17,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +141,20 @@ def binary(col) -> list:
     return col.cast(pa.large_binary()).to_pylist()
 
 
+def text_pieces(batches, size: int):
+    """(rows, texts) of the batches, whose second column is the text, in pieces of about
+    ``size`` bytes: only a piece's texts become Python objects at a time."""
+    for b in batches:
+        long = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+        # A piece ends with the text that fills it.
+        full = np.cumsum(long, dtype=np.int64) // size
+        ends = np.flatnonzero(full[1:] != full[:-1]) + 1
+        for start, end in zip([0, *ends.tolist()], [*ends.tolist(), len(b)]):
+            if end > start:
+                part = b.slice(start, end - start)
+                yield part, binary(part.column(1))
+
+
 def hash_words(texts: list, cache: WordHash, lower: bool = False):
     """(flat uint64 word hashes, words per text, the word lists)."""
     words = [(t.lower() if lower else t).split() if t else [] for t in texts]

@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, binary, checkpoint, flatten, hash_words, sized, starts_of, window_hash
+from .common import (WordHash, checkpoint, flatten, hash_words, sized, starts_of, text_pieces, tidy,
+                     window_hash)
 
 WORDS = 5
 BLOCKS = 7
@@ -109,14 +110,8 @@ class Items:
 def _windows(batches, items: Items):
     """Fingerprints of the item-sized windows that share a shingle with an item."""
     cache = WordHash()
-    for b in batches:
-        ids, texts = b.column(0).to_numpy(zero_copy_only=False), binary(b.column(1))
-        start = held = 0
-        for i, t in enumerate(texts):
-            held += len(t) if t else 0
-            if held >= CHUNK or i + 1 == len(texts):
-                yield from _chunk_windows(ids[start:i + 1], texts[start:i + 1], items, cache)
-                start, held = i + 1, 0
+    for b, texts in text_pieces(batches, CHUNK):
+        yield from _chunk_windows(b.column(0).to_numpy(zero_copy_only=False), texts, items, cache)
 
 
 def _chunk_windows(ids, texts, items: Items, cache: WordHash):
@@ -184,8 +179,11 @@ def _block_value(col, first: int, bits: int):
 def _index(spark, items: Items, radius: int) -> DataFrame:
     """(n, block, value, item_id, item_print): every block value within the flips."""
     flips = radius // BLOCKS
-    rows = spark.createDataFrame([(i, n, p) for i, n, p, _ in items.prints],
-                                 "item_id long, n int, item_print long")
+    item, n, bits, _ = zip(*items.prints)
+    # From Arrow: rows of Python objects would take Python workers of their own.
+    rows = spark.createDataFrame(pa.table({"item_id": pa.array(item, pa.int64()),
+                                           "n": pa.array(n, pa.int32()),
+                                           "item_print": pa.array(bits, pa.int64())}))
     near = []
     for j, (first, bits) in enumerate(_spans()):
         masks = [sum(1 << c for c in cs) for f in range(min(flips, bits) + 1)
@@ -237,7 +235,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, r
 
 def _matches(spark, docs: DataFrame, part: Items, threshold: float, radius: int) -> DataFrame:
     sent = spark.sparkContext.broadcast(part)
-    windows = docs.mapInArrow(lambda it: _windows(it, sent.value), WINDOWS)
+    windows = docs.mapInArrow(lambda it: tidy(_windows(it, sent.value)), WINDOWS)
     probes = windows.select("*", F.posexplode(F.array(*[
         _block_value(F.col("print"), f, b) for f, b in _spans()])).alias("block", "value"))
     index = _index(spark, part, radius)
@@ -250,8 +248,10 @@ def _matches(spark, docs: DataFrame, part: Items, threshold: float, radius: int)
     first = F.coalesce(*[F.when(F.bit_count(_block_value(differ, f, b)) <= flips, F.lit(j))
                          for j, (f, b) in enumerate(_spans())])
     near = pairs.where((F.bit_count(differ) <= radius) & (F.col("block") == first))
-    texts = spark.createDataFrame([(i, n, t) for i, n, _, t in part.prints],
-                                  "item_id long, n int, item binary").distinct()
+    item, n, _, text = zip(*part.prints)
+    texts = spark.createDataFrame(pa.table({"item_id": pa.array(item, pa.int64()),
+                                            "n": pa.array(n, pa.int32()),
+                                            "item": pa.array(text, pa.binary())})).distinct()
     both = near.join(sized(texts, len(part.prints)), ["item_id", "n"])
 
     def compare(words: pa.Array, item: pa.Array) -> pa.Array:

@@ -39,8 +39,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import minhash
-from .common import (U64, WordHash, binary, checkpoint, gather, hash_words, list_array, mix, signed,
-                     sized, starts_of, tasks_for, window_hash, worker_state)
+from .common import (U64, WordHash, checkpoint, gather, hash_words, list_array, mix, signed, sized,
+                     starts_of, tasks_for, text_pieces, tidy, window_hash, worker_state)
 
 #: Members of a key within a task, or within a reducer, from which the key is hot.
 SMALL_GROUP = 32
@@ -156,14 +156,8 @@ def sketch(g: np.ndarray) -> np.ndarray:
 
 def _chunks(batches, size: int = CHUNK):
     """(ids, texts) of bounded total length."""
-    for b in batches:
-        ids, texts = b.column(0).to_numpy(zero_copy_only=False), binary(b.column(1))
-        start = held = 0
-        for i, t in enumerate(texts):
-            held += len(t) if t else 0
-            if held >= size or i + 1 == len(texts):
-                yield ids[start:i + 1], texts[start:i + 1]
-                start, held = i + 1, 0
+    for b, texts in text_pieces(batches, size):
+        yield b.column(0).to_numpy(zero_copy_only=False), texts
 
 
 KEYS = "key long, cls long, doc long"
@@ -205,7 +199,7 @@ def _index(batches, k: int, num: int, den: int):
         for a in range(0, len(key), 200_000):
             kk = signed(key[a:a + 200_000])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kk), pa.array(member[a:a + 200_000]), pa.nulls(len(kk), pa.int64())],
+                [pa.array(kk), pa.array(member[a:a + 200_000]), pa.array(np.zeros(len(kk), np.int64))],
                 names=["key", "cls", "doc"])
 
 
@@ -217,7 +211,7 @@ def _group(batches):
     cols = gather(batches)
     if not cols:
         return
-    key, cls = cols["key"].astype(np.int64).view(U64), cols["cls"].astype(np.int64)
+    key, cls, doc = cols.pop("key").view(U64), cols.pop("cls"), cols.pop("doc")
     kind = (key & U64(3)).astype(np.int64)
 
     def rows(code, grp, member, doc=None):
@@ -232,7 +226,8 @@ def _group(batches):
 
     d = kind == DOC
     if d.any():
-        yield from rows(DOC, signed(key[d] >> U64(8)), cls[d], cols["doc"][d].astype(np.int64))
+        yield from rows(DOC, signed(key[d] >> U64(8)), cls[d], doc[d])
+    del doc
     h = kind == HOT
     if h.any():
         yield from rows(HOT, signed(key[h] & ~U64(3)), cls[h])
@@ -241,6 +236,7 @@ def _group(batches):
         return
     marked = kind[m] == MARK
     key, cls = key[m] & ~U64(3), cls[m]
+    del kind, d, h, m
     order = np.lexsort((cls, key))
     key, cls, marked = key[order], cls[order], marked[order]
     hot_keys = np.unique(key[marked])
@@ -332,7 +328,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                  list_array(signed(flat), lens, pa.int64())], names=["cls", "n", "bits", "grams"])
 
     return checkpoint(text.mapInArrow(
-        grams, "cls long, n long, bits array<long>, grams array<long>"))
+        lambda it: tidy(grams(it)), "cls long, n long, bits array<long>, grams array<long>"))
 
 
 def _members(found: DataFrame, num: int, den: int) -> DataFrame:
@@ -371,10 +367,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 75, den: int
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if math.gcd(num, den) > 1:
         num, den = num // math.gcd(num, den), den // math.gcd(num, den)
-    index = docs.mapInArrow(lambda it: _index(it, words, num, den), KEYS)
+    index = docs.mapInArrow(lambda it: tidy(_index(it, words, num, den)), KEYS)
     dealt = index.repartition(F.expr(
         f"if((key & 3) = {HOT}, xxhash64(cls, key), if((key & 3) = {DOC}, xxhash64(doc), key))"))
-    found = checkpoint(dealt.mapInArrow(_group, GROUPS))
+    found = checkpoint(dealt.mapInArrow(lambda it: tidy(_group(it)), GROUPS))
     rows = found.where(f"kind = {DOC}").select("doc", F.col("grp").alias("n"), "cls")
     first = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
     members = _members(found, num, den)

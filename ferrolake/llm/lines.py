@@ -35,12 +35,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, checkpoint, sized, sized_lists, worker_state
+from .common import checkpoint, give_back, sized, sized_lists, text_pieces, tidy, worker_state
 
 DEPTH = 4
 MIN_DOCS = 3
@@ -89,15 +88,8 @@ def parse(line: bytes, depth: int, min_docs: int, constant: float, equal_docs: i
 
 
 def _texts(batches):
-    """(row arrays) in pieces of bounded text length."""
-    for b in batches:
-        size = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
-        # A piece ends with the text that fills it.
-        full = np.cumsum(size, dtype=np.int64) // CHUNK
-        ends = np.flatnonzero(full[1:] != full[:-1]) + 1
-        for start, end in zip([0, *ends.tolist()], [*ends.tolist(), len(b)]):
-            part = b.slice(start, end - start)
-            yield part, binary(part.column(1))
+    """(rows, texts) in pieces of bounded text length."""
+    return text_pieces(batches, CHUNK)
 
 
 class _Parsed(dict):
@@ -163,7 +155,7 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
     equal_docs = min(equal_docs, min_docs)
     rule = depth, min_docs, constant, equal_docs
     rows = checkpoint(docs.select("doc_id", "text").mapInArrow(
-        lambda it: _lines(it, *rule), "doc long, leaf long, line long, need int"))
+        lambda it: tidy(_lines(it, *rule)), "doc long, leaf long, line long, need int"))
     lines = checkpoint(rows.groupBy("leaf", "line").agg(
         F.countDistinct("doc").alias("n") if _repeats(docs) else F.count(F.lit(1)).alias("n"),
         F.min("doc").alias("first"), F.max("need").alias("need")))
@@ -196,7 +188,7 @@ def _open(docs: DataFrame, lines: DataFrame, rule: tuple) -> DataFrame:
     wanted = checkpoint(wanted)
     near = docs.join(sized_lists(wanted, "want"), docs["doc_id"] == wanted["doc"]) \
         .select("want", "text").where("text IS NOT NULL")
-    text = near.mapInArrow(lambda it: _opened(it, *rule), "line long, masked binary")
+    text = near.mapInArrow(lambda it: tidy(_opened(it, *rule)), "line long, masked binary")
     return lines.join(text.groupBy("line").agg(F.first("masked").alias("masked")), "line")
 
 
@@ -255,21 +247,26 @@ def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS
     both = left.join(sized_lists(side, "__gone"), F.col(id_col).cast("long") == F.col("__doc"), "left")
 
     def cut(text: pa.Array, gone: pa.Array) -> pa.Array:
+        worker_state("lines")
+        give_back()
         known = _Parsed(depth, min_docs, constant, min(equal_docs, min_docs))
-        less, kept = [], []
-        for t, g in zip(binary(text), gone.to_pylist()):
-            if t is None:
-                less.append(0)
-                kept.append(None)
-                continue
-            g, lines = set(g), t.split(b"\n")
-            stay = [x for x in lines if not any(p[1] in g for p in known[x])]
-            less.append(len(lines) - len(stay))
-            kept.append(b"\n".join(stay))
-            known.trim()
-        return pa.StructArray.from_arrays(
-            [pa.array(less, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-            names=["less", "kept"])
+        done = [pa.array([], pa.struct([("less", pa.int64()), ("kept", pa.string())]))]
+        for part, texts in _texts([pa.RecordBatch.from_arrays([gone, text], names=["gone", "text"])]):
+            less, kept = [], []
+            for t, g in zip(texts, part.column(0).to_pylist()):
+                if t is None:
+                    less.append(0)
+                    kept.append(None)
+                    continue
+                g, lines = set(g), t.split(b"\n")
+                stay = [x for x in lines if not any(p[1] in g for p in known[x])]
+                less.append(len(lines) - len(stay))
+                kept.append(b"\n".join(stay))
+                known.trim()
+            done.append(pa.StructArray.from_arrays(
+                [pa.array(less, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                names=["less", "kept"]))
+        return pa.concat_arrays(done)
 
     # Only texts that lose lines go to Python.
     trimmed = F.arrow_udf(cut, "less long, kept string")

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (U64, WordHash, binary, checkpoint, flatten, hash_words, list_array, mix, pair,
-                     shared_folder, signed, sized, starts_of, tasks_for, window_hash)
+                     shared_folder, signed, sized, starts_of, tasks_for, tidy, window_hash)
 from .components import components
 
 BANDS, ROWS = 64, 8
@@ -442,12 +442,12 @@ def _close(outer: DataFrame, inner: DataFrame, confirm: Confirm) -> DataFrame:
     limits = confirm.num, confirm.den, confirm.block_limit()
     if confirm.sift:
         left = checkpoint(_dealt(outer, inner, confirm.sketches)
-                          .mapInArrow(lambda it: _blocks(it, *limits, sift=True),
+                          .mapInArrow(lambda it: tidy(_blocks(it, *limits, sift=True)),
                                       "grp long, outer boolean, cls long").distinct())
         outer = checkpoint(outer.join(left.where("outer"), ["grp", "cls"], "left_semi"))
         inner = checkpoint(inner.join(left.where("not outer"), ["grp", "cls"], "left_semi"))
     return checkpoint(_dealt(outer, inner, confirm.sets)
-                      .mapInArrow(lambda it: _blocks(it, *limits), "a long, b long").distinct())
+                      .mapInArrow(lambda it: tidy(_blocks(it, *limits)), "a long, b long").distinct())
 
 
 def _pairs(a: str, b: str) -> list:

@@ -29,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, flatten, sized, starts_of, worker_state
+from .common import binary, flatten, give_back, sized, starts_of, tidy, worker_state
 
 BUCKETS = 1 << 18
 FEATURES = 4096
 SAMPLE = 12_000
 PREFIXES = (5, 6, 7)
+#: Texts scored at once.
+PIECE = 256
 #: Least chi-square (1 degree of freedom) of a kept feature, and its least documents.
 SIGNIFICANT, SUPPORT = 11.0, 3
 
@@ -63,7 +65,7 @@ class WordFeatures(dict):
         return f
 
     def trim(self) -> None:
-        if len(self) > 250_000:
+        if len(self) > 100_000:
             self.clear()
 
 
@@ -243,8 +245,9 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE
              pa.array([w.tolist()], pa.list_(pa.float64())),
              pa.array([t.tolist()], pa.list_(pa.float64()))], names=["bucket", "weight", "threshold"])
 
-    found = rows.mapInArrow(extract, "doc_id long, grade int, x array<int>").repartition(1).mapInArrow(
-        fit, "bucket array<int>, weight array<double>, threshold array<double>").collect()
+    found = rows.mapInArrow(
+        lambda it: tidy(extract(it)), "doc_id long, grade int, x array<int>").repartition(1).mapInArrow(
+        lambda it: tidy(fit(it)), "bucket array<int>, weight array<double>, threshold array<double>").collect()
     if not found:
         return None
     m = found[0]
@@ -265,12 +268,14 @@ def rate(docs: DataFrame, model: OrdinalModel | None, keep_grade: int, text_col:
     def score(text: pa.Array) -> pa.Array:
         m = sent.value
         known = _known(m)
+        give_back()
         grade, tail = [], []
-        for t in binary(text):
-            p = m.tails(m.score(t, known))
-            grade.append(sum(p))
-            tail.append(p[keep_grade - 1])
-        known.trim()
+        for at in range(0, len(text), PIECE):
+            for t in binary(text.slice(at, PIECE)):
+                p = m.tails(m.score(t, known))
+                grade.append(sum(p))
+                tail.append(p[keep_grade - 1])
+            known.trim()
         return pa.StructArray.from_arrays([pa.array(grade, pa.float64()), pa.array(tail, pa.float64())],
                                           names=["grade", "tail"])
 

@@ -19,6 +19,16 @@ def shingles(text, k=5):
     return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1)))
 
 
+def test_large_ids_stay_exact(spark):
+    """Ids that a double cannot hold, in partitions that also hold keys."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [((1 << 60) + 1, text), ((1 << 60) + 3, text + " x"), ((1 << 60) + 7, "else alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()}
+    first = (1 << 60) + 1
+    assert got == {first: first, first + 2: first, first + 6: first + 6}
+
+
 def brute(rows, num=75, den=100, k=5):
     """doc -> (size, component) by comparing every pair that shares a shingle."""
     sets = [(d, shingles(t, k)) for d, t in rows]
